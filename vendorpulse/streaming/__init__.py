@@ -1,0 +1,8 @@
+"""Streaming.
+
+The feature definitions are batch-only: one rebuild per monthly reference
+date, with no stream source, watermark or state.  The monthly backfill is a
+single batch plan over all requested dates (``plans.abt.build_abt_range``),
+and re-running a month replaces its partition.  Nothing is streamed, so this
+package holds no operator.
+"""
