@@ -6,6 +6,8 @@ scoring model selects its inputs by these names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from .features import WINDOW_SUFFIXES, window_name
 
 c = F.col
 
+Thunk = Callable[[], Column]
+
 F_ALL = [n for n, _ in WINDOW_SUFFIXES]          # _ate_hoje + 1..6
 F_RECENT = [n for n, _ in WINDOW_SUFFIXES if n]  # 1..6
 
@@ -22,61 +26,64 @@ def _fam(name: str, windows=F_ALL) -> list[str]:
     return [window_name(name, n) for n in windows]
 
 
-def _ratio_family(out: str, num: str, den: str) -> list[tuple[str, Column]]:
-    return [(window_name(out, n), safe_div(c(window_name(num, n)), c(window_name(den, n)))) for n in F_RECENT]
+def _ratio_family(out: str, num: str, den: str) -> list[tuple[str, Thunk]]:
+    return [(window_name(out, n),
+             lambda n=n: safe_div(c(window_name(num, n)), c(window_name(den, n)))) for n in F_RECENT]
 
 
-def _trends(prefix: str, col_of) -> list[tuple[str, Column]]:
+def _trends(prefix: str, col_of: Callable[[int], Column]) -> list[tuple[str, Thunk]]:
     """``m1_m3``, ``m1_m6``, ``m3_m6`` ratios of a per-window value."""
-    return [(f"{prefix}_m{a}_m{b}", safe_div(col_of(a), col_of(b))) for a, b in ((1, 3), (1, 6), (3, 6))]
+    return [(f"{prefix}_m{a}_m{b}", lambda a=a, b=b: safe_div(col_of(a), col_of(b))) for a, b in ((1, 3), (1, 6), (3, 6))]
+
+
+def _pass(names) -> list[tuple[str, Thunk]]:
+    return [(n, lambda n=n: c(n)) for n in names]
 
 
-def layer2_spec() -> list[tuple[str, Column]]:
-    """(name, expression) pairs of the 201 layer-2 columns, in output order."""
+def layer2_spec() -> list[tuple[str, Thunk]]:
+    """(name, expression thunk) pairs of the 201 layer-2 columns, in output order."""
     w = lambda fam, n: c(window_name(fam, n))
     avg_ticket = lambda n: safe_div(w("total_vlr_pedido", n), w("qtd_pedidos", n))
-    spec: list[tuple[str, Column]] = []
+    spec: list[tuple[str, Thunk]] = []
     add = spec.extend
-    add([("seller_id", c("seller_id")),
-         ("fl_venda", F.when(c("fl_venda").isNull(), 0).otherwise(1)),
-         ("seller_zip_code_prefix", c("seller_zip_code_prefix")),
-         ("seller_city", c("seller_city")),
-         ("seller_state", c("seller_state")),
-         ("proporcao_ativacao_meses", safe_div(c("qt_meses_venda_considerado"), c("qt_total_meses_considerado"))),
-         ("proporcao_ativacao_dias", safe_div(c("qt_dias_venda"), c("qt_total_dias_considerado")))])
-    add((n, c(n)) for n in ("dias_desde_ult_venda", "dias_desde_ult_estimativa_entrega",
-                            "dias_desde_ult_entrega_pedido"))
-    add((n, c(n)) for n in _fam("qtd_pedidos"))
+    add(_pass(["seller_id"]))
+    add([("fl_venda", lambda: F.when(c("fl_venda").isNull(), 0).otherwise(1))])
+    add(_pass(["seller_zip_code_prefix", "seller_city", "seller_state"]))
+    add([("proporcao_ativacao_meses",
+          lambda: safe_div(c("qt_meses_venda_considerado"), c("qt_total_meses_considerado"))),
+         ("proporcao_ativacao_dias", lambda: safe_div(c("qt_dias_venda"), c("qt_total_dias_considerado")))])
+    add(_pass(["dias_desde_ult_venda", "dias_desde_ult_estimativa_entrega", "dias_desde_ult_entrega_pedido"]))
+    add(_pass(_fam("qtd_pedidos")))
     add(_trends("tend_pedidos", lambda n: w("qtd_pedidos", n)))
     for fam in ("qtd_produtos", "media_dias_entre_dt_compra_dt_estim_entrega",
                 "media_dias_entre_dt_compra_dt_entrega", "media_dias_entre_dt_estimada_dt_entrega"):
-        add((n, c(n)) for n in _fam(fam))
+        add(_pass(_fam(fam)))
     add(_ratio_family("media_vlr_pedido", "total_vlr_pedido", "qtd_pedidos"))
     add(_trends("tend_media_vlr_pedido", avg_ticket))
     add(_ratio_family("media_vlr_frete", "total_vlr_frete", "qtd_pedidos"))
     add(_ratio_family("media_do_perc_valor_frete_contra_produto", "total_vlr_frete", "total_vlr_pedido"))
     for fam in ("qtd_pedidos_entregues", "qtd_pedidos_cancelados", "qtd_pedidos_outros_status"):
-        add((n, c(n)) for n in _fam(fam))
+        add(_pass(_fam(fam)))
     add(_ratio_family("media_valores_pedidos_entregues", "total_vlr_pedidos_entregues", "qtd_pedidos_entregues"))
     add(_ratio_family("media_valores_pedidos_cancelados", "total_vlr_pedidos_cancelados", "qtd_pedidos_cancelados"))
-    add((n, c(n)) for n in _fam("qtd_pedidos_dt_prevista_menor_data_entrega"))
+    add(_pass(_fam("qtd_pedidos_dt_prevista_menor_data_entrega")))
     for fam in ("qtd_pedidos_pgto_cc", "qtd_pedidos_pgto_boleto", "qtd_pedidos_pgto_outros",
                 "media_qtd_parcelas_pedidos_pgto_cc", "media_qtd_parcelas_pedidos_pgto_voucher",
                 "max_qtd_parcelas_pedidos_pgto_cc", "max_qtd_parcelas_pedidos_pgto_voucher"):
-        add((n, c(n)) for n in _fam(fam, F_RECENT))
+        add(_pass(_fam(fam, F_RECENT)))
     for kind in ("cc", "boleto", "outros"):
         add(_ratio_family(f"media_valor_pedidos_pgto_{kind}", f"total_valor_pedidos_pgto_{kind}",
                           f"qtd_pedidos_pgto_{kind}"))
-    add((n, c(n)) for n in ("quantidade_de_produtos_por_categoria", "media_num_fotos_por_produto",
-                            "media_fotos_por_produto_categoria", "media_tamanho_descriçao_por_produto",
-                            "qtd_categorias_vendendo"))
-    add((n, c(n)) for n in ("qtd_review_ate_hoje", "media_notas_review_ate_hoje",
-                            "media_dias_entre_criacao_resposta_review_ate_hoje"))
-    add((n, c(n)) for n in _fam("qtd_review", F_RECENT))
+    add(_pass(["quantidade_de_produtos_por_categoria", "media_num_fotos_por_produto",
+               "media_fotos_por_produto_categoria", "media_tamanho_descriçao_por_produto",
+               "qtd_categorias_vendendo"]))
+    add(_pass(["qtd_review_ate_hoje", "media_notas_review_ate_hoje",
+               "media_dias_entre_criacao_resposta_review_ate_hoje"]))
+    add(_pass(_fam("qtd_review", F_RECENT)))
     add(_trends("tend_qtd_notas_review", lambda n: w("qtd_review", n)))
-    add((n, c(n)) for n in _fam("media_notas_review", F_RECENT))
+    add(_pass(_fam("media_notas_review", F_RECENT)))
     add(_trends("tend_notas_review", lambda n: w("media_notas_review", n)))
-    add((n, c(n)) for n in _fam("media_dias_entre_criacao_resposta_review", F_RECENT))
+    add(_pass(_fam("media_dias_entre_criacao_resposta_review", F_RECENT)))
     return spec
 
 
@@ -93,4 +100,4 @@ def layer2(l1: DataFrame, sellers: DataFrame, seller_products: DataFrame, label:
     j = (l1.join(sellers, "seller_id")
          .join(seller_products, "seller_id")
          .join(label.select("dt_ref", "seller_id", "fl_venda"), ["dt_ref", "seller_id"], "left"))
-    return j.select("dt_ref", *[e.alias(n) for n, e in layer2_spec()])
+    return j.select("dt_ref", *[e().alias(n) for n, e in layer2_spec()])

@@ -60,6 +60,9 @@ class Family:
     value: Callable[[], Column] | None = None
     cond: Callable[[], Column] | None = None
     distinct_key: str | None = None
+    # ``order_avg`` of a fractional value: accumulate in fixed point with this
+    # many decimals, so the sum is exact and independent of partition order.
+    scale: int | None = None
 
 
 def _delivered() -> Column:
@@ -109,8 +112,9 @@ FAMILIES: tuple[Family, ...] = (
            value=lambda: c("val_voucher") + c("val_debit_card"),
            cond=lambda: (c("inst_debit_card") + c("inst_voucher")) != 0),
     Family("qtd_review", "order_sum", value=lambda: c("qt_reviews")),
-    Family("media_notas_review", "order_avg", value=lambda: c("avg_score")),
-    Family("media_dias_entre_criacao_resposta_review", "order_avg", value=lambda: c("avg_days_create_answer")),
+    Family("media_notas_review", "order_avg", value=lambda: c("avg_score"), scale=9),
+    Family("media_dias_entre_criacao_resposta_review", "order_avg", value=lambda: c("avg_days_create_answer"),
+           scale=9),
 )
 
 # The 13 single measures, in output order (seller_id first).
@@ -157,7 +161,9 @@ def _family_aggs(f: Family) -> list[Column]:
             agg = agg.cast("bigint") if f.name == "qtd_review" else money(agg)
         elif f.kind == "order_avg":
             v = f.value()
-            num = F.sum(F.when(cond, v * c("n_lines")))
+            weighted = (v * c("n_lines") if f.scale is None else
+                        v.cast(f"decimal({27 - 9 + f.scale},{f.scale})") * c("n_lines").cast("decimal(10,0)"))
+            num = F.sum(F.when(cond, weighted))
             den = F.sum(F.when(cond & v.isNotNull(), c("n_lines")))
             agg = F.try_divide(num.cast("double"), den.cast("double"))
         elif f.kind == "order_max":
