@@ -117,7 +117,8 @@ def q_sale_label(spark, sf_dir):
 
 
 def q_orders_asof(spark, sf_dir):
-    return asof.orders_asof(driver_roles(spark, sf_dir).orders, _plan(spark, sf_dir).dates)
+    p = _plan(spark, sf_dir)
+    return asof.orders_asof(p.roles.orders, p.dates)
 
 
 def q_abt_layer1(spark, sf_dir):

@@ -1,23 +1,37 @@
-"""As-of order view and the (dt_ref, seller, order) fact rows behind every feature.
-
-Plan shape (one plan for any number of reference dates):
-
-1. ``scope``: orders whose purchase falls in the union of all windows that
-   the caller needs; the bounds are literals, so they reach the Parquet scan
-   as pushed filters.
-2. ``order_sellers``: item lines semi-joined to ``scope`` *before* they are
-   aggregated (one shuffle of the item table, on ``order_id``), then
-   collapsed to (order, product, seller) — the pre-aggregate A2 — and to
-   (order, seller).  Both aggregates run on the join's ``order_id``
-   partitioning, so they add no exchange.
-3. ``seller_order_facts``: join order attributes, the per-order payment and
-   review pre-aggregates (all keyed and partitioned on ``order_id``), and
-   only then explode one row per reference date whose observation window
-   holds the purchase.  The explode therefore never multiplies shuffled data.
-
-The grain after step 3 is one row per (dt_ref, seller, order); ``n_lines``
-keeps the number of (order, product, seller) lines so that order-level values
-are weighted exactly as in the line-grain definitions.
+"""As-of order view and the tagged per-date records behind every feature.
+
+Plan shape (one plan for any number of reference dates, one pass over items):
+
+1. ``scope``: orders whose purchase falls in the union of every window the
+   caller needs (12-month observation windows and, for the label, the month
+   that starts at each date).  The bounds are literals, so they reach the
+   Parquet scan as pushed filters.
+2. ``order_seller_lines``: item lines joined to ``scope`` (on a cluster: one
+   shuffle of the item table on ``order_id``), collapsed to (order, product,
+   seller) — the pre-aggregate A2 — and then to (order, seller).  Both
+   aggregates run on the join's ``order_id`` partitioning, so they add no
+   exchange; the order attributes ride along.
+3. ``joined_orders``: the per-order payment and review pre-aggregates are
+   left-joined on ``order_id`` (same partitioning again).  Payments are a
+   left join with a ``paid`` marker rather than an inner join: the feature
+   records need a payment, the label records do not.
+4. ``tagged_records``: each joined row is exploded into records
+   ``(dt_ref, k, v, b, dlv)``, one set per reference date whose window holds
+   the purchase, *after* every shuffle:
+
+   ========  ====================================  =========================
+   ``k``     when                                   ``v``
+   ========  ====================================  =========================
+   main      purchase in the 12-month window, paid  recency bucket ``b``
+   cc        main and credit-card installments ≠ 0  installments
+   voucher   main and voucher installments ≠ 0      installments
+   day       main and purchase within 6 months      days before ``dt_ref``
+   month     main                                   months before ``dt_ref``
+   label     purchase in the month from ``dt_ref``  NULL
+   ========  ====================================  =========================
+
+   Dates are literals in these expressions, so all window bounds fold to
+   constants and no lambda function is evaluated per row.
 """
 
 from __future__ import annotations
@@ -25,12 +39,16 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from .preagg import items_per_order_product, payments_per_order, reviews_per_order
 
+ORDER_ATTRS = ("order_status", "order_purchase_timestamp", "order_delivered_customer_date",
+               "order_estimated_delivery_date")
+PAYMENT_KINDS = ("credit_card", "debit_card", "boleto", "voucher")
+
 
 def orders_in_range(orders: DataFrame, lo: _dt.date, hi: _dt.date) -> DataFrame:
     """Orders with ``lo <= purchase < hi`` (literal bounds: pushed down to the scan)."""
@@ -38,8 +56,8 @@ def orders_in_range(orders: DataFrame, lo: _dt.date, hi: _dt.date) -> DataFrame:
     return orders.where((ts >= F.lit(lo)) & (ts < F.lit(hi)))
 
 
-def observation_scope(orders: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False,
-                      with_label_months: bool = False) -> DataFrame:
+def order_scope(orders: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False,
+                with_label_months: bool = False) -> DataFrame:
     """Orders that any requested window can touch."""
     lo, hi = D.union_observation_bounds(dates, include_last_day)
     if with_label_months:
@@ -47,24 +65,84 @@ def observation_scope(orders: DataFrame, dates: Sequence[_dt.date], include_last
     return orders_in_range(orders, lo, hi)
 
 
-def order_sellers(items: DataFrame, scope: DataFrame) -> DataFrame:
+def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
     """(order, seller) grain of the item table for the orders in ``scope``.
 
     ``n_lines`` counts (order, product, seller) lines, ``n_products`` those with
-    a product id; prices and freight are summed.
+    a product id; prices and freight are summed.  Order attributes are carried
+    with ``max`` (``order_id`` is the key of the order table).
     """
-    lines = items.join(scope.select("order_id"), "order_id", "left_semi")
-    a2 = items_per_order_product(lines)
+    lines = items.join(scope.select("order_id", *ORDER_ATTRS), "order_id")
+    a2 = items_per_order_product(lines, carry=ORDER_ATTRS)
     return a2.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count("product_id").alias("n_products"),
         F.sum("value_price").alias("value_price"),
         F.sum("value_freight").alias("value_freight"),
+        *[F.max(a).alias(a) for a in ORDER_ATTRS],
     )
 
 
-def asof_columns(ref: F.Column, ts: F.Column) -> list[F.Column]:
-    """Date parts of the reference and of the purchase, and the as-of masks."""
+def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    pay = payments_per_order(payments).select(
+        "order_id", F.lit(True).alias("paid"),
+        *[F.col(f"installments_{t}").alias(f"inst_{t}") for t in PAYMENT_KINDS],
+        *[F.col(f"value_{t}").alias(f"val_{t}") for t in PAYMENT_KINDS],
+    )
+    rev = reviews_per_order(reviews).select("order_id", "qt_reviews", "avg_score", "avg_days_create_answer")
+    return lines.join(pay, "order_id", "left").join(rev, "order_id", "left")
+
+
+def _record(d: _dt.date, k: str, v: Column | None, b: Column | None, dlv: Column | None) -> Column:
+    null = lambda t: F.lit(None).cast(t)
+    return F.struct(F.lit(d).alias("dt_ref"), F.lit(k).alias("k"),
+                    (null("bigint") if v is None else v.cast("bigint")).alias("v"),
+                    (null("int") if b is None else b.cast("int")).alias("b"),
+                    (null("date") if dlv is None else dlv).alias("dlv"))
+
+
+def tagged_records(joined: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False,
+                   with_label: bool = True) -> DataFrame:
+    """Explode joined (order, seller) rows into per-date tagged records (see module doc)."""
+    c = F.col
+    ts = c("order_purchase_timestamp")
+    pdate = F.to_date(ts)
+    recs = []
+    for d in dates:
+        ref = F.lit(d)
+        obs = D.in_observation(ts, ref, include_last_day) & c("paid").isNotNull()
+        b = D.recency_bucket(ts, ref)
+        recs += [
+            F.when(obs, _record(d, "main", b, b, D.mask_after(c("order_delivered_customer_date"), ref))),
+            F.when(obs & (c("inst_credit_card") != 0), _record(d, "cc", c("inst_credit_card"), b, None)),
+            F.when(obs & (c("inst_voucher") != 0), _record(d, "voucher", c("inst_voucher"), b, None)),
+            F.when(obs & (pdate >= F.add_months(ref, -D.ACTIVATION_MONTHS)),
+                   _record(d, "day", F.datediff(ref, pdate), b, None)),
+            F.when(obs, _record(d, "month", D.month_index(ref) - D.month_index(pdate), b, None)),
+        ]
+        if with_label:
+            recs.append(F.when(D.in_label_month(ts, ref, include_last_day), _record(d, "label", None, None, None)))
+    x = joined.select("*", F.explode(F.array(*recs)).alias("r")).where(c("r").isNotNull())
+    return x.select(
+        "r.dt_ref", "seller_id", "r.k", "r.v", "r.b", "r.dlv", "order_status",
+        pdate.alias("pdate"), F.to_date("order_estimated_delivery_date").alias("est"),
+        "n_lines", "n_products", "value_price", "value_freight",
+        *[f"inst_{t}" for t in PAYMENT_KINDS], *[f"val_{t}" for t in PAYMENT_KINDS],
+        "qt_reviews", "avg_score", "avg_days_create_answer",
+    )
+
+
+def seller_records(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
+                   dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True) -> DataFrame:
+    scope = order_scope(orders, dates, include_last_day, with_label_months=with_label)
+    joined = joined_orders(order_seller_lines(items, scope), payments, reviews)
+    return tagged_records(joined, dates, include_last_day, with_label)
+
+
+# ---------------------------------------------------------------- as-of order view
+
+def asof_columns(ref: Column, ts: Column) -> list[Column]:
+    """Date parts of the reference and of the purchase, and the as-of masks."""
     return [
         F.date_format(ref, "yyyyMM").alias("refdate_yearmonth"),
         F.year(ref).cast("bigint").alias("refdate_year"),
@@ -78,53 +156,11 @@ def asof_columns(ref: F.Column, ts: F.Column) -> list[F.Column]:
     ]
 
 
-def explode_refs(df: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False) -> DataFrame:
-    """One copy of each row per reference date whose 12-month window holds its purchase."""
-    ts = F.col("order_purchase_timestamp")
-    refs = F.filter(D.dates_array(dates), lambda r: D.in_observation(ts, r, include_last_day))
-    return df.withColumn("dt_ref", F.explode(refs))
-
-
 def orders_asof(orders: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False) -> DataFrame:
-    """F1 + F3 + F9: the order view of each reference date, future events masked."""
-    scope = observation_scope(orders, dates, include_last_day)
-    x = explode_refs(scope, dates, include_last_day)
-    ref, ts = F.col("dt_ref"), F.col("order_purchase_timestamp")
-    return x.select("dt_ref", "order_id", "order_status", "order_purchase_timestamp", *asof_columns(ref, ts))
-
-
-def seller_order_facts(orders: DataFrame, payments: DataFrame, reviews: DataFrame,
-                       sellers_of_orders: DataFrame, dates: Sequence[_dt.date],
-                       include_last_day: bool = False) -> DataFrame:
-    """(dt_ref, seller_id, order_id) rows with every value the feature families read.
-
-    ``sellers_of_orders`` is :func:`order_sellers` over a scope that covers the
-    observation windows of ``dates`` (it may cover more; the order filter here
-    trims it).  Orders without payments drop out (inner join), orders without
-    reviews stay with NULL review values (left join).
-    """
-    scope = observation_scope(orders, dates, include_last_day)
-    pay = payments_per_order(payments).select(
-        "order_id",
-        *[F.col(f"installments_{t}").alias(f"inst_{t}") for t in ("credit_card", "debit_card", "boleto", "voucher")],
-        *[F.col(f"value_{t}").alias(f"val_{t}") for t in ("credit_card", "debit_card", "boleto", "voucher")],
-    )
-    rev = reviews_per_order(reviews).select("order_id", "qt_reviews", "avg_score", "avg_days_create_answer")
-    joined = (sellers_of_orders
-              .join(scope.select("order_id", "order_status", "order_purchase_timestamp",
-                                 "order_delivered_customer_date", "order_estimated_delivery_date"), "order_id")
-              .join(pay, "order_id")
-              .join(rev, "order_id", "left"))
-    x = explode_refs(joined, dates, include_last_day)
-    ref, ts = F.col("dt_ref"), F.col("order_purchase_timestamp")
-    return x.select(
-        "dt_ref", "seller_id", "order_id", "order_status",
-        D.recency_bucket(ts, ref).alias("b"),
-        F.to_date(ts).alias("pdate"),
-        F.to_date("order_estimated_delivery_date").alias("est"),
-        D.mask_after(F.col("order_delivered_customer_date"), ref).alias("dlv"),
-        "n_lines", "n_products", "value_price", "value_freight",
-        "inst_credit_card", "inst_debit_card", "inst_boleto", "inst_voucher",
-        "val_credit_card", "val_debit_card", "val_boleto", "val_voucher",
-        "qt_reviews", "avg_score", "avg_days_create_answer",
-    )
+    """The order view of each reference date: 12-month filter, future events masked."""
+    scope = order_scope(orders, dates, include_last_day)
+    ts = F.col("order_purchase_timestamp")
+    refs = F.array(*[F.when(D.in_observation(ts, F.lit(d), include_last_day), F.lit(d)) for d in dates])
+    x = scope.select("*", F.explode(refs).alias("dt_ref")).where(F.col("dt_ref").isNotNull())
+    return x.select("dt_ref", "order_id", "order_status", "order_purchase_timestamp",
+                    *asof_columns(F.col("dt_ref"), ts))

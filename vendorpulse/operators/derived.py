@@ -91,13 +91,13 @@ def layer2_columns() -> list[str]:
     return [n for n, _ in layer2_spec()]
 
 
-def layer2(l1: DataFrame, sellers: DataFrame, seller_products: DataFrame, label: DataFrame) -> DataFrame:
-    """D1-D17 over J6 (sellers, inner), J7 (product profile, inner), J8 (label, left).
+def layer2(month_agg: DataFrame, sellers: DataFrame, seller_products: DataFrame) -> DataFrame:
+    """D1-D17 over J6 (sellers, inner) and J7 (product profile, inner).
 
-    All four inputs are seller-grain; AQE picks broadcast or sort-merge per
-    join from the measured sizes at run time.
+    ``month_agg`` is the seller-month aggregate with its ``fl_venda`` label
+    column (J8's left join happened inside that aggregate).  All inputs are
+    seller-grain; AQE picks broadcast or sort-merge per join from the sizes
+    measured at run time.
     """
-    j = (l1.join(sellers, "seller_id")
-         .join(seller_products, "seller_id")
-         .join(label.select("dt_ref", "seller_id", "fl_venda"), ["dt_ref", "seller_id"], "left"))
+    j = month_agg.join(sellers, "seller_id").join(seller_products, "seller_id")
     return j.select("dt_ref", *[e().alias(n) for n, e in layer2_spec()])

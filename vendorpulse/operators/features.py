@@ -2,8 +2,14 @@
 
 Every family is one aggregate over the seller's rows of a window.  Windows:
 ``_ate_hoje`` (the whole 12-month observation scope), ``_ultimo_mes`` and
-``_ultimos_N_meses`` (N = 2..6), expressed with the recency bucket ``b`` as
-``b <= N``.
+``_ultimos_N_meses`` (N = 2..6).  They share their upper bound and nest, so
+each row falls in one recency bucket ``b`` and window N is ``b <= N``.
+
+The aggregation runs in two levels: (A) one narrow partial per family over
+(dt_ref, seller, b) — the pass over all fact rows, map-side combined and
+inside whole-stage codegen — and (B) a fold of the at most seven bucket rows
+of a seller into the seven windows.  Only level B is wide, and its input is
+tiny.
 
 The definitions count *distinct orders*, and average *distinct installment
 counts*.  On the (dt_ref, seller, order) fact grain of :mod:`.asof` a distinct
@@ -125,108 +131,115 @@ SINGLES = (
     "dias_desde_ult_venda", "dias_desde_ult_estimativa_entrega", "dias_desde_ult_entrega_pedido",
 )
 
-# distinct value kinds: installments (credit card, voucher), sale day, sale month
-DISTINCT_SOURCES = {
-    "cc": lambda: F.when(c("inst_credit_card") != 0, c("inst_credit_card")),
-    "voucher": lambda: F.when(c("inst_voucher") != 0, c("inst_voucher")),
-    "day": lambda: F.when(c("pdate") >= F.add_months(c("dt_ref"), -D.ACTIVATION_MONTHS),
-                          F.datediff(c("dt_ref"), c("pdate"))),
-    "month": lambda: D.month_index(c("dt_ref")) - D.month_index(c("pdate")),
-}
-
-
 def layer1_columns() -> list[str]:
     return list(SINGLES) + [window_name(f.name, n) for f in FAMILIES for n, _ in WINDOW_SUFFIXES]
 
 
-def _in_window(n: int | None, bucket: str = "b") -> Column:
-    return F.lit(True) if n is None else c(bucket) <= n
-
-
-def _family_aggs(f: Family) -> list[Column]:
+def _in_window(n: int | None) -> Column:
+    return F.lit(True) if n is None else c("b") <= n
+
+
+def _bucket_aggs(f: Family) -> list[Column]:
+    """Level A: one narrow partial per family over the ``main`` records of a bucket."""
+    main = c("k") == "main"
+    cond = main if f.cond is None else (main & f.cond())
+    x = f"{f.name}__x"
+    if f.kind == "orders":
+        return [F.count_if(cond).alias(x)]
+    if f.kind == "lines":
+        return [F.sum(F.when(cond, c("n_products"))).alias(x)]
+    if f.kind == "line_sum":
+        return [F.sum(F.when(cond, f.value())).alias(x)]
+    if f.kind == "order_sum":
+        return [F.sum(F.when(cond, f.value() * c("n_lines"))).alias(x)]
+    if f.kind == "order_avg":
+        v = f.value()
+        weighted = (v * c("n_lines") if f.scale is None else
+                    v.cast(f"decimal(27,{f.scale})") * c("n_lines").cast("decimal(10,0)"))
+        return [F.sum(F.when(cond, weighted)).alias(f"{f.name}__num"),
+                F.sum(F.when(cond & v.isNotNull(), c("n_lines"))).alias(f"{f.name}__den")]
+    if f.kind == "order_max":
+        return [F.max(F.when(cond, f.value())).alias(x)]
+    if f.kind == "distinct_avg":
+        return []
+    raise ValueError(f.kind)
+
+
+def _window_aggs(f: Family) -> list[Column]:
+    """Level B: fold the bucket partials of a seller into the seven nested windows."""
     out = []
     for n, _ in WINDOW_SUFFIXES:
         w = _in_window(n)
-        cond = w if f.cond is None else (w & f.cond())
-        name = window_name(f.name, n)
-        if f.kind == "orders":
-            agg = F.count_if(cond)
-        elif f.kind == "lines":
-            agg = F.coalesce(F.sum(F.when(cond, c("n_products"))), F.lit(0).cast("bigint"))
+        x = c(f"{f.name}__x")
+        if f.kind in ("orders", "lines"):
+            agg = F.coalesce(F.sum(F.when(w, x)), F.lit(0).cast("bigint"))
         elif f.kind == "line_sum":
-            agg = money(F.sum(F.when(cond, f.value())))
+            agg = money(F.sum(F.when(w, x)))
         elif f.kind == "order_sum":
-            v = f.value() * c("n_lines")
-            agg = F.sum(F.when(cond, v))
+            agg = F.sum(F.when(w, x))
             agg = agg.cast("bigint") if f.name == "qtd_review" else money(agg)
         elif f.kind == "order_avg":
-            v = f.value()
-            weighted = (v * c("n_lines") if f.scale is None else
-                        v.cast(f"decimal({27 - 9 + f.scale},{f.scale})") * c("n_lines").cast("decimal(10,0)"))
-            num = F.sum(F.when(cond, weighted))
-            den = F.sum(F.when(cond & v.isNotNull(), c("n_lines")))
+            num = F.sum(F.when(w, c(f"{f.name}__num")))
+            den = F.sum(F.when(w, c(f"{f.name}__den")))
             agg = F.try_divide(num.cast("double"), den.cast("double"))
         elif f.kind == "order_max":
-            agg = F.max(F.when(cond, f.value())).cast("bigint")
+            agg = F.max(F.when(w, x)).cast("bigint")
         elif f.kind == "distinct_avg":
-            continue
+            agg = F.avg(F.when((c("k") == f.distinct_key) & w, c("v")))
         else:
             raise ValueError(f.kind)
-        out.append(agg.alias(name))
+        out.append(agg.alias(window_name(f.name, n)))
     return out
 
 
-def _distinct_values(facts: DataFrame) -> DataFrame:
-    """Per (dt_ref, seller): sale days, sale months and distinct-installment means."""
-    entries = F.filter(
-        F.array(*[F.struct(F.lit(k).alias("k"), fn().cast("bigint").alias("v")) for k, fn in DISTINCT_SOURCES.items()]),
-        lambda e: e["v"].isNotNull(),
-    )
-    vals = (facts.select("dt_ref", "seller_id", "b", F.explode(entries).alias("e"))
-            .groupBy("dt_ref", "seller_id", c("e.k").alias("k"), c("e.v").alias("v"))
-            .agg(F.min("b").alias("mb")))
-    aggs = [
-        F.count_if(c("k") == "day").alias("qt_dias_venda"),
-        F.count_if(c("k") == "month").alias("n_months"),
-    ]
-    for f in FAMILIES:
-        if f.kind == "distinct_avg":
-            for n, _ in WINDOW_SUFFIXES:
-                hit = (c("k") == f.distinct_key) & _in_window(n, "mb")
-                aggs.append(F.avg(F.when(hit, c("v"))).alias(window_name(f.name, n)))
-    return vals.groupBy("dt_ref", "seller_id").agg(*aggs)
+def seller_month_aggregate(records: DataFrame) -> DataFrame:
+    """A6 (+ the label flag when label records are present), one row per (dt_ref, seller).
 
+    Level A groups the tagged records on (dt_ref, seller, k, v): ``main``
+    records collapse per recency bucket, distinct-value records per value
+    (keeping the most recent bucket, ``min(b)``), label records to one row.
+    Level B folds those few rows per seller into the output columns.
+    """
+    main = c("k") == "main"
+    extremes = [("min", "pdate", "min_purchase_date"), ("max", "pdate", "max_purchase_date"),
+                ("max", "dlv", "max_delivered_customer_date"), ("max", "est", "max_est")]
+    level_a = [F.min("b").alias("b")]
+    level_a += [getattr(F, fn)(F.when(main, c(col))).alias(name) for fn, col, name in extremes]
+    for f in FAMILIES:
+        level_a.extend(_bucket_aggs(f))
+    per_key = records.groupBy("dt_ref", "seller_id", "k", "v").agg(*level_a)
 
-def layer1(facts: DataFrame) -> DataFrame:
-    """One row per (dt_ref, seller_id) with the 195 layer-1 columns after ``dt_ref``."""
     ref = c("dt_ref")
-    six_back = F.add_months(ref, -D.ACTIVATION_MONTHS)
-    main_aggs = [
-        F.min(F.date_format("pdate", "yyyyMM")).alias("min_purchase_yearmonth"),
-        F.min("pdate").alias("min_purchase_date"),
-        F.max("pdate").alias("max_purchase_date"),
-        F.max("dlv").alias("max_delivered_customer_date"),
-        F.max("est").alias("max_est"),
+    level_b = [getattr(F, fn)(name).alias(name) for fn, _, name in extremes]
+    level_b += [
+        F.count_if(main).alias("n_main"),
+        F.count_if(c("k") == "day").alias("qt_dias_venda"),
+        F.count_if(c("k") == "month").alias("n_months"),
+        F.max(F.when(c("k") == "label", F.lit(1))).alias("fl_venda"),
     ]
     for f in FAMILIES:
-        main_aggs.extend(_family_aggs(f))
-    main = facts.groupBy("dt_ref", "seller_id").agg(*main_aggs)
-    dist = _distinct_values(facts)
-    j = main.join(dist, ["dt_ref", "seller_id"], "left")
+        level_b.extend(_window_aggs(f))
+    agg = per_key.groupBy("dt_ref", "seller_id").agg(*level_b)
+
     # least/greatest skip NULLs where the original scalar min/max propagate them;
-    # both arguments are never NULL here (every row has a purchase date).
-    considered = F.greatest(six_back, c("min_purchase_date"))
+    # both arguments are never NULL here (every seller row has a purchase date).
+    considered = F.greatest(F.add_months(ref, -D.ACTIVATION_MONTHS), c("min_purchase_date"))
     singles = {
+        "min_purchase_yearmonth": F.date_format("min_purchase_date", "yyyyMM"),
         "qt_total_dias_considerado": F.datediff(ref, considered).cast("bigint"),
-        "qt_dias_venda": F.coalesce(c("qt_dias_venda"), F.lit(0).cast("bigint")),
         "min_purchase_date_considerada": considered,
         "qt_total_meses_considerado": F.least(D.month_index(ref) - D.month_index(c("min_purchase_date")),
                                               F.lit(D.ACTIVATION_MONTHS)).cast("bigint"),
-        "qt_meses_venda_considerado": F.least(F.coalesce(c("n_months"), F.lit(0)),
-                                              F.lit(D.ACTIVATION_MONTHS)).cast("bigint"),
+        "qt_meses_venda_considerado": F.least(c("n_months"), F.lit(D.ACTIVATION_MONTHS)).cast("bigint"),
         "dias_desde_ult_venda": F.datediff(ref, c("max_purchase_date")).cast("bigint"),
         "dias_desde_ult_estimativa_entrega": F.datediff(ref, c("max_est")).cast("bigint"),
         "dias_desde_ult_entrega_pedido": F.datediff(ref, c("max_delivered_customer_date")).cast("bigint"),
     }
-    return j.select("dt_ref", *[singles[n].alias(n) if n in singles else c(n) for n in SINGLES],
-                    *[c(n) for n in layer1_columns()[len(SINGLES):]])
+    return agg.where(c("n_main") > 0).select(
+        "dt_ref", *[singles[n].alias(n) if n in singles else c(n) for n in SINGLES],
+        *[c(n) for n in layer1_columns()[len(SINGLES):]], "fl_venda")
+
+
+def layer1(records: DataFrame) -> DataFrame:
+    """``dt_ref`` + the 195 layer-1 columns."""
+    return seller_month_aggregate(records).drop("fl_venda")

@@ -36,12 +36,16 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     return payments.groupBy("order_id").agg(*cols)
 
 
-def items_per_order_product(items: DataFrame) -> DataFrame:
-    """A2: item lines collapsed per (order, product, seller)."""
+def items_per_order_product(items: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """A2: item lines collapsed per (order, product, seller).
+
+    ``carry`` names order-level columns (constant per order) kept with ``max``.
+    """
     return items.groupBy("seller_id", "order_id", "product_id").agg(
         F.count("order_item_id").alias("qt_itens"),
         F.sum("price").alias("value_price"),
         F.sum("freight_value").alias("value_freight"),
+        *[F.max(a).alias(a) for a in carry],
     )
 
 
@@ -105,18 +109,19 @@ def orders_in_label_months(orders: DataFrame, dates: Sequence[_dt.date],
     lo, hi = D.union_label_bounds(dates, include_last_day)
     ts = F.col("order_purchase_timestamp")
     pre = orders.where((ts >= F.lit(lo)) & (ts < F.lit(hi)))
-    refs = F.filter(D.dates_array(dates), lambda r: D.in_label_month(ts, r, include_last_day))
-    return pre.select("order_id", F.explode(refs).alias("dt_ref"))
+    refs = F.array(*[F.when(D.in_label_month(ts, F.lit(d), include_last_day), F.lit(d)) for d in dates])
+    return pre.select("order_id", F.explode(refs).alias("dt_ref")).where(F.col("dt_ref").isNotNull())
 
 
-def sale_label(order_sellers: DataFrame, orders: DataFrame, dates: Sequence[_dt.date],
+def sale_label(items: DataFrame, orders: DataFrame, dates: Sequence[_dt.date],
                include_last_day: bool = False) -> DataFrame:
-    """Sellers with a sale in the month starting at ``dt_ref`` → ``fl_venda = 1``.
+    """A5/J5 on its own: sellers with a sale in the month starting at ``dt_ref`` → ``fl_venda = 1``.
 
-    ``order_sellers`` holds (order_id, seller_id) pairs of the item table.  The
-    inner join followed by a distinct equals the ``IN (subquery)`` semi join.
+    The inner join followed by a distinct equals the ``IN (subquery)`` semi
+    join.  (The feature table computes the same flag inside its single
+    aggregation pass instead.)
     """
     months = orders_in_label_months(orders, dates, include_last_day)
-    return (order_sellers.select("order_id", "seller_id").join(months, "order_id")
+    return (items.select("order_id", "seller_id").join(months, "order_id")
             .select("dt_ref", "seller_id").distinct()
             .withColumn("fl_venda", F.lit(1)))

@@ -1,10 +1,11 @@
 """The feature table for any list of monthly reference dates, as one Spark plan.
 
 Date-independent work (payment, review and product pre-aggregates, the
-item-table shuffle) happens once for all dates; only the cheap explode and the
-final seller-grain aggregate see ``dt_ref``.  The item table is shuffled once:
-the (order, seller) frame feeding the features also feeds the next-month
-label, and Spark reuses that exchange.
+item-table shuffle) happens once for all dates; only the explode after the
+last shuffle and the seller-grain aggregate see ``dt_ref``.  The features
+and the next-month label come out of one aggregation pass, so the
+windowed item lines are read and shuffled once; the product profile (all
+history by definition) is the only other read of the item table.
 """
 
 from __future__ import annotations
@@ -32,31 +33,26 @@ class FeaturePlan:
     def of(cls, roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> "FeaturePlan":
         return cls(roles, tuple(D.validate_ref_dates(dates)), include_last_day)
 
-    def order_sellers(self, with_label_months: bool = True) -> DataFrame:
-        scope = asof.observation_scope(self.roles.orders, self.dates, self.include_last_day,
-                                       with_label_months=with_label_months)
-        return asof.order_sellers(self.roles.items, scope)
-
-    def facts(self, order_sellers: DataFrame | None = None) -> DataFrame:
+    def records(self, with_label: bool = True) -> DataFrame:
         r = self.roles
-        os_ = order_sellers if order_sellers is not None else self.order_sellers(with_label_months=False)
-        return asof.seller_order_facts(r.orders, r.payments, r.reviews, os_, self.dates, self.include_last_day)
+        return asof.seller_records(r.orders, r.items, r.payments, r.reviews, self.dates,
+                                   self.include_last_day, with_label)
 
-    def layer1(self, order_sellers: DataFrame | None = None) -> DataFrame:
-        return features.layer1(self.facts(order_sellers))
+    def layer1(self) -> DataFrame:
+        """``dt_ref`` + the 195 layer-1 columns."""
+        return features.layer1(self.records(with_label=False))
 
-    def label(self, order_sellers: DataFrame | None = None) -> DataFrame:
-        if order_sellers is None:
-            scope = preagg.orders_in_label_months(self.roles.orders, self.dates, self.include_last_day)
-            order_sellers = asof.order_sellers(self.roles.items, scope)
-        return preagg.sale_label(order_sellers, self.roles.orders, self.dates, self.include_last_day)
+    def label(self) -> DataFrame:
+        """A5 on its own (the feature table computes it inside its aggregate)."""
+        return preagg.sale_label(self.roles.items, self.roles.orders, self.dates, self.include_last_day)
 
     def seller_products(self) -> DataFrame:
         return preagg.products_per_seller(self.roles.items, self.roles.products)
 
     def layer2(self) -> DataFrame:
-        os_ = self.order_sellers(with_label_months=True)
-        return derived.layer2(self.layer1(os_), self.roles.sellers, self.seller_products(), self.label(os_))
+        """``dt_ref`` + the 201 feature-table columns."""
+        month_agg = features.seller_month_aggregate(self.records(with_label=True))
+        return derived.layer2(month_agg, self.roles.sellers, self.seller_products())
 
 
 def build_abt(roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> DataFrame:
