@@ -25,11 +25,13 @@ Plan shape (one plan for any number of reference dates, one pass over items):
    main      purchase in the 12-month window, paid  recency bucket ``b``
    cc        main and credit-card installments ≠ 0  installments
    voucher   main and voucher installments ≠ 0      installments
-   day       main and purchase within 6 months      days before ``dt_ref``
-   month     main                                   months before ``dt_ref``
    label     purchase in the month from ``dt_ref``  NULL
    ========  ====================================  =========================
 
+   ``main`` records also carry the purchase's month offset (1..12) and, when
+   it is within six months, its day offset (at most 184 for a first-of-month
+   date) — the inputs of the exact bitmap counts of sale months and days.
+
    Dates are literals in these expressions, so all window bounds fold to
    constants and no lambda function is evaluated per row.
 """
@@ -93,12 +95,13 @@ def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame) ->
     return lines.join(pay, "order_id", "left").join(rev, "order_id", "left")
 
 
-def _record(d: _dt.date, k: str, v: Column | None, b: Column | None, dlv: Column | None) -> Column:
-    null = lambda t: F.lit(None).cast(t)
-    return F.struct(F.lit(d).alias("dt_ref"), F.lit(k).alias("k"),
-                    (null("bigint") if v is None else v.cast("bigint")).alias("v"),
-                    (null("int") if b is None else b.cast("int")).alias("b"),
-                    (null("date") if dlv is None else dlv).alias("dlv"))
+def _record(d: _dt.date, k: str, v: Column | None = None, b: Column | None = None, dlv: Column | None = None,
+            month_off: Column | None = None, day_off: Column | None = None) -> Column:
+    def opt(x, t):
+        return F.lit(None).cast(t) if x is None else x.cast(t)
+    return F.struct(F.lit(d).alias("dt_ref"), F.lit(k).alias("k"), opt(v, "bigint").alias("v"),
+                    opt(b, "int").alias("b"), opt(dlv, "date").alias("dlv"),
+                    opt(month_off, "int").alias("month_off"), opt(day_off, "int").alias("day_off"))
 
 
 def tagged_records(joined: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False,
@@ -112,19 +115,19 @@ def tagged_records(joined: DataFrame, dates: Sequence[_dt.date], include_last_da
         ref = F.lit(d)
         obs = D.in_observation(ts, ref, include_last_day) & c("paid").isNotNull()
         b = D.recency_bucket(ts, ref)
+        recent = pdate >= F.add_months(ref, -D.ACTIVATION_MONTHS)
         recs += [
-            F.when(obs, _record(d, "main", b, b, D.mask_after(c("order_delivered_customer_date"), ref))),
-            F.when(obs & (c("inst_credit_card") != 0), _record(d, "cc", c("inst_credit_card"), b, None)),
-            F.when(obs & (c("inst_voucher") != 0), _record(d, "voucher", c("inst_voucher"), b, None)),
-            F.when(obs & (pdate >= F.add_months(ref, -D.ACTIVATION_MONTHS)),
-                   _record(d, "day", F.datediff(ref, pdate), b, None)),
-            F.when(obs, _record(d, "month", D.month_index(ref) - D.month_index(pdate), b, None)),
+            F.when(obs, _record(d, "main", v=b, b=b, dlv=D.mask_after(c("order_delivered_customer_date"), ref),
+                                month_off=D.month_index(ref) - D.month_index(pdate),
+                                day_off=F.when(recent, F.datediff(ref, pdate)))),
+            F.when(obs & (c("inst_credit_card") != 0), _record(d, "cc", v=c("inst_credit_card"), b=b)),
+            F.when(obs & (c("inst_voucher") != 0), _record(d, "voucher", v=c("inst_voucher"), b=b)),
         ]
         if with_label:
-            recs.append(F.when(D.in_label_month(ts, ref, include_last_day), _record(d, "label", None, None, None)))
+            recs.append(F.when(D.in_label_month(ts, ref, include_last_day), _record(d, "label")))
     x = joined.select("*", F.explode(F.array(*recs)).alias("r")).where(c("r").isNotNull())
     return x.select(
-        "r.dt_ref", "seller_id", "r.k", "r.v", "r.b", "r.dlv", "order_status",
+        "r.dt_ref", "seller_id", "r.k", "r.v", "r.b", "r.dlv", "r.month_off", "r.day_off", "order_status",
         pdate.alias("pdate"), F.to_date("order_estimated_delivery_date").alias("est"),
         "n_lines", "n_products", "value_price", "value_freight",
         *[f"inst_{t}" for t in PAYMENT_KINDS], *[f"val_{t}" for t in PAYMENT_KINDS],

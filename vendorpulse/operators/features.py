@@ -11,12 +11,13 @@ inside whole-stage codegen — and (B) a fold of the at most seven bucket rows
 of a seller into the seven windows.  Only level B is wide, and its input is
 tiny.
 
-The definitions count *distinct orders*, and average *distinct installment
-counts*.  On the (dt_ref, seller, order) fact grain of :mod:`.asof` a distinct
-order count is a plain ``count_if``; distinct values (installments, sale days,
-sale months) go through one small grouping on (dt_ref, seller, kind, value)
-first.  No ``count(distinct …)`` reaches the planner, so there is no
-``Expand`` multiplying rows by the number of distinct expressions.
+The definitions count *distinct orders*, *distinct sale days and months*,
+and average *distinct installment counts*.  On the (dt_ref, seller, order)
+record grain of :mod:`.asof` a distinct order count is a plain ``count_if``;
+sale days and months have a bounded range of offsets and are counted exactly
+as bitmaps (``bit_or`` then ``bit_count``); installment values are grouped
+as their own records.  No ``count(distinct …)`` reaches the planner, so there
+is no ``Expand`` multiplying rows by the number of distinct expressions.
 """
 
 from __future__ import annotations
@@ -192,6 +193,34 @@ def _window_aggs(f: Family) -> list[Column]:
     return out
 
 
+# Exact distinct counts over bounded offsets: a purchase inside the 12-month
+# window is 1..12 months before the (first-of-month) reference date, and one
+# inside the 6-month activation window at most 184 days before it.
+MONTH_BITS = 1          # one 64-bit word holds offsets 0..63
+DAY_BITS = 3            # three words hold offsets 0..191
+
+
+def _bit(off: Column, word: int) -> Column:
+    one = F.lit(1).cast("bigint")
+    return F.when((off >= 64 * word) & (off < 64 * (word + 1)), F.call_function("shiftleft", one, off - 64 * word))
+
+
+def _bitmap_partials(main: Column) -> list[Column]:
+    out = [F.bit_or(F.when(main, _bit(c("month_off"), w))).alias(f"months_w{w}") for w in range(MONTH_BITS)]
+    out += [F.bit_or(F.when(main, _bit(c("day_off"), w))).alias(f"days_w{w}") for w in range(DAY_BITS)]
+    return out
+
+
+def _bitmap_counts() -> list[Column]:
+    def count(prefix, words):
+        parts = [F.coalesce(F.bit_count(F.bit_or(f"{prefix}_w{w}")), F.lit(0)) for w in range(words)]
+        total = parts[0]
+        for p in parts[1:]:
+            total = total + p
+        return total.cast("bigint")
+    return [count("days", DAY_BITS).alias("qt_dias_venda"), count("months", MONTH_BITS).alias("n_months")]
+
+
 def seller_month_aggregate(records: DataFrame) -> DataFrame:
     """A6 (+ the label flag when label records are present), one row per (dt_ref, seller).
 
@@ -205,6 +234,7 @@ def seller_month_aggregate(records: DataFrame) -> DataFrame:
                 ("max", "dlv", "max_delivered_customer_date"), ("max", "est", "max_est")]
     level_a = [F.min("b").alias("b")]
     level_a += [getattr(F, fn)(F.when(main, c(col))).alias(name) for fn, col, name in extremes]
+    level_a += _bitmap_partials(main)
     for f in FAMILIES:
         level_a.extend(_bucket_aggs(f))
     per_key = records.groupBy("dt_ref", "seller_id", "k", "v").agg(*level_a)
@@ -213,8 +243,7 @@ def seller_month_aggregate(records: DataFrame) -> DataFrame:
     level_b = [getattr(F, fn)(name).alias(name) for fn, _, name in extremes]
     level_b += [
         F.count_if(main).alias("n_main"),
-        F.count_if(c("k") == "day").alias("qt_dias_venda"),
-        F.count_if(c("k") == "month").alias("n_months"),
+        *_bitmap_counts(),
         F.max(F.when(c("k") == "label", F.lit(1))).alias("fl_venda"),
     ]
     for f in FAMILIES:
