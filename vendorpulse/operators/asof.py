@@ -11,8 +11,9 @@ Plan shape (one plan for any number of reference dates, one pass over items):
    seller) — the pre-aggregate A2 — and then to (order, seller).  Both
    aggregates run on the join's ``order_id`` partitioning, so they add no
    exchange; the order attributes ride along.
-3. ``joined_orders``: the per-order payment and review pre-aggregates are
-   left-joined on ``order_id`` (same partitioning again).  Payments are a
+3. ``joined_orders``: payments and reviews are semi-joined to the scope,
+   pre-aggregated per order and left-joined on ``order_id`` (same
+   partitioning again).  Payments are a
    left join with a ``paid`` marker rather than an inner join: the feature
    records need a payment, the label records do not.
 4. ``tagged_records``: each joined row is exploded into records
@@ -85,7 +86,19 @@ def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
     )
 
 
-def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame,
+                  scope: DataFrame | None = None) -> DataFrame:
+    """Left-join the per-order payment and review pre-aggregates to the lines.
+
+    With ``scope``, payments and reviews are first semi-joined to the scoped
+    orders, so the pre-aggregates only cover orders that can be used; the
+    semi join's ``order_id`` partitioning carries through both aggregates and
+    the joins.
+    """
+    if scope is not None:
+        ids = scope.select("order_id")
+        payments = payments.join(ids, "order_id", "left_semi")
+        reviews = reviews.join(ids, "order_id", "left_semi")
     pay = payments_per_order(payments).select(
         "order_id", F.lit(True).alias("paid"),
         *[F.col(f"installments_{t}").alias(f"inst_{t}") for t in PAYMENT_KINDS],
@@ -138,7 +151,7 @@ def tagged_records(joined: DataFrame, dates: Sequence[_dt.date], include_last_da
 def seller_records(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
                    dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True) -> DataFrame:
     scope = order_scope(orders, dates, include_last_day, with_label_months=with_label)
-    joined = joined_orders(order_seller_lines(items, scope), payments, reviews)
+    joined = joined_orders(order_seller_lines(items, scope), payments, reviews, scope)
     return tagged_records(joined, dates, include_last_day, with_label)
 
 

@@ -55,6 +55,12 @@ class FeaturePlan:
         return derived.layer2(month_agg, self.roles.sellers, self.seller_products())
 
 
+def register_views(plan: FeaturePlan, prefix: str = "vw_abt") -> None:
+    """Expose both layers to SQL as temp views ``<prefix>_p1`` and ``<prefix>_p2``."""
+    plan.layer1().createOrReplaceTempView(f"{prefix}_p1")
+    plan.layer2().createOrReplaceTempView(f"{prefix}_p2")
+
+
 def build_abt(roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> DataFrame:
     """``dt_ref`` + the 201 feature columns, one row per (dt_ref, seller)."""
     return FeaturePlan.of(roles, dates, include_last_day).layer2()

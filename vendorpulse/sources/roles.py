@@ -24,12 +24,17 @@ class Roles:
 
 
 def conform(name: str, df: DataFrame) -> DataFrame:
-    """Select the role's columns in declared order and cast the typed ones."""
+    """Select the role's columns in declared order and cast the typed ones.
+
+    ``try_cast``: text sources may hold empty strings for missing dates, which
+    become NULL (a plain cast raises under ANSI mode).
+    """
     spec = ROLE_COLUMNS[name]
     missing = [c for c in spec if c not in df.columns]
     if missing:
         raise ValueError(f"role {name!r} lacks columns {missing}")
-    return df.select(*[F.col(c) if t is None else F.col(c).cast(t).alias(c) for c, t in spec.items()])
+    return df.select(*[F.col(c) if t is None or df.schema[c].dataType == t else F.col(c).try_cast(t).alias(c)
+                       for c, t in spec.items()])
 
 
 def read_roles(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet",
