@@ -108,3 +108,14 @@ def test_scoring_paths_agree(spark, roles):
     b = scoring.score_with_predict(abt, E.LINEAR, E.LINEAR.fit_vars)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.select(F.sum("fl_venda_predict")).first()[0] is not None
+
+
+def test_purchase_window_reaches_parquet_scan(spark, roles):
+    """With a stored purchase timestamp the window union is a pushed Parquet filter."""
+    base = tempfile.mkdtemp(prefix="vp-roles-", dir=shared_dir(spark))
+    roles.orders.write.mode("overwrite").parquet(os.path.join(base, "orders"))
+    stored = spark.read.parquet(os.path.join(base, "orders"))
+    plan = FeaturePlan.of(roles.__class__(**{**roles.as_dict(), "orders": stored}), E.DATES).layer2()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(order_purchase_timestamp" in text
+    assert "LessThan(order_purchase_timestamp" in text

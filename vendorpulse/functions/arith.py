@@ -17,3 +17,18 @@ def safe_div(num: Column, den: Column) -> Column:
 
 def money(c: Column) -> Column:
     return c.cast(MONEY)
+
+
+# Money inside aggregations: integer units of 10^-4.  Decimal sums wider than
+# 18 digits are BigDecimal-backed and allocate on every update; 64-bit sums
+# are plain adds.  Exact for inputs with at most 4 decimals (prices, freight,
+# payments), range ±9.2e14 per total.
+MONEY_SCALE = 4
+
+
+def to_units(c: Column) -> Column:
+    return F.round(c * F.lit(10 ** MONEY_SCALE)).cast("bigint")
+
+
+def from_units(c: Column) -> Column:
+    return (c.cast(MONEY) / F.lit(10 ** MONEY_SCALE)).cast(MONEY)

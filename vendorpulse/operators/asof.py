@@ -72,11 +72,11 @@ def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
     """(order, seller) grain of the item table for the orders in ``scope``.
 
     ``n_lines`` counts (order, product, seller) lines, ``n_products`` those with
-    a product id; prices and freight are summed.  Order attributes are carried
+    a product id; prices and freight are summed in integer money units.  Order attributes are carried
     with ``max`` (``order_id`` is the key of the order table).
     """
     lines = items.join(scope.select("order_id", *ORDER_ATTRS), "order_id")
-    a2 = items_per_order_product(lines, carry=ORDER_ATTRS)
+    a2 = items_per_order_product(lines, carry=ORDER_ATTRS, units=True)
     return a2.groupBy("order_id", "seller_id").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count("product_id").alias("n_products"),
@@ -99,7 +99,7 @@ def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame,
         ids = scope.select("order_id")
         payments = payments.join(ids, "order_id", "left_semi")
         reviews = reviews.join(ids, "order_id", "left_semi")
-    pay = payments_per_order(payments).select(
+    pay = payments_per_order(payments, units=True).select(
         "order_id", F.lit(True).alias("paid"),
         *[F.col(f"installments_{t}").alias(f"inst_{t}") for t in PAYMENT_KINDS],
         *[F.col(f"value_{t}").alias(f"val_{t}") for t in PAYMENT_KINDS],
@@ -108,39 +108,55 @@ def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame,
     return lines.join(pay, "order_id", "left").join(rev, "order_id", "left")
 
 
-def _record(d: _dt.date, k: str, v: Column | None = None, b: Column | None = None, dlv: Column | None = None,
-            month_off: Column | None = None, day_off: Column | None = None) -> Column:
-    def opt(x, t):
-        return F.lit(None).cast(t) if x is None else x.cast(t)
-    return F.struct(F.lit(d).alias("dt_ref"), F.lit(k).alias("k"), opt(v, "bigint").alias("v"),
-                    opt(b, "int").alias("b"), opt(dlv, "date").alias("dlv"),
-                    opt(month_off, "int").alias("month_off"), opt(day_off, "int").alias("day_off"))
+# Record kinds (``k``), as small integers: cheap to hash and compare.
+KIND_MAIN, KIND_CC, KIND_VOUCHER, KIND_LABEL = 0, 1, 2, 3
+N_KINDS = 4
 
 
 def tagged_records(joined: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False,
                    with_label: bool = True) -> DataFrame:
-    """Explode joined (order, seller) rows into per-date tagged records (see module doc)."""
+    """Explode joined (order, seller) rows into per-date tagged records (see module doc).
+
+    Each row explodes a short array of integer codes ``date_index * 4 + kind``
+    (NULL where a record does not apply); the per-date values (bucket, masked
+    delivery, month and day offsets) are small primitive arrays indexed by
+    the date index, computed with literal dates so all bounds are constants.
+    """
     c = F.col
     ts = c("order_purchase_timestamp")
     pdate = F.to_date(ts)
-    recs = []
-    for d in dates:
+    deliv = c("order_delivered_customer_date")
+    paid = c("paid").isNotNull()
+    codes, b_arr, dlv_arr, moff_arr, doff_arr = [], [], [], [], []
+    for i, d in enumerate(dates):
         ref = F.lit(d)
-        obs = D.in_observation(ts, ref, include_last_day) & c("paid").isNotNull()
-        b = D.recency_bucket(ts, ref)
-        recent = pdate >= F.add_months(ref, -D.ACTIVATION_MONTHS)
-        recs += [
-            F.when(obs, _record(d, "main", v=b, b=b, dlv=D.mask_after(c("order_delivered_customer_date"), ref),
-                                month_off=D.month_index(ref) - D.month_index(pdate),
-                                day_off=F.when(recent, F.datediff(ref, pdate)))),
-            F.when(obs & (c("inst_credit_card") != 0), _record(d, "cc", v=c("inst_credit_card"), b=b)),
-            F.when(obs & (c("inst_voucher") != 0), _record(d, "voucher", v=c("inst_voucher"), b=b)),
-        ]
+        obs = D.in_observation(ts, ref, include_last_day) & paid
+        base = i * N_KINDS
+        codes += [F.when(obs, F.lit(base + KIND_MAIN)),
+                  F.when(obs & (c("inst_credit_card") != 0), F.lit(base + KIND_CC)),
+                  F.when(obs & (c("inst_voucher") != 0), F.lit(base + KIND_VOUCHER))]
         if with_label:
-            recs.append(F.when(D.in_label_month(ts, ref, include_last_day), _record(d, "label")))
-    x = joined.select("*", F.explode(F.array(*recs)).alias("r")).where(c("r").isNotNull())
+            codes.append(F.when(D.in_label_month(ts, ref, include_last_day), F.lit(base + KIND_LABEL)))
+        b_arr.append(D.recency_bucket(ts, ref))
+        dlv_arr.append(D.mask_after(deliv, ref))
+        moff_arr.append(D.month_index(ref) - D.month_index(pdate))
+        doff_arr.append(F.when(pdate >= F.add_months(ref, -D.ACTIVATION_MONTHS), F.datediff(ref, pdate)))
+    x = (joined.select("*", F.array(*b_arr).alias("_b"), F.array(*dlv_arr).alias("_dlv"),
+                       F.array(*moff_arr).alias("_moff"), F.array(*doff_arr).alias("_doff"),
+                       F.explode(F.array(*codes)).alias("_code"))
+         .where(c("_code").isNotNull()))
+    i = (c("_code") / N_KINDS).cast("int")
+    k = (c("_code") % N_KINDS).alias("k")
+    at = lambda arr: F.element_at(c(arr), i + 1)
+    b = at("_b")
+    main = (c("_code") % N_KINDS) == KIND_MAIN
+    v = (F.when(main, b).when((c("_code") % N_KINDS) == KIND_CC, c("inst_credit_card"))
+         .when((c("_code") % N_KINDS) == KIND_VOUCHER, c("inst_voucher"))).cast("bigint")
     return x.select(
-        "r.dt_ref", "seller_id", "r.k", "r.v", "r.b", "r.dlv", "r.month_off", "r.day_off", "order_status",
+        F.element_at(D.dates_array(dates), i + 1).alias("dt_ref"), "seller_id", k, v.alias("v"),
+        F.when((c("_code") % N_KINDS) != KIND_LABEL, b).alias("b"),
+        F.when(main, at("_dlv")).alias("dlv"), F.when(main, at("_moff")).alias("month_off"),
+        F.when(main, at("_doff")).alias("day_off"), "order_status",
         pdate.alias("pdate"), F.to_date("order_estimated_delivery_date").alias("est"),
         "n_lines", "n_products", "value_price", "value_freight",
         *[f"inst_{t}" for t in PAYMENT_KINDS], *[f"val_{t}" for t in PAYMENT_KINDS],

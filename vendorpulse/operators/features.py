@@ -29,7 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.arith import money
+from ..functions.arith import from_units
+from .asof import KIND_CC, KIND_LABEL, KIND_MAIN, KIND_VOUCHER
 
 c = F.col
 
@@ -124,6 +125,8 @@ FAMILIES: tuple[Family, ...] = (
            scale=9),
 )
 
+DISTINCT_KINDS = {"cc": KIND_CC, "voucher": KIND_VOUCHER}
+
 # The 13 single measures, in output order (seller_id first).
 SINGLES = (
     "seller_id", "min_purchase_yearmonth", "min_purchase_date", "qt_total_dias_considerado",
@@ -142,7 +145,7 @@ def _in_window(n: int | None) -> Column:
 
 def _bucket_aggs(f: Family) -> list[Column]:
     """Level A: one narrow partial per family over the ``main`` records of a bucket."""
-    main = c("k") == "main"
+    main = c("k") == KIND_MAIN
     cond = main if f.cond is None else (main & f.cond())
     x = f"{f.name}__x"
     if f.kind == "orders":
@@ -175,10 +178,10 @@ def _window_aggs(f: Family) -> list[Column]:
         if f.kind in ("orders", "lines"):
             agg = F.coalesce(F.sum(F.when(w, x)), F.lit(0).cast("bigint"))
         elif f.kind == "line_sum":
-            agg = money(F.sum(F.when(w, x)))
+            agg = from_units(F.sum(F.when(w, x)))
         elif f.kind == "order_sum":
             agg = F.sum(F.when(w, x))
-            agg = agg.cast("bigint") if f.name == "qtd_review" else money(agg)
+            agg = agg.cast("bigint") if f.name == "qtd_review" else from_units(agg)
         elif f.kind == "order_avg":
             num = F.sum(F.when(w, c(f"{f.name}__num")))
             den = F.sum(F.when(w, c(f"{f.name}__den")))
@@ -186,7 +189,7 @@ def _window_aggs(f: Family) -> list[Column]:
         elif f.kind == "order_max":
             agg = F.max(F.when(w, x)).cast("bigint")
         elif f.kind == "distinct_avg":
-            agg = F.avg(F.when((c("k") == f.distinct_key) & w, c("v")))
+            agg = F.avg(F.when((c("k") == DISTINCT_KINDS[f.distinct_key]) & w, c("v")))
         else:
             raise ValueError(f.kind)
         out.append(agg.alias(window_name(f.name, n)))
@@ -229,7 +232,7 @@ def seller_month_aggregate(records: DataFrame) -> DataFrame:
     (keeping the most recent bucket, ``min(b)``), label records to one row.
     Level B folds those few rows per seller into the output columns.
     """
-    main = c("k") == "main"
+    main = c("k") == KIND_MAIN
     extremes = [("min", "pdate", "min_purchase_date"), ("max", "pdate", "max_purchase_date"),
                 ("max", "dlv", "max_delivered_customer_date"), ("max", "est", "max_est")]
     level_a = [F.min("b").alias("b")]
@@ -244,7 +247,7 @@ def seller_month_aggregate(records: DataFrame) -> DataFrame:
     level_b += [
         F.count_if(main).alias("n_main"),
         *_bitmap_counts(),
-        F.max(F.when(c("k") == "label", F.lit(1))).alias("fl_venda"),
+        F.max(F.when(c("k") == KIND_LABEL, F.lit(1))).alias("fl_venda"),
     ]
     for f in FAMILIES:
         level_b.extend(_window_aggs(f))

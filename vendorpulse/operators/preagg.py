@@ -13,38 +13,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.arith import money, safe_div
+from ..functions.arith import from_units, money, safe_div, to_units
 
 # Payment types with their own installment/value columns.
 PAYMENT_TYPES = ("credit_card", "debit_card", "boleto", "voucher")
 
 
-def payments_per_order(payments: DataFrame) -> DataFrame:
+def payments_per_order(payments: DataFrame, units: bool = False) -> DataFrame:
     """A1: one row per order with per-type installment and value totals.
 
     ``qt_payment_types`` is the only distinct aggregate; Catalyst drops it
-    (and its extra shuffle) from plans that do not select it.
+    (and its extra shuffle) from plans that do not select it.  With
+    ``units`` the values stay integer money units (see ``arith.to_units``).
     """
     cols = [
         F.count("payment_sequential").alias("qt_payments"),
         F.count_distinct("payment_type").alias("qt_payment_types"),
     ]
+    value = to_units(F.col("payment_value"))
     for t in PAYMENT_TYPES:
         hit = F.col("payment_type") == t
         cols.append(F.sum(F.when(hit, F.col("payment_installments")).otherwise(0)).alias(f"installments_{t}"))
-        cols.append(money(F.sum(F.when(hit, F.col("payment_value")).otherwise(0))).alias(f"value_{t}"))
+        total = F.sum(F.when(hit, value).otherwise(0))
+        cols.append((total if units else from_units(total)).alias(f"value_{t}"))
     return payments.groupBy("order_id").agg(*cols)
 
 
-def items_per_order_product(items: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def items_per_order_product(items: DataFrame, carry: Sequence[str] = (), units: bool = False) -> DataFrame:
     """A2: item lines collapsed per (order, product, seller).
 
-    ``carry`` names order-level columns (constant per order) kept with ``max``.
+    ``carry`` names order-level columns (constant per order) kept with ``max``;
+    with ``units`` the sums stay integer money units.
     """
+    conv = (lambda x: x) if units else from_units
     return items.groupBy("seller_id", "order_id", "product_id").agg(
         F.count("order_item_id").alias("qt_itens"),
-        F.sum("price").alias("value_price"),
-        F.sum("freight_value").alias("value_freight"),
+        conv(F.sum(to_units(F.col("price")))).alias("value_price"),
+        conv(F.sum(to_units(F.col("freight_value")))).alias("value_freight"),
         *[F.max(a).alias(a) for a in carry],
     )
 
@@ -69,13 +74,14 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
 def products_per_seller(items: DataFrame, products: DataFrame) -> DataFrame:
     """A4: catalogue profile of every seller over all history.
 
-    Distinct (seller, product) pairs joined to distinct product rows equal the
-    distinct (seller, product row) set of the definition.  The distinct
+    Item pairs are de-duplicated map-side first, joined to the products, and
+    the distinct (seller, product row) set of the definition is taken on the
+    join's ``product_id`` partitioning (no extra exchange).  The distinct
     category count is taken by grouping on the category first, so no
     ``count(distinct)`` (and no ``Expand``) is planned.
     """
     pairs = items.select("seller_id", "product_id").distinct()
-    sold = pairs.join(products.distinct(), "product_id")
+    sold = pairs.join(products, "product_id").distinct()
     per_cat = sold.groupBy("seller_id", F.coalesce("product_category_name", F.lit("")).alias("cat")).agg(
         F.count("product_id").alias("n"),
         F.sum("product_photos_qty").alias("photos"),
