@@ -16,25 +16,10 @@ Plan shape (one plan for any number of reference dates, one pass over items):
    partitioning again).  Payments are a
    left join with a ``paid`` marker rather than an inner join: the feature
    records need a payment, the label records do not.
-4. ``tagged_records``: each joined row is exploded into records
-   ``(dt_ref, k, v, b, dlv)``, one set per reference date whose window holds
-   the purchase, *after* every shuffle:
-
-   ========  ====================================  =========================
-   ``k``     when                                   ``v``
-   ========  ====================================  =========================
-   main      purchase in the 12-month window, paid  recency bucket ``b``
-   cc        main and credit-card installments ≠ 0  installments
-   voucher   main and voucher installments ≠ 0      installments
-   label     purchase in the month from ``dt_ref``  NULL
-   ========  ====================================  =========================
-
-   ``main`` records also carry the purchase's month offset (1..12) and, when
-   it is within six months, its day offset (at most 184 for a first-of-month
-   date) — the inputs of the exact bitmap counts of sale months and days.
-
-   Dates are literals in these expressions, so all window bounds fold to
-   constants and no lambda function is evaluated per row.
+4. ``kind_rows``: each joined row is tagged with date-independent month
+   keys (see :func:`kind_rows`).  :mod:`.features` aggregates them to a month
+   grain *before* any reference date is attached, so the per-row work does
+   not grow with the number of dates.
 """
 
 from __future__ import annotations
@@ -108,67 +93,50 @@ def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame,
     return lines.join(pay, "order_id", "left").join(rev, "order_id", "left")
 
 
-# Record kinds (``k``), as small integers: cheap to hash and compare.
+# Row kinds (``k``), as small integers: cheap to hash and compare.
 KIND_MAIN, KIND_CC, KIND_VOUCHER, KIND_LABEL = 0, 1, 2, 3
-N_KINDS = 4
 
 
-def tagged_records(joined: DataFrame, dates: Sequence[_dt.date], include_last_day: bool = False,
-                   with_label: bool = True) -> DataFrame:
-    """Explode joined (order, seller) rows into per-date tagged records (see module doc).
+def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: bool = True) -> DataFrame:
+    """Joined (order, seller) rows with their date-independent month keys.
 
-    Each row explodes a short array of integer codes ``date_index * 4 + kind``
-    (NULL where a record does not apply); the per-date values (bucket, masked
-    delivery, month and day offsets) are small primitive arrays indexed by
-    the date index, computed with literal dates so all bounds are constants.
+    Every row yields a ``main`` row; paid rows with credit-card or voucher
+    installments also yield one row per such value (the inputs of the
+    distinct-installment means).  Keys: purchase month ``pm`` (year*12+month),
+    ``ld`` (purchase on the last day of its month — outside every window that
+    ends with that month), ``paid``, and the delivery month ``dm``.  Because
+    reference dates are first-of-month, these keys decide window membership,
+    recency bucket and the as-of delivery mask for every reference date.
     """
     c = F.col
-    ts = c("order_purchase_timestamp")
-    pdate = F.to_date(ts)
-    deliv = c("order_delivered_customer_date")
+    pdate = F.to_date("order_purchase_timestamp")
     paid = c("paid").isNotNull()
-    codes, b_arr, dlv_arr, moff_arr, doff_arr = [], [], [], [], []
-    for i, d in enumerate(dates):
-        ref = F.lit(d)
-        obs = D.in_observation(ts, ref, include_last_day) & paid
-        base = i * N_KINDS
-        codes += [F.when(obs, F.lit(base + KIND_MAIN)),
-                  F.when(obs & (c("inst_credit_card") != 0), F.lit(base + KIND_CC)),
-                  F.when(obs & (c("inst_voucher") != 0), F.lit(base + KIND_VOUCHER))]
-        if with_label:
-            codes.append(F.when(D.in_label_month(ts, ref, include_last_day), F.lit(base + KIND_LABEL)))
-        b_arr.append(D.recency_bucket(ts, ref))
-        dlv_arr.append(D.mask_after(deliv, ref))
-        moff_arr.append(D.month_index(ref) - D.month_index(pdate))
-        doff_arr.append(F.when(pdate >= F.add_months(ref, -D.ACTIVATION_MONTHS), F.datediff(ref, pdate)))
-    x = (joined.select("*", F.array(*b_arr).alias("_b"), F.array(*dlv_arr).alias("_dlv"),
-                       F.array(*moff_arr).alias("_moff"), F.array(*doff_arr).alias("_doff"),
-                       F.explode(F.array(*codes)).alias("_code"))
-         .where(c("_code").isNotNull()))
-    i = (c("_code") / N_KINDS).cast("int")
-    k = (c("_code") % N_KINDS).alias("k")
-    at = lambda arr: F.element_at(c(arr), i + 1)
-    b = at("_b")
-    main = (c("_code") % N_KINDS) == KIND_MAIN
-    v = (F.when(main, b).when((c("_code") % N_KINDS) == KIND_CC, c("inst_credit_card"))
-         .when((c("_code") % N_KINDS) == KIND_VOUCHER, c("inst_voucher"))).cast("bigint")
+    src = joined if with_label else joined.where(paid)
+    kinds = F.array(F.lit(KIND_MAIN),
+                    F.when(paid & (c("inst_credit_card") != 0), F.lit(KIND_CC)),
+                    F.when(paid & (c("inst_voucher") != 0), F.lit(KIND_VOUCHER)))
+    x = src.select("*", F.explode(kinds).alias("k")).where(c("k").isNotNull())
+    dlv = F.to_date("order_delivered_customer_date")
     return x.select(
-        F.element_at(D.dates_array(dates), i + 1).alias("dt_ref"), "seller_id", k, v.alias("v"),
-        F.when((c("_code") % N_KINDS) != KIND_LABEL, b).alias("b"),
-        F.when(main, at("_dlv")).alias("dlv"), F.when(main, at("_moff")).alias("month_off"),
-        F.when(main, at("_doff")).alias("day_off"), "order_status",
-        pdate.alias("pdate"), F.to_date("order_estimated_delivery_date").alias("est"),
-        "n_lines", "n_products", "value_price", "value_freight",
+        "seller_id", "k",
+        F.when(c("k") == KIND_CC, c("inst_credit_card"))
+         .when(c("k") == KIND_VOUCHER, c("inst_voucher")).cast("bigint").alias("v"),
+        D.month_index(pdate).alias("pm"),
+        (F.lit(False) if include_last_day else pdate == F.last_day(pdate)).alias("ld"),
+        paid.alias("paid"),
+        F.when(c("k") == KIND_MAIN, D.month_index(dlv)).alias("dm"),
+        pdate.alias("pdate"), dlv.alias("dlv"), F.to_date("order_estimated_delivery_date").alias("est"),
+        "order_status", "n_lines", "n_products", "value_price", "value_freight",
         *[f"inst_{t}" for t in PAYMENT_KINDS], *[f"val_{t}" for t in PAYMENT_KINDS],
         "qt_reviews", "avg_score", "avg_days_create_answer",
     )
 
 
-def seller_records(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
-                   dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True) -> DataFrame:
+def seller_kind_rows(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
+                     dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True) -> DataFrame:
     scope = order_scope(orders, dates, include_last_day, with_label_months=with_label)
     joined = joined_orders(order_seller_lines(items, scope), payments, reviews, scope)
-    return tagged_records(joined, dates, include_last_day, with_label)
+    return kind_rows(joined, include_last_day, with_label)
 
 
 # ---------------------------------------------------------------- as-of order view

@@ -71,6 +71,8 @@ class Family:
     # ``order_avg`` of a fractional value: accumulate in fixed point with this
     # many decimals, so the sum is exact and independent of partition order.
     scale: int | None = None
+    # reads the as-of delivery date (empty when the delivery is not before dt_ref)
+    uses_dlv: bool = False
 
 
 def _delivered() -> Column:
@@ -84,22 +86,22 @@ def _ne0(col: str) -> Callable[[], Column]:
 # The 26 families of the feature definitions, in output order.
 FAMILIES: tuple[Family, ...] = (
     Family("qtd_pedidos", "orders"),
-    Family("qtd_pedidos_entregues", "orders", cond=_delivered),
+    Family("qtd_pedidos_entregues", "orders", cond=_delivered, uses_dlv=True),
     Family("qtd_pedidos_cancelados", "orders", cond=lambda: c("order_status") == "canceled"),
     Family("qtd_pedidos_outros_status", "orders",
            cond=lambda: ~c("order_status").isin("delivered", "canceled")),
     Family("qtd_pedidos_dt_prevista_menor_data_entrega", "orders",
-           cond=lambda: (c("order_status") == "delivered") & (c("est") < c("dlv"))),
+           cond=lambda: (c("order_status") == "delivered") & (c("est") < c("dlv")), uses_dlv=True),
     Family("qtd_produtos", "lines"),
     Family("media_dias_entre_dt_compra_dt_estim_entrega", "order_avg",
            value=lambda: F.datediff(c("est"), c("pdate"))),
     Family("media_dias_entre_dt_compra_dt_entrega", "order_avg",
-           value=lambda: F.datediff(c("dlv"), c("pdate"))),
+           value=lambda: F.datediff(c("dlv"), c("pdate")), uses_dlv=True),
     Family("media_dias_entre_dt_estimada_dt_entrega", "order_avg",
-           value=lambda: F.datediff(c("est"), c("dlv"))),
+           value=lambda: F.datediff(c("est"), c("dlv")), uses_dlv=True),
     Family("total_vlr_pedido", "line_sum", value=lambda: c("value_price")),
     Family("total_vlr_frete", "line_sum", value=lambda: c("value_freight")),
-    Family("total_vlr_pedidos_entregues", "line_sum", value=lambda: c("value_price"), cond=_delivered),
+    Family("total_vlr_pedidos_entregues", "line_sum", value=lambda: c("value_price"), cond=_delivered, uses_dlv=True),
     Family("total_vlr_pedidos_cancelados", "line_sum", value=lambda: c("value_price"),
            cond=lambda: c("order_status") == "canceled"),
     Family("qtd_pedidos_pgto_cc", "orders", cond=_ne0("inst_credit_card")),
@@ -143,8 +145,8 @@ def _in_window(n: int | None) -> Column:
     return F.lit(True) if n is None else c("b") <= n
 
 
-def _bucket_aggs(f: Family) -> list[Column]:
-    """Level A: one narrow partial per family over the ``main`` records of a bucket."""
+def _partials(f: Family) -> list[Column]:
+    """Month grain: one partial per family over the ``main`` rows of a group."""
     main = c("k") == KIND_MAIN
     cond = main if f.cond is None else (main & f.cond())
     x = f"{f.name}__x"
@@ -169,6 +171,18 @@ def _bucket_aggs(f: Family) -> list[Column]:
     raise ValueError(f.kind)
 
 
+def _partial_names(f: Family) -> list[str]:
+    if f.kind == "order_avg":
+        return [f"{f.name}__num", f"{f.name}__den"]
+    return [] if f.kind == "distinct_avg" else [f"{f.name}__x"]
+
+
+def _merge(f: Family, keep: Column) -> list[Column]:
+    """Level A: combine month-grain partials of the rows kept for a bucket."""
+    fn = F.max if f.kind == "order_max" else F.sum
+    return [fn(F.when(keep, c(n))).alias(n) for n in _partial_names(f)]
+
+
 def _window_aggs(f: Family) -> list[Column]:
     """Level B: fold the bucket partials of a seller into the seven nested windows."""
     out = []
@@ -196,57 +210,102 @@ def _window_aggs(f: Family) -> list[Column]:
     return out
 
 
-# Exact distinct counts over bounded offsets: a purchase inside the 12-month
-# window is 1..12 months before the (first-of-month) reference date, and one
-# inside the 6-month activation window at most 184 days before it.
-MONTH_BITS = 1          # one 64-bit word holds offsets 0..63
-DAY_BITS = 3            # three words hold offsets 0..191
-
+def _bit(off: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), off)
 
-def _bit(off: Column, word: int) -> Column:
-    one = F.lit(1).cast("bigint")
-    return F.when((off >= 64 * word) & (off < 64 * (word + 1)), F.call_function("shiftleft", one, off - 64 * word))
 
+MONTH_KEYS = ("seller_id", "pm", "ld", "paid", "k", "v", "dm")
 
-def _bitmap_partials(main: Column) -> list[Column]:
-    out = [F.bit_or(F.when(main, _bit(c("month_off"), w))).alias(f"months_w{w}") for w in range(MONTH_BITS)]
-    out += [F.bit_or(F.when(main, _bit(c("day_off"), w))).alias(f"days_w{w}") for w in range(DAY_BITS)]
-    return out
 
+def month_groups(rows: DataFrame) -> DataFrame:
+    """Date-independent grain: (seller, purchase month, last-day flag, paid, kind, value, delivery month).
 
-def _bitmap_counts() -> list[Column]:
-    def count(prefix, words):
-        parts = [F.coalesce(F.bit_count(F.bit_or(f"{prefix}_w{w}")), F.lit(0)) for w in range(words)]
-        total = parts[0]
-        for p in parts[1:]:
-            total = total + p
-        return total.cast("bigint")
-    return [count("days", DAY_BITS).alias("qt_dias_venda"), count("months", MONTH_BITS).alias("n_months")]
+    All family partials are additive (counts, sums, fixed-point numerators
+    and denominators, maxima), so a reference date only has to combine the
+    groups of its window.  Sale days are kept as a day-of-month bitmap.
+    """
+    main = c("k") == KIND_MAIN
+    aggs = [
+        F.min(F.when(main, c("pdate"))).alias("min_pdate"),
+        F.max(F.when(main, c("pdate"))).alias("max_pdate"),
+        F.max(F.when(main, c("est"))).alias("max_est"),
+        F.max(F.when(main, c("dlv"))).alias("max_dlv"),
+        F.bit_or(F.when(main, _bit(F.dayofmonth("pdate")))).alias("day_bits"),
+    ]
+    for f in FAMILIES:
+        aggs.extend(_partials(f))
+    return rows.groupBy(*MONTH_KEYS).agg(*aggs)
 
 
-def seller_month_aggregate(records: DataFrame) -> DataFrame:
-    """A6 (+ the label flag when label records are present), one row per (dt_ref, seller).
+def expand_dates(groups: DataFrame, dates, include_last_day: bool = False, with_label: bool = True) -> DataFrame:
+    """Attach the reference dates whose windows hold each month group.
 
-    Level A groups the tagged records on (dt_ref, seller, k, v): ``main``
-    records collapse per recency bucket, distinct-value records per value
-    (keeping the most recent bucket, ``min(b)``), label records to one row.
-    Level B folds those few rows per seller into the output columns.
+    For a first-of-month date with month index ``r``: a paid group is observed
+    when ``r-12 <= pm <= r-1`` (minus last-day purchases of month ``r-1``),
+    its bucket is ``min(r - pm, 7)``, its delivery is visible when
+    ``dm < r``; a ``main`` group is a next-month sale for ``r == pm`` (minus
+    last-day purchases).  Dates are literals, so each test is a constant
+    comparison; the explode emits integer codes ``2*date_index + is_label``.
     """
-    main = c("k") == KIND_MAIN
-    extremes = [("min", "pdate", "min_purchase_date"), ("max", "pdate", "max_purchase_date"),
-                ("max", "dlv", "max_delivered_customer_date"), ("max", "est", "max_est")]
-    level_a = [F.min("b").alias("b")]
-    level_a += [getattr(F, fn)(F.when(main, c(col))).alias(name) for fn, col, name in extremes]
-    level_a += _bitmap_partials(main)
+    idx = [d.year * 12 + d.month for d in dates]
+    not_last = F.lit(True) if include_last_day else ~c("ld")
+    codes = []
+    for i, r in enumerate(idx):
+        obs = c("paid") & (c("pm") >= r - D.OBSERVATION_MONTHS) & (c("pm") <= r - 1)
+        if not include_last_day:
+            obs = obs & ~((c("pm") == r - 1) & c("ld"))
+        codes.append(F.when(obs, F.lit(2 * i)))
+        if with_label:
+            codes.append(F.when((c("k") == KIND_MAIN) & (c("pm") == r) & not_last, F.lit(2 * i + 1)))
+    x = groups.select("*", F.explode(F.array(*codes)).alias("_code")).where(c("_code").isNotNull())
+    i = (c("_code") / 2).cast("int") + 1
+    ridx = F.element_at(F.array(*[F.lit(r) for r in idx]), i)
+    label = (c("_code") % 2) == 1
+    b = F.least(ridx - c("pm"), F.lit(D.OUTSIDE_TRAILING))
+    return x.select(
+        "*",
+        F.element_at(D.dates_array(dates), i).alias("dt_ref"),
+        F.when(label, F.lit(KIND_LABEL)).otherwise(c("k")).alias("k2"),
+        F.when(~label, b).alias("b"),
+        (c("dm") < ridx).alias("kept"),
+        (ridx - c("pm")).alias("month_off"),
+    )
+
+
+def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = False,
+                           with_label: bool = True) -> DataFrame:
+    """A6 (+ the label flag), one row per (dt_ref, seller), from the month groups.
+
+    Level A combines the month groups of each (dt_ref, seller, kind, value)
+    — for ``main`` the value is the recency bucket, so a bucket of 1..6 is
+    exactly one month.  Level B folds those few rows into the windows.
+    """
+    x = expand_dates(groups, dates, include_last_day, with_label)
+    main = c("k2") == KIND_MAIN
+    level_a = [
+        F.min("b").alias("b"),
+        F.min(F.when(main, c("min_pdate"))).alias("min_purchase_date"),
+        F.max(F.when(main, c("max_pdate"))).alias("max_purchase_date"),
+        F.max(F.when(main, c("max_est"))).alias("max_est"),
+        F.max(F.when(main & c("kept"), c("max_dlv"))).alias("max_delivered_customer_date"),
+        F.bit_or(F.when(main, _bit(c("month_off")))).alias("month_bits"),
+        F.bit_or(F.when(main & (c("b") <= D.ACTIVATION_MONTHS), c("day_bits"))).alias("day_bits"),
+    ]
     for f in FAMILIES:
-        level_a.extend(_bucket_aggs(f))
-    per_key = records.groupBy("dt_ref", "seller_id", "k", "v").agg(*level_a)
+        level_a.extend(_merge(f, (main & c("kept")) if f.uses_dlv else main))
+    v = F.when(c("k2") == KIND_MAIN, c("b")).when(c("k2") == KIND_LABEL, F.lit(None)).otherwise(c("v"))
+    per_key = x.groupBy("dt_ref", "seller_id", c("k2").alias("k"), v.cast("bigint").alias("v")).agg(*level_a)
 
     ref = c("dt_ref")
-    level_b = [getattr(F, fn)(name).alias(name) for fn, _, name in extremes]
-    level_b += [
-        F.count_if(main).alias("n_main"),
-        *_bitmap_counts(),
+    is_main = c("k") == KIND_MAIN
+    level_b = [
+        F.min("min_purchase_date").alias("min_purchase_date"),
+        F.max("max_purchase_date").alias("max_purchase_date"),
+        F.max("max_delivered_customer_date").alias("max_delivered_customer_date"),
+        F.max("max_est").alias("max_est"),
+        F.count_if(is_main).alias("n_main"),
+        F.coalesce(F.sum(F.when(is_main, F.bit_count("day_bits"))), F.lit(0)).cast("bigint").alias("qt_dias_venda"),
+        F.coalesce(F.bit_count(F.bit_or("month_bits")), F.lit(0)).alias("n_months"),
         F.max(F.when(c("k") == KIND_LABEL, F.lit(1))).alias("fl_venda"),
     ]
     for f in FAMILIES:
@@ -272,6 +331,6 @@ def seller_month_aggregate(records: DataFrame) -> DataFrame:
         *[c(n) for n in layer1_columns()[len(SINGLES):]], "fl_venda")
 
 
-def layer1(records: DataFrame) -> DataFrame:
+def layer1(groups: DataFrame, dates, include_last_day: bool = False) -> DataFrame:
     """``dt_ref`` + the 195 layer-1 columns."""
-    return seller_month_aggregate(records).drop("fl_venda")
+    return seller_month_aggregate(groups, dates, include_last_day, with_label=False).drop("fl_venda")

@@ -33,14 +33,16 @@ class FeaturePlan:
     def of(cls, roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> "FeaturePlan":
         return cls(roles, tuple(D.validate_ref_dates(dates)), include_last_day)
 
-    def records(self, with_label: bool = True) -> DataFrame:
+    def month_groups(self, with_label: bool = True) -> DataFrame:
+        """Date-independent month-grain partials of every (order, seller) row in scope."""
         r = self.roles
-        return asof.seller_records(r.orders, r.items, r.payments, r.reviews, self.dates,
-                                   self.include_last_day, with_label)
+        rows = asof.seller_kind_rows(r.orders, r.items, r.payments, r.reviews, self.dates,
+                                     self.include_last_day, with_label)
+        return features.month_groups(rows)
 
     def layer1(self) -> DataFrame:
         """``dt_ref`` + the 195 layer-1 columns."""
-        return features.layer1(self.records(with_label=False))
+        return features.layer1(self.month_groups(with_label=False), self.dates, self.include_last_day)
 
     def label(self) -> DataFrame:
         """A5 on its own (the feature table computes it inside its aggregate)."""
@@ -51,7 +53,8 @@ class FeaturePlan:
 
     def layer2(self) -> DataFrame:
         """``dt_ref`` + the 201 feature-table columns."""
-        month_agg = features.seller_month_aggregate(self.records(with_label=True))
+        month_agg = features.seller_month_aggregate(self.month_groups(with_label=True), self.dates,
+                                                    self.include_last_day, with_label=True)
         return derived.layer2(month_agg, self.roles.sellers, self.seller_products())
 
 
