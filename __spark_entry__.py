@@ -142,6 +142,23 @@ def q_score_predict(spark, sf_dir):
     return scoring.score_with_predict(_plan(spark, sf_dir).layer2(), LINEAR, LINEAR.fit_vars)
 
 
+def q_score_pipeline(spark, sf_dir):
+    """B1-B6 with Spark ML: train on the feature table, save a version, load the newest, score.
+
+    No SQL oracle (a fitted model); the driver records a rows-only check.
+    """
+    import uuid
+
+    from vendorpulse.session import shared_dir
+
+    abt = _plan(spark, sf_dir).layer2()
+    fit_vars = list(LINEAR.fit_vars)
+    models = f"{shared_dir(spark)}/vendorpulse-models-{uuid.uuid4().hex}"
+    scoring.save_model(scoring.train_pipeline(abt, fit_vars), fit_vars, models, "model_1998-09-01")
+    model, fv = scoring.load_model(models, spark)
+    return scoring.score_with_pipeline(abt, model, fv)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the 201-column feature table of 1998-09-01 on sf0.001."""
     return q_abt_layer2(spark, SF_SMOKE)
@@ -165,6 +182,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "abt_backfill": q_abt_backfill,
         "score_linear": q_score_linear,
         "score_predict": q_score_predict,
+        "score_pipeline": q_score_pipeline,
     })
     return qs
 
