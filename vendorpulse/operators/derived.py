@@ -6,17 +6,9 @@ scoring model selects its inputs by these names.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from pyspark.sql import DataFrame
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from ..functions.arith import safe_div
-from .features import WINDOW_SUFFIXES, window_name
-
-c = F.col
-
-Thunk = Callable[[], Column]
+from .features import WINDOW_SUFFIXES, q, window_name
 
 F_ALL = [n for n, _ in WINDOW_SUFFIXES]          # _ate_hoje + 1..6
 F_RECENT = [n for n, _ in WINDOW_SUFFIXES if n]  # 1..6
@@ -26,35 +18,41 @@ def _fam(name: str, windows=F_ALL) -> list[str]:
     return [window_name(name, n) for n in windows]
 
 
-def _ratio_family(out: str, num: str, den: str) -> list[tuple[str, Thunk]]:
-    return [(window_name(out, n),
-             lambda n=n: safe_div(c(window_name(num, n)), c(window_name(den, n)))) for n in F_RECENT]
+def safe_div_sql(num: str, den: str) -> str:
+    """``num / den`` in double precision; NULL (not an error) when ``den`` is 0 or NULL."""
+    return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
+
+
+def _w(fam: str, n: int) -> str:
+    return q(window_name(fam, n))
+
+
+def _ratio_family(out: str, num: str, den: str) -> list[tuple[str, str]]:
+    return [(window_name(out, n), safe_div_sql(_w(num, n), _w(den, n))) for n in F_RECENT]
 
 
-def _trends(prefix: str, col_of: Callable[[int], Column]) -> list[tuple[str, Thunk]]:
+def _trends(prefix: str, value_of) -> list[tuple[str, str]]:
     """``m1_m3``, ``m1_m6``, ``m3_m6`` ratios of a per-window value."""
-    return [(f"{prefix}_m{a}_m{b}", lambda a=a, b=b: safe_div(col_of(a), col_of(b))) for a, b in ((1, 3), (1, 6), (3, 6))]
+    return [(f"{prefix}_m{a}_m{b}", safe_div_sql(value_of(a), value_of(b))) for a, b in ((1, 3), (1, 6), (3, 6))]
 
 
-def _pass(names) -> list[tuple[str, Thunk]]:
-    return [(n, lambda n=n: c(n)) for n in names]
+def _pass(names) -> list[tuple[str, str]]:
+    return [(n, q(n)) for n in names]
 
 
-def layer2_spec() -> list[tuple[str, Thunk]]:
-    """(name, expression thunk) pairs of the 201 layer-2 columns, in output order."""
-    w = lambda fam, n: c(window_name(fam, n))
-    avg_ticket = lambda n: safe_div(w("total_vlr_pedido", n), w("qtd_pedidos", n))
-    spec: list[tuple[str, Thunk]] = []
+def layer2_spec() -> list[tuple[str, str]]:
+    """(name, Spark SQL expression) of the 201 layer-2 columns, in output order."""
+    avg_ticket = lambda n: safe_div_sql(_w("total_vlr_pedido", n), _w("qtd_pedidos", n))
+    spec: list[tuple[str, str]] = []
     add = spec.extend
     add(_pass(["seller_id"]))
-    add([("fl_venda", lambda: F.when(c("fl_venda").isNull(), 0).otherwise(1))])
+    add([("fl_venda", "CASE WHEN fl_venda IS NULL THEN 0 ELSE 1 END")])
     add(_pass(["seller_zip_code_prefix", "seller_city", "seller_state"]))
-    add([("proporcao_ativacao_meses",
-          lambda: safe_div(c("qt_meses_venda_considerado"), c("qt_total_meses_considerado"))),
-         ("proporcao_ativacao_dias", lambda: safe_div(c("qt_dias_venda"), c("qt_total_dias_considerado")))])
+    add([("proporcao_ativacao_meses", safe_div_sql("qt_meses_venda_considerado", "qt_total_meses_considerado")),
+         ("proporcao_ativacao_dias", safe_div_sql("qt_dias_venda", "qt_total_dias_considerado"))])
     add(_pass(["dias_desde_ult_venda", "dias_desde_ult_estimativa_entrega", "dias_desde_ult_entrega_pedido"]))
     add(_pass(_fam("qtd_pedidos")))
-    add(_trends("tend_pedidos", lambda n: w("qtd_pedidos", n)))
+    add(_trends("tend_pedidos", lambda n: _w("qtd_pedidos", n)))
     for fam in ("qtd_produtos", "media_dias_entre_dt_compra_dt_estim_entrega",
                 "media_dias_entre_dt_compra_dt_entrega", "media_dias_entre_dt_estimada_dt_entrega"):
         add(_pass(_fam(fam)))
@@ -80,9 +78,9 @@ def layer2_spec() -> list[tuple[str, Thunk]]:
     add(_pass(["qtd_review_ate_hoje", "media_notas_review_ate_hoje",
                "media_dias_entre_criacao_resposta_review_ate_hoje"]))
     add(_pass(_fam("qtd_review", F_RECENT)))
-    add(_trends("tend_qtd_notas_review", lambda n: w("qtd_review", n)))
+    add(_trends("tend_qtd_notas_review", lambda n: _w("qtd_review", n)))
     add(_pass(_fam("media_notas_review", F_RECENT)))
-    add(_trends("tend_notas_review", lambda n: w("media_notas_review", n)))
+    add(_trends("tend_notas_review", lambda n: _w("media_notas_review", n)))
     add(_pass(_fam("media_dias_entre_criacao_resposta_review", F_RECENT)))
     return spec
 
@@ -97,7 +95,7 @@ def layer2(month_agg: DataFrame, sellers: DataFrame, seller_products: DataFrame)
     ``month_agg`` is the seller-month aggregate with its ``fl_venda`` label
     column (J8's left join happened inside that aggregate).  All inputs are
     seller-grain; AQE picks broadcast or sort-merge per join from the sizes
-    measured at run time.
+    measured at run time.  The 201 columns are one ``selectExpr``.
     """
     j = month_agg.join(sellers, "seller_id").join(seller_products, "seller_id")
-    return j.select("dt_ref", *[e().alias(n) for n, e in layer2_spec()])
+    return j.selectExpr("dt_ref", *[f"{e} AS {q(n)}" for n, e in layer2_spec()])

@@ -5,31 +5,36 @@ Every family is one aggregate over the seller's rows of a window.  Windows:
 ``_ultimos_N_meses`` (N = 2..6).  They share their upper bound and nest, so
 each row falls in one recency bucket ``b`` and window N is ``b <= N``.
 
-The aggregation runs in two levels: (A) one narrow partial per family over
-(dt_ref, seller, b) — the pass over all fact rows, map-side combined and
-inside whole-stage codegen — and (B) a fold of the at most seven bucket rows
-of a seller into the seven windows.  Only level B is wide, and its input is
-tiny.
+Three aggregation levels, none of them with a distinct aggregate:
+
+* month grain (:func:`month_groups`): every (order, seller) row once, keyed
+  by date-independent month keys — the pass over the big data;
+* level A: the month groups attached to each reference date
+  (:func:`expand_dates`) and combined per (dt_ref, seller, kind, value) — for
+  ``main`` rows the value is the recency bucket;
+* level B: the few level-A rows of a seller folded into the seven windows.
 
 The definitions count *distinct orders*, *distinct sale days and months*,
-and average *distinct installment counts*.  On the (dt_ref, seller, order)
-record grain of :mod:`.asof` a distinct order count is a plain ``count_if``;
-sale days and months have a bounded range of offsets and are counted exactly
-as bitmaps (``bit_or`` then ``bit_count``); installment values are grouped
-as their own records.  No ``count(distinct …)`` reaches the planner, so there
-is no ``Expand`` multiplying rows by the number of distinct expressions.
+and average *distinct installment counts*.  At the (order, seller) grain a
+distinct order count is a plain ``count_if``; sale days and months are exact
+bitmaps (a bucket 1..6 is exactly one month, so day-of-month bits do not
+collide); installment values are grouping keys of their own rows.  No
+``count(distinct …)`` reaches the planner, so there is no ``Expand``.
+
+The generated aggregates are written as SQL expression text: one ``F.expr``
+per aggregate builds the same plan as the Column API at a fraction of the
+driver-side cost (hundreds of expressions per feature table).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.arith import from_units
+from ..functions.arith import MONEY, MONEY_SCALE
 from .asof import KIND_CC, KIND_LABEL, KIND_MAIN, KIND_VOUCHER
 
 c = F.col
@@ -52,7 +57,7 @@ def window_name(family: str, n: int | None) -> str:
 
 @dataclass(frozen=True)
 class Family:
-    """One feature family.
+    """One feature family; ``value`` and ``cond`` are Spark SQL expressions over the row columns.
 
     kind:
       ``orders``       number of distinct orders with ``cond``
@@ -65,8 +70,8 @@ class Family:
     """
     name: str
     kind: str
-    value: Callable[[], Column] | None = None
-    cond: Callable[[], Column] | None = None
+    value: str | None = None
+    cond: str | None = None
     distinct_key: str | None = None
     # ``order_avg`` of a fractional value: accumulate in fixed point with this
     # many decimals, so the sum is exact and independent of partition order.
@@ -74,57 +79,46 @@ class Family:
     # reads the as-of delivery date (empty when the delivery is not before dt_ref)
     uses_dlv: bool = False
 
+    def value_col(self) -> Column:
+        return F.expr(self.value)
 
-def _delivered() -> Column:
-    return (c("order_status") == "delivered") & c("dlv").isNotNull()
-
+    def cond_col(self) -> Column | None:
+        return None if self.cond is None else F.expr(self.cond)
 
-def _ne0(col: str) -> Callable[[], Column]:
-    return lambda: c(col) != 0
 
+DELIVERED = "order_status = 'delivered' AND dlv IS NOT NULL"
+PAID_OTHER = "inst_debit_card + inst_voucher <> 0"
 
 # The 26 families of the feature definitions, in output order.
 FAMILIES: tuple[Family, ...] = (
     Family("qtd_pedidos", "orders"),
-    Family("qtd_pedidos_entregues", "orders", cond=_delivered, uses_dlv=True),
-    Family("qtd_pedidos_cancelados", "orders", cond=lambda: c("order_status") == "canceled"),
-    Family("qtd_pedidos_outros_status", "orders",
-           cond=lambda: ~c("order_status").isin("delivered", "canceled")),
+    Family("qtd_pedidos_entregues", "orders", cond=DELIVERED, uses_dlv=True),
+    Family("qtd_pedidos_cancelados", "orders", cond="order_status = 'canceled'"),
+    Family("qtd_pedidos_outros_status", "orders", cond="NOT order_status IN ('delivered', 'canceled')"),
     Family("qtd_pedidos_dt_prevista_menor_data_entrega", "orders",
-           cond=lambda: (c("order_status") == "delivered") & (c("est") < c("dlv")), uses_dlv=True),
+           cond="order_status = 'delivered' AND est < dlv", uses_dlv=True),
     Family("qtd_produtos", "lines"),
-    Family("media_dias_entre_dt_compra_dt_estim_entrega", "order_avg",
-           value=lambda: F.datediff(c("est"), c("pdate"))),
-    Family("media_dias_entre_dt_compra_dt_entrega", "order_avg",
-           value=lambda: F.datediff(c("dlv"), c("pdate")), uses_dlv=True),
-    Family("media_dias_entre_dt_estimada_dt_entrega", "order_avg",
-           value=lambda: F.datediff(c("est"), c("dlv")), uses_dlv=True),
-    Family("total_vlr_pedido", "line_sum", value=lambda: c("value_price")),
-    Family("total_vlr_frete", "line_sum", value=lambda: c("value_freight")),
-    Family("total_vlr_pedidos_entregues", "line_sum", value=lambda: c("value_price"), cond=_delivered, uses_dlv=True),
-    Family("total_vlr_pedidos_cancelados", "line_sum", value=lambda: c("value_price"),
-           cond=lambda: c("order_status") == "canceled"),
-    Family("qtd_pedidos_pgto_cc", "orders", cond=_ne0("inst_credit_card")),
-    Family("qtd_pedidos_pgto_boleto", "orders", cond=_ne0("inst_boleto")),
-    Family("qtd_pedidos_pgto_outros", "orders",
-           cond=lambda: (c("inst_debit_card") + c("inst_voucher")) != 0),
+    Family("media_dias_entre_dt_compra_dt_estim_entrega", "order_avg", value="datediff(est, pdate)"),
+    Family("media_dias_entre_dt_compra_dt_entrega", "order_avg", value="datediff(dlv, pdate)", uses_dlv=True),
+    Family("media_dias_entre_dt_estimada_dt_entrega", "order_avg", value="datediff(est, dlv)", uses_dlv=True),
+    Family("total_vlr_pedido", "line_sum", value="value_price"),
+    Family("total_vlr_frete", "line_sum", value="value_freight"),
+    Family("total_vlr_pedidos_entregues", "line_sum", value="value_price", cond=DELIVERED, uses_dlv=True),
+    Family("total_vlr_pedidos_cancelados", "line_sum", value="value_price", cond="order_status = 'canceled'"),
+    Family("qtd_pedidos_pgto_cc", "orders", cond="inst_credit_card <> 0"),
+    Family("qtd_pedidos_pgto_boleto", "orders", cond="inst_boleto <> 0"),
+    Family("qtd_pedidos_pgto_outros", "orders", cond=PAID_OTHER),
     Family("media_qtd_parcelas_pedidos_pgto_cc", "distinct_avg", distinct_key="cc"),
     Family("media_qtd_parcelas_pedidos_pgto_voucher", "distinct_avg", distinct_key="voucher"),
-    Family("max_qtd_parcelas_pedidos_pgto_cc", "order_max", value=lambda: c("inst_credit_card"),
-           cond=_ne0("inst_credit_card")),
-    Family("max_qtd_parcelas_pedidos_pgto_voucher", "order_max", value=lambda: c("inst_voucher"),
-           cond=_ne0("inst_voucher")),
-    Family("total_valor_pedidos_pgto_cc", "order_sum", value=lambda: c("val_credit_card"),
-           cond=_ne0("inst_credit_card")),
-    Family("total_valor_pedidos_pgto_boleto", "order_sum", value=lambda: c("val_boleto"),
-           cond=_ne0("inst_boleto")),
-    Family("total_valor_pedidos_pgto_outros", "order_sum",
-           value=lambda: c("val_voucher") + c("val_debit_card"),
-           cond=lambda: (c("inst_debit_card") + c("inst_voucher")) != 0),
-    Family("qtd_review", "order_sum", value=lambda: c("qt_reviews")),
-    Family("media_notas_review", "order_avg", value=lambda: c("avg_score"), scale=9),
-    Family("media_dias_entre_criacao_resposta_review", "order_avg", value=lambda: c("avg_days_create_answer"),
-           scale=9),
+    Family("max_qtd_parcelas_pedidos_pgto_cc", "order_max", value="inst_credit_card",
+           cond="inst_credit_card <> 0"),
+    Family("max_qtd_parcelas_pedidos_pgto_voucher", "order_max", value="inst_voucher", cond="inst_voucher <> 0"),
+    Family("total_valor_pedidos_pgto_cc", "order_sum", value="val_credit_card", cond="inst_credit_card <> 0"),
+    Family("total_valor_pedidos_pgto_boleto", "order_sum", value="val_boleto", cond="inst_boleto <> 0"),
+    Family("total_valor_pedidos_pgto_outros", "order_sum", value="val_voucher + val_debit_card", cond=PAID_OTHER),
+    Family("qtd_review", "order_sum", value="qt_reviews"),
+    Family("media_notas_review", "order_avg", value="avg_score", scale=9),
+    Family("media_dias_entre_criacao_resposta_review", "order_avg", value="avg_days_create_answer", scale=9),
 )
 
 DISTINCT_KINDS = {"cc": KIND_CC, "voucher": KIND_VOUCHER}
@@ -137,35 +131,50 @@ SINGLES = (
     "dias_desde_ult_venda", "dias_desde_ult_estimativa_entrega", "dias_desde_ult_entrega_pedido",
 )
 
+
 def layer1_columns() -> list[str]:
     return list(SINGLES) + [window_name(f.name, n) for f in FAMILIES for n, _ in WINDOW_SUFFIXES]
 
 
-def _in_window(n: int | None) -> Column:
-    return F.lit(True) if n is None else c("b") <= n
+def q(name: str) -> str:
+    """Quoted identifier (feature names may hold non-ASCII letters)."""
+    return f"`{name}`"
+
+
+def exprs(*sql: str) -> list[Column]:
+    return [F.expr(s) for s in sql]
+
+
+def from_units_sql(x: str) -> str:
+    m = MONEY.simpleString()
+    return f"CAST(CAST({x} AS {m}) / {10 ** MONEY_SCALE} AS {m})"
 
 
-def _partials(f: Family) -> list[Column]:
-    """Month grain: one partial per family over the ``main`` rows of a group."""
-    main = c("k") == KIND_MAIN
-    cond = main if f.cond is None else (main & f.cond())
-    x = f"{f.name}__x"
+# ---------------------------------------------------------------- month grain
+
+def _partials(f: Family) -> list[str]:
+    """One additive partial per family over the ``main`` rows of a month group."""
+    cond = f"k = {KIND_MAIN}" + ("" if f.cond is None else f" AND ({f.cond})")
+    x = q(f"{f.name}__x")
+
+    def when(v):
+        return f"CASE WHEN {cond} THEN {v} END"
+
     if f.kind == "orders":
-        return [F.count_if(cond).alias(x)]
+        return [f"count_if({cond}) AS {x}"]
     if f.kind == "lines":
-        return [F.sum(F.when(cond, c("n_products"))).alias(x)]
+        return [f"sum({when('n_products')}) AS {x}"]
     if f.kind == "line_sum":
-        return [F.sum(F.when(cond, f.value())).alias(x)]
+        return [f"sum({when(f.value)}) AS {x}"]
     if f.kind == "order_sum":
-        return [F.sum(F.when(cond, f.value() * c("n_lines"))).alias(x)]
+        return [f"sum({when(f'({f.value}) * n_lines')}) AS {x}"]
     if f.kind == "order_avg":
-        v = f.value()
-        weighted = (v * c("n_lines") if f.scale is None else
-                    v.cast(f"decimal(27,{f.scale})") * c("n_lines").cast("decimal(10,0)"))
-        return [F.sum(F.when(cond, weighted)).alias(f"{f.name}__num"),
-                F.sum(F.when(cond & v.isNotNull(), c("n_lines"))).alias(f"{f.name}__den")]
+        weighted = (f"({f.value}) * n_lines" if f.scale is None else
+                    f"CAST(({f.value}) AS DECIMAL(27,{f.scale})) * CAST(n_lines AS DECIMAL(10,0))")
+        return [f"sum({when(weighted)}) AS {q(f.name + '__num')}",
+                f"sum(CASE WHEN {cond} AND ({f.value}) IS NOT NULL THEN n_lines END) AS {q(f.name + '__den')}"]
     if f.kind == "order_max":
-        return [F.max(F.when(cond, f.value())).alias(x)]
+        return [f"max({when(f.value)}) AS {x}"]
     if f.kind == "distinct_avg":
         return []
     raise ValueError(f.kind)
@@ -177,43 +186,6 @@ def _partial_names(f: Family) -> list[str]:
     return [] if f.kind == "distinct_avg" else [f"{f.name}__x"]
 
 
-def _merge(f: Family, keep: Column) -> list[Column]:
-    """Level A: combine month-grain partials of the rows kept for a bucket."""
-    fn = F.max if f.kind == "order_max" else F.sum
-    return [fn(F.when(keep, c(n))).alias(n) for n in _partial_names(f)]
-
-
-def _window_aggs(f: Family) -> list[Column]:
-    """Level B: fold the bucket partials of a seller into the seven nested windows."""
-    out = []
-    for n, _ in WINDOW_SUFFIXES:
-        w = _in_window(n)
-        x = c(f"{f.name}__x")
-        if f.kind in ("orders", "lines"):
-            agg = F.coalesce(F.sum(F.when(w, x)), F.lit(0).cast("bigint"))
-        elif f.kind == "line_sum":
-            agg = from_units(F.sum(F.when(w, x)))
-        elif f.kind == "order_sum":
-            agg = F.sum(F.when(w, x))
-            agg = agg.cast("bigint") if f.name == "qtd_review" else from_units(agg)
-        elif f.kind == "order_avg":
-            num = F.sum(F.when(w, c(f"{f.name}__num")))
-            den = F.sum(F.when(w, c(f"{f.name}__den")))
-            agg = F.try_divide(num.cast("double"), den.cast("double"))
-        elif f.kind == "order_max":
-            agg = F.max(F.when(w, x)).cast("bigint")
-        elif f.kind == "distinct_avg":
-            agg = F.avg(F.when((c("k") == DISTINCT_KINDS[f.distinct_key]) & w, c("v")))
-        else:
-            raise ValueError(f.kind)
-        out.append(agg.alias(window_name(f.name, n)))
-    return out
-
-
-def _bit(off: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), off)
-
-
 MONTH_KEYS = ("seller_id", "pm", "ld", "paid", "k", "v", "dm")
 
 
@@ -224,19 +196,21 @@ def month_groups(rows: DataFrame) -> DataFrame:
     and denominators, maxima), so a reference date only has to combine the
     groups of its window.  Sale days are kept as a day-of-month bitmap.
     """
-    main = c("k") == KIND_MAIN
+    main = f"k = {KIND_MAIN}"
     aggs = [
-        F.min(F.when(main, c("pdate"))).alias("min_pdate"),
-        F.max(F.when(main, c("pdate"))).alias("max_pdate"),
-        F.max(F.when(main, c("est"))).alias("max_est"),
-        F.max(F.when(main, c("dlv"))).alias("max_dlv"),
-        F.bit_or(F.when(main, _bit(F.dayofmonth("pdate")))).alias("day_bits"),
+        f"min(CASE WHEN {main} THEN pdate END) AS min_pdate",
+        f"max(CASE WHEN {main} THEN pdate END) AS max_pdate",
+        f"max(CASE WHEN {main} THEN est END) AS max_est",
+        f"max(CASE WHEN {main} THEN dlv END) AS max_dlv",
+        f"bit_or(CASE WHEN {main} THEN shiftleft(1L, dayofmonth(pdate)) END) AS day_bits",
     ]
     for f in FAMILIES:
         aggs.extend(_partials(f))
-    return rows.groupBy(*MONTH_KEYS).agg(*aggs)
+    return rows.groupBy(*MONTH_KEYS).agg(*exprs(*aggs))
 
 
+# ---------------------------------------------------------------- reference dates
+
 def expand_dates(groups: DataFrame, dates, include_last_day: bool = False, with_label: bool = True) -> DataFrame:
     """Attach the reference dates whose windows hold each month group.
 
@@ -248,30 +222,62 @@ def expand_dates(groups: DataFrame, dates, include_last_day: bool = False, with_
     comparison; the explode emits integer codes ``2*date_index + is_label``.
     """
     idx = [d.year * 12 + d.month for d in dates]
-    not_last = F.lit(True) if include_last_day else ~c("ld")
     codes = []
     for i, r in enumerate(idx):
-        obs = c("paid") & (c("pm") >= r - D.OBSERVATION_MONTHS) & (c("pm") <= r - 1)
+        obs = f"paid AND pm BETWEEN {r - D.OBSERVATION_MONTHS} AND {r - 1}"
         if not include_last_day:
-            obs = obs & ~((c("pm") == r - 1) & c("ld"))
-        codes.append(F.when(obs, F.lit(2 * i)))
+            obs += f" AND NOT (pm = {r - 1} AND ld)"
+        codes.append(f"CASE WHEN {obs} THEN {2 * i} END")
         if with_label:
-            codes.append(F.when((c("k") == KIND_MAIN) & (c("pm") == r) & not_last, F.lit(2 * i + 1)))
-    x = groups.select("*", F.explode(F.array(*codes)).alias("_code")).where(c("_code").isNotNull())
-    i = (c("_code") / 2).cast("int") + 1
-    ridx = F.element_at(F.array(*[F.lit(r) for r in idx]), i)
-    label = (c("_code") % 2) == 1
-    b = F.least(ridx - c("pm"), F.lit(D.OUTSIDE_TRAILING))
-    return x.select(
+            lab = f"k = {KIND_MAIN} AND pm = {r}" + ("" if include_last_day else " AND NOT ld")
+            codes.append(f"CASE WHEN {lab} THEN {2 * i + 1} END")
+    x = (groups.select("*", F.explode(F.expr(f"array({', '.join(codes)})")).alias("_code"))
+         .where("_code IS NOT NULL"))
+    i = "(CAST(_code / 2 AS INT) + 1)"
+    ridx = f"element_at(array({', '.join(map(str, idx))}), {i})"
+    dates_sql = ", ".join(f"DATE '{d.isoformat()}'" for d in dates)
+    return x.selectExpr(
         "*",
-        F.element_at(D.dates_array(dates), i).alias("dt_ref"),
-        F.when(label, F.lit(KIND_LABEL)).otherwise(c("k")).alias("k2"),
-        F.when(~label, b).alias("b"),
-        (c("dm") < ridx).alias("kept"),
-        (ridx - c("pm")).alias("month_off"),
+        f"element_at(array({dates_sql}), {i}) AS dt_ref",
+        f"CASE WHEN _code % 2 = 1 THEN {KIND_LABEL} ELSE k END AS k2",
+        f"CASE WHEN _code % 2 = 0 THEN least({ridx} - pm, {D.OUTSIDE_TRAILING}) END AS b",
+        f"dm < {ridx} AS kept",
+        f"{ridx} - pm AS month_off",
     )
 
 
+def _window(n: int | None) -> str:
+    return "true" if n is None else f"b <= {n}"
+
+
+def _window_aggs(f: Family) -> list[str]:
+    """Level B: fold the bucket partials of a seller into the seven nested windows."""
+    out = []
+    for n, _ in WINDOW_SUFFIXES:
+        w = _window(n)
+        x = f"{f.name}__x"
+
+        def s(col):
+            return f"sum(CASE WHEN {w} THEN {q(col)} END)"
+
+        if f.kind in ("orders", "lines"):
+            agg = f"coalesce({s(x)}, CAST(0 AS BIGINT))"
+        elif f.kind == "line_sum":
+            agg = from_units_sql(s(x))
+        elif f.kind == "order_sum":
+            agg = f"CAST({s(x)} AS BIGINT)" if f.name == "qtd_review" else from_units_sql(s(x))
+        elif f.kind == "order_avg":
+            agg = f"try_divide(CAST({s(f.name + '__num')} AS DOUBLE), CAST({s(f.name + '__den')} AS DOUBLE))"
+        elif f.kind == "order_max":
+            agg = f"CAST(max(CASE WHEN {w} THEN {q(x)} END) AS BIGINT)"
+        elif f.kind == "distinct_avg":
+            agg = f"avg(CASE WHEN k = {DISTINCT_KINDS[f.distinct_key]} AND {w} THEN v END)"
+        else:
+            raise ValueError(f.kind)
+        out.append(f"{agg} AS {q(window_name(f.name, n))}")
+    return out
+
+
 def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = False,
                            with_label: bool = True) -> DataFrame:
     """A6 (+ the label flag), one row per (dt_ref, seller), from the month groups.
@@ -281,54 +287,58 @@ def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = Fa
     exactly one month.  Level B folds those few rows into the windows.
     """
     x = expand_dates(groups, dates, include_last_day, with_label)
-    main = c("k2") == KIND_MAIN
+    main = f"k2 = {KIND_MAIN}"
     level_a = [
-        F.min("b").alias("b"),
-        F.min(F.when(main, c("min_pdate"))).alias("min_purchase_date"),
-        F.max(F.when(main, c("max_pdate"))).alias("max_purchase_date"),
-        F.max(F.when(main, c("max_est"))).alias("max_est"),
-        F.max(F.when(main & c("kept"), c("max_dlv"))).alias("max_delivered_customer_date"),
-        F.bit_or(F.when(main, _bit(c("month_off")))).alias("month_bits"),
-        F.bit_or(F.when(main & (c("b") <= D.ACTIVATION_MONTHS), c("day_bits"))).alias("day_bits"),
+        "min(b) AS b",
+        f"min(CASE WHEN {main} THEN min_pdate END) AS min_purchase_date",
+        f"max(CASE WHEN {main} THEN max_pdate END) AS max_purchase_date",
+        f"max(CASE WHEN {main} THEN max_est END) AS max_est",
+        f"max(CASE WHEN {main} AND kept THEN max_dlv END) AS max_delivered_customer_date",
+        f"bit_or(CASE WHEN {main} THEN shiftleft(1L, month_off) END) AS month_bits",
+        f"bit_or(CASE WHEN {main} AND b <= {D.ACTIVATION_MONTHS} THEN day_bits END) AS day_bits",
     ]
     for f in FAMILIES:
-        level_a.extend(_merge(f, (main & c("kept")) if f.uses_dlv else main))
-    v = F.when(c("k2") == KIND_MAIN, c("b")).when(c("k2") == KIND_LABEL, F.lit(None)).otherwise(c("v"))
-    per_key = x.groupBy("dt_ref", "seller_id", c("k2").alias("k"), v.cast("bigint").alias("v")).agg(*level_a)
+        keep = f"{main} AND kept" if f.uses_dlv else main
+        fn = "max" if f.kind == "order_max" else "sum"
+        level_a += [f"{fn}(CASE WHEN {keep} THEN {q(n)} END) AS {q(n)}" for n in _partial_names(f)]
+    v = f"CAST(CASE WHEN k2 = {KIND_MAIN} THEN b WHEN k2 = {KIND_LABEL} THEN NULL ELSE v END AS BIGINT)"
+    per_key = x.groupBy("dt_ref", "seller_id", c("k2").alias("k"), F.expr(v).alias("v")).agg(*exprs(*level_a))
 
-    ref = c("dt_ref")
-    is_main = c("k") == KIND_MAIN
     level_b = [
-        F.min("min_purchase_date").alias("min_purchase_date"),
-        F.max("max_purchase_date").alias("max_purchase_date"),
-        F.max("max_delivered_customer_date").alias("max_delivered_customer_date"),
-        F.max("max_est").alias("max_est"),
-        F.count_if(is_main).alias("n_main"),
-        F.coalesce(F.sum(F.when(is_main, F.bit_count("day_bits"))), F.lit(0)).cast("bigint").alias("qt_dias_venda"),
-        F.coalesce(F.bit_count(F.bit_or("month_bits")), F.lit(0)).alias("n_months"),
-        F.max(F.when(c("k") == KIND_LABEL, F.lit(1))).alias("fl_venda"),
+        "min(min_purchase_date) AS min_purchase_date",
+        "max(max_purchase_date) AS max_purchase_date",
+        "max(max_delivered_customer_date) AS max_delivered_customer_date",
+        "max(max_est) AS max_est",
+        f"count_if(k = {KIND_MAIN}) AS n_main",
+        f"CAST(coalesce(sum(CASE WHEN k = {KIND_MAIN} THEN bit_count(day_bits) END), 0) AS BIGINT) AS qt_dias_venda",
+        "coalesce(bit_count(bit_or(month_bits)), 0) AS n_months",
+        f"max(CASE WHEN k = {KIND_LABEL} THEN 1 END) AS fl_venda",
     ]
     for f in FAMILIES:
         level_b.extend(_window_aggs(f))
-    agg = per_key.groupBy("dt_ref", "seller_id").agg(*level_b)
+    agg = per_key.groupBy("dt_ref", "seller_id").agg(*exprs(*level_b))
 
     # least/greatest skip NULLs where the original scalar min/max propagate them;
     # both arguments are never NULL here (every seller row has a purchase date).
-    considered = F.greatest(F.add_months(ref, -D.ACTIVATION_MONTHS), c("min_purchase_date"))
+    considered = f"greatest(add_months(dt_ref, -{D.ACTIVATION_MONTHS}), min_purchase_date)"
+
+    def month_index(d):
+        return f"(year({d}) * 12 + month({d}))"
+
     singles = {
-        "min_purchase_yearmonth": F.date_format("min_purchase_date", "yyyyMM"),
-        "qt_total_dias_considerado": F.datediff(ref, considered).cast("bigint"),
+        "min_purchase_yearmonth": "date_format(min_purchase_date, 'yyyyMM')",
+        "qt_total_dias_considerado": f"CAST(datediff(dt_ref, {considered}) AS BIGINT)",
         "min_purchase_date_considerada": considered,
-        "qt_total_meses_considerado": F.least(D.month_index(ref) - D.month_index(c("min_purchase_date")),
-                                              F.lit(D.ACTIVATION_MONTHS)).cast("bigint"),
-        "qt_meses_venda_considerado": F.least(c("n_months"), F.lit(D.ACTIVATION_MONTHS)).cast("bigint"),
-        "dias_desde_ult_venda": F.datediff(ref, c("max_purchase_date")).cast("bigint"),
-        "dias_desde_ult_estimativa_entrega": F.datediff(ref, c("max_est")).cast("bigint"),
-        "dias_desde_ult_entrega_pedido": F.datediff(ref, c("max_delivered_customer_date")).cast("bigint"),
+        "qt_total_meses_considerado":
+            f"CAST(least({month_index('dt_ref')} - {month_index('min_purchase_date')}, {D.ACTIVATION_MONTHS})"
+            " AS BIGINT)",
+        "qt_meses_venda_considerado": f"CAST(least(n_months, {D.ACTIVATION_MONTHS}) AS BIGINT)",
+        "dias_desde_ult_venda": "CAST(datediff(dt_ref, max_purchase_date) AS BIGINT)",
+        "dias_desde_ult_estimativa_entrega": "CAST(datediff(dt_ref, max_est) AS BIGINT)",
+        "dias_desde_ult_entrega_pedido": "CAST(datediff(dt_ref, max_delivered_customer_date) AS BIGINT)",
     }
-    return agg.where(c("n_main") > 0).select(
-        "dt_ref", *[singles[n].alias(n) if n in singles else c(n) for n in SINGLES],
-        *[c(n) for n in layer1_columns()[len(SINGLES):]], "fl_venda")
+    out = ["dt_ref"] + [f"{singles[n]} AS {q(n)}" if n in singles else q(n) for n in layer1_columns()] + ["fl_venda"]
+    return agg.where("n_main > 0").selectExpr(*out)
 
 
 def layer1(groups: DataFrame, dates, include_last_day: bool = False) -> DataFrame:

@@ -29,12 +29,12 @@ c = F.col
 def _line_value(f: FE.Family) -> Column | None:
     """The family's value at line grain (order-level values repeat per line)."""
     if f.kind in ("line_sum", "order_sum", "order_avg", "order_max"):
-        return f.value()
+        return f.value_col()
     return None
 
 
 def _agg(f: FE.Family, win: Column) -> Column:
-    cond = win if f.cond is None else (win & f.cond())
+    cond = win if f.cond is None else (win & f.cond_col())
     if f.kind == "orders":
         return F.count_distinct(F.when(cond, c("order_id")))
     if f.kind == "lines":
