@@ -57,17 +57,17 @@ def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
     """(order, seller) grain of the item table for the orders in ``scope``.
 
     ``n_lines`` counts (order, product, seller) lines, ``n_products`` those with
-    a product id; prices and freight are summed in integer money units.  Order attributes are carried
-    with ``max`` (``order_id`` is the key of the order table).
+    a product id; prices and freight are summed in integer money units.  Order
+    attributes ride along as grouping keys (``order_id`` is the key of the
+    order table), so both aggregates stay hash-based.
     """
     lines = items.join(scope.select("order_id", *ORDER_ATTRS), "order_id")
     a2 = items_per_order_product(lines, carry=ORDER_ATTRS, units=True)
-    return a2.groupBy("order_id", "seller_id").agg(
+    return a2.groupBy("order_id", "seller_id", *ORDER_ATTRS).agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.count("product_id").alias("n_products"),
         F.sum("value_price").alias("value_price"),
         F.sum("value_freight").alias("value_freight"),
-        *[F.max(a).alias(a) for a in ORDER_ATTRS],
     )
 
 

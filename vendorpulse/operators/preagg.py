@@ -42,15 +42,16 @@ def payments_per_order(payments: DataFrame, units: bool = False) -> DataFrame:
 def items_per_order_product(items: DataFrame, carry: Sequence[str] = (), units: bool = False) -> DataFrame:
     """A2: item lines collapsed per (order, product, seller).
 
-    ``carry`` names order-level columns (constant per order) kept with ``max``;
+    ``carry`` names order-level columns (constant per order) that ride along
+    as extra grouping keys — the groups are unchanged, and no string has to
+    sit in an aggregation buffer (which would force a sort-based aggregate);
     with ``units`` the sums stay integer money units.
     """
     conv = (lambda x: x) if units else from_units
-    return items.groupBy("seller_id", "order_id", "product_id").agg(
+    return items.groupBy("seller_id", "order_id", "product_id", *carry).agg(
         F.count("order_item_id").alias("qt_itens"),
         conv(F.sum(to_units(F.col("price")))).alias("value_price"),
         conv(F.sum(to_units(F.col("freight_value")))).alias("value_freight"),
-        *[F.max(a).alias(a) for a in carry],
     )
 
 
