@@ -108,24 +108,23 @@ def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: boo
     reference dates are first-of-month, these keys decide window membership,
     recency bucket and the as-of delivery mask for every reference date.
     """
-    c = F.col
-    pdate = F.to_date("order_purchase_timestamp")
-    paid = c("paid").isNotNull()
-    src = joined if with_label else joined.where(paid)
-    kinds = F.array(F.lit(KIND_MAIN),
-                    F.when(paid & (c("inst_credit_card") != 0), F.lit(KIND_CC)),
-                    F.when(paid & (c("inst_voucher") != 0), F.lit(KIND_VOUCHER)))
-    x = src.select("*", F.explode(kinds).alias("k")).where(c("k").isNotNull())
-    dlv = F.to_date("order_delivered_customer_date")
-    return x.select(
+    src = joined if with_label else joined.where("paid IS NOT NULL")
+    kinds = (f"array({KIND_MAIN}, "
+             f"CASE WHEN paid IS NOT NULL AND inst_credit_card <> 0 THEN {KIND_CC} END, "
+             f"CASE WHEN paid IS NOT NULL AND inst_voucher <> 0 THEN {KIND_VOUCHER} END)")
+    x = src.select("*", F.explode(F.expr(kinds)).alias("k")).where("k IS NOT NULL")
+    pdate = "to_date(order_purchase_timestamp)"
+    dlv = "to_date(order_delivered_customer_date)"
+    month = lambda d: f"(year({d}) * 12 + month({d}))"
+    return x.selectExpr(
         "seller_id", "k",
-        F.when(c("k") == KIND_CC, c("inst_credit_card"))
-         .when(c("k") == KIND_VOUCHER, c("inst_voucher")).cast("bigint").alias("v"),
-        D.month_index(pdate).alias("pm"),
-        (F.lit(False) if include_last_day else pdate == F.last_day(pdate)).alias("ld"),
-        paid.alias("paid"),
-        F.when(c("k") == KIND_MAIN, D.month_index(dlv)).alias("dm"),
-        pdate.alias("pdate"), dlv.alias("dlv"), F.to_date("order_estimated_delivery_date").alias("est"),
+        f"CAST(CASE WHEN k = {KIND_CC} THEN inst_credit_card WHEN k = {KIND_VOUCHER} THEN inst_voucher END"
+        " AS BIGINT) AS v",
+        f"{month(pdate)} AS pm",
+        ("false" if include_last_day else f"{pdate} = last_day({pdate})") + " AS ld",
+        "paid IS NOT NULL AS paid",
+        f"CASE WHEN k = {KIND_MAIN} THEN {month(dlv)} END AS dm",
+        f"{pdate} AS pdate", f"{dlv} AS dlv", "to_date(order_estimated_delivery_date) AS est",
         "order_status", "n_lines", "n_products", "value_price", "value_freight",
         *[f"inst_{t}" for t in PAYMENT_KINDS], *[f"val_{t}" for t in PAYMENT_KINDS],
         "qt_reviews", "avg_score", "avg_days_create_answer",

@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import ROLE_COLUMNS
+from .schemas import DRIVER_SCHEMAS, ROLE_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,7 @@ def driver_roles(spark: SparkSession, sf_dir: str) -> Roles:
     deliveries after the reference date, unpaid orders (every 50th), orders
     without reviews, NULL categories and photo counts.
     """
-    t = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
+    t = lambda n: spark.read.schema(DRIVER_SCHEMAS[n]).parquet(f"{sf_dir}/{n}.parquet")
     o, li, p = t("orders"), t("lineitem"), t("part")
     s, n = t("supplier"), t("nation")
 

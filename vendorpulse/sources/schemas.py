@@ -59,3 +59,15 @@ ROLE_COLUMNS: dict[str, dict[str, T.DataType | None]] = {
 ROLES = tuple(ROLE_COLUMNS)
 
 PREDICTION_SCHEMA = "dt_ref date, seller_id {key}, fl_venda_predict int"
+
+# Declared schemas of the driver tables the role mapping reads (no footer-based inference per read).
+DRIVER_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+                "l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
