@@ -32,11 +32,6 @@ DATES = ("1998-07-01", "1998-08-01", "1998-09-01")
 FLAGSHIP_DATE = ("1998-09-01",)
 SF_SMOKE = "/root/testdata/sf0.001"
 
-def _round(df: DataFrame) -> DataFrame:
-    """Hook for columns the two engines cannot compute bit-identically (none at present)."""
-    return df
-
-
 def _plan(spark: SparkSession, sf_dir: str, dates=DATES) -> FeaturePlan:
     return FeaturePlan.of(driver_roles(spark, sf_dir), dates)
 
@@ -83,13 +78,13 @@ LINEAR = scoring.LinearScorer(
 
 def _layer1_query(cols):
     def q(spark, sf_dir):
-        return _round(_plan(spark, sf_dir).layer1().select("dt_ref", "seller_id", *cols))
+        return _plan(spark, sf_dir).layer1().select("dt_ref", "seller_id", *cols)
     return q
 
 
 def _layer2_query(cols):
     def q(spark, sf_dir):
-        return _round(_plan(spark, sf_dir).layer2().select("dt_ref", "seller_id", *cols))
+        return _plan(spark, sf_dir).layer2().select("dt_ref", "seller_id", *cols)
     return q
 
 
@@ -122,15 +117,15 @@ def q_orders_asof(spark, sf_dir):
 
 
 def q_abt_layer1(spark, sf_dir):
-    return _round(_plan(spark, sf_dir, FLAGSHIP_DATE).layer1().drop("dt_ref"))
+    return _plan(spark, sf_dir, FLAGSHIP_DATE).layer1().drop("dt_ref")
 
 
 def q_abt_layer2(spark, sf_dir):
-    return _round(_plan(spark, sf_dir, FLAGSHIP_DATE).layer2().drop("dt_ref"))
+    return _plan(spark, sf_dir, FLAGSHIP_DATE).layer2().drop("dt_ref")
 
 
 def q_abt_backfill(spark, sf_dir):
-    return _round(_plan(spark, sf_dir).layer2())
+    return _plan(spark, sf_dir).layer2()
 
 
 def q_score_linear(spark, sf_dir):

@@ -64,10 +64,6 @@ def monthly_range(first: str | _dt.date, last: str | _dt.date) -> list[_dt.date]
     return out
 
 
-def dates_array(dates: Sequence[_dt.date]) -> Column:
-    return F.array(*[F.lit(d) for d in dates])
-
-
 def window_end(ref: Column, include_last_day: bool = False) -> Column:
     """Exclusive upper bound shared by every observation window."""
     return ref if include_last_day else F.date_sub(ref, 1)
@@ -84,19 +80,6 @@ def in_label_month(ts: Column, ref: Column, include_last_day: bool = False) -> C
     return (ts >= ref) & (ts < (hi if include_last_day else F.date_sub(hi, 1)))
 
 
-def recency_bucket(ts: Column, ref: Column) -> Column:
-    """Smallest N in 1..6 with ``ts >= ref - N months``; 7 when older.
-
-    The trailing windows share their upper bound and nest, so "purchase in
-    the last N months" is ``bucket <= N`` for a row already inside the
-    observation window.
-    """
-    expr = F.lit(OUTSIDE_TRAILING)
-    for n in reversed(TRAILING_WINDOWS):
-        expr = F.when(ts >= F.add_months(ref, -n), F.lit(n)).otherwise(expr)
-    return expr
-
-
 def mask_after(value: Column, ref: Column) -> Column:
     """As-of view of an event date: NULL when it happened on/after ``ref``."""
     return F.when(value < ref, F.to_date(value))

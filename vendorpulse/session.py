@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -40,7 +39,3 @@ def shared_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(shared_dir(spark), name) if "://" not in shared_dir(spark) else f"{shared_dir(spark)}/{name}"
