@@ -1,4 +1,4 @@
-"""As-of order view and the tagged per-date records behind every feature.
+"""As-of order view and the month-keyed (order, seller) rows behind every feature.
 
 Plan shape (one plan for any number of reference dates, one pass over items):
 
@@ -10,12 +10,12 @@ Plan shape (one plan for any number of reference dates, one pass over items):
    shuffle of the item table on ``order_id``), collapsed to (order, product,
    seller) — the pre-aggregate A2 — and then to (order, seller).  Both
    aggregates run on the join's ``order_id`` partitioning, so they add no
-   exchange; the order attributes ride along.
+   exchange; the order attributes ride along as grouping keys.
 3. ``joined_orders``: payments and reviews are semi-joined to the scope,
    pre-aggregated per order and left-joined on ``order_id`` (same
-   partitioning again).  Payments are a
-   left join with a ``paid`` marker rather than an inner join: the feature
-   records need a payment, the label records do not.
+   partitioning again).  Payments are a left join with a ``paid`` marker
+   rather than an inner join: the features need a payment, the next-month
+   label does not.
 4. ``kind_rows``: each joined row is tagged with date-independent month
    keys (see :func:`kind_rows`).  :mod:`.features` aggregates them to a month
    grain *before* any reference date is attached, so the per-row work does
