@@ -126,3 +126,13 @@ def test_purchase_window_reaches_parquet_scan(spark, roles):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(order_purchase_timestamp,1997-07-01" in text
     assert "LessThan(order_purchase_timestamp,1998-09-30" in text
+
+
+def test_job_command_line_build_only(spark):
+    base = tempfile.mkdtemp(prefix="vp-cli-", dir=shared_dir(spark))
+    abt = os.path.join(base, "abt")
+    job.main(["--driver-tables", SF001, "--abt", abt, "--first", "1998-08-01", "--last", "1998-09-01",
+              "--build-only"])
+    table = read_abt(spark, abt)
+    assert sorted(r[0].isoformat() for r in table.select("dt_ref").distinct().collect()) == \
+        ["1998-08-01", "1998-09-01"]

@@ -179,3 +179,15 @@ def test_sale_days_and_months_bitmaps_match_distinct_counts(spark):
     got = rows_by_seller(FeaturePlan.of(shop.roles(spark), [REF]).layer1())["s1"]
     assert got["qt_dias_venda"] == 3
     assert got["qt_meses_venda_considerado"] == 5   # 2017-09, 2017-12, 2018-03, 2018-05, 2018-08
+
+
+def test_include_last_day_also_widens_the_label_month(spark):
+    shop = Shop()
+    for s, t in (("a", "2018-07-01 00:00:00"), ("c", "2018-07-31 10:00:00"), ("d", "2018-08-01 00:00:00")):
+        shop.sale(s, "2018-05-10 10:00:00")
+        shop.sale(s, t)
+    r = shop.roles(spark)
+    abt = rows_by_seller(FeaturePlan.of(r, ["2018-07-01"], include_last_day=True).layer2())
+    assert {s: abt[s]["fl_venda"] for s in "acd"} == {"a": 1, "c": 1, "d": 0}
+    standalone = {x["seller_id"] for x in FeaturePlan.of(r, ["2018-07-01"], include_last_day=True).label().collect()}
+    assert standalone == {"a", "c"}
