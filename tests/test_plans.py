@@ -136,3 +136,12 @@ def test_job_command_line_build_only(spark):
     table = read_abt(spark, abt)
     assert sorted(r[0].isoformat() for r in table.select("dt_ref").distinct().collect()) == \
         ["1998-08-01", "1998-09-01"]
+
+
+def test_both_layers_as_sql_views(spark, roles):
+    from vendorpulse.plans.abt import register_views
+    register_views(FeaturePlan.of(roles, E.DATES), prefix="vw_test")
+    n1 = spark.sql("SELECT count(*) FROM vw_test_p1").first()[0]
+    n2 = spark.sql("SELECT count(*) FROM vw_test_p2").first()[0]
+    assert n1 >= n2 > 0
+    assert len(spark.table("vw_test_p2").columns) == 202
