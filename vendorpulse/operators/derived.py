@@ -41,7 +41,11 @@ def _pass(names) -> list[tuple[str, str]]:
 
 
 def layer2_spec() -> list[tuple[str, str]]:
-    """(name, Spark SQL expression) of the 201 layer-2 columns, in output order."""
+    """(name, Spark SQL expression) of the 201 layer-2 columns, in output order.
+
+    Fixed values: the column names and their order are those of the published
+    feature table (the scoring model selects its inputs by name).
+    """
     avg_ticket = lambda n: safe_div_sql(_w("total_vlr_pedido", n), _w("qtd_pedidos", n))
     spec: list[tuple[str, str]] = []
     add = spec.extend
