@@ -191,3 +191,4 @@ def test_include_last_day_also_widens_the_label_month(spark):
     assert {s: abt[s]["fl_venda"] for s in "acd"} == {"a": 1, "c": 1, "d": 0}
     standalone = {x["seller_id"] for x in FeaturePlan.of(r, ["2018-07-01"], include_last_day=True).label().collect()}
     assert standalone == {"a", "c"}
+

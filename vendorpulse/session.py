@@ -19,6 +19,9 @@ def get_spark(master: str | None = None, app: str = "vendorpulse", shuffle_parti
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a hot order_id / product_id in its join even though the aggregate
+        # above then needs its own exchange (on its wider key, which spreads the key)
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
     }
     if shuffle_partitions:
