@@ -11,6 +11,7 @@ FIXTURES §B.  Reference dates: 1998-07-01, 1998-08-01, 1998-09-01.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -28,6 +29,10 @@ from vendorpulse.functions.arith import money  # noqa: E402
 from vendorpulse.plans.abt import FeaturePlan  # noqa: E402
 from vendorpulse.sources.roles import driver_roles  # noqa: E402
 
+HAS_LLM = importlib.util.find_spec("vendorpulse.llm") is not None
+if HAS_LLM:  # the training-data operators are an optional part
+    from vendorpulse.llm import queries as LQ  # noqa: E402
+
 DATES = ("1998-07-01", "1998-08-01", "1998-09-01")
 FLAGSHIP_DATE = ("1998-09-01",)
 SF_SMOKE = "/root/testdata/sf0.001"
@@ -179,6 +184,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_predict": q_score_predict,
         "score_pipeline": q_score_pipeline,
     })
+    if HAS_LLM:
+        qs.update(LQ.QUERIES)
     return qs
 
 
@@ -204,4 +211,6 @@ def oracle_sql() -> dict[str, str]:
     sql["abt_backfill"] = O.sql_layer2(DATES, DV.layer2_columns())
     sql["score_linear"] = _linear_sql()
     sql["score_predict"] = sql["score_linear"]
+    if HAS_LLM:
+        sql.update(LQ.ORACLE_SQL)
     return sql
