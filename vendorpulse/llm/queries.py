@@ -9,14 +9,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, substring, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 13 words."""
+    judged = winnow.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
+    return judged.select(
+        "doc_id", F.col("overlap.n_words").alias("n_words"), winnow.n_hit().alias("n_hit"),
+        F.size("overlap.items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("overlap.items")), 256).alias("items_sha256"),
+        winnow.contaminated().alias("contaminated"))
+
+
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 20 words."""
+    out = substring.deduplicate(table(spark, sf_dir, "documents"), window=20)
+    removed = F.aggregate("repeats", F.lit(0).cast("long"), lambda a, x: a + x["length"])
+    return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles of 3 words, links at 2 or fewer differing bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
@@ -24,6 +42,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
+    "op6_substring": op6_substring,
     "op10_simhash": op10_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
