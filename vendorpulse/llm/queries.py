@@ -11,13 +11,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, substring, winnow
+from . import packing, simhash, substring, winnow
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 1024 tokens; shares as in the corpus."""
+    import public_tokenizers
+
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                          public_tokenizers.path("byte_bpe_50k.tiktoken"), window=1024)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "queue")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 13 words."""
     judged = winnow.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=13)
@@ -42,6 +52,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op6_substring": op6_substring,
     "op10_simhash": op10_simhash,
