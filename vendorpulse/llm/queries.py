@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash, substring, winnow
+from . import ngram, packing, simhash, substring, winnow
+from .common import fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +46,13 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trained on nine tenths of the documents, all scored."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 10) == 0
+    return ngram.score(docs, ngram.fit(docs.where(~held_out)), held_out)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingles of 3 words, links at 2 or fewer differing bits."""
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
@@ -55,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op6_substring": op6_substring,
+    "op9_ngram": op9_ngram,
     "op10_simhash": op10_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
