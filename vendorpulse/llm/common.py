@@ -38,3 +38,9 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def texts(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns (extra columns, whatever their names, don't take part)."""
     return docs.select(*(F.col(f"`{c}`") for c in columns))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with a number if a column has it."""
+    taken = {c.lower() for c in df.columns}
+    return next(c for c in (name, *(f"{name}_{i}" for i in range(len(taken) + 1))) if c not in taken)

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram, packing, simhash, substring, winnow
+from . import ngram, packing, simhash, substring, toxicity, urls, winnow
 from .common import fold
 
 
@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learnt from folds 1 to 4 of 5; fold 0 is held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs.select("doc_id", "text"), toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("toxicity.score").alias("score"),
+                         (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequences of 1024 tokens; shares as in the corpus."""
     import public_tokenizers
@@ -46,6 +54,19 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+#: the rules of the contract (fixed values), and globs for the URLs that they leave open
+SITE_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+OPEN_RULES = (urls.Rule("*spam-farm*", "block", rank=30), urls.Rule("*casino*", "block", rank=20),
+              urls.Rule("*/wp-login*", "block", rank=10), urls.Rule("*/cgi-bin/*", "block", rank=10))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest fitting site rule wins; URLs that none fits are left to the open rules."""
+    rules = [*OPEN_RULES, *(r for verdict, name in SITE_RULES for r in urls.site_rule(verdict, name))]
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", *(F.col(f"site.{c}").alias(c) for c in ("host", "path", "rule", "verdict")))
+
+
 def op9_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trained on nine tenths of the documents, all scored."""
     docs = table(spark, sf_dir, "documents")
@@ -60,10 +81,38 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op6_substring": op6_substring,
+    "op8_urls": op8_urls,
     "op9_ngram": op9_ngram,
     "op10_simhash": op10_simhash,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_HOST_PATH = """
+    with rest as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as r
+                  from pages),
+    hp as (select page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                     'abcdefghijklmnopqrstuvwxyz') as host,
+                  regexp_extract(r, '^[^/?#]*([^?#]*)', 1) as path from rest)"""
+
+
+def _site_sql() -> str:
+    """Rules by suffix of the host and start of the path, longest first; then the open rules."""
+    cases = []
+    for verdict, name in sorted(SITE_RULES, key=lambda r: -len(r[1])):
+        host, path = name.split("/", 1)
+        cases.append((f"(host = '{host}' or ends_with(host, '.{host}')) and starts_with(path, '/{path}')", name, verdict))
+    rule = " ".join(f"when {c} then '{n}'" for c, n, _ in cases)
+    verdict = " ".join(f"when {c} then '{v}'" for c, _, v in cases)
+    return f"""{_HOST_PATH}
+    select page_id, host, path, case {rule} end as rule,
+           case {verdict} when regexp_matches(host, 'spam-farm|casino') or regexp_matches(path, 'spam-farm|casino')
+                or contains(path, '/wp-login') or contains(path, '/cgi-bin/') then 'block' else 'allow' end as verdict
+    from hp"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_urls": _site_sql(),
+}

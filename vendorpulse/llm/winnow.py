@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_arrow, stored, texts
+from .common import free_name, map_arrow, stored
 from .words import ALNUM_WORDS, U64, Words, run_hashes, slices, split_words, windowed_minimum
 
 BROADCAST_WINDOWS = 500_000  # 32 bytes each
@@ -120,8 +120,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id:
              item_id: str = "item_id", item_text: str = "text", window: int = 13, gram: int = 5,
              broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """All columns of ``docs`` and one struct column ``overlap`` (n_words, hits, items)."""
-    taken = {c.lower() for c in docs.columns}
-    out = next(c for c in ("overlap", *(f"overlap_{i}" for i in range(len(taken) + 1))) if c not in taken)
+    out = free_name(docs, "overlap")
     windows = stored(item_windows(benchmark, item_id, item_text, window, gram), "decontaminate-windows")
     kind = T.StructType.fromDDL(f"n_words long, hits {HITS}, items array<string>")
     schema = T.StructType([*docs.schema.fields, T.StructField(out, kind)])
