@@ -108,8 +108,8 @@ def _site_sql() -> str:
     verdict = " ".join(f"when {c} then '{v}'" for c, _, v in cases)
     return f"""{_HOST_PATH}
     select page_id, host, path, case {rule} end as rule,
-           case {verdict} when regexp_matches(host, 'spam-farm|casino') or regexp_matches(path, 'spam-farm|casino')
-                or contains(path, '/wp-login') or contains(path, '/cgi-bin/') then 'block' else 'allow' end as verdict
+           case {verdict} when regexp_matches(host, 'spam-farm|casino') or starts_with(path, '/wp-login')
+                or starts_with(path, '/cgi-bin/') then 'block' else 'allow' end as verdict
     from hp"""
 
 

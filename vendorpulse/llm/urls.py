@@ -2,8 +2,8 @@
 
 Rules are globs over the canonical URL, host and path (``host + path``, no
 scheme, query or fragment; hosts in lower case): ``*`` in the host part stands
-for any characters but ``/``, in the path part for any, ``?`` for one
-character.  All rules are packed side by side into the bits of several 64-bit
+for any characters but ``/``, in the path part or at the end of the rule for
+any, ``?`` for one character.  All rules are packed side by side into the bits of several 64-bit
 words, one bit per character, and advanced together as a Shift-And automaton:
 one step reads one byte of every URL of the batch and moves all rules of all
 URLs at once.  Of the rules that match a URL the one of highest rank wins.
@@ -56,9 +56,9 @@ class Automaton:
             stay, own = set(), 0
             host = True
             lead: set[int] = set()  # bytes that may pass before the first character
-            for ch in r.glob:
+            for place, ch in enumerate(r.glob, 1):
                 if ch == "*":
-                    more = set(range(256)) - ({0x2F} if host else set())
+                    more = set(range(256)) - ({0x2F} if host and place < len(r.glob) else set())
                     if own:
                         steps[-1][1].update(more)
                     else:
