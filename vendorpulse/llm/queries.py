@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram, packing, simhash, substring, toxicity, urls, winnow
+from . import ngram, packing, quality_rules, simhash, substring, toxicity, urls, winnow
 from .common import fold
 
 
@@ -54,6 +54,13 @@ def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    failed = quality_rules.base_failed()
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         failed.alias("base_failed"), (~failed & ~F.col("outlier")).alias("kept"), "distance")
+
+
 #: the rules of the contract (fixed values), and globs for the URLs that they leave open
 SITE_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 OPEN_RULES = (urls.Rule("*spam-farm*", "block", rank=30), urls.Rule("*casino*", "block", rank=20),
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op6_substring": op6_substring,
+    "op7_quality_rules": op7_quality_rules,
     "op8_urls": op8_urls,
     "op9_ngram": op9_ngram,
     "op10_simhash": op10_simhash,
