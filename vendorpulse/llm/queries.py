@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram, packing, quality_rules, simhash, substring, toxicity, urls, winnow
+from . import ngram, packing, pii, quality_rules, simhash, substring, toxicity, urls, winnow
 from .common import fold
 
 
@@ -47,6 +47,17 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnow.contaminated().alias("contaminated"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detect(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["strict"])
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x["strict"] & (x["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, ("email", "ip", "card", "phone")), F.sha2(pii.digest(base), 256).alias("base_sha256"),
+                        pii.digest(F.col("spans")).alias("spans"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 20 words."""
     out = substring.deduplicate(table(spark, sf_dir, "documents"), window=20)
@@ -91,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
+    "op4_pii": op4_pii,
     "op6_substring": op6_substring,
     "op7_quality_rules": op7_quality_rules,
     "op8_urls": op8_urls,
