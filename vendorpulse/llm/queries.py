@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram, packing, pii, quality_rules, simhash, substring, toxicity, urls, winnow
+from . import ngram, ordinal, packing, pii, quality_rules, simhash, substring, toxicity, urls, winnow
 from .common import fold
 
 
@@ -58,6 +58,16 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.digest(F.col("spans")).alias("spans"))
 
 
+def op5_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades: 0 low quality; else 1 toxic, 2 not.  Folds 1 to 4 of 5 train; documents of grade 1 or more are selected."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    model = ordinal.fit(docs, labels.where("quality is not null").select("doc_id", grade.alias("rating")))
+    return ordinal.score(docs.select("doc_id", "text"), model, wanted=1).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), F.col("quality.expected_grade").alias("expected_grade"),
+        F.col("quality.tail").alias("tail"), (F.col("quality.tail") >= 0.5).alias("kept"))
+
+
 def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 20 words."""
     out = substring.deduplicate(table(spark, sf_dir, "documents"), window=20)
@@ -103,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op4_pii": op4_pii,
+    "op5_ordinal": op5_ordinal,
     "op6_substring": op6_substring,
     "op7_quality_rules": op7_quality_rules,
     "op8_urls": op8_urls,
