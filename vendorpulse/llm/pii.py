@@ -283,5 +283,6 @@ def redact(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     """All rows and columns, personal data in the text replaced."""
     body = F.col(f"`{text}`")
     classifier = train(docs.select(candidates(body).alias("candidates")))
-    new = F.when(body.isNotNull(), redacted(body, spans(candidates(body), classifier)))
+    once = F.element_at(F.transform(F.array(spans(candidates(body), classifier)), lambda found: redacted(body, found)), 1)
+    new = F.when(body.isNotNull(), once)
     return docs.select(*(new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns))

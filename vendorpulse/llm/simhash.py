@@ -27,8 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import map_arrow, stored, texts
+from .common import free_name, map_arrow, stored, texts
 from .words import SPACE_WORDS, U64, slices, split_words
 
 SEED = 42
@@ -226,19 +227,43 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         cur.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
-                    max_distance: int = 2, dense: int = 256) -> DataFrame:
-    """One row per row: doc_id, fp, component_id (least doc_id that links reach)."""
+def _groups(docs: DataFrame, text: str, doc_id: str, shingle: int, max_distance: int, dense: int):
+    """Stored rows (doc_id, fp) of all documents, and (fp, root, least, component) of all fingerprints."""
     fps = stored(fingerprints(docs, text, doc_id, shingle), "simhash-fingerprints")
     nodes = stored(fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id"))
                                          .alias("least")), "simhash-nodes")
     roots = components(links(nodes, max_distance, dense))
     labels = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = labels.groupBy("root").agg(F.min("least").alias("component"))
-    of_fp = stored(labels.join(least, "root").select("fp", F.col("component.doc_id").alias("component_id")),
-                   "simhash-components")
-    return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    first = labels.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("component"))
+    return fps, stored(labels.join(first, "root"), "simhash-components")
+
+
+def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
+                    max_distance: int = 2, dense: int = 256) -> DataFrame:
+    """One row per row: doc_id, fp, component_id (least doc_id that links reach)."""
+    fps, groups = _groups(docs, text, doc_id, shingle, max_distance, dense)
+    return fps.join(groups.select("fp", F.col("component.least.doc_id").alias("component_id")), "fp")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
+                max_distance: int = 2, dense: int = 256) -> DataFrame:
+    """The documents without those that a document of lesser id is linked to, with their columns."""
+    fps, groups = _groups(docs, text, doc_id, shingle, max_distance, dense)
+    first = groups.where(F.col("component.fp") == F.col("fp")).select("fp", F.col("least.doc_id").alias("first_id"))
+    if not fps.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count():
+        return docs.join(first, docs[f"`{doc_id}`"] == F.col("first_id"), "left_semi")
+    # ids that don't tell rows apart: find the rows by fingerprint, and keep one of those that still agree
+    own = free_name(docs, "fp")
+    schema = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
+
+    def run(batches):
+        for b in slices(batches, text):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text_fingerprints(b.column(text), shingle))],
+                                             [*b.schema.names, own])
+    rows = docs.mapInArrow(run, schema)
+    rows = rows.join(first, (F.col(own) == F.col("fp")) & rows[f"`{doc_id}`"].eqNullSafe(F.col("first_id")), "left_semi")
+    return rows.groupBy(own).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")).select("row.*")
 
 
 def hex64(fp: str = "fp") -> Column:
