@@ -31,6 +31,7 @@ from vendorpulse.sources.roles import driver_roles  # noqa: E402
 
 HAS_LLM = importlib.util.find_spec("vendorpulse.llm") is not None
 if HAS_LLM:  # the training-data operators are an optional part
+    import corpus_pipeline  # noqa: E402
     from vendorpulse.llm import queries as LQ  # noqa: E402
 
 DATES = ("1998-07-01", "1998-08-01", "1998-09-01")
@@ -186,6 +187,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     })
     if HAS_LLM:
         qs.update(LQ.QUERIES)
+        qs["pipeline"] = corpus_pipeline.run
     return qs
 
 
