@@ -250,11 +250,12 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
                 max_distance: int = 2, dense: int = 256) -> DataFrame:
     """The documents without those that a document of lesser id is linked to, with their columns."""
     fps, groups = _groups(docs, text, doc_id, shingle, max_distance, dense)
-    first = groups.where(F.col("component.fp") == F.col("fp")).select("fp", F.col("least.doc_id").alias("first_id"))
+    own, of_first, id_of_first = (free_name(docs, c) for c in ("fp", "first_fp", "first_id"))
+    first = groups.where(F.col("component.fp") == F.col("fp")).select(
+        F.col("fp").alias(of_first), F.col("least.doc_id").alias(id_of_first))
     if not fps.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count():
-        return docs.join(first, docs[f"`{doc_id}`"] == F.col("first_id"), "left_semi")
+        return docs.join(first, docs[f"`{doc_id}`"] == F.col(id_of_first), "left_semi")
     # ids that don't tell rows apart: find the rows by fingerprint, and keep one of those that still agree
-    own = free_name(docs, "fp")
     schema = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
 
     def run(batches):
@@ -262,7 +263,8 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text_fingerprints(b.column(text), shingle))],
                                              [*b.schema.names, own])
     rows = docs.mapInArrow(run, schema)
-    rows = rows.join(first, (F.col(own) == F.col("fp")) & rows[f"`{doc_id}`"].eqNullSafe(F.col("first_id")), "left_semi")
+    rows = rows.join(first, (F.col(own) == F.col(of_first))
+                     & rows[f"`{doc_id}`"].eqNullSafe(F.col(id_of_first)), "left_semi")
     return rows.groupBy(own).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")).select("row.*")
 
 
