@@ -178,6 +178,7 @@ class Model:
     base: np.ndarray = None           # words before each shard's
     hot: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))  # contexts spread by pair, in order
     hot_totals: np.ndarray = None     # their c, N1, N2, N3+
+    paired: frozenset = frozenset()   # shards that hold pairs
     pairs: Discounts = None
     words: Discounts = None
     word_total: int = 0               # distinct pairs
@@ -213,8 +214,8 @@ class Model:
     def pair_counts(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)
         for s, at in _by_shard(self.shard_of(keys)):
-            known = get(self.folder, f"pairs-{s}")
-            if len(known):
+            if s in self.paired:
+                known = get(self.folder, f"pairs-{s}")
                 p = np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)
                 n = np.where(known[p] == keys[at], get(self.folder, f"pair_counts-{s}")[p], 0).astype(np.int64)
                 big = np.flatnonzero(n == 255)
@@ -230,9 +231,9 @@ class Model:
         hot = np.isin(contexts, self.hot)
         out[hot] = self.hot_totals[np.searchsorted(self.hot, contexts[hot])] if hot.any() else 0
         for s, at in _by_shard(np.where(hot, -1, _top(mix(contexts), self.bits))):
-            if s >= 0:
+            if s in self.paired:
                 known = get(self.folder, f"contexts-{s}")
-                if len(known):
+                if len(known):  # else hot ones alone
                     p = np.minimum(np.searchsorted(known, contexts[at]), len(known) - 1)
                     out[at] = np.where((known[p] == contexts[at])[:, None], get(self.folder, f"totals-{s}")[p], 0)
         return out
@@ -346,7 +347,7 @@ def fit(train: DataFrame, text: str = "text", shard_bytes: int = 8 << 20) -> Mod
         owner = np.searchsorted(model.base, after.astype(np.int64), side="right") - 1
         out = [("before", s, pack(after[at], distinct[at]), None) for s, at in _by_shard(owner)]
         out += [("hot", int(c), None, t.tolist()) for c, t in zip(names[~cold], totals[~cold])]
-        out.append(("counts", 0, None, [int((counts == k).sum()) for k in (1, 2, 3, 4)]))
+        out.append(("counts", shard, None, [int((counts == k).sum()) for k in (1, 2, 3, 4)]))
         return pa.table({"kind": [o[0] for o in out], "shard": pa.array([o[1] for o in out], pa.int64()),
                          "block": pa.array([o[2] for o in out], pa.binary()),
                          "sums": pa.array([o[3] for o in out], pa.list_(pa.int64()))})
@@ -370,8 +371,9 @@ def fit(train: DataFrame, text: str = "text", shard_bytes: int = 8 << 20) -> Mod
     if model.word_total:
         model.word_backoff = float(np.array([n[0], n[1], n[4]]) @ model.words.of[1:] / model.word_total)
     add = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(4)]
-    rest = made.where("kind <> 'before'").groupBy("kind", "shard").agg(*add).collect()  # hot contexts: 4 a shard
+    rest = made.where("kind <> 'before'").groupBy("kind", "shard").agg(*add).collect()  # shards, and hot contexts: 4 a shard
     model.pairs = Discounts.fit(np.sum([[r.s0, r.s1, r.s2, r.s3] for r in rest if r.kind == "counts"] or [[0] * 4], axis=0))
+    model.paired = frozenset(r.shard for r in rest if r.kind == "counts")
     hot = {r.shard: [r.s0, r.s1, r.s2, r.s3] for r in rest if r.kind == "hot"}
     model.hot_totals = np.array([hot.get(int(c), [0] * 4) for c in model.hot], np.int64).reshape(-1, 4)
     return model
