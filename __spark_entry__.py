@@ -5,14 +5,16 @@ one reference date) on sf0.001.  ``queries()`` holds one callable per
 operator group of SURVEY §2; ``oracle_sql()`` the DuckDB SQL of each, written
 in the shape of the original definitions (see ``vendorpulse.oracle``).
 
-Every query reads the whole driver tables through the role mapping of
-FIXTURES §B.  Reference dates: 1998-07-01, 1998-08-01, 1998-09-01.
+Every query reads the whole driver tables; those of the feature table through
+the role mapping of FIXTURES §B.  Reference dates: 1998-07-01, 1998-08-01,
+1998-09-01, and 2001-08-01 where labels and predictions must differ.
 """
 
 from __future__ import annotations
 
 import importlib.util
 import sys
+import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -26,8 +28,10 @@ from vendorpulse.operators import features as FE  # noqa: E402
 from vendorpulse.operators import derived as DV  # noqa: E402
 from vendorpulse.operators import asof, preagg, scoring  # noqa: E402
 from vendorpulse.functions.arith import money  # noqa: E402
-from vendorpulse.plans.abt import FeaturePlan  # noqa: E402
-from vendorpulse.sources.roles import driver_roles  # noqa: E402
+from vendorpulse.plans import job  # noqa: E402
+from vendorpulse.plans.abt import FeaturePlan, build_abt_range, read_abt, write_abt  # noqa: E402
+from vendorpulse.sources.roles import driver_roles, read_roles  # noqa: E402
+from vendorpulse.sources.schemas import ROLES  # noqa: E402
 
 HAS_LLM = importlib.util.find_spec("vendorpulse.llm") is not None
 if HAS_LLM:  # the training-data operators are an optional part
@@ -35,6 +39,8 @@ if HAS_LLM:  # the training-data operators are an optional part
     from vendorpulse.llm import queries as LQ  # noqa: E402
 
 DATES = ("1998-07-01", "1998-08-01", "1998-09-01")
+# with a month that only some sellers sell in: labels and predictions of both classes
+LABEL_DATES = (*DATES, "2001-08-01")
 FLAGSHIP_DATE = ("1998-09-01",)
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -80,17 +86,56 @@ LINEAR = scoring.LinearScorer(
     weights=(0.35, -0.08, 1.5, 0.9, 0.2, -0.00001),
     intercept=-2.0,
 )
+OLD_LINEAR = scoring.LinearScorer(fit_vars=LINEAR.fit_vars, weights=(0.0,) * 6, intercept=1.0)
+# A real-valued scorer with a text feature.
+BY_STATE = scoring.CategoryScorer(
+    numbers=("qtd_pedidos_ultimos_6_meses", "dias_desde_ult_venda", "media_vlr_pedido_ultimos_6_meses"),
+    weights=(0.25, -0.03125, 0.0000152587890625), category="seller_state",
+    offsets=(("FRANCE", 0.5), ("GERMANY", -0.75), ("JAPAN", 1.25), ("BRAZIL", 2.0), ("NATION_1", 0.5), ("NATION_7", -1.5)),
+    intercept=0.125)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    """Means of means to the digits that both sides are compared to."""
+    return df.select(*(F.round(F.col(f"`{c}`"), O.DIGITS).alias(c) if O.is_rounded(c) else F.col(f"`{c}`")
+                       for c in df.columns))
+
+
+def _linear_pipeline(spark: SparkSession, scorer: scoring.LinearScorer):
+    """The linear scorer as a Spark ML pipeline of one SQL stage."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import SQLTransformer
+
+    z = f"double('{float(scorer.intercept)!r}')"
+    for v, w in zip(scorer.fit_vars, scorer.weights):
+        z = f"({z} + double('{float(w)!r}') * coalesce(cast({v} as double), double('0')))"
+    return PipelineModel([SQLTransformer(
+        statement=f"SELECT *, CASE WHEN {z} >= double('{scorer.cut!r}') THEN 1.0D ELSE 0.0D END AS prediction FROM __THIS__")])
+
+
+def _models(spark: SparkSession) -> str:
+    """A folder with two saved versions; the newest is LINEAR."""
+    folder = _new_path(spark, "models")
+    for version, scorer in (("model_1998-08-01", OLD_LINEAR), ("model_1998-09-01", LINEAR)):
+        scoring.save_model(_linear_pipeline(spark, scorer), scorer.fit_vars, folder, version)
+    return folder
+
+
+def _new_path(spark: SparkSession, name: str) -> str:
+    from vendorpulse.session import shared_dir
+
+    return f"{shared_dir(spark)}/vendorpulse-{name}-{uuid.uuid4().hex}"
 
 
 def _layer1_query(cols):
     def q(spark, sf_dir):
-        return _plan(spark, sf_dir).layer1().select("dt_ref", "seller_id", *cols)
+        return _rounded(_plan(spark, sf_dir).layer1().select("dt_ref", "seller_id", *cols))
     return q
 
 
-def _layer2_query(cols):
+def _layer2_query(cols, dates=DATES):
     def q(spark, sf_dir):
-        return _plan(spark, sf_dir).layer2().select("dt_ref", "seller_id", *cols)
+        return _rounded(_plan(spark, sf_dir, dates).layer2().select("dt_ref", "seller_id", *cols))
     return q
 
 
@@ -123,41 +168,64 @@ def q_orders_asof(spark, sf_dir):
 
 
 def q_abt_layer1(spark, sf_dir):
-    return _plan(spark, sf_dir, FLAGSHIP_DATE).layer1().drop("dt_ref")
+    return _rounded(_plan(spark, sf_dir, FLAGSHIP_DATE).layer1().drop("dt_ref"))
 
 
 def q_abt_layer2(spark, sf_dir):
-    return _plan(spark, sf_dir, FLAGSHIP_DATE).layer2().drop("dt_ref")
+    return _rounded(_plan(spark, sf_dir, FLAGSHIP_DATE).layer2().drop("dt_ref"))
 
 
 def q_abt_backfill(spark, sf_dir):
-    return _plan(spark, sf_dir).layer2()
+    """Every month of a range."""
+    return _rounded(build_abt_range(driver_roles(spark, sf_dir), DATES[0], DATES[-1]))
+
+
+def q_abt_from_text(spark, sf_dir):
+    """The roles written as CSV text and read back; keys are text there."""
+    folder = _new_path(spark, "roles")
+    for name, df in driver_roles(spark, sf_dir).as_dict().items():
+        df.write.option("header", True).csv(f"{folder}/{name}")
+    roles = read_roles(spark, {name: f"{folder}/{name}" for name in ROLES}, "csv")
+    out = _rounded(FeaturePlan.of(roles, FLAGSHIP_DATE).layer2().drop("dt_ref"))
+    return out.withColumn("seller_id", F.col("seller_id").cast("bigint"))
+
+
+def q_abt_rewrite(spark, sf_dir):
+    """Three dates built and written, one written again, two read back by a date filter."""
+    path, roles = _new_path(spark, "abt"), driver_roles(spark, sf_dir)
+    job.run_job(spark, roles, path, DATES, score=False)
+    job.run_job(spark, roles, path, DATES[1:2], score=False)
+    return _rounded(read_abt(spark, path, DATES[1:]))
+
+
+def q_job_both(spark, sf_dir):
+    """Build and score in one run with the newest model; the predictions as they were written."""
+    predictions = _new_path(spark, "predictions")
+    job.run_job(spark, driver_roles(spark, sf_dir), _new_path(spark, "abt"), LABEL_DATES, models_dir=_models(spark),
+                predictions_path=predictions)
+    return spark.read.schema("dt_ref date, seller_id bigint, fl_venda_predict int").option("header", True).csv(predictions)
 
 
 def q_score_linear(spark, sf_dir):
-    return scoring.score_with_column(_plan(spark, sf_dir).layer2(), LINEAR)
+    return scoring.score_with_column(_plan(spark, sf_dir, LABEL_DATES).layer2(), LINEAR)
 
 
 def q_score_predict(spark, sf_dir):
     """B4 through ``mapInPandas`` with the same fixed-weight model."""
-    return scoring.score_with_predict(_plan(spark, sf_dir).layer2(), LINEAR, LINEAR.fit_vars)
+    return scoring.score_with_predict(_plan(spark, sf_dir, LABEL_DATES).layer2(), LINEAR, LINEAR.fit_vars)
 
 
-def q_score_pipeline(spark, sf_dir):
-    """B1-B6 with Spark ML: train on the feature table, save a version, load the newest, score.
+def q_score_category(spark, sf_dir):
+    """A text feature and real-valued predictions."""
+    return scoring.score_with_predict(_plan(spark, sf_dir, LABEL_DATES).layer2(), BY_STATE, BY_STATE.fit_vars, "double")
 
-    No SQL oracle (a fitted model); the driver records a rows-only check.
-    """
-    import uuid
 
-    from vendorpulse.session import shared_dir
-
-    abt = _plan(spark, sf_dir).layer2()
-    fit_vars = list(LINEAR.fit_vars)
-    models = f"{shared_dir(spark)}/vendorpulse-models-{uuid.uuid4().hex}"
-    scoring.save_model(scoring.train_pipeline(abt, fit_vars), fit_vars, models, "model_1998-09-01")
-    model, fv = scoring.load_model(models, spark)
-    return scoring.score_with_pipeline(abt, model, fv)
+def q_score_pipeline(spark, sf_dir):
+    """B1-B5 with Spark ML: the written feature table, scored with the newest of two saved pipelines."""
+    path = _new_path(spark, "abt")
+    write_abt(_plan(spark, sf_dir, LABEL_DATES).layer2(), path, dates=LABEL_DATES)
+    model, fit_vars = scoring.load_model(_models(spark), spark)
+    return scoring.score_with_pipeline(read_abt(spark, path), model, fit_vars)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -177,11 +245,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs.update({name: _layer1_query(cols) for name, cols in FEATURE_GROUPS.items()})
     qs.update({
         "derived_ratios": _layer2_query(DERIVED_RATIOS),
-        "seller_profile": _layer2_query(SELLER_PROFILE),
+        "seller_profile": _layer2_query(SELLER_PROFILE, LABEL_DATES),
         "abt_layer1": q_abt_layer1,
         "abt_layer2": q_abt_layer2,
         "abt_backfill": q_abt_backfill,
+        "abt_from_text": q_abt_from_text,
+        "abt_rewrite": q_abt_rewrite,
+        "job_both": q_job_both,
         "score_linear": q_score_linear,
+        "score_category": q_score_category,
         "score_predict": q_score_predict,
         "score_pipeline": q_score_pipeline,
     })
@@ -191,12 +263,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return qs
 
 
-def _linear_sql() -> str:
-    z = f"{float(LINEAR.intercept)!r}"
-    for v, w in zip(LINEAR.fit_vars, LINEAR.weights):
+def _weighted_sql(numbers, weights, intercept) -> str:
+    z = f"cast({float(intercept)!r} as double)"
+    for v, w in zip(numbers, weights):
         z = f"({z} + {float(w)!r} * coalesce(cast({v} as double), 0.0))"
-    return O.sql_over_layer2(DATES, f"select dt_ref, seller_id, case when {z} >= {LINEAR.cut!r} then 1 else 0 end"
-                                    " as fl_venda_predict from abt")
+    return z
+
+
+def _linear_sql() -> str:
+    z = _weighted_sql(LINEAR.fit_vars, LINEAR.weights, LINEAR.intercept)
+    return O.sql_over_layer2(LABEL_DATES, f"select dt_ref, seller_id, case when {z} >= {LINEAR.cut!r} then 1 else 0 end"
+                                          " as fl_venda_predict from abt")
+
+
+def _category_sql() -> str:
+    z = _weighted_sql(BY_STATE.numbers, BY_STATE.weights, BY_STATE.intercept)
+    state = " ".join(f"when '{k}' then {v!r}" for k, v in BY_STATE.offsets)
+    return O.sql_over_layer2(LABEL_DATES, f"select dt_ref, seller_id, {z} + cast(case seller_state {state} else 0.0 end"
+                                          " as double) as fl_venda_predict from abt")
 
 
 def oracle_sql() -> dict[str, str]:
@@ -207,12 +291,16 @@ def oracle_sql() -> dict[str, str]:
     for name, cols in FEATURE_GROUPS.items():
         sql[name] = O.sql_layer1(DATES, ["seller_id", *cols])
     sql["derived_ratios"] = O.sql_layer2(DATES, ["seller_id", *DERIVED_RATIOS])
-    sql["seller_profile"] = O.sql_layer2(DATES, ["seller_id", *SELLER_PROFILE])
+    sql["seller_profile"] = O.sql_layer2(LABEL_DATES, ["seller_id", *SELLER_PROFILE])
     sql["abt_layer1"] = O.sql_layer1(FLAGSHIP_DATE, FE.layer1_columns(), with_date=False)
     sql["abt_layer2"] = O.sql_layer2(FLAGSHIP_DATE, DV.layer2_columns(), with_date=False)
     sql["abt_backfill"] = O.sql_layer2(DATES, DV.layer2_columns())
     sql["score_linear"] = _linear_sql()
-    sql["score_predict"] = sql["score_linear"]
+    sql["abt_from_text"] = sql["abt_layer2"]
+    sql["abt_rewrite"] = O.sql_layer2(DATES[1:], DV.layer2_columns())
+    sql["score_category"] = _category_sql()
+    for name in ("score_predict", "score_pipeline", "job_both"):
+        sql[name] = sql["score_linear"]
     if HAS_LLM:
         sql.update(LQ.ORACLE_SQL)
     return sql

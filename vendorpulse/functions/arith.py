@@ -15,6 +15,11 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
+def safe_div_sql(num: str, den: str) -> str:
+    """:func:`safe_div` of two SQL expressions, as text."""
+    return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
+
+
 def money(c: Column) -> Column:
     return c.cast(MONEY)
 

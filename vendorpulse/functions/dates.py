@@ -74,19 +74,38 @@ def in_observation(ts: Column, ref: Column, include_last_day: bool = False) -> C
     return (ts >= F.add_months(ref, -OBSERVATION_MONTHS)) & (ts < window_end(ref, include_last_day))
 
 
-def in_label_month(ts: Column, ref: Column, include_last_day: bool = False) -> Column:
-    """Purchase within the month starting at ``ref`` (next-month sale label)."""
-    hi = F.add_months(ref, 1)
-    return (ts >= ref) & (ts < (hi if include_last_day else F.date_sub(hi, 1)))
-
-
 def mask_after(value: Column, ref: Column) -> Column:
     """As-of view of an event date: NULL when it happened on/after ``ref``."""
     return F.when(value < ref, F.to_date(value))
 
 
-def month_index(d: Column) -> Column:
-    return F.year(d) * 12 + F.month(d)
+def month_number(d: _dt.date) -> int:
+    return d.year * 12 + d.month
+
+
+def month_number_sql(d: str) -> str:
+    return f"(year({d}) * 12 + month({d}))"
+
+
+def month_start_sql(number: str) -> str:
+    """The first day of a month given by its number (year * 12 + month)."""
+    return f"make_date(CAST(({number} - 1) DIV 12 AS INT), CAST(({number} - 1) % 12 + 1 AS INT), 1)"
+
+
+def observed_months_sql(dates: Sequence[_dt.date], pm: str, ld: str, include_last_day: bool = False,
+                        also: str = "true") -> list[str]:
+    """The reference months that observe a purchase of month ``pm``: at most 12 candidates, whatever the number of dates.
+
+    ``ld``: whether the purchase was on the last day of its month, which the next month doesn't observe.
+    """
+    asked = ", ".join(str(month_number(d)) for d in dates)
+    out = []
+    for j in range(1, OBSERVATION_MONTHS + 1):
+        rule = f"{pm} + {j} IN ({asked}) AND {also}"
+        if j == 1 and not include_last_day:
+            rule += f" AND NOT ({ld})"
+        out.append(f"CASE WHEN {rule} THEN {pm} + {j} END")
+    return out
 
 
 def union_observation_bounds(dates: Sequence[_dt.date], include_last_day: bool = False):

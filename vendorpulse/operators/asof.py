@@ -11,9 +11,9 @@ Plan shape (one plan for any number of reference dates, one pass over items):
    seller) — the pre-aggregate A2 — and then to (order, seller).  Both
    aggregates run on the join's ``order_id`` partitioning, so they add no
    exchange; the order attributes ride along as grouping keys.
-3. ``joined_orders``: payments and reviews are semi-joined to the scope,
-   pre-aggregated per order and left-joined on ``order_id`` (same
-   partitioning again).  Payments are a left join with a ``paid`` marker
+3. ``joined_orders``: payments and reviews are pre-aggregated per order
+   (map-side first) and left-joined on ``order_id`` (same partitioning again);
+   the left join drops the orders out of scope.  Payments are a left join with a ``paid`` marker
    rather than an inner join: the features need a payment, the next-month
    label does not.
 4. ``kind_rows``: each joined row is tagged with date-independent month
@@ -71,19 +71,8 @@ def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
     )
 
 
-def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame,
-                  scope: DataFrame | None = None) -> DataFrame:
-    """Left-join the per-order payment and review pre-aggregates to the lines.
-
-    With ``scope``, payments and reviews are first semi-joined to the scoped
-    orders, so the pre-aggregates only cover orders that can be used; the
-    semi join's ``order_id`` partitioning carries through both aggregates and
-    the joins.
-    """
-    if scope is not None:
-        ids = scope.select("order_id")
-        payments = payments.join(ids, "order_id", "left_semi")
-        reviews = reviews.join(ids, "order_id", "left_semi")
+def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Left-join the per-order payment and review pre-aggregates to the lines."""
     pay = payments_per_order(payments, units=True).select(
         "order_id", F.lit(True).alias("paid"),
         *[F.col(f"installments_{t}").alias(f"inst_{t}") for t in PAYMENT_KINDS],
@@ -115,15 +104,14 @@ def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: boo
     x = src.select("*", F.explode(F.expr(kinds)).alias("k")).where("k IS NOT NULL")
     pdate = "to_date(order_purchase_timestamp)"
     dlv = "to_date(order_delivered_customer_date)"
-    month = lambda d: f"(year({d}) * 12 + month({d}))"
     return x.selectExpr(
         "seller_id", "k",
         f"CAST(CASE WHEN k = {KIND_CC} THEN inst_credit_card WHEN k = {KIND_VOUCHER} THEN inst_voucher END"
         " AS BIGINT) AS v",
-        f"{month(pdate)} AS pm",
+        f"{D.month_number_sql(pdate)} AS pm",
         ("false" if include_last_day else f"{pdate} = last_day({pdate})") + " AS ld",
         "paid IS NOT NULL AS paid",
-        f"CASE WHEN k = {KIND_MAIN} THEN {month(dlv)} END AS dm",
+        f"CASE WHEN k = {KIND_MAIN} THEN {D.month_number_sql(dlv)} END AS dm",
         f"{pdate} AS pdate", f"{dlv} AS dlv", "to_date(order_estimated_delivery_date) AS est",
         "order_status", "n_lines", "n_products", "value_price", "value_freight",
         *[f"inst_{t}" for t in PAYMENT_KINDS], *[f"val_{t}" for t in PAYMENT_KINDS],
@@ -134,7 +122,7 @@ def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: boo
 def seller_kind_rows(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
                      dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True) -> DataFrame:
     scope = order_scope(orders, dates, include_last_day, with_label_months=with_label)
-    joined = joined_orders(order_seller_lines(items, scope), payments, reviews, scope)
+    joined = joined_orders(order_seller_lines(items, scope), payments, reviews)
     return kind_rows(joined, include_last_day, with_label)
 
 
@@ -159,7 +147,10 @@ def orders_asof(orders: DataFrame, dates: Sequence[_dt.date], include_last_day:
     """The order view of each reference date: 12-month filter, future events masked."""
     scope = order_scope(orders, dates, include_last_day)
     ts = F.col("order_purchase_timestamp")
-    refs = F.array(*[F.when(D.in_observation(ts, F.lit(d), include_last_day), F.lit(d)) for d in dates])
-    x = scope.select("*", F.explode(refs).alias("dt_ref")).where(F.col("dt_ref").isNotNull())
+    pm = D.month_number_sql("order_purchase_timestamp")
+    ld = "to_date(order_purchase_timestamp) = last_day(order_purchase_timestamp)"
+    months = D.observed_months_sql(dates, pm, ld, include_last_day)
+    x = (scope.select("*", F.explode(F.expr(f"array_compact(array({', '.join(months)}))")).alias("_r"))
+         .withColumn("dt_ref", F.expr(D.month_start_sql("_r"))))
     return x.select("dt_ref", "order_id", "order_status", "order_purchase_timestamp",
                     *asof_columns(F.col("dt_ref"), ts))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..functions.arith import safe_div_sql
 from .features import WINDOW_SUFFIXES, q, window_name
 
 F_ALL = [n for n, _ in WINDOW_SUFFIXES]          # _ate_hoje + 1..6
@@ -18,11 +19,6 @@ def _fam(name: str, windows=F_ALL) -> list[str]:
     return [window_name(name, n) for n in windows]
 
 
-def safe_div_sql(num: str, den: str) -> str:
-    """``num / den`` in double precision; NULL (not an error) when ``den`` is 0 or NULL."""
-    return f"try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE))"
-
-
 def _w(fam: str, n: int) -> str:
     return q(window_name(fam, n))
 

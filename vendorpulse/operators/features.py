@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions.arith import MONEY, MONEY_SCALE
+from ..functions.arith import MONEY, MONEY_SCALE, safe_div_sql
 from .asof import KIND_CC, KIND_LABEL, KIND_MAIN, KIND_VOUCHER
 
 c = F.col
@@ -214,35 +214,26 @@ def month_groups(rows: DataFrame) -> DataFrame:
 def expand_dates(groups: DataFrame, dates, include_last_day: bool = False, with_label: bool = True) -> DataFrame:
     """Attach the reference dates whose windows hold each month group.
 
-    For a first-of-month date with month index ``r``: a paid group is observed
+    For a first-of-month date with month number ``r``: a paid group is observed
     when ``r-12 <= pm <= r-1`` (minus last-day purchases of month ``r-1``),
     its bucket is ``min(r - pm, 7)``, its delivery is visible when
     ``dm < r``; a ``main`` group is a next-month sale for ``r == pm`` (minus
-    last-day purchases).  Dates are literals, so each test is a constant
-    comparison; the explode emits integer codes ``2*date_index + is_label``.
+    last-day purchases).  The candidates come from ``pm``, so a group makes at
+    most 13 rows however many dates are asked for, and none for other dates.
     """
-    idx = [d.year * 12 + d.month for d in dates]
-    codes = []
-    for i, r in enumerate(idx):
-        obs = f"paid AND pm BETWEEN {r - D.OBSERVATION_MONTHS} AND {r - 1}"
-        if not include_last_day:
-            obs += f" AND NOT (pm = {r - 1} AND ld)"
-        codes.append(f"CASE WHEN {obs} THEN {2 * i} END")
-        if with_label:
-            lab = f"k = {KIND_MAIN} AND pm = {r}" + ("" if include_last_day else " AND NOT ld")
-            codes.append(f"CASE WHEN {lab} THEN {2 * i + 1} END")
-    x = (groups.select("*", F.explode(F.expr(f"array({', '.join(codes)})")).alias("_code"))
-         .where("_code IS NOT NULL"))
-    i = "(CAST(_code / 2 AS INT) + 1)"
-    ridx = f"element_at(array({', '.join(map(str, idx))}), {i})"
-    dates_sql = ", ".join(f"DATE '{d.isoformat()}'" for d in dates)
+    months = D.observed_months_sql(dates, "pm", "ld", include_last_day, also="paid")
+    if with_label:
+        asked = ", ".join(str(D.month_number(d)) for d in dates)
+        last = "" if include_last_day else " AND NOT ld"
+        months.append(f"CASE WHEN k = {KIND_MAIN} AND pm IN ({asked}){last} THEN pm END")
+    x = groups.select("*", F.explode(F.expr(f"array_compact(array({', '.join(months)}))")).alias("_r"))
     return x.selectExpr(
         "*",
-        f"element_at(array({dates_sql}), {i}) AS dt_ref",
-        f"CASE WHEN _code % 2 = 1 THEN {KIND_LABEL} ELSE k END AS k2",
-        f"CASE WHEN _code % 2 = 0 THEN least({ridx} - pm, {D.OUTSIDE_TRAILING}) END AS b",
-        f"dm < {ridx} AS kept",
-        f"{ridx} - pm AS month_off",
+        f"{D.month_start_sql('_r')} AS dt_ref",
+        f"CASE WHEN _r = pm THEN {KIND_LABEL} ELSE k END AS k2",
+        f"CASE WHEN _r > pm THEN least(_r - pm, {D.OUTSIDE_TRAILING}) END AS b",
+        "dm < _r AS kept",
+        "_r - pm AS month_off",
     )
 
 
@@ -267,7 +258,7 @@ def _window_aggs(f: Family) -> list[str]:
         elif f.kind == "order_sum":
             agg = f"CAST({s(x)} AS BIGINT)" if f.name == "qtd_review" else from_units_sql(s(x))
         elif f.kind == "order_avg":
-            agg = f"try_divide(CAST({s(f.name + '__num')} AS DOUBLE), CAST({s(f.name + '__den')} AS DOUBLE))"
+            agg = safe_div_sql(s(f.name + "__num"), s(f.name + "__den"))
         elif f.kind == "order_max":
             agg = f"CAST(max(CASE WHEN {w} THEN {q(x)} END) AS BIGINT)"
         elif f.kind == "distinct_avg":
@@ -322,15 +313,12 @@ def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = Fa
     # both arguments are never NULL here (every seller row has a purchase date).
     considered = f"greatest(add_months(dt_ref, -{D.ACTIVATION_MONTHS}), min_purchase_date)"
 
-    def month_index(d):
-        return f"(year({d}) * 12 + month({d}))"
-
     singles = {
         "min_purchase_yearmonth": "date_format(min_purchase_date, 'yyyyMM')",
         "qt_total_dias_considerado": f"CAST(datediff(dt_ref, {considered}) AS BIGINT)",
         "min_purchase_date_considerada": considered,
         "qt_total_meses_considerado":
-            f"CAST(least({month_index('dt_ref')} - {month_index('min_purchase_date')}, {D.ACTIVATION_MONTHS})"
+            f"CAST(least({D.month_number_sql('dt_ref')} - {D.month_number_sql('min_purchase_date')}, {D.ACTIVATION_MONTHS})"
             " AS BIGINT)",
         "qt_meses_venda_considerado": f"CAST(least(n_months, {D.ACTIVATION_MONTHS}) AS BIGINT)",
         "dias_desde_ult_venda": "CAST(datediff(dt_ref, max_purchase_date) AS BIGINT)",

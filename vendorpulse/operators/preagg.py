@@ -75,14 +75,14 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
 def products_per_seller(items: DataFrame, products: DataFrame) -> DataFrame:
     """A4: catalogue profile of every seller over all history.
 
-    Item pairs are de-duplicated map-side first, joined to the products, and
-    the distinct (seller, product row) set of the definition is taken on the
-    join's ``product_id`` partitioning (no extra exchange).  The distinct
+    The definition's distinct (seller, product row) set is the join of the
+    distinct item pairs with the distinct product rows; both sides are
+    de-duplicated map-side first.  A partial aggregate follows the join, so it
+    needs no partitioning of it and AQE may split a hot product.  The distinct
     category count is taken by grouping on the category first, so no
     ``count(distinct)`` (and no ``Expand``) is planned.
     """
-    pairs = items.select("seller_id", "product_id").distinct()
-    sold = pairs.join(products, "product_id").distinct()
+    sold = items.select("seller_id", "product_id").distinct().join(products.distinct(), "product_id")
     per_cat = sold.groupBy("seller_id", F.coalesce("product_category_name", F.lit("")).alias("cat")).agg(
         F.count("product_id").alias("n"),
         F.sum("product_photos_qty").alias("photos"),
@@ -111,13 +111,15 @@ def orders_in_label_months(orders: DataFrame, dates: Sequence[_dt.date],
                            include_last_day: bool = False) -> DataFrame:
     """(order_id, dt_ref) for purchases inside the month that starts at each date (F2).
 
-    The union of the months is a literal range, pushed to the scan.
+    The union of the months is a literal range, pushed to the scan.  An order
+    has one month, so its date is that month's first day, if it is asked for.
     """
     lo, hi = D.union_label_bounds(dates, include_last_day)
     ts = F.col("order_purchase_timestamp")
     pre = orders.where((ts >= F.lit(lo)) & (ts < F.lit(hi)))
-    refs = F.array(*[F.when(D.in_label_month(ts, F.lit(d), include_last_day), F.lit(d)) for d in dates])
-    return pre.select("order_id", F.explode(refs).alias("dt_ref")).where(F.col("dt_ref").isNotNull())
+    if not include_last_day:
+        pre = pre.where(F.to_date(ts) != F.last_day(ts))
+    return pre.select("order_id", F.trunc(ts, "MM").alias("dt_ref")).where(F.col("dt_ref").isin(list(dates)))
 
 
 def sale_label(items: DataFrame, orders: DataFrame, dates: Sequence[_dt.date],

@@ -14,7 +14,7 @@ import datetime as _dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -75,17 +75,30 @@ def build_abt_range(roles: Roles, first: str | _dt.date, last: str | _dt.date,
     return build_abt(roles, D.monthly_range(first, last), include_last_day)
 
 
-def write_abt(abt: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_abt(abt: DataFrame, path: str, fmt: str = "parquet",
+              dates: Iterable[str | _dt.date] | None = None) -> None:
     """Partitioned by ``dt_ref``; rewriting a date replaces only that date's partition.
 
     Re-running the same dates is idempotent, and other dates already in the
-    table are kept (dynamic partition overwrite).
+    table are kept (dynamic partition overwrite).  ``dates`` are the dates
+    that were built: one that has no rows any more loses its old partition.
+    Rows are dealt by date before the write, so a date makes a few files of
+    Spark's advisory size, not one a task.
     """
-    (abt.write.mode("overwrite")
+    written = Observation()
+    (abt.observe(written, F.collect_set("dt_ref").alias("dates"))  # at most one entry per date built
+        .hint("rebalance", "dt_ref")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt_ref")
         .format(fmt)
         .save(path))
+    if dates is None:
+        return
+    left = set(D.validate_ref_dates(dates)) - set(written.get["dates"] or ())
+    for d in sorted(left):
+        old = abt.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/dt_ref={d.isoformat()}")
+        old.getFileSystem(abt.sparkSession._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def read_abt(spark: SparkSession, path: str, dates: Iterable[str | _dt.date] | None = None,

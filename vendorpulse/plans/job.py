@@ -3,11 +3,14 @@
 ::
 
     python -m vendorpulse.plans.job --roles-dir DIR --abt PATH --first 2018-07-01 --last 2018-09-01 \\
-        [--build-only | --score-only] [--models DIR] [--predictions PATH]
+        [--format csv --option sep=; ...] [--build-only | --score-only] \\
+        [--models DIR | --scorer MODULE:OBJECT] [--prediction-type int|double] [--predictions PATH]
 
 ``--roles-dir`` holds one table per role (``orders/``, ``items/`` …, any
-format Spark reads); ``--driver-tables`` maps the TPC-H-like driver tables
-instead.  The feature table is written partitioned by ``dt_ref`` (rerunning
+format Spark reads, with the reader's options); ``--driver-tables`` maps the
+TPC-H-like driver tables instead.  ``--models`` is a folder of saved
+pipelines, ``--scorer`` any importable object with ``predict`` and
+``fit_vars``.  The feature table is written partitioned by ``dt_ref`` (rerunning
 a month replaces that month); predictions are written as CSV with a header
 and no index column (S6).
 """
@@ -16,6 +19,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+import importlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +33,25 @@ from .abt import build_abt, read_abt, write_abt
 
 def run_job(spark: SparkSession, roles: Roles, abt_path: str, dates: Iterable[str | _dt.date],
             build: bool = True, score: bool = True, models_dir: str | None = None,
-            predictions_path: str | None = None, model_version: str | None = None) -> DataFrame | None:
-    """Build and/or score; returns the predictions DataFrame when scoring."""
+            predictions_path: str | None = None, model_version: str | None = None, scorer=None,
+            prediction_type: str = "int") -> DataFrame | None:
+    """Build and/or score; returns the predictions DataFrame when scoring.
+
+    ``scorer``: an object with ``predict`` and ``fit_vars``, instead of a models folder.
+    """
     dates = D.validate_ref_dates(dates)
+    if score and (models_dir is None) == (scorer is None):
+        raise ValueError("scoring needs a models folder or a scorer")
     if build:
-        write_abt(build_abt(roles, dates), abt_path)
+        write_abt(build_abt(roles, dates), abt_path, dates=dates)
     if not score:
         return None
-    if models_dir is None:
-        raise ValueError("scoring needs a models folder")
-    model, fit_vars = scoring.load_model(models_dir, spark, model_version)
     abt = read_abt(spark, abt_path, dates)
-    pred = scoring.score_with_pipeline(abt, model, fit_vars)
+    if scorer is not None:
+        pred = scoring.score_with_predict(abt, scorer, scorer.fit_vars, prediction_type)
+    else:
+        model, fit_vars = scoring.load_model(models_dir, spark, model_version)
+        pred = scoring.score_with_pipeline(abt, model, fit_vars, prediction_type)
     if predictions_path:
         pred.write.mode("overwrite").option("header", True).csv(predictions_path)
     return pred
@@ -52,13 +63,17 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--roles-dir")
     src.add_argument("--driver-tables")
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="reader option")
     ap.add_argument("--abt", required=True)
     ap.add_argument("--first", required=True)
     ap.add_argument("--last", required=True)
     mode = ap.add_mutually_exclusive_group()
     mode.add_argument("--build-only", action="store_true")
     mode.add_argument("--score-only", action="store_true")
-    ap.add_argument("--models")
+    model = ap.add_mutually_exclusive_group()
+    model.add_argument("--models")
+    model.add_argument("--scorer", metavar="MODULE:OBJECT")
+    ap.add_argument("--prediction-type", choices=sorted(scoring.PREDICTION_TYPES), default="int")
     ap.add_argument("--model-version")
     ap.add_argument("--predictions")
     a = ap.parse_args(argv)
@@ -68,10 +83,15 @@ def main(argv: list[str] | None = None) -> None:
     if a.driver_tables:
         roles = driver_roles(spark, a.driver_tables)
     else:
-        roles = read_roles(spark, {r: f"{a.roles_dir.rstrip('/')}/{r}" for r in ROLES}, a.format)
+        roles = read_roles(spark, {r: f"{a.roles_dir.rstrip('/')}/{r}" for r in ROLES}, a.format,
+                           dict(o.split("=", 1) for o in a.option))
+    scorer = None
+    if a.scorer:
+        module, _, name = a.scorer.partition(":")
+        scorer = getattr(importlib.import_module(module), name)
     run_job(spark, roles, a.abt, D.monthly_range(a.first, a.last), build=not a.score_only,
             score=not a.build_only, models_dir=a.models, predictions_path=a.predictions,
-            model_version=a.model_version)
+            model_version=a.model_version, scorer=scorer, prediction_type=a.prediction_type)
 
 
 if __name__ == "__main__":

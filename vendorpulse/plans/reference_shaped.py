@@ -101,7 +101,7 @@ def layer1_one_date(roles: Roles, ref: _dt.date, include_last_day: bool = False)
         "min_purchase_yearmonth": F.date_format("min_purchase_date", "yyyyMM"),
         "qt_total_dias_considerado": F.datediff(r, considered).cast("bigint"),
         "min_purchase_date_considerada": considered,
-        "qt_total_meses_considerado": F.least(D.month_index(r) - D.month_index(c("min_purchase_date")),
+        "qt_total_meses_considerado": F.least(F.year(r) * 12 + F.month(r) - F.expr(D.month_number_sql("min_purchase_date")),
                                               F.lit(D.ACTIVATION_MONTHS)).cast("bigint"),
         "qt_meses_venda_considerado": F.least(c("n_months"), F.lit(D.ACTIVATION_MONTHS)).cast("bigint"),
         "dias_desde_ult_venda": F.datediff(r, c("max_purchase_date")).cast("bigint"),

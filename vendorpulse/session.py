@@ -35,10 +35,12 @@ def get_spark(master: str | None = None, app: str = "vendorpulse", shuffle_parti
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a scratch one only when unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a scratch one for local masters when unset."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="vendorpulse-")  # local runs and tests only
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="vendorpulse-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import DRIVER_SCHEMAS, ROLE_COLUMNS
 
@@ -23,24 +24,56 @@ class Roles:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
 
+def _unreadable(column: str, value: Column) -> Column:
+    return F.raise_error(F.concat(F.lit(f"column {column}: unreadable value "), value.cast("string")))
+
+
+def _typed(column: str, have: T.DataType, want: T.DataType | None) -> Column:
+    """The column in its declared type; empty text is missing, and a value that doesn't fit raises."""
+    x = F.col(f"`{column}`")
+    if want is None:
+        return x
+    if isinstance(want, T.StringType):
+        return x if have == want else x.cast(want).alias(column)
+    if isinstance(want, T.TimestampNTZType):
+        if isinstance(have, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return x
+        text = F.nullif(F.trim(x.cast("string")), F.lit(""))
+        return F.coalesce(text.try_cast(want), F.when(text.isNotNull(), _unreadable(column, text).cast(want))).alias(column)
+    # numbers, through a wide decimal: nothing is rounded unseen
+    places = want.scale if isinstance(want, T.DecimalType) else 0
+    if isinstance(have, T.DecimalType) and have.scale <= places and isinstance(want, T.DecimalType):
+        return x
+    if isinstance(have, (T.IntegerType, T.ShortType, T.ByteType)) and not places:
+        return x.cast(want).alias(column)
+    text = F.nullif(F.trim(x.cast("string")), F.lit(""))
+    wide = text.try_cast(T.DecimalType(38, 12))
+    fits = F.when(wide == F.round(wide, places), wide).try_cast(want)
+    return F.coalesce(fits, F.when(text.isNotNull(), _unreadable(column, text).cast(want))).alias(column)
+
+
 def conform(name: str, df: DataFrame) -> DataFrame:
-    """Select the role's columns in declared order and cast the typed ones.
+    """Select the role's columns in declared order and cast them to their types.
 
-    ``try_cast``: text sources may hold empty strings for missing dates, which
-    become NULL (a plain cast raises under ANSI mode).
+    Text sources may hold empty strings for missing values, which become NULL.
+    Any other value that isn't of the column's type (a date that can't be
+    read, money of more than 4 decimals, a fraction for a count) raises.
     """
     spec = ROLE_COLUMNS[name]
     missing = [c for c in spec if c not in df.columns]
     if missing:
         raise ValueError(f"role {name!r} lacks columns {missing}")
-    return df.select(*[F.col(c) if t is None or df.schema[c].dataType == t else F.col(c).try_cast(t).alias(c)
-                       for c, t in spec.items()])
+    return df.select(*(_typed(c, df.schema[c].dataType, t) for c, t in spec.items()))
 
 
 def read_roles(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet",
                options: dict[str, str] | None = None) -> Roles:
-    """Scan the six role tables (parquet, orc, csv, json … any DataFrameReader format)."""
-    reader = spark.read.format(fmt).options(**(options or {}))
+    """Scan the six role tables (parquet, orc, csv, json … any DataFrameReader format).
+
+    ``options`` go to the reader; CSV files are read with a header unless they say otherwise.
+    """
+    options = {**({"header": "true"} if fmt == "csv" else {}), **(options or {})}
+    reader = spark.read.format(fmt).options(**options)
     return Roles(**{name: conform(name, reader.load(paths[name])) for name in ROLE_COLUMNS})
 
 

@@ -2,64 +2,68 @@
 
 Keys are left to the caller's type (strings in the original marketplace
 export, BIGINT in the driver mapping); the engine never depends on the key
-type.  Readers check the columns below and cast the non-key columns.
+type.  Every other column has a type: text is cast to it, a column that
+already has an accepted type stays as it is.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
+KEY = None
+DAY = T.TimestampNTZType()    # dates and timestamps are accepted as they are
+MONEY = T.DecimalType(18, 4)  # any decimal of at most 4 places
+INT, TEXT = T.IntegerType(), T.StringType()
+
 # Role columns used by the feature definitions.
 ROLE_COLUMNS: dict[str, dict[str, T.DataType | None]] = {
     "orders": {
-        "order_id": None,
-        "order_status": T.StringType(),
-        "order_purchase_timestamp": T.TimestampNTZType(),
-        "order_approved_at": None,
-        "order_delivered_carrier_date": None,
-        "order_delivered_customer_date": None,
-        "order_estimated_delivery_date": None,
+        "order_id": KEY,
+        "order_status": TEXT,
+        "order_purchase_timestamp": DAY,
+        "order_approved_at": DAY,
+        "order_delivered_carrier_date": DAY,
+        "order_delivered_customer_date": DAY,
+        "order_estimated_delivery_date": DAY,
     },
     "items": {
-        "order_id": None,
-        "order_item_id": T.IntegerType(),
-        "product_id": None,
-        "seller_id": None,
-        "price": None,
-        "freight_value": None,
+        "order_id": KEY,
+        "order_item_id": INT,
+        "product_id": KEY,
+        "seller_id": KEY,
+        "price": MONEY,
+        "freight_value": MONEY,
     },
     "payments": {
-        "order_id": None,
-        "payment_sequential": T.IntegerType(),
-        "payment_type": T.StringType(),
-        "payment_installments": T.IntegerType(),
-        "payment_value": None,
+        "order_id": KEY,
+        "payment_sequential": INT,
+        "payment_type": TEXT,
+        "payment_installments": INT,
+        "payment_value": MONEY,
     },
     "reviews": {
-        "review_id": None,
-        "order_id": None,
-        "review_score": T.IntegerType(),
-        "review_creation_date": None,
-        "review_answer_timestamp": None,
+        "review_id": KEY,
+        "order_id": KEY,
+        "review_score": INT,
+        "review_creation_date": DAY,
+        "review_answer_timestamp": DAY,
     },
     "products": {
-        "product_id": None,
-        "product_category_name": T.StringType(),
-        "product_photos_qty": T.IntegerType(),
-        "product_description_lenght": T.IntegerType(),
+        "product_id": KEY,
+        "product_category_name": TEXT,
+        "product_photos_qty": INT,
+        "product_description_lenght": INT,
     },
     "sellers": {
-        "seller_id": None,
-        "seller_zip_code_prefix": T.StringType(),
-        "seller_city": T.StringType(),
-        "seller_state": T.StringType(),
+        "seller_id": KEY,
+        "seller_zip_code_prefix": TEXT,
+        "seller_city": TEXT,
+        "seller_state": TEXT,
     },
 }
 
 ROLES = tuple(ROLE_COLUMNS)
 
-PREDICTION_SCHEMA = "dt_ref date, seller_id {key}, fl_venda_predict int"
-
 # Declared schemas of the driver tables the role mapping reads (no footer-based inference per read).
 DRIVER_SCHEMAS = {
     "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
