@@ -84,20 +84,20 @@ LINEAR = scoring.LinearScorer(
     fit_vars=("qtd_pedidos_ultimos_3_meses", "dias_desde_ult_venda", "proporcao_ativacao_meses",
               "tend_pedidos_m1_m3", "media_notas_review_ultimos_6_meses", "media_vlr_pedido_ultimos_6_meses"),
     weights=(0.35, -0.08, 1.5, 0.9, 0.2, -0.00001),
-    intercept=-2.0,
+    intercept=-9.0,  # about half the sellers on each side
 )
 OLD_LINEAR = scoring.LinearScorer(fit_vars=LINEAR.fit_vars, weights=(0.0,) * 6, intercept=1.0)
 # A real-valued scorer with a text feature.
 BY_STATE = scoring.CategoryScorer(
     numbers=("qtd_pedidos_ultimos_6_meses", "dias_desde_ult_venda", "media_vlr_pedido_ultimos_6_meses"),
     weights=(0.25, -0.03125, 0.0000152587890625), category="seller_state",
-    offsets=(("FRANCE", 0.5), ("GERMANY", -0.75), ("JAPAN", 1.25), ("BRAZIL", 2.0), ("NATION_1", 0.5), ("NATION_7", -1.5)),
+    offsets=(("NATION_1", 0.5), ("NATION_7", -1.5), ("NATION_12", 2.0), ("NATION_20", -0.75)),
     intercept=0.125)
 
 
 def _rounded(df: DataFrame) -> DataFrame:
     """Means of means to the digits that both sides are compared to."""
-    return df.select(*(F.round(F.col(f"`{c}`"), O.DIGITS).alias(c) if O.is_rounded(c) else F.col(f"`{c}`")
+    return df.select(*(F.round(F.col(f"`{c}`") + O.NUDGE, O.DIGITS).alias(c) if O.is_rounded(c) else F.col(f"`{c}`")
                        for c in df.columns))
 
 
