@@ -132,9 +132,10 @@ def fit(docs: DataFrame, ratings: DataFrame, rating: str = "rating", text: str =
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), grade, lists(place, pa.int32()),
                                               lists(value, pa.float32())], ["doc_id", "grade", "place", "value"])
 
-    train = stored(map_arrow(rows.select("doc_id", "text", "rating").repartition(tasks, F.xxhash64("doc_id", "text")),
-                             sparse, "doc_id long, grade int, place array<int>, value array<float>"), "ordinal-rows")
-    train = train.repartition(tasks, F.xxhash64("doc_id")).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)))
+    # dealt and mixed once, then read in that order by every round
+    mixed = (rows.select("doc_id", "text", "rating").repartition(tasks, F.xxhash64("doc_id", "text"))
+             .sortWithinPartitions(F.xxhash64("doc_id", "text", F.lit(1))))
+    train = stored(map_arrow(mixed, sparse, "doc_id long, grade int, place array<int>, value array<float>"), "ordinal-rows")
     for i in range(rounds):
         sent = docs.sparkSession.sparkContext.broadcast(model)
         step = rate / (1 + i)
