@@ -11,7 +11,7 @@ Ratings come from at most about ``sample`` rated rows (by hash of the id; fold
 0 of 5 is never used).  Training mixes parameters: in each round every
 partition runs one pass over its rows from the common parameters, and Spark
 averages the results, coordinate by coordinate; what a task or the driver holds
-is ``2 ** bits`` numbers.  All documents are scored, whole.
+is ``2 ** bits`` numbers, and ``tasks`` tasks send that many in a round.  All documents are scored, whole.
 
 Nulls and empty texts have no words: the thresholds alone grade them.  A null
 ``doc_id`` is scored and never learnt from; null ratings are left out, and of
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, ratings: DataFrame, rating: str = "rating", text: str =
                 both = np.concatenate([now.weights, now.thresholds])
                 at = np.append(np.flatnonzero(both), len(both))  # beyond the last place: the rows
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.append(both, 1.0)[at] * n)], ["at", "value"])
-        mean = (map_arrow(train.select("grade", "place", "value"), run, "at long, value double")
+        mean = (map_arrow(train.select("grade", "place", "value").coalesce(tasks), run, "at long, value double")
                 .groupBy("at").agg(F.sum("value").alias("value")).toPandas())  # 2 ** bits rows
         both = np.zeros(len(model.weights) + len(model.thresholds) + 1)
         both[mean["at"].to_numpy()] = mean["value"].to_numpy()
