@@ -14,7 +14,7 @@ import datetime as _dt
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
@@ -85,20 +85,29 @@ def write_abt(abt: DataFrame, path: str, fmt: str = "parquet",
     Rows are dealt by date before the write, so a date makes a few files of
     Spark's advisory size, not one a task.
     """
-    written = Observation()
-    (abt.observe(written, F.collect_set("dt_ref").alias("dates"))  # at most one entry per date built
-        .hint("rebalance", "dt_ref")
+    spark = abt.sparkSession
+    rebuilt = D.validate_ref_dates(dates) if dates is not None else []
+    before = {d: _files(spark, path, d) for d in rebuilt}
+    (abt.hint("rebalance", "dt_ref")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt_ref")
         .format(fmt)
         .save(path))
-    if dates is None:
-        return
-    left = set(D.validate_ref_dates(dates)) - set(written.get["dates"] or ())
-    for d in sorted(left):
-        old = abt.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/dt_ref={d.isoformat()}")
-        old.getFileSystem(abt.sparkSession._jsc.hadoopConfiguration()).delete(old, True)
+    for d, files in before.items():
+        if files and _files(spark, path, d) == files:  # a partition that was written has new files
+            fs, old = _partition(spark, path, d)
+            fs.delete(old, True)
+
+
+def _partition(spark: SparkSession, path: str, date: _dt.date):
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/dt_ref={date.isoformat()}")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _files(spark: SparkSession, path: str, date: _dt.date) -> set[str]:
+    fs, p = _partition(spark, path, date)
+    return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
 
 
 def read_abt(spark: SparkSession, path: str, dates: Iterable[str | _dt.date] | None = None,
