@@ -33,7 +33,8 @@ from vendorpulse.plans.abt import FeaturePlan, build_abt_range, read_abt, write_
 from vendorpulse.sources.roles import driver_roles, read_roles  # noqa: E402
 from vendorpulse.sources.schemas import ROLES  # noqa: E402
 
-HAS_LLM = importlib.util.find_spec("vendorpulse.llm") is not None
+_llm = importlib.util.find_spec("vendorpulse.llm")  # without an origin: a folder that holds no package
+HAS_LLM = _llm is not None and _llm.origin is not None and importlib.util.find_spec("corpus_pipeline") is not None
 if HAS_LLM:  # the training-data operators are an optional part
     import corpus_pipeline  # noqa: E402
     from vendorpulse.llm import queries as LQ  # noqa: E402
