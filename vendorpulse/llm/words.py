@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 4 << 20  # texts are handled in slices of about this size, so memory doesn't follow the batch
+SLICE_BYTES = 1 << 20  # texts are handled in slices of about this size, so memory doesn't follow the batch
 
 _SPACE = np.ones(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = False
