@@ -150,7 +150,7 @@ def orders_asof(orders: DataFrame, dates: Sequence[_dt.date], include_last_day:
     pm = D.month_number_sql("order_purchase_timestamp")
     ld = "to_date(order_purchase_timestamp) = last_day(order_purchase_timestamp)"
     months = D.observed_months_sql(dates, pm, ld, include_last_day)
-    x = (scope.select("*", F.explode(F.expr(f"array_compact(array({', '.join(months)}))")).alias("_r"))
+    x = (scope.select("*", F.explode(F.expr(f"array({', '.join(months)})")).alias("_r")).where("_r IS NOT NULL")
          .withColumn("dt_ref", F.expr(D.month_start_sql("_r"))))
     return x.select("dt_ref", "order_id", "order_status", "order_purchase_timestamp",
                     *asof_columns(F.col("dt_ref"), ts))

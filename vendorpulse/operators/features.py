@@ -226,7 +226,8 @@ def expand_dates(groups: DataFrame, dates, include_last_day: bool = False, with_
         asked = ", ".join(str(D.month_number(d)) for d in dates)
         last = "" if include_last_day else " AND NOT ld"
         months.append(f"CASE WHEN k = {KIND_MAIN} AND pm IN ({asked}){last} THEN pm END")
-    x = groups.select("*", F.explode(F.expr(f"array_compact(array({', '.join(months)}))")).alias("_r"))
+    # a plain array stays inside whole-stage codegen; the empty places go right after
+    x = groups.select("*", F.explode(F.expr(f"array({', '.join(months)})")).alias("_r")).where("_r IS NOT NULL")
     return x.selectExpr(
         "*",
         f"{D.month_start_sql('_r')} AS dt_ref",
