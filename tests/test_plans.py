@@ -6,8 +6,8 @@ import os
 import tempfile
 
 import pytest
-from conftest import SF001
 from pyspark.sql import functions as F
+from shop import SF001
 
 import __spark_entry__ as E
 from oracle_compare import compare, duck

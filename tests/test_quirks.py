@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import Shop
+from shop import Shop
 
 from vendorpulse import FeaturePlan
 from vendorpulse.functions import dates as D
