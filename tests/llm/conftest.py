@@ -3,17 +3,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from cases import SF001, prose
 
-SF001 = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: names that the operators use inside, as columns of a user's table
 CLASHES = ("fp", "k", "a", "late", "overlap", "toxicity", "quality", "site", "queue", "ids", "word", "g", "x0", "n_words")
 
 
-def prose(rng, n, words=400):
-    return " ".join(f"w{min(int(rng.expovariate(1 / 60)), words)}" for _ in range(n))
-
-
 @pytest.fixture(scope="session")
 def messy(spark):
     """Rows (doc_id, text, lang, source, n_chars) with every awkward case, and columns with clashing names."""
@@ -45,14 +41,6 @@ def empty(messy):
     return messy.limit(0)
 
 
-def pairs(df):
-    return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
-
-
-def rows(df, *columns):
-    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=str)
-
-
 @pytest.fixture(scope="session")
 def small(spark):
     return spark.read.parquet(f"{SF001}/documents.parquet")

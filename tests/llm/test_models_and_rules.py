@@ -11,7 +11,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import SF001, pairs, prose, rows
+from cases import SF001, pairs, prose, rows
 from pyspark.sql import functions as F
 
 from vendorpulse.llm import ngram, ordinal, packing, pii, quality_rules, toxicity, urls

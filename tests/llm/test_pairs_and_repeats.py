@@ -5,7 +5,7 @@ from __future__ import annotations
 import brute
 import numpy as np
 import pytest
-from conftest import SF001, pairs, rows
+from cases import SF001, pairs, rows
 from pyspark.sql import functions as F
 
 from vendorpulse.llm import queries as Q
