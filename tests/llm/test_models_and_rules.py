@@ -81,6 +81,32 @@ def test_toxicity_messy(messy, empty, labels, toy, spark):
         r[-1].score for r in toxicity.score(messy, none).collect()) < 1e-6
 
 
+def test_toxicity_held_out_recall_by_language(spark):
+    """Of the labelled rows of fold 0, in each language (before: 0 of 15 in German, 1 of 18 in French, 1 of 6 in Spanish)."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = docs.join(labels.where(fold("doc_id", 5) == 0), "doc_id").select("doc_id", "text", "lang", "toxic")
+    out = toxicity.score(held, toxicity.fit(docs, labels)).withColumn("p", F.col("toxicity.score") >= 0.5)
+    got = {(r.lang, r.toxic): (r.hit, r.n) for r in out.groupBy("lang", "toxic").agg(
+        F.sum(F.col("p").cast("int")).alias("hit"), F.count("*").alias("n")).collect()}
+    for lang in ("en", "de", "fr", "es"):
+        hit, n = got[lang, 1]
+        assert hit >= 0.8 * n and got[lang, 0][0] <= 0.03 * got[lang, 0][1]
+
+
+def test_toxicity_learns_expressions_of_two_words(spark):
+    rng = random.Random(6)
+    docs, labels = [], []
+    for i in range(400):  # both words are as frequent in either class
+        words, toxic = prose(rng, 100).split(), int(i % 4 == 0)
+        for _ in range(4):
+            words.insert(rng.randint(0, len(words)), "zip zap" if toxic else rng.choice(["zap zip", "zap w3 zip"]))
+        docs.append((i, " ".join(words)))
+        labels.append((i, toxic))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = toxicity.score(docs, toxicity.fit(docs, labels)).withColumn("p", (F.col("toxicity.score") >= 0.5).cast("int"))
+    assert _accuracy(out, labels, "p", "toxic") >= 0.97
+
+
 def test_op1_query(spark, small):
     out = Q.QUERIES["op1_toxicity"](spark, SF001)
     got = out.collect()

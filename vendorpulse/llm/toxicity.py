@@ -1,19 +1,27 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Each class has an interpolated Kneser-Ney model of the letters (bytes) of a
-word, given the ``ORDER - 1`` before; a text counts a word once.  Orders up to
-``SHARED`` are one pooled model of both classes: what is rare falls back on
-counts that the classes share and tells nothing.  A toxic text is ordinary but
-for some words, so its likelihood of a word is the mixture
-``(1 - rate) p_ordinary + rate p_toxic``; the evidence of a text is the
-difference of the two log-likelihoods, divided by its number of words.  A
-logistic curve, fitted on labelled rows that counted for neither model, turns
-evidence into a score.
+The classes share one interpolated Kneser-Ney model of words: a word given the
+word before it backs off to the word alone, and that, below the words that were
+learnt, to its letters (bytes), each given the ``ORDER - 1`` before.  At every
+order a class has its own counts, held against those that the shared model and
+the order below expect of it: its probability is the shared one times (count +
+prior) / (expected + prior).  So what is rare, or equally frequent in both
+classes, tells nothing; orders of letters up to ``SHARED`` are never told apart.
+Counts are of texts, so a word that one text repeats counts once.
+
+A toxic text is ordinary but for some words, so its likelihood of a word is the
+mixture ``(1 - rate) p_ordinary + rate p_toxic``; the evidence of a text is the
+difference of the two log-likelihoods over all its words, divided by their
+number.  A logistic curve, fitted on labelled rows that counted for neither
+model, turns evidence into a score; without a given ``rate`` the one of
+``RATES`` is taken with which the curve fits those rows best.
 
 Counts come from at most about ``per_class`` labelled rows of each class (by
-hash of the id; fold 0 of 5 is never used, fold 4 only fits the curve), and the
-model keeps at most ``max_grams`` of the highest order: both bound what the
-driver and the tasks hold.  All documents are scored, whole.
+hash of the id; fold 0 of 5 is never used, fold 4 only fits the curve and the
+rate), and the model keeps at most ``max_grams`` of the letters' highest order:
+both bound what the driver and the tasks hold.  Pairs of words don't pass the
+driver: they are sorted arrays in the shared folder, one file set per shard of
+the key space, which workers memory-map.  All documents are scored, whole.
 
 Nulls and empty texts have no words and the score of no evidence.  A null
 ``doc_id`` is scored, and never learnt from.  Rows with several labels count as
@@ -31,12 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, free_name, map_arrow
-from .ngram import Discounts
+from .common import fold, free_name, map_arrow, shared_path, stored
+from .ngram import Discounts, get, put
 from .words import ALNUM_WORDS, U64, Words, mix, slices, split_words
 
 ORDER, SHARED = 6, 2
 _CACHE_WORDS = 1_000_000
+SHARDS = 16  # of the pairs' keys, by their highest bits
+#: priors, in counts, of letters, words alone and pairs of words
+LETTERS, WORDS, PAIRS = 10.0, 1.0, 10.0
+RATES = (0.001, 0.002, 0.005, 0.01, 0.02, 0.05)
 
 
 def _mask(k: int) -> np.uint64:
@@ -79,42 +91,112 @@ def counts_of(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return out, sums
 
 
+def expression_counts(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (first 0) and pairs of neighbours (first, second), and in how many ordinary and toxic texts each is."""
+    w = split_words(column, ALNUM_WORDS, lower=True)
+    h, doc = w.hashes(), w.doc()
+    at = np.flatnonzero(doc[1:] == doc[:-1])
+    first, second = np.append(np.zeros(len(h), U64), h[at]), np.append(h, h[at + 1])
+    doc = np.append(doc, doc[at])
+    keys, where, back = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
+    texts = np.unique(back * (len(column) + 1) + doc)  # a text counts a word or pair once
+    key, toxic = texts // (len(column) + 1), labels[texts % (len(column) + 1)].astype(bool)
+    sums = np.stack([np.bincount(key[~toxic], minlength=len(keys)), np.bincount(key[toxic], minlength=len(keys))], 1)
+    return first[where], second[where], sums
+
+
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One key of each pair; that of a word alone (first 0) is the word's hash."""
+    return np.where(first == 0, second, mix(first * U64(0x9E3779B97F4A7C15) + second))
+
+
+def tilted(lower: np.ndarray, counts: np.ndarray, expected: np.ndarray, prior: float) -> np.ndarray:
+    """Log ratio toxic / ordinary, from that of the order below, the classes' counts, and the counts that the pooled
+    model expects of each class."""
+    e = np.exp(np.clip(lower, -20, 20))
+    mean = expected.sum(1) / np.maximum(expected[:, 0] + expected[:, 1] * e, 1e-300)  # keeps the sum
+    return (lower + np.log(counts[:, 1] + prior) - np.log(expected[:, 1] * mean * e + prior)
+            - np.log(counts[:, 0] + prior) + np.log(expected[:, 0] * mean + prior))
+
+
+def _discounted(n: np.ndarray) -> np.ndarray:
+    return Discounts.fit(np.array([(n == i).sum() for i in (1, 2, 3, 4)]))(n)
+
+
+def _shard(keys: np.ndarray) -> np.ndarray:
+    return (keys >> U64(60)).astype(np.int32)
+
+
+def _known(table: tuple, keys: np.ndarray, lower: np.ndarray, prior: float) -> np.ndarray:
+    """``lower``, but for the words or pairs that were learnt."""
+    own, counts, expected = table
+    p = np.minimum(np.searchsorted(own, keys), len(own) - 1)
+    known = np.flatnonzero(own[p] == keys)
+    out, p = lower.copy(), p[known]
+    out[known] = tilted(lower[known], counts[p], expected[p].astype(float), prior)
+    return out
+
+
+@dataclass
+class Contexts:
+    """What a pair's pooled probability needs of its words: it backs off to the second word's."""
+
+    first: np.ndarray     # sorted hashes of the words before others
+    total: np.ndarray     # their pairs' counts (ordinary, toxic)
+    back: np.ndarray      # the discounts of their pairs
+    words: np.ndarray     # sorted hashes of words
+    base: np.ndarray      # their pooled probabilities
+    discounts: Discounts
+
+    def expected(self, first: np.ndarray, second: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.first, first)
+        total, n = self.total[at].astype(float), counts.sum(1)
+        p = n - self.discounts(n) + self.back[at] * self.base[np.searchsorted(self.words, second)]
+        return (total * (p / total.sum(1))[:, None]).astype(np.float32)
+
+
 @dataclass
 class Model:
     rate: float
     grams: dict = field(default_factory=dict)     # order -> (sorted keys, log ratio toxic / ordinary)
-    backoff: dict = field(default_factory=dict)   # order -> (sorted contexts, log ratio of the backoff weights)
+    words: tuple = ()                             # sorted hashes of words, their counts, the counts expected
+    pairs: tuple = ()                             # folder and shards of the same for pairs
     slope: float = 1.0
     offset: float = -1e3
 
     @classmethod
     def fit(cls, keys: np.ndarray, counts: np.ndarray, rate: float) -> Model:
-        """From the counts (ordinary, toxic) of the highest order."""
+        """The letters, from the counts (ordinary, toxic) of the highest order."""
         orders = {ORDER: (keys, counts)}
         for k in range(ORDER - 1, 0, -1):  # how many different bytes come before
             up, n = orders[k + 1]
             low, where = np.unique(up & _mask(k), return_inverse=True)
             orders[k] = low, np.stack([np.bincount(where, n[:, c] > 0, len(low)) for c in (0, 1)], 1).astype(np.int64)
         model = cls(rate)
-        below_keys, below = None, None
+        below_keys, below, ratio = None, None, None
         for k in range(1, ORDER + 1):
             own, n = orders[k]
-            if k <= SHARED:
-                n = np.repeat(n.sum(1, keepdims=True), 2, axis=1)
             context, where = np.unique(own >> U64(8), return_inverse=True)
-            p, weights = np.empty(n.shape), np.empty((len(context), 2))
-            for c in (0, 1):
-                discount = Discounts.fit(np.array([(n[:, c] == i).sum() for i in (1, 2, 3, 4)]))(n[:, c])
-                total = np.bincount(where, n[:, c], len(context))
-                weights[:, c] = np.where(total > 0, np.bincount(where, discount, len(context)) / np.maximum(total, 1), 1)
-                lower = np.full(len(own), 1 / 256) if k == 1 else below[np.searchsorted(below_keys, own & _mask(k - 1)), c]
-                p[:, c] = (n[:, c] - discount) / np.maximum(total, 1)[where] + weights[where, c] * lower
+            total = np.stack([np.bincount(where, n[:, c], len(context)) for c in (0, 1)], 1)
+            discount = _discounted(n.sum(1))
+            at = None if k == 1 else np.searchsorted(below_keys, own & _mask(k - 1))
+            lower = np.full(len(own), 1 / 256) if k == 1 else below[at]
+            pooled = np.maximum(total.sum(1), 1)
+            p = (n.sum(1) - discount + np.bincount(where, discount, len(context))[where] * lower) / pooled[where]
+            ratio = np.zeros(len(own)) if k <= SHARED else tilted(ratio[at], n, total[where] * p[:, None], LETTERS)
             below_keys, below = own, p
             if k > SHARED:
-                model.grams[k] = own, np.log(p[:, 1] / p[:, 0]).astype(np.float32)
-                model.backoff[k] = context, np.log(weights[:, 1] / weights[:, 0]).astype(np.float32)
+                model.grams[k] = own, ratio.astype(np.float32)
         return model
 
+    def fit_words(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """From the words' counts (ordinary, toxic); returns their pooled probabilities, in the order of their hashes."""
+        order = np.argsort(words)
+        words, n = words[order], counts[order]
+        base = (n.sum(1) - _discounted(n.sum(1))) / max(n.sum(), 1)
+        self.words = words, n.astype(np.int32), (n.sum(0) * base[:, None]).astype(np.float32)
+        return base
+
     def ratios(self, keys: np.ndarray) -> np.ndarray:
         """Log ratio of the classes' probabilities of each key's last byte."""
         out, open_ = np.zeros(len(keys)), np.arange(len(keys))
@@ -125,20 +207,26 @@ class Model:
             key = keys[open_] & _mask(k)
             p = np.minimum(np.searchsorted(own, key), len(own) - 1)
             known = own[p] == key
-            out[open_[known]] += ratio[p[known]]
-            open_, key = open_[~known], key[~known] >> U64(8)
-            context, weight = self.backoff[k]
-            p = np.minimum(np.searchsorted(context, key), len(context) - 1)
-            out[open_] += np.where(context[p] == key, weight[p], 0)
+            out[open_[known]] = ratio[p[known]]
+            open_ = open_[~known]
+        return out
+
+    def _pairs_known(self, keys: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        if not self.pairs:
+            return lower
+        folder, shards = self.pairs
+        shard, out = _shard(keys), lower.copy()
+        for i in shards:
+            at = np.flatnonzero(shard == i)
+            out[at] = _known(tuple(get(folder, f"{i}-{name}") for name in ("keys", "counts", "expected")), keys[at], lower[at], PAIRS)
         return out
 
-    def evidence(self, column: pa.Array, cache: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Per text: number of different words, evidence."""
+    def word_ratios(self, column: pa.Array, cache: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The text of each word, and its log ratio after the word before it."""
         w = split_words(column, ALNUM_WORDS, lower=True)
-        n = len(column)
-        at, doc, h = distinct_words(w)
-        if not len(at) or not self.grams:
-            return np.bincount(doc, minlength=n), np.zeros(n)
+        h, doc = w.hashes(), w.doc()
+        if not len(h) or not self.grams:
+            return doc, np.zeros(len(h))
         words, first, which = np.unique(h, return_index=True, return_inverse=True)
         value = np.full(len(words), np.nan)
         if cache:
@@ -146,10 +234,11 @@ class Model:
             value = np.where(cache[0][p] == words, cache[1][p], value)
         new = np.flatnonzero(np.isnan(value))
         if len(new):
-            keys, word = letter_keys(w, at[first[new]])
+            keys, word = letter_keys(w, first[new])
             u, back = np.unique(keys, return_inverse=True)
-            ratio = np.minimum(np.bincount(word, self.ratios(u)[back], len(new)), 50.0)
-            value[new] = np.log1p(self.rate * np.expm1(ratio))
+            value[new] = np.bincount(word, self.ratios(u)[back], len(new))
+            if self.words and len(self.words[0]):
+                value[new] = _known(self.words, words[new], value[new], WORDS)
             if cache is not None:
                 if cache and len(cache[0]) + len(new) <= _CACHE_WORDS:
                     both = np.concatenate([cache[0], words[new]])
@@ -157,12 +246,34 @@ class Model:
                     cache[:] = both[order], np.concatenate([cache[1], value[new]])[order]
                 else:
                     cache[:] = words, value
-        total = np.bincount(doc, minlength=n)
-        return total, np.bincount(doc, value[which], n) / np.maximum(total, 1)
+        ratio = value[which]
+        at = np.flatnonzero(doc[1:] == doc[:-1]) + 1
+        ratio[at] = self._pairs_known(pair_keys(h[at - 1], h[at]), ratio[at])
+        return doc, ratio
+
+    def evidence(self, column: pa.Array, cache: list | None = None, rates: tuple[float, ...] = ()) -> tuple[np.ndarray, ...]:
+        """Per text: number of words, evidence (at each of ``rates``, or the model's)."""
+        doc, ratio = self.word_ratios(column, cache)
+        total = np.bincount(doc, minlength=len(column))
+        odds = np.expm1(np.minimum(ratio, 50.0))
+        return total, *(np.bincount(doc, np.log1p(rate * odds), len(column)) / np.maximum(total, 1)
+                        for rate in rates or (self.rate,))
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * _scale(evidence) + self.offset, -500, 500)))
 
+    def loss(self, evidence: np.ndarray, labels: np.ndarray) -> float:
+        p = np.clip(self.scores(evidence), 1e-9, 1 - 1e-9)
+        return -float(np.log(np.where(labels == 1, p, 1 - p)).sum())
+
+    def calibrate_rate(self, evidence: list[np.ndarray], labels: np.ndarray, rates: tuple[float, ...]) -> None:
+        """The curve, and the rate of ``rates`` with which it fits best."""
+        found = []
+        for rate, e in zip(rates, evidence):
+            self.calibrate(e, labels)
+            found.append((self.loss(e, labels), rate, self.slope, self.offset))
+        _, self.rate, self.slope, self.offset = min(found)
+
     def calibrate(self, evidence: np.ndarray, labels: np.ndarray) -> None:
         """Logistic curve over the scaled evidence, with targets drawn in by one row of each class."""
         x, pos, neg = _scale(evidence), labels.sum(), (1 - labels).sum()
@@ -188,19 +299,20 @@ def _scale(evidence: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-        per_class: int = 10_000, max_grams: int = 1_000_000, rate: float = 0.0005) -> Model:
+        per_class: int = 10_000, max_grams: int = 1_000_000, rate: float | None = None) -> Model:
     own = (labels.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("toxic"))
            .where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .where(fold("doc_id", 5) != 0))
     sizes = {r.toxic: r.n for r in own.where("toxic in (0, 1)").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
-        return Model(rate)
+        return Model(rate or RATES[0])
     share = F.when(F.col("toxic") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
     picked = own.where("toxic in (0, 1)").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
     small = min(sizes.values()) < 40  # too few to keep a fold apart: the curve sees the counted rows
-    rows = (docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-            .join(F.broadcast(picked), "doc_id")  # about 2 * per_class ids
-            .select("text", "toxic", (fold("doc_id", 5) == 4).alias("apart")))
+    rows = stored(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+                  .join(F.broadcast(picked), "doc_id")  # about 2 * per_class ids
+                  .select("text", "toxic", (fold("doc_id", 5) == 4).alias("apart")), "toxicity-labelled")
+    learnt = rows.where("true" if small else "not apart").select("text", "toxic")
 
     def count(batches):
         held = []
@@ -213,25 +325,90 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1])],
                                              ["key", "ordinary", "toxic"])
 
-    found = (map_arrow(rows.where("true" if small else "not apart").select("text", "toxic"), count,
-                       "key long, ordinary long, toxic long")
+    def count_expressions(batches):
+        held = []
+        for b in slices(batches, "text"):
+            held.append(expression_counts(b.column("text"), b.column("toxic").to_numpy()))
+            if sum(len(x[0]) for x in held) > 2_000_000:
+                held = [_summed_expressions(held)]
+        if held:
+            first, second, n = _summed_expressions(held)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_shard(pair_keys(first, second))), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
+                 pa.array(n[:, 0]), pa.array(n[:, 1])], ["shard", "first", "second", "ordinary", "toxic"])
+
+    found = (map_arrow(learnt, count, "key long, ordinary long, toxic long")
              .groupBy("key").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
              .orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "key").limit(max_grams).toPandas())
     keys = found["key"].to_numpy(np.int64).view(U64)
     order = np.argsort(keys)
-    model = Model.fit(keys[order], found[["ordinary", "toxic"]].to_numpy(np.int64)[order], rate)
+    model = Model.fit(keys[order], found[["ordinary", "toxic"]].to_numpy(np.int64)[order], rate or RATES[0])
+    said = stored(map_arrow(learnt, count_expressions, "shard int, first long, second long, ordinary long, toxic long")
+                  .groupBy("shard", "first", "second").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
+                  "toxicity-expressions")
+    alone = said.where("first = 0").select("second", "ordinary", "toxic").toArrow()
+    base = model.fit_words(_hashes(alone, "second"), _columns(alone, "ordinary", "toxic"))
+    model.pairs = _pairs(said.where("first <> 0"), model.words[0], base)
+    rates = RATES if rate is None else (rate,)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def apart(batches):
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array(sent.value.evidence(b.column("text"))[1]), b.column("toxic")],
-                                             ["evidence", "toxic"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, sent.value.evidence(b.column("text"), rates=rates)[1:]),
+                                              b.column("toxic")], [*(f"e{i}" for i in range(len(rates))), "toxic"])
     seen = map_arrow(rows.where("true" if small else "apart").select("text", "toxic"), apart,
-                     "evidence double, toxic int").toPandas()
-    model.calibrate(seen["evidence"].to_numpy(float), seen["toxic"].to_numpy(float))
+                     ", ".join([*(f"e{i} double" for i in range(len(rates))), "toxic int"])).toPandas()
+    model.calibrate_rate([seen[f"e{i}"].to_numpy(float) for i in range(len(rates))], seen["toxic"].to_numpy(float), rates)
     return model
 
 
+def _summed_expressions(parts):
+    first, second, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    keys, at, where = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
+    return first[at], second[at], np.stack([np.bincount(where, n[:, c], len(keys)) for c in (0, 1)], 1).astype(np.int64)
+
+
+def _hashes(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).to_numpy().view(U64)
+
+
+def _columns(table: pa.Table, *columns: str) -> np.ndarray:
+    return np.stack([table.column(c).to_numpy().astype(np.int64) for c in columns], 1)
+
+
+def _pairs(pairs: DataFrame, words: np.ndarray, base: np.ndarray) -> tuple:
+    """Writes the pairs with their expected counts; returns the folder and the shards that have any."""
+    n, folder = F.col("ordinary") + F.col("toxic"), shared_path(pairs.sparkSession, "toxicity-pairs")
+    sizes = [*(F.count_if(n == i).cast("int").alias(f"n{i}") for i in (1, 2, 3, 4)), F.count_if(n > 4).cast("int").alias("more")]
+    found = pairs.groupBy("first").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), *sizes).toArrow()
+    if not len(found):
+        return ()
+    first, kinds = _hashes(found, "first"), _columns(found, "n1", "n2", "n3", "n4", "more")
+    order, discounts = np.argsort(first), Discounts.fit(kinds[:, :4].sum(0))
+    back = kinds @ discounts(np.array([1, 2, 3, 4, 5]))
+    sent = pairs.sparkSession.sparkContext.broadcast(Contexts(
+        first[order], _columns(found, "ordinary", "toxic")[order].astype(np.int32), back[order], words, base, discounts))
+
+    def write(batches):
+        parts = [(b.column("first").to_numpy().view(U64), b.column("second").to_numpy().view(U64),
+                  np.stack([b.column(c).to_numpy() for c in ("ordinary", "toxic")], 1)) for b in batches]
+        if not parts:
+            return
+        first, second, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        keys = pair_keys(first, second)
+        order = np.argsort(keys)
+        keys, n, expected = keys[order], n[order], sent.value.expected(first[order], second[order], n[order])
+        shards, at = np.unique(_shard(keys), return_index=True)
+        for shard, lo, hi in zip(shards.tolist(), at, np.append(at[1:], len(keys))):
+            put(folder, f"{shard}-keys", keys[lo:hi])
+            put(folder, f"{shard}-counts", n[lo:hi].astype(np.int32))
+            put(folder, f"{shard}-expected", expected[lo:hi])
+        yield pa.RecordBatch.from_arrays([pa.array(shards)], ["shard"])
+
+    done = map_arrow(pairs.repartition(SHARDS, "shard"), write, "shard int").collect()
+    return folder, sorted(r.shard for r in done)
+
+
 def _summed(parts):
     keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
     n = np.concatenate([c for _, c in parts])
