@@ -298,6 +298,26 @@ def test_outliers_by_group(spark):
     assert all(got[1000 + i] for i in range(60)) and sum(got[i] for i in range(400)) <= 2
 
 
+def test_repeated_words_alone_are_an_outlier(spark):
+    rng = random.Random(8)
+    docs = [(i, " ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(100)), "en", "a") for i in range(300)]
+    docs += [(1000 + i, " ".join([t[:21] + u[:58] + t[:21] for t, u in [(docs[i][1].split(), docs[i + 1][1].split())]][0]),
+              "en", "a") for i in range(5)]
+    out = quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"))
+    got = {r.doc_id: r for r in out.withColumn("base_failed", quality_rules.base_failed()).collect()}
+    assert all(got[1000 + i].n_repeat_words == 42 and not got[1000 + i].base_failed and got[1000 + i].outlier for i in range(5))
+    assert sum(got[i].outlier for i in range(300)) <= 2
+
+
+def test_outliers_against_labels(spark):
+    """Of the rows that pass the base rules (before: 136 of the 291 of quality 0 were kept)."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality_rules.judge(docs).where(~quality_rules.base_failed()).join(labels, "doc_id")
+    got = {r.quality: (r.n, r.out) for r in judged.groupBy("quality").agg(
+        F.count("*").alias("n"), F.sum(F.col("outlier").cast("int")).alias("out")).collect()}
+    assert got[0][1] >= 0.98 * got[0][0] and got[1][1] <= 0.005 * got[1][0]
+
+
 def test_chi_square():
     for k, x in ((1, 3.841), (2, 5.991), (5, 11.070), (7, 14.067)):
         assert abs(quality_rules.chi_square_quantile(0.05, k) - x) < 2e-3

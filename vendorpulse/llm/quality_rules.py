@@ -186,7 +186,7 @@ def _with(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", source: str = "source",
-          share: float = 0.75, tail: float = 1e-9, floor: tuple[float, ...] = (0.25, 0.1, 0.1, 0.25, 0.1),
+          share: float = 0.75, tail: float = 1e-4, floor: tuple[float, ...] = (0.25, 0.1, 0.1, 0.25, 0.1),
           steps: int = 3, min_rows: int = 100) -> DataFrame:
     """One row per row: doc_id, the statistics, distance (squared, scaled; null without words), outlier."""
     group = F.to_json(F.struct(F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{source}`").cast("string").alias("s")))
