@@ -170,6 +170,12 @@ def test_packing_proportions_and_shares(spark):
     _check_packing(many, pairs(docs))
 
 
+def test_packing_refuses_shares_that_it_would_ignore(spark):
+    docs = spark.createDataFrame([(i, "a b c", f"s{i}") for i in range(5)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError, match="shares"):
+        packing.pack(docs, JSON, RANKS, shares={"source s0": 0.5, "source s1": 0.5}, max_queues=3)
+
+
 def test_packing_places_are_a_permutation():
     plan = packing.Schedule({"a": 1000, "b": 10, "c": 777, "d": 1}, {"a": 0.1, "b": 0.6, "c": 0.3}, 16)
     queue = np.repeat(np.arange(4), plan.quanta)

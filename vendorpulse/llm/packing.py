@@ -115,10 +115,12 @@ _encoders: dict[tuple, Encoder] = {}
 
 
 def tokenized(docs: DataFrame, path: str, ranks: str | None, text: str, doc_id: str, source: str,
-              end_id: int, max_queues: int) -> DataFrame:
+              end_id: int, max_queues: int, by_name: bool) -> DataFrame:
     """Rows (doc_id, queue, part, start, n, ids), stored; start: place in the queue's tokens of this part."""
     src = F.col(f"`{source}`").cast("string")
     if docs.select(F.count_distinct(src)).first()[0] >= max_queues:
+        if by_name:
+            raise ValueError(f"shares of single sources need a queue each: there are {max_queues} sources or more")
         queue = F.concat(F.lit("queue "), F.pmod(F.xxhash64(src), F.lit(max_queues)).cast("string"))
     else:
         queue = F.when(src.isNull(), F.lit("null")).otherwise(F.concat(F.lit("source "), src))
@@ -187,10 +189,11 @@ def pack(docs: DataFrame, tokenizer: str, ranks: str | None = None, window: int
     sequence_id, offset.
 
     ``shares`` gives target proportions by queue ("source NAME", "null"); without it, those of the tokens.
+    They are refused if sources must share queues.
     """
     if window % quantum:
         raise ValueError("quantum must divide window")
-    tokens = tokenized(docs, tokenizer, ranks, text, doc_id, source, end_id, max_queues)
+    tokens = tokenized(docs, tokenizer, ranks, text, doc_id, source, end_id, max_queues, bool(shares))
     parts = stored(tokens.groupBy("part", "queue").agg(F.sum("n").alias("n")), "packing-parts")
     before = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = stored(parts.select("part", "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
