@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: ``QUERIES`` (name -> callable) and ``ORACLE_SQL`` (DuckDB SQL).
+"""Registered queries of the operators: ``QUERIES`` (name -> callable) and ``ORACLE_SQL`` (DuckDB SQL).
 
 Each query applies its operator to the whole of its table and derives the
 digest columns of its contract from what the operator returns.
@@ -8,11 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ngram, ordinal, packing, pii, quality_rules, simhash, substring, toxicity, urls, winnow
-from .common import fold
+from . import hard_negatives, ngram, ordinal, packing, pii, quality_rules, runs, simhash, substring, topk, toxicity, urls, winnow
+from .common import fold, map_arrow
+from .words import SPACE_WORDS, slices, split_words
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +111,56 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.hex64().alias("fingerprint"), "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors: ids divisible by 100; labels of ids divisible by 7 move up by one."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: ids divisible by 20, against all rows."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """Texts (doc_id, text) in which a tenth, by crc32 of the id, repeats its words from some place on with one period."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+
+    def run(batches):
+        for b in slices(batches, "text"):
+            w = split_words(b.column("text"), SPACE_WORDS)
+            data, starts, _ = w.normal()
+            starts = np.append(starts, len(data))
+            out, h = b.column("text").to_pylist(), b.column("h").to_numpy()
+            for d in np.flatnonzero((h % 10 == 0) & (w.counts > 0)).tolist():
+                n, g, words = int(w.counts[d]), int(h[d]) // 10, starts[w.first[d]: w.first[d + 1] + 1].tolist()
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                once = data[words[a]: words[a + p]].tobytes() if a + p <= n else data[words[a]: words[n]].tobytes()
+                times, rest = divmod(n - a, p)
+                text = data[words[0]: words[a]].tobytes() + once * times + data[words[a]: words[a + rest]].tobytes()
+                out[d] = text.decode()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_arrow(docs.select("doc_id", "text", h.alias("h")), run, f"doc_id {kind}, text string")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 24 words and three periods at least."""
+    out = runs.collapse(with_periods(table(spark, sf_dir, "documents")), min_length=24, min_exponent=3)
+    greater = lambda a, x: x["length"].cast("long") * a["period"] > a["length"].cast("long") * x["period"]
+    # runs stand by start and period, so the first of the greatest is the one asked for
+    top = F.aggregate("runs", F.get("runs", F.lit(0)), lambda a, x: F.when(greater(a, x), x).otherwise(a))
+    lines = F.array_join(F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n"))), "")
+    return (out.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col(f"top.{c}").cast("long").alias(c)
+                                                                for c in ("start", "length", "period")),
+        F.expr("(1000L * top.length) div top.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -119,6 +172,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_ngram": op9_ngram,
     "op10_simhash": op10_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_topk": op12_topk,
+    "op13_runs": op13_runs,
 }
 
 _HOST_PATH = """
@@ -144,6 +200,36 @@ def _site_sql() -> str:
     from hp"""
 
 
+def _vectors_sql(scale: int, label: str) -> str:
+    """Rows (vec_id, label, e) of the embeddings that take part, as lists of whole doubles."""
+    return f"""select vec_id, label, list_transform(embedding, lambda x: floor({scale} * cast(x as double))) as e
+      from (select vec_id, embedding, {label} as label from embeddings)
+      where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"""
+
+
+_DOT = "cast(list_inner_product(q.e, c.e) as bigint)"
+
+_TOPK_SQL = f"""
+    with v as ({_vectors_sql(64, "0")}),
+    s as (select q.vec_id as query_id, c.vec_id, {_DOT} as score from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0),
+    r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+    select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 20"""
+
+_NEGATIVES_SQL = f"""
+    with v as ({_vectors_sql(256, "case when vec_id % 7 = 0 then (label + 1) % 10 else label end")}),
+    s as (select q.vec_id as anchor_id, c.vec_id, q.label = c.label as alike, {_DOT} as score
+          from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 100 = 0),
+    p as (select * from s where alike qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+    n as (select p.anchor_id, p.vec_id as positive_id, s.vec_id as negative_id, p.score as positive_score, s.score as negative_score,
+                 row_number() over (partition by p.anchor_id, p.vec_id order by s.score desc, s.vec_id) as rank
+          from p join s on s.anchor_id = p.anchor_id and not s.alike
+               and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+    select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 10"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op8_urls": _site_sql(),
+    "op11_hard_negatives": _NEGATIVES_SQL,
+    "op12_topk": _TOPK_SQL,
 }
