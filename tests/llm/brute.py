@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import xxhash
 
@@ -167,3 +168,76 @@ def simhash(docs, distance=2):
         groups[find(i)].append(docs[i][0])
     least = {g: None if None in ids else min(ids) for g, ids in groups.items()}
     return [(d, f"{f:016x}", least[find(i)]) for i, ((d, _), f) in enumerate(zip(docs, prints))]
+
+
+# --- op11, op12
+def vectors(rows, scale):
+    """(vec_id, label) -> whole components, of the rows that take part; of rows that share an id the least."""
+    out = {}
+    for i, x, label in rows:
+        if i is None or x is None or label is None or any(c is None or not math.isfinite(c) for c in x):
+            continue
+        row = (label, [math.floor(scale * c) for c in x])
+        out[i] = min(out.get(i, row), row)
+    return out
+
+
+def _dot(a, b):
+    return sum(x * y for x, y in zip(a, b))
+
+
+def top_k(rows, asked, k, scale):
+    v, out = vectors(rows, scale), []
+    for q in filter(asked, v):
+        best = sorted((-_dot(v[q][1], v[i][1]), i) for i in v if i != q)[:k]
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    return out
+
+
+def hard_negatives(rows, asked, positives=5, negatives=10, low=30, high=90, scale=256):
+    v, out = vectors(rows, scale), []
+    for a in filter(asked, v):
+        label = v[a][0]
+        scored = sorted((-_dot(v[a][1], v[i][1]), i) for i in v if i != a)
+        for p, i in [x for x in scored if v[x[1]][0] == label][:positives]:
+            fits = [(s, j) for s, j in scored if v[j][0] != label and low * -p <= 100 * -s <= high * -p][:negatives]
+            out += [(a, i, n, j, -p, -s) for n, (s, j) in enumerate(fits, 1)]
+    return out
+
+
+# --- op13
+def runs(words, min_length=24, min_exponent=3):
+    """(start, length, period), by start and period: for every period the stretches that can't be longer."""
+    found, n = {}, len(words)
+    for q in range(1, n // min_exponent + 1):
+        i = 0
+        while i + q < n:
+            s = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            if i > s and i + q - s >= max(min_length, min_exponent * q):
+                found.setdefault((s, i + q), q)
+            i += i == s
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def op13(docs):
+    out = []
+    for d, text in docs:
+        words = SPACE.findall(text or "")
+        n, h = len(words), zlib.crc32(("" if d is None else str(d)).encode())
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[a + (i - a) % p] if i >= a else words[i] for i in range(n)]
+        found = runs(words)
+        top = max(found, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None, None, None))
+        lines = "".join(f"{s},{m},{q}\n" for s, m, q in found)
+        out.append((d, len(found), *top, 1000 * top[1] // top[2] if found else None, sha(lines), sha(collapsed(words, found))))
+    return out

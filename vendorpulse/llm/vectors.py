@@ -53,9 +53,7 @@ class Rows:
         def lists(name, width, kind):
             return batch.column(name).flatten().to_numpy(zero_copy_only=False).reshape(-1, width).astype(kind, copy=False)
         n = len(batch)
-        data = b"".join(batch.column("v").to_pylist())
-        rows = cls(column("vec_id"), column("label"), np.frombuffer(data, "<i4").reshape(n, -1), column("norm"),
-                   lists("to", refs, float))
+        rows = cls(column("vec_id"), column("label"), _matrix(batch), column("norm"), lists("to", refs, float))
         if "lo" in batch.schema.names and batch.column("lo").null_count == 0:
             width = len(batch.column("lo")[0]) if n else 1
             rows.lo, rows.hi = lists("lo", width, np.int64), lists("hi", width, np.int64)
@@ -66,6 +64,11 @@ class Rows:
                       (self.ids, self.labels, self.v, self.norm, self.to, self.lo, self.hi)))
 
 
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    """The vectors of a batch, which all have one length."""
+    return batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+
+
 def number_type(a: Rows, b: Rows) -> type:
     """The type in which the inner products of ``a`` with ``b`` are exact."""
     most = float(a.norm.max(initial=0)) * float(b.norm.max(initial=0))
@@ -100,10 +103,11 @@ def integers(rows: DataFrame, scale: int, vector: str = "embedding", label: str
             v, keep = v[~bad], pa.array(~bad)
             yield pa.RecordBatch.from_arrays(
                 [b.column("vec_id").filter(keep), b.column("label").filter(keep),
-                 pa.array([x.tobytes() for x in v.astype("<i4")], pa.binary()), pa.array(np.sqrt((v * v).sum(axis=1)))],
+                 pa.ListArray.from_arrays(np.arange(len(v) + 1, dtype=np.int32) * width, v.astype(np.int32).ravel()),
+                 pa.array(np.sqrt((v * v).sum(axis=1)))],
                 ["vec_id", "label", "v", "norm"])
 
-    out = stored(map_arrow(own, run, "vec_id long, label long, v binary, norm double"), "vectors")
+    out = stored(map_arrow(own, run, "vec_id long, label long, v array<int>, norm double"), "vectors")
     if out.groupBy("vec_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
         least = out.groupBy("vec_id").agg(F.min(F.struct("label", "v", "norm")).alias("row"))
         out = stored(least.select("vec_id", "row.*"), "vectors-by-id")
@@ -113,14 +117,14 @@ def integers(rows: DataFrame, scale: int, vector: str = "embedding", label: str
 def references(rows: DataFrame, n: int, sample: int, unit: bool) -> np.ndarray:
     """``n`` vectors far from each other, from a sample of ``sample`` rows (by a hash of their ids); unit: of length 1."""
     got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()
-    x = np.array([np.frombuffer(r.v, "<i4") for r in got], float)
+    x = np.array([r.v for r in got], float)
     if not len(x):
         return np.zeros((0, 1))
     if unit:
         size = np.sqrt((x * x).sum(axis=1))
         x = x[size > 0] / size[size > 0, None]
         if not len(x):  # nothing but zeros: any direction will do
-            return np.eye(1, len(got[0].v) // 4)
+            return np.eye(1, len(got[0].v))
     picked, away = [0], ((x - x[0]) ** 2).sum(axis=1)
     while len(picked) < n and away.max() > 1e-9:
         picked.append(int(away.argmax()))
@@ -157,15 +161,14 @@ def build(rows: DataFrame, refs: np.ndarray, measure: Callable[[np.ndarray, np.n
     def run(batches):
         for b in batches:
             if len(b):
-                v = np.frombuffer(b"".join(b.column("v").to_pylist()), "<i4").reshape(len(b), -1).astype(float)
-                to = measure(v, b.column("norm").to_numpy(), refs)
+                to = measure(_matrix(b).astype(float), b.column("norm").to_numpy(), refs)
                 offsets = np.arange(len(b) + 1, dtype=np.int32) * len(refs)
                 yield pa.RecordBatch.from_arrays(
                     [*b.columns, pa.ListArray.from_arrays(offsets, to.ravel()), pa.array(to.argmin(axis=1).astype(np.int32))],
                     [*b.schema.names, "to", "near"])
 
     n = len(refs)
-    known = stored(map_arrow(rows, run, "vec_id long, label long, v binary, norm double, to array<double>, near int")
+    known = stored(map_arrow(rows, run, "vec_id long, label long, v array<int>, norm double, to array<double>, near int")
                    .withColumn("bucket", F.pmod(F.xxhash64("label"), F.lit(BUCKETS)).cast("int")), "vectors-measured")
     # at most BUCKETS * n rows, whatever the table's size
     got = known.groupBy("bucket", "near").agg(
@@ -185,7 +188,7 @@ def build(rows: DataFrame, refs: np.ndarray, measure: Callable[[np.ndarray, np.n
     return Index(dealt, clusters, n)
 
 
-_ASK = "vec_id long, label long, v binary, norm double, to array<double>, lo array<long>, hi array<long>"
+_ASK = "vec_id long, label long, v array<int>, norm double, to array<double>, lo array<long>, hi array<long>"
 _FOUND = "query_id long, which int, vec_id long, score long"
 
 
