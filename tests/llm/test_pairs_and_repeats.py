@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vendorpulse.llm import queries as Q
 from vendorpulse.llm import simhash, substring, winnow
-from vendorpulse.llm.words import SPACE_WORDS, split_words, windowed_minimum
+from vendorpulse.llm.words import SPACE_WORDS, run_hashes, split_words, windowed_minimum
 
 
 # --- words
@@ -24,6 +24,54 @@ def test_words_hashes_and_runs_depend_on_words_alone():
     assert at.tolist() == [0, 1, 3, 4] and runs[1] == runs[2]
 
 
+def complement(levels, a="a", b="b"):
+    """Two sequences, each the other's complement, on which polynomial hashes modulo a power of two agree."""
+    x, y = [a], [b]
+    for _ in range(levels):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_hashes_of_complementary_words_and_runs_differ():
+    import pyarrow as pa
+    for levels in (10, 11):
+        x, y = ("".join(w) for w in complement(levels))
+        w = split_words(pa.array([x, y]), SPACE_WORDS)
+        assert all(len(set(w.hashes(i).tolist())) == 2 for i in (0, 1))
+        x, y = complement(levels)
+        w = split_words(pa.array([" ".join(x), " ".join(y)]), SPACE_WORDS)
+        for i in (0, 1):
+            h = run_hashes(w.hashes(i), w.first[:-1], w.first[1:], i)
+            assert h[0] != h[1]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 6, 13, 20, 276])
+def test_run_hashes_tell_runs_apart(n):
+    rng = np.random.default_rng(n)
+    h = rng.integers(1 << 62, size=4)[rng.integers(0, 4, 3000)].astype(np.uint64)
+    at = np.arange(3000 - n + 1)
+    for i in (0, 1):
+        by_hash = {}
+        for a, x in zip(at.tolist(), run_hashes(h, at, at + n, i).tolist()):
+            by_hash.setdefault(x, set()).add(h[a: a + n].tobytes())
+        assert all(len(v) == 1 for v in by_hash.values())
+        assert len(by_hash) == len({h[a: a + n].tobytes() for a in at.tolist()})
+
+
+def test_words_that_polynomial_hashes_confuse(spark):
+    """Substrings, windows and counts of complementary words of 1,024 bytes, against brute force."""
+    x, y = ("".join(w) for w in complement(10))
+    around = [f"t{i}" for i in range(15)]
+    docs = [(1, " ".join([*around, x, *around])), (2, " ".join([*around, y, *around]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute.substring(set(docs))
+    assert _op6(substring.deduplicate(df)) == sorted((want[r] for r in docs), key=str) and want[docs[1]][2] == 0
+    items = spark.createDataFrame([("i", " ".join([*around[-6:], x, *around[:6]]))], "item_id string, text string")
+    for limit in (winnow.BROADCAST_WINDOWS, 0):
+        judged = winnow.overlaps(df, items, broadcast_windows=limit)
+        assert _op3(judged) == sorted(brute.decontaminate(docs, [tuple(r) for r in items.collect()]), key=str)
+
+
 def test_windowed_minimum_is_rightmost():
     v = np.array([3, 1, 2, 1, 5, 1, 1, 9], np.uint64)
     for width in range(1, 8):

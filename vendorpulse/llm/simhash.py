@@ -24,72 +24,14 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import free_name, map_arrow, stored, texts
-from .words import SPACE_WORDS, U64, slices, split_words
+from .words import SPACE_WORDS, U64, slices, split_words, xxh64
 
 SEED = 42
-# the multipliers of XXH64 (fixed values)
-P1, P2, P3, P4, P5 = map(U64, (11400714785074694791, 14029467366897019727, 1609587929392839161,
-                               9650029242287828579, 2870177450012600261))
-_LONG = 256  # longer shingles are hashed one by one
-
-
-def _rotl(x: np.ndarray, n: int) -> np.ndarray:
-    return (x << U64(n)) | (x >> U64(64 - n))
-
-
-def _round(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
-    return _rotl(acc + lane * P2, 31) * P1
-
-
-def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = SEED) -> np.ndarray:
-    """XXH64 of each byte range."""
-    size = ends - starts
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    lane8 = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
-    lane4 = np.ndarray(len(data) + 1, "<u4", padded, strides=(1,))
-    add = lambda *xs: U64(sum(map(int, xs)) % (1 << 64))
-    h = np.full(len(starts), add(seed, P5), U64)
-    at = starts.copy()
-    long = np.flatnonzero((size >= 32) & (size <= _LONG))
-    if len(long):
-        acc = [np.full(len(long), v, U64) for v in (add(seed, P1, P2), add(seed, P2), seed, add(seed, -int(P1)))]
-        p, left = starts[long], size[long] // 32
-        for i in range(int(left.max())):
-            on = np.flatnonzero(left > i)
-            for k in range(4):
-                acc[k][on] = _round(acc[k][on], lane8[p[on] + 32 * i + 8 * k])
-        g = _rotl(acc[0], 1) + _rotl(acc[1], 7) + _rotl(acc[2], 12) + _rotl(acc[3], 18)
-        for a in acc:
-            g = (g ^ _round(np.zeros(len(g), U64), a)) * P1 + P4
-        h[long], at[long] = g, p + 32 * left
-    h += size.astype(U64)
-    left = np.where(size <= _LONG, ends - at, 0)
-    while len(on := np.flatnonzero(left >= 8)):
-        h[on] = _rotl(h[on] ^ _round(np.zeros(len(on), U64), lane8[at[on]]), 27) * P1 + P4
-        at[on] += 8
-        left[on] -= 8
-    on = np.flatnonzero(left >= 4)
-    h[on] = _rotl(h[on] ^ (lane4[at[on]].astype(U64) * P1), 23) * P2 + P3
-    at[on] += 4
-    left[on] -= 4
-    while len(on := np.flatnonzero(left >= 1)):
-        h[on] = _rotl(h[on] ^ (data[at[on]].astype(U64) * P5), 11) * P1
-        at[on] += 1
-        left[on] -= 1
-    h ^= h >> U64(33)
-    h *= P2
-    h ^= h >> U64(29)
-    h *= P3
-    h ^= h >> U64(32)
-    for i in np.flatnonzero(size > _LONG):
-        h[i] = xxhash.xxh64_intdigest(data[starts[i]: ends[i]].tobytes(), seed)
-    return h
 
 
 def text_fingerprints(column: pa.Array, shingle: int = 3) -> np.ndarray:
@@ -104,7 +46,7 @@ def text_fingerprints(column: pa.Array, shingle: int = 3) -> np.ndarray:
     doc = np.concatenate([w.doc()[at], whole])
     order = np.argsort(doc, kind="stable") if len(whole) else slice(None)
     doc = doc[order]
-    h = xxh64(data, starts[first[order]], ends[last[order]])
+    h = xxh64(data, starts[first[order]], ends[last[order]], SEED)
     out = np.zeros(len(n), U64)
     if len(doc):
         begins = np.flatnonzero(np.diff(doc, prepend=-1))

@@ -2,9 +2,11 @@
 
 Both word definitions in use are byte classes of UTF-8 text (every separator is
 ASCII), so a batch of texts is split by one table look-up over its bytes.
-Word hashes are polynomial sums over table values, taken from one running sum
-per batch; runs of words are hashed the same way over the word hashes.  A run
-hash depends on nothing but the run's words.
+Words are hashed by XXH64, under two seeds where 128 bits are needed.  Runs of
+words are hashed by doubling: blocks of 1, 2, 4 … words each mix the hashes of
+their halves, and a run mixes the two blocks, from its begin and to its end,
+that cover it.  A run hash depends on nothing but the run's words, and no step
+is linear, so no words are known that collide under every seed.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 SLICE_BYTES = 1 << 20  # texts are handled in slices of about this size, so memory doesn't follow the batch
@@ -31,7 +34,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
 _EMPTY, _LINE_FEED = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
-_SEEDS = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
+#: seeds of the two word hashes, and odd multipliers of the two run hashes
+_SEEDS = (0, 0x9E3779B97F4A7C15)
+_STEPS = (U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,32 +50,63 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class _Powers:
-    """``base**i`` and ``base**-i`` modulo 2**64, grown on demand."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, U64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 1 << 16)
-            for name, b in (("up", self.base), ("down", self.inverse)):
-                p = np.full(size, b, U64)
-                p[0] = 1
-                setattr(self, name, np.multiply.accumulate(p))
-        return self.up[:n], self.down[:n]
-
-
-_BYTE = [(mix(np.arange(1, 257, dtype=U64) * U64(s)), _Powers(s | 1)) for s in _SEEDS]
-_RUN = [_Powers(b) for b in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
-
-
-def _range_sums(values: np.ndarray, powers: _Powers, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    up, down = powers.upto(len(values) + 1)
-    total = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * up[: len(values)], out=total[1:])
-    return (total[ends] - total[starts]) * down[starts]
+# the multipliers of XXH64 (fixed values)
+P1, P2, P3, P4, P5 = map(U64, (11400714785074694791, 14029467366897019727, 1609587929392839161,
+                               9650029242287828579, 2870177450012600261))
+_LONG = 256  # longer ranges are hashed one by one
+
+
+def _rotl(x: np.ndarray, n: int) -> np.ndarray:
+    return (x << U64(n)) | (x >> U64(64 - n))
+
+
+def _round(acc: np.ndarray, lane: np.ndarray) -> np.ndarray:
+    return _rotl(acc + lane * P2, 31) * P1
+
+
+def xxh64(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 42) -> np.ndarray:
+    """XXH64 of each byte range."""
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lane8 = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    lane4 = np.ndarray(len(data) + 1, "<u4", padded, strides=(1,))
+    add = lambda *xs: U64(sum(map(int, xs)) % (1 << 64))
+    h = np.full(len(starts), add(seed, P5), U64)
+    at = starts.copy()
+    long = np.flatnonzero((size >= 32) & (size <= _LONG))
+    if len(long):
+        acc = [np.full(len(long), v, U64) for v in (add(seed, P1, P2), add(seed, P2), seed, add(seed, -int(P1)))]
+        p, left = starts[long], size[long] // 32
+        for i in range(int(left.max())):
+            on = np.flatnonzero(left > i)
+            for k in range(4):
+                acc[k][on] = _round(acc[k][on], lane8[p[on] + 32 * i + 8 * k])
+        g = _rotl(acc[0], 1) + _rotl(acc[1], 7) + _rotl(acc[2], 12) + _rotl(acc[3], 18)
+        for a in acc:
+            g = (g ^ _round(np.zeros(len(g), U64), a)) * P1 + P4
+        h[long], at[long] = g, p + 32 * left
+    h += size.astype(U64)
+    left = np.where(size <= _LONG, ends - at, 0)
+    while len(on := np.flatnonzero(left >= 8)):
+        h[on] = _rotl(h[on] ^ _round(np.zeros(len(on), U64), lane8[at[on]]), 27) * P1 + P4
+        at[on] += 8
+        left[on] -= 8
+    on = np.flatnonzero(left >= 4)
+    h[on] = _rotl(h[on] ^ (lane4[at[on]].astype(U64) * P1), 23) * P2 + P3
+    at[on] += 4
+    left[on] -= 4
+    while len(on := np.flatnonzero(left >= 1)):
+        h[on] = _rotl(h[on] ^ (data[at[on]].astype(U64) * P5), 11) * P1
+        at[on] += 1
+        left[on] -= 1
+    h ^= h >> U64(33)
+    h *= P2
+    h ^= h >> U64(29)
+    h *= P3
+    h ^= h >> U64(32)
+    for i in np.flatnonzero(size > _LONG):
+        h[i] = xxhash.xxh64_intdigest(data[starts[i]: ends[i]].tobytes(), seed)
+    return h
 
 
 @dataclass
@@ -91,9 +127,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self, which: int = 0) -> np.ndarray:
-        table, powers = _BYTE[which]
-        h = _range_sums(table[self.data], powers, self.starts, self.ends)
-        return mix(h ^ (self.ends - self.starts).astype(U64))
+        return xxh64(self.data, self.starts, self.ends, _SEEDS[which])
 
     def runs(self, hashes: np.ndarray, n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Start and hash of every run of ``n`` words of one text, in order."""
@@ -118,8 +152,17 @@ class Words:
 
 
 def run_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """Hash of each range of words, from their hashes."""
-    return mix(_range_sums(hashes, _RUN[which], starts, ends) + (ends - starts).astype(U64))
+    """Hash of each range of words (one at least), from their hashes."""
+    size, step = ends - starts, _STEPS[which]
+    power = np.frexp(size)[1] - 1  # the largest power of two within the size
+    out, block = np.zeros(len(starts), U64), hashes
+    for k in range(int(power.max(initial=-1)) + 1):
+        if k:
+            half = 1 << (k - 1)
+            block = mix(block[:-half] * step + _rotl(block[half:], 29))
+        on = np.flatnonzero(power == k)
+        out[on] = mix(mix(block[starts[on]] + size[on].astype(U64)) * step + _rotl(block[ends[on] - (1 << k)], 29))
+    return out
 
 
 def split_words(texts: pa.Array, word_bytes: np.ndarray = SPACE_WORDS, lower: bool = False) -> Words:
