@@ -12,7 +12,6 @@ the role mapping of FIXTURES §B.  Reference dates: 1998-07-01, 1998-08-01,
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
@@ -26,22 +25,25 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from vendorpulse import oracle as O  # noqa: E402
 from vendorpulse.operators import features as FE  # noqa: E402
 from vendorpulse.operators import derived as DV  # noqa: E402
-from vendorpulse.operators import asof, preagg, scoring  # noqa: E402
+from vendorpulse.operators import asof, preagg, scoring, segments  # noqa: E402
 from vendorpulse.functions.arith import money  # noqa: E402
 from vendorpulse.plans import job  # noqa: E402
-from vendorpulse.plans.abt import FeaturePlan, build_abt_range, read_abt, write_abt  # noqa: E402
+from vendorpulse.plans.abt import DayPlan, FeaturePlan, build_abt, build_abt_range, read_abt, write_abt  # noqa: E402
 from vendorpulse.sources.roles import driver_roles, read_roles  # noqa: E402
 from vendorpulse.sources.schemas import ROLES  # noqa: E402
 
-_llm = importlib.util.find_spec("vendorpulse.llm")  # without an origin: a folder that holds no package
-HAS_LLM = _llm is not None and _llm.origin is not None and importlib.util.find_spec("corpus_pipeline") is not None
-if HAS_LLM:  # the training-data operators are an optional part
+try:  # the training-data operators, and what they import, are an optional part
     import corpus_pipeline  # noqa: E402
     from vendorpulse.llm import queries as LQ  # noqa: E402
+    HAS_LLM = True
+except ImportError:
+    HAS_LLM = False
 
 DATES = ("1998-07-01", "1998-08-01", "1998-09-01")
 # with a month that only some sellers sell in: labels and predictions of both classes
 LABEL_DATES = (*DATES, "2001-08-01")
+# any days: month shifts that run over, windows that overlap, labels of both classes
+DAYS = ("1998-03-31", "1998-04-15", "1998-04-30", "2001-07-31")
 FLAGSHIP_DATE = ("1998-09-01",)
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -181,6 +183,22 @@ def q_abt_backfill(spark, sf_dir):
     return _rounded(build_abt_range(driver_roles(spark, sf_dir), DATES[0], DATES[-1]))
 
 
+def q_abt_midmonth(spark, sf_dir):
+    """Reference dates of any day, in one plan."""
+    return _rounded(build_abt(driver_roles(spark, sf_dir), DAYS))
+
+
+def q_orders_asof_midmonth(spark, sf_dir):
+    """F1/F3/F9/X2 for any days."""
+    plan = DayPlan.of(driver_roles(spark, sf_dir), DAYS)
+    return segments.orders_asof(plan.roles.orders, plan.line(with_label=False))
+
+
+def q_sale_label_midmonth(spark, sf_dir):
+    """A5/F2 for any days, whose label months overlap."""
+    return DayPlan.of(driver_roles(spark, sf_dir), DAYS).label()
+
+
 def q_abt_from_text(spark, sf_dir):
     """The roles written as CSV text and read back; keys are text there."""
     folder = _new_path(spark, "roles")
@@ -250,6 +268,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "abt_layer1": q_abt_layer1,
         "abt_layer2": q_abt_layer2,
         "abt_backfill": q_abt_backfill,
+        "abt_midmonth": q_abt_midmonth,
+        "orders_asof_midmonth": q_orders_asof_midmonth,
+        "sale_label_midmonth": q_sale_label_midmonth,
         "abt_from_text": q_abt_from_text,
         "abt_rewrite": q_abt_rewrite,
         "job_both": q_job_both,
@@ -296,6 +317,9 @@ def oracle_sql() -> dict[str, str]:
     sql["abt_layer1"] = O.sql_layer1(FLAGSHIP_DATE, FE.layer1_columns(), with_date=False)
     sql["abt_layer2"] = O.sql_layer2(FLAGSHIP_DATE, DV.layer2_columns(), with_date=False)
     sql["abt_backfill"] = O.sql_layer2(DATES, DV.layer2_columns())
+    sql["abt_midmonth"] = O.sql_layer2(DAYS, DV.layer2_columns())
+    sql["orders_asof_midmonth"] = O.sql_orders_asof(DAYS)
+    sql["sale_label_midmonth"] = O.sql_label(DAYS)
     sql["score_linear"] = _linear_sql()
     sql["abt_from_text"] = sql["abt_layer2"]
     sql["abt_rewrite"] = O.sql_layer2(DATES[1:], DV.layer2_columns())

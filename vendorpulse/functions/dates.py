@@ -6,13 +6,16 @@ the feature definitions compare an ISO timestamp with an ISO date as text,
 which keeps the first day of a window but drops the whole last day.
 ``include_last_day=True`` moves the upper bound to ``dt_ref`` instead.
 
-Reference dates must be the first day of a month.  Month shifts then agree
-between engines that clamp (Spark ``add_months``) and engines that overflow
-(``2018-03-31 - 1 month``), and the six trailing windows nest.
+Month shifts overflow, as the definitions' do: ``2018-03-31 - 1 month`` is day
+31 of February, 2018-03-03 (:func:`shift_months_py`, :func:`shift_months_sql`;
+``add_months`` would clamp to 2018-02-28).  From the first of a month both
+agree; the month grain of :mod:`..operators.features` takes such dates alone,
+:mod:`..operators.segments` takes any.  The six trailing windows always nest.
 """
 
 from __future__ import annotations
 
+import calendar
 import datetime as _dt
 from collections.abc import Iterable, Sequence
 
@@ -35,11 +38,17 @@ def parse_date(value: str | _dt.date) -> _dt.date:
     return _dt.date.fromisoformat(str(value))
 
 
-def validate_ref_dates(dates: Iterable[str | _dt.date]) -> list[_dt.date]:
-    """Parse, check first-of-month, sort and de-duplicate reference dates."""
+def ref_dates(dates: Iterable[str | _dt.date]) -> list[_dt.date]:
+    """Parse, sort and de-duplicate reference dates of any day."""
     out = sorted({parse_date(d) for d in dates})
     if not out:
         raise ValueError("at least one reference date is required")
+    return out
+
+
+def validate_ref_dates(dates: Iterable[str | _dt.date]) -> list[_dt.date]:
+    """:func:`ref_dates`, all of them the first of a month."""
+    out = ref_dates(dates)
     bad = [d.isoformat() for d in out if d.day != 1]
     if bad:
         raise ValueError(f"reference dates must be the first day of a month: {bad}")
@@ -52,15 +61,30 @@ def add_months_py(d: _dt.date, months: int) -> _dt.date:
     return _dt.date(idx // 12, idx % 12 + 1, d.day)
 
 
+def shift_months_py(d: _dt.date, months: int) -> _dt.date:
+    """Calendar month shift; days that the month doesn't have run over into the next one."""
+    return add_months_py(d.replace(day=1), months) + _dt.timedelta(days=d.day - 1)
+
+
+def shift_months_sql(d: str, months: int) -> str:
+    """:func:`shift_months_py` of a date column, as SQL text."""
+    return f"date_add(add_months(trunc({d}, 'MM'), {months}), dayofmonth({d}) - 1)"
+
+
 def monthly_range(first: str | _dt.date, last: str | _dt.date) -> list[_dt.date]:
-    """All first-of-month dates from ``first`` to ``last`` inclusive."""
-    lo, hi = validate_ref_dates([first])[0], validate_ref_dates([last])[0]
+    """All dates from ``first`` to ``last`` inclusive, each a month after the one before.
+
+    A step goes to the month's last day where it lacks the day, and the next
+    one starts there: 01-31, 02-28, 03-28.  From a first of month all are.
+    """
+    lo, hi = parse_date(first), parse_date(last)
     if hi < lo:
         raise ValueError(f"last reference date {hi} is before the first {lo}")
     out, d = [], lo
     while d <= hi:
         out.append(d)
-        d = add_months_py(d, 1)
+        after = add_months_py(d.replace(day=1), 1)
+        d = after.replace(day=min(d.day, calendar.monthrange(after.year, after.month)[1]))
     return out
 
 

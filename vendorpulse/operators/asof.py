@@ -97,22 +97,29 @@ def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: boo
     reference dates are first-of-month, these keys decide window membership,
     recency bucket and the as-of delivery mask for every reference date.
     """
+    return tagged_rows(joined, [
+        f"{D.month_number_sql(PDATE)} AS pm",
+        ("false" if include_last_day else f"{PDATE} = last_day({PDATE})") + " AS ld",
+        f"CASE WHEN k = {KIND_MAIN} THEN {D.month_number_sql(DLV)} END AS dm"], with_label)
+
+
+PDATE, DLV = "to_date(order_purchase_timestamp)", "to_date(order_delivered_customer_date)"
+
+
+def tagged_rows(joined: DataFrame, keys: Sequence[str], with_label: bool = True) -> DataFrame:
+    """Joined rows by kind, with the values that the partials are taken of; ``keys``: the time keys, as SQL."""
     src = joined if with_label else joined.where("paid IS NOT NULL")
     kinds = (f"array({KIND_MAIN}, "
              f"CASE WHEN paid IS NOT NULL AND inst_credit_card <> 0 THEN {KIND_CC} END, "
              f"CASE WHEN paid IS NOT NULL AND inst_voucher <> 0 THEN {KIND_VOUCHER} END)")
     x = src.select("*", F.explode(F.expr(kinds)).alias("k")).where("k IS NOT NULL")
-    pdate = "to_date(order_purchase_timestamp)"
-    dlv = "to_date(order_delivered_customer_date)"
     return x.selectExpr(
         "seller_id", "k",
         f"CAST(CASE WHEN k = {KIND_CC} THEN inst_credit_card WHEN k = {KIND_VOUCHER} THEN inst_voucher END"
         " AS BIGINT) AS v",
-        f"{D.month_number_sql(pdate)} AS pm",
-        ("false" if include_last_day else f"{pdate} = last_day({pdate})") + " AS ld",
+        *keys,
         "paid IS NOT NULL AS paid",
-        f"CASE WHEN k = {KIND_MAIN} THEN {D.month_number_sql(dlv)} END AS dm",
-        f"{pdate} AS pdate", f"{dlv} AS dlv", "to_date(order_estimated_delivery_date) AS est",
+        f"{PDATE} AS pdate", f"{DLV} AS dlv", "to_date(order_estimated_delivery_date) AS est",
         "order_status", "n_lines", "n_products", "value_price", "value_freight",
         *[f"inst_{t}" for t in PAYMENT_KINDS], *[f"val_{t}" for t in PAYMENT_KINDS],
         "qt_reviews", "avg_score", "avg_days_create_answer",

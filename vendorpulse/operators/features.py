@@ -197,16 +197,22 @@ def month_groups(rows: DataFrame) -> DataFrame:
     groups of its window.  Sale days are kept as a day-of-month bitmap.
     """
     main = f"k = {KIND_MAIN}"
+    return rows.groupBy(*MONTH_KEYS).agg(*exprs(
+        *partials(), f"bit_or(CASE WHEN {main} THEN shiftleft(1L, dayofmonth(pdate)) END) AS day_bits"))
+
+
+def partials() -> list[str]:
+    """The additive partials of a group of rows, but for its bitmaps."""
+    main = f"k = {KIND_MAIN}"
     aggs = [
         f"min(CASE WHEN {main} THEN pdate END) AS min_pdate",
         f"max(CASE WHEN {main} THEN pdate END) AS max_pdate",
         f"max(CASE WHEN {main} THEN est END) AS max_est",
         f"max(CASE WHEN {main} THEN dlv END) AS max_dlv",
-        f"bit_or(CASE WHEN {main} THEN shiftleft(1L, dayofmonth(pdate)) END) AS day_bits",
     ]
     for f in FAMILIES:
         aggs.extend(_partials(f))
-    return rows.groupBy(*MONTH_KEYS).agg(*exprs(*aggs))
+    return aggs
 
 
 # ---------------------------------------------------------------- reference dates
@@ -278,7 +284,15 @@ def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = Fa
     — for ``main`` the value is the recency bucket, so a bucket of 1..6 is
     exactly one month.  Level B folds those few rows into the windows.
     """
-    x = expand_dates(groups, dates, include_last_day, with_label)
+    return fold_windows(expand_dates(groups, dates, include_last_day, with_label))
+
+
+def fold_windows(x: DataFrame, month_bits: str = "shiftleft(1L, month_off)") -> DataFrame:
+    """Levels A and B: groups attached to their dates (:func:`expand_dates`) become one row per (dt_ref, seller).
+
+    ``month_bits``: the months of a group's purchases as bits.  ``day_bits``
+    must tell the days of one bucket apart.
+    """
     main = f"k2 = {KIND_MAIN}"
     level_a = [
         "min(b) AS b",
@@ -286,7 +300,7 @@ def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = Fa
         f"max(CASE WHEN {main} THEN max_pdate END) AS max_purchase_date",
         f"max(CASE WHEN {main} THEN max_est END) AS max_est",
         f"max(CASE WHEN {main} AND kept THEN max_dlv END) AS max_delivered_customer_date",
-        f"bit_or(CASE WHEN {main} THEN shiftleft(1L, month_off) END) AS month_bits",
+        f"bit_or(CASE WHEN {main} THEN {month_bits} END) AS month_bits",
         f"bit_or(CASE WHEN {main} AND b <= {D.ACTIVATION_MONTHS} THEN day_bits END) AS day_bits",
     ]
     for f in FAMILIES:
@@ -312,7 +326,7 @@ def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = Fa
 
     # least/greatest skip NULLs where the original scalar min/max propagate them;
     # both arguments are never NULL here (every seller row has a purchase date).
-    considered = f"greatest(add_months(dt_ref, -{D.ACTIVATION_MONTHS}), min_purchase_date)"
+    considered = f"greatest({D.shift_months_sql('dt_ref', -D.ACTIVATION_MONTHS)}, min_purchase_date)"
 
     singles = {
         "min_purchase_yearmonth": "date_format(min_purchase_date, 'yyyyMM')",

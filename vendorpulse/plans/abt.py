@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..operators import asof, derived, features, preagg
+from ..operators import asof, derived, features, preagg, segments
 from ..sources.roles import Roles
 
 
@@ -58,6 +58,37 @@ class FeaturePlan:
         return derived.layer2(month_agg, self.roles.sellers, self.seller_products())
 
 
+@dataclass(frozen=True)
+class DayPlan(FeaturePlan):
+    """The same for reference dates of any day (:mod:`..operators.segments`)."""
+
+    @classmethod
+    def of(cls, roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> "DayPlan":
+        return cls(roles, tuple(D.ref_dates(dates)), include_last_day)
+
+    def line(self, with_label: bool = True) -> segments.Timeline:
+        return segments.Timeline.of(self.dates, self.include_last_day, with_label)
+
+    def _aggregate(self, with_label: bool) -> DataFrame:
+        r, line = self.roles, self.line(with_label)
+        return segments.aggregate(segments.segment_groups(r.orders, r.items, r.payments, r.reviews, line), line)
+
+    def layer1(self) -> DataFrame:
+        return self._aggregate(with_label=False).drop("fl_venda")
+
+    def label(self) -> DataFrame:
+        return segments.sale_label(self.roles.items, self.roles.orders, self.line())
+
+    def layer2(self) -> DataFrame:
+        return derived.layer2(self._aggregate(with_label=True), self.roles.sellers, self.seller_products())
+
+
+def plan_for(roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> FeaturePlan:
+    """The month-grain plan for first-of-month dates, else the one for any days."""
+    days = D.ref_dates(dates)
+    return (FeaturePlan if all(d.day == 1 for d in days) else DayPlan).of(roles, days, include_last_day)
+
+
 def register_views(plan: FeaturePlan, prefix: str = "vw_abt") -> None:
     """Expose both layers to SQL as temp views ``<prefix>_p1`` and ``<prefix>_p2``."""
     plan.layer1().createOrReplaceTempView(f"{prefix}_p1")
@@ -66,12 +97,12 @@ def register_views(plan: FeaturePlan, prefix: str = "vw_abt") -> None:
 
 def build_abt(roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> DataFrame:
     """``dt_ref`` + the 201 feature columns, one row per (dt_ref, seller)."""
-    return FeaturePlan.of(roles, dates, include_last_day).layer2()
+    return plan_for(roles, dates, include_last_day).layer2()
 
 
 def build_abt_range(roles: Roles, first: str | _dt.date, last: str | _dt.date,
                     include_last_day: bool = False) -> DataFrame:
-    """Every month from ``first`` to ``last`` inclusive, in one plan."""
+    """Every month from ``first`` to ``last`` inclusive (:func:`..functions.dates.monthly_range`), in one plan."""
     return build_abt(roles, D.monthly_range(first, last), include_last_day)
 
 
@@ -86,7 +117,7 @@ def write_abt(abt: DataFrame, path: str, fmt: str = "parquet",
     Spark's advisory size, not one a task.
     """
     spark = abt.sparkSession
-    rebuilt = D.validate_ref_dates(dates) if dates is not None else []
+    rebuilt = D.ref_dates(dates) if dates is not None else []
     before = {d: _files(spark, path, d) for d in rebuilt}
     (abt.hint("rebalance", "dt_ref")
         .write.mode("overwrite")
@@ -115,6 +146,6 @@ def read_abt(spark: SparkSession, path: str, dates: Iterable[str | _dt.date] | N
     """The feature table; a date list becomes a partition filter (pruned at listing)."""
     df = spark.read.format(fmt).load(path)
     if dates is not None:
-        df = df.where(F.col("dt_ref").isin([d for d in D.validate_ref_dates(dates)]))
+        df = df.where(F.col("dt_ref").isin(D.ref_dates(dates)))
     cols = ["dt_ref"] + derived.layer2_columns()
     return df.select(*cols)

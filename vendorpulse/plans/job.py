@@ -39,7 +39,7 @@ def run_job(spark: SparkSession, roles: Roles, abt_path: str, dates: Iterable[st
 
     ``scorer``: an object with ``predict`` and ``fit_vars``, instead of a models folder.
     """
-    dates = D.validate_ref_dates(dates)
+    dates = D.ref_dates(dates)
     if score and (models_dir is None) == (scorer is None):
         raise ValueError("scoring needs a models folder or a scorer")
     if build:
