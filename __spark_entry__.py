@@ -28,7 +28,9 @@ from vendorpulse.operators import derived as DV  # noqa: E402
 from vendorpulse.operators import asof, preagg, scoring, segments  # noqa: E402
 from vendorpulse.functions.arith import money  # noqa: E402
 from vendorpulse.plans import job  # noqa: E402
-from vendorpulse.plans.abt import DayPlan, FeaturePlan, build_abt, build_abt_range, read_abt, write_abt  # noqa: E402
+from vendorpulse.plans.abt import DayPlan, FeaturePlan, build_abt, build_abt_range, publish_abt, read_abt  # noqa: E402
+from vendorpulse.plans.abt import read_published, write_abt  # noqa: E402
+from vendorpulse.plans.state import MonthState  # noqa: E402
 from vendorpulse.sources.roles import driver_roles, read_roles  # noqa: E402
 from vendorpulse.sources.schemas import ROLES  # noqa: E402
 
@@ -217,6 +219,45 @@ def q_abt_rewrite(spark, sf_dir):
     return _rounded(read_abt(spark, path, DATES[1:]))
 
 
+def q_abt_published(spark, sf_dir):
+    """A published table whose readers are pinned; one date is written again, another write is left unpublished."""
+    from vendorpulse.plans.versions import Versions
+
+    path, roles = _new_path(spark, "abt"), driver_roles(spark, sf_dir)
+    first = publish_abt(build_abt(roles, DATES), path, DATES)
+    none = roles.__class__(**{**roles.as_dict(), "orders": roles.orders.where("order_status = 'canceled'")})
+    publish_abt(build_abt(none, DATES[1:2]), path, DATES[1:2])
+    Versions(spark, path).stage("abt", build_abt(none, DATES[2:]), "dt_ref")  # as a write that fails before its last step
+    kept = read_published(spark, path, DATES[1:2], first)                     # the version that a reader has opened
+    return _rounded(read_published(spark, path, (DATES[0], DATES[2])).unionByName(kept))
+
+
+#: stamps of the logs of q_abt_incremental: a month, and rows of every kind for old months, arrive in the second delivery
+LATE = {"orders": "order_purchase_timestamp >= '1998-08-01' OR order_id % 17 = 0", "items": "order_id % 13 = 0 AND order_item_id = 2",
+        "payments": "order_id % 11 = 0 AND payment_sequential > 1", "reviews": "order_id % 7 = 0"}
+
+
+def stamped_logs(roles):
+    """The roles as logs with a stamp; some orders have an earlier row that the second delivery corrects."""
+    logs = {n: (df.withColumn("ingested_at", F.when(F.expr(LATE[n]), 2).otherwise(1)) if n in LATE else df)
+            for n, df in roles.as_dict().items()}
+    other = roles.orders.where("order_id % 19 = 0").withColumns({
+        "order_status": F.lit("shipped"), "order_delivered_customer_date": F.lit(None).cast("date"),
+        "order_purchase_timestamp": F.expr("order_purchase_timestamp - INTERVAL 40 DAYS"), "ingested_at": F.lit(0)})
+    logs["orders"] = logs["orders"].unionByName(other)
+    return roles.__class__(**logs)
+
+
+def q_abt_incremental(spark, sf_dir):
+    """S3: the stored month state, built from a first delivery and refreshed by a second."""
+    logs = stamped_logs(driver_roles(spark, sf_dir))
+    state = MonthState(spark, _new_path(spark, "state"))
+    state.refresh(logs.__class__(**{n: df.where("ingested_at <= 1") if "ingested_at" in df.columns else df
+                                    for n, df in logs.as_dict().items()}))
+    state.refresh(logs)
+    return _rounded(state.layer2(DATES, logs.products, logs.sellers))
+
+
 def q_job_both(spark, sf_dir):
     """Build and score in one run with the newest model; the predictions as they were written."""
     predictions = _new_path(spark, "predictions")
@@ -273,6 +314,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sale_label_midmonth": q_sale_label_midmonth,
         "abt_from_text": q_abt_from_text,
         "abt_rewrite": q_abt_rewrite,
+        "abt_published": q_abt_published,
+        "abt_incremental": q_abt_incremental,
         "job_both": q_job_both,
         "score_linear": q_score_linear,
         "score_category": q_score_category,
@@ -323,6 +366,7 @@ def oracle_sql() -> dict[str, str]:
     sql["score_linear"] = _linear_sql()
     sql["abt_from_text"] = sql["abt_layer2"]
     sql["abt_rewrite"] = O.sql_layer2(DATES[1:], DV.layer2_columns())
+    sql["abt_published"] = sql["abt_incremental"] = sql["abt_backfill"]
     sql["score_category"] = _category_sql()
     for name in ("score_predict", "score_pipeline", "job_both"):
         sql[name] = sql["score_linear"]

@@ -1,0 +1,219 @@
+"""Versioned tables (S5) and the incremental month state (S3)."""
+
+from __future__ import annotations
+
+import os
+import random
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from shop import SF001, Shop
+
+import __spark_entry__ as E
+from vendorpulse import FeaturePlan, driver_roles
+from vendorpulse.plans import job, state
+from vendorpulse.plans.abt import build_abt, publish_abt, read_published
+from vendorpulse.plans.state import WAITING, MonthState
+from vendorpulse.plans.versions import Conflict, Versions
+from vendorpulse.session import shared_dir
+
+
+@pytest.fixture
+def folder(spark):
+    return tempfile.mkdtemp(prefix="vp-versions-", dir=shared_dir(spark).removeprefix("file:"))
+
+
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def table(spark, *values):
+    return spark.createDataFrame(list(values), "a long, p int")
+
+
+# --- versions
+def test_a_write_that_fails_between_its_steps_shows_nothing(spark, folder, monkeypatch):
+    store = Versions(spark, folder)
+    store.publish([store.stage("t", table(spark, (1, 1), (2, 2)), "p")])
+    before, opened = rows(store.read("t")), store.read("t")
+
+    def broken(*_):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(store, "_context", type("Lost", (), {"rename": staticmethod(broken)}))
+        with pytest.raises(OSError, match="lost"):
+            store.publish([store.stage("t", table(spark, (9, 1)), "p")], {"t": [1]})
+    assert rows(store.read("t")) == before and store.numbers() == [1]
+    assert [n for n in os.listdir(f"{folder}/_versions") if n.endswith(".json")] == ["0000000001.json"]
+    store.publish([store.stage("t", table(spark, (9, 1)), "p")], {"t": [1]})
+    assert rows(store.read("t")) == [(2, 2), (9, 1)]
+    assert rows(opened) == rows(store.read("t", version=1)) == before  # a reader keeps what it opened
+
+
+def test_two_writers_of_one_version(spark, folder):
+    store = Versions(spark, folder)
+    on = store.publish([store.stage("t", table(spark, (1, 1)), "p")])
+    mine, theirs = (store.stage("t", table(spark, (i, 1)), "p") for i in (2, 3))
+    assert store.publish([mine], {"t": [1]}, on) == on + 1
+    with pytest.raises(Conflict):
+        store.publish([theirs], {"t": [1]}, on)
+    assert rows(store.read("t")) == [(2, 1)]
+
+
+def test_partitions_tables_and_vacuum(spark, folder):
+    store = Versions(spark, f"file://{folder}/with scheme")
+    with pytest.raises(FileNotFoundError):
+        store.read("t")
+    store.publish([store.stage("t", table(spark, (1, 1), (2, 2), (3, None)), "p"),
+                   store.stage("u", spark.createDataFrame([("x", "2020-01-01")], "b string, d string"), "d")])
+    assert rows(store.read("t", [2, 7])) == [(2, 2)] and store.read("t", [7]).count() == 0
+    assert store.read("t", [2]).columns == ["a", "p"] and len(store.read("t", [2]).inputFiles()) == 1
+    store.publish([store.stage("t", table(spark), "p")], {"t": [2]})           # emptied
+    assert sorted(r.a for r in store.read("t").collect()) == [1, 3] and store.read("u").count() == 1
+    store.publish([store.stage("t", table(spark, (5, 5)), "p")])               # the whole table
+    assert rows(store.read("t")) == [(5, 5)]
+    store.stage("t", table(spark, (6, 6)), "p")                                # never published, as the empty folder and p=2 above
+    assert store.vacuum(keep=2) == 3 and rows(store.read("t", [1], version=2)) == [(1, 1)]
+    assert store.vacuum() > 0 and store.numbers() == [3]
+    assert rows(store.read("t")) == [(5, 5)] and store.read("u").count() == 1
+    with pytest.raises(ValueError):
+        store.vacuum(0)
+
+
+def test_published_feature_table_and_job(spark, folder):
+    roles = driver_roles(spark, SF001)
+    job.run_job(spark, roles, f"{folder}/abt", E.DATES, score=False, versioned=True)
+    out = job.run_job(spark, roles, f"{folder}/abt", E.DATES[:1], scorer=E.LINEAR, versioned=True)
+    assert out.select("dt_ref").distinct().count() == 1
+    assert same(read_published(spark, f"{folder}/abt"), build_abt(roles, E.DATES))
+    assert Versions(spark, f"{folder}/abt").numbers() == [1, 2]
+    with pytest.raises(Conflict):
+        publish_abt(build_abt(roles, E.DATES[:1]), f"{folder}/abt", E.DATES[:1], on=1)
+    job.main(["--driver-tables", SF001, "--abt", f"{folder}/days", "--first", "1998-03-31", "--last", "1998-04-30",
+              "--build-only", "--versioned"])
+    days = read_published(spark, f"{folder}/days").select("dt_ref").distinct().collect()
+    assert sorted(str(r.dt_ref) for r in days) == ["1998-03-31", "1998-04-30"]
+
+
+# --- month state
+MONTHS = [f"2018-{m:02}" for m in range(1, 9)]
+REFS = ["2018-06-01", "2018-08-01", "2018-09-01"]
+
+
+def logs(spark, rng, deliveries=3):
+    """Roles as logs: every row with a random stamp, some orders with a row before that a later one corrects."""
+    shop = Shop()
+    for i in range(60):
+        o = shop.sale(rng.sample(["a", "b", "c"], rng.randint(1, 2)), f"{rng.choice(MONTHS)}-{rng.randint(1, 28):02} 10:00:00",
+                      status=rng.choice(["delivered", "delivered", "canceled", "shipped"]), products=rng.sample(["p1", "p2", "p3"], rng.randint(1, 3)),
+                      pay=[(rng.choice(["credit_card", "voucher", "boleto"]), rng.randint(0, 4), f"{rng.randint(1, 99)}.25")
+                           for _ in range(rng.randint(0, 3))])
+        for k in range(rng.randint(0, 2)):
+            shop.review(o, rng.randint(1, 5), "2018-08-10 00:00:00", f"2018-08-{11 + k} 00:00:00")
+    roles = shop.roles(spark)
+    stamped = {}
+    for name, df in roles.as_dict().items():
+        if name in ("products", "sellers"):
+            stamped[name] = df
+            continue
+        full = [(*r, rng.randint(1, deliveries)) for r in df.collect()]
+        schema = T.StructType([*df.schema.fields, T.StructField("ingested_at", T.IntegerType())])
+        if name == "orders":  # wrong in status and month, and put right by the true row
+            early = [(r[0], "shipped", r[2].replace(month=1), *r[3:-1], 0) for r in full if rng.random() < 0.3]
+            full += early
+        stamped[name] = spark.createDataFrame(full, schema).repartition(2).cache()
+    return roles, roles.__class__(**stamped)
+
+
+def upto(source, stamp):
+    return source.__class__(**{n: df.where(F.col("ingested_at") <= stamp) if "ingested_at" in df.columns else df
+                               for n, df in source.as_dict().items()})
+
+
+def test_refreshes_equal_a_full_build(spark, folder):
+    """Deliveries in any order: items before their order, late payments, corrected orders that change their month."""
+    roles, source = logs(spark, random.Random(1))
+    keeper = MonthState(spark, folder)
+    for stamp in (1, 2, 3):
+        keeper.refresh(upto(source, stamp))
+        seen = upto(source, stamp)
+        last = seen.orders.groupBy("order_id").agg(F.max("ingested_at").alias("ingested_at"))
+        now = roles.__class__(**{**{n: df.drop("ingested_at") for n, df in seen.as_dict().items()},
+                                 "orders": seen.orders.join(last, ["order_id", "ingested_at"]).select(*roles.orders.columns)})
+        got, want = (sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()), key=lambda r: r[:2])
+                     for df in (keeper.layer2(REFS, roles.products, roles.sellers), FeaturePlan.of(now, REFS).layer2()))
+        assert want and got == want
+    assert keeper.refresh(source) == 3 and keeper.store.latest() == 3      # nothing new
+    assert keeper.store.read("orders", [WAITING]).where("attributes IS NOT NULL").count() == 0
+
+
+def _shop(spark, stamp, *sales):
+    shop = Shop()
+    for seller, when, name in sales:
+        shop.sale(seller, when, order_id=name)
+    r = shop.roles(spark)
+    return r.__class__(**{n: df.withColumn("ingested_at", F.lit(stamp)) if n not in ("products", "sellers") else df
+                          for n, df in r.as_dict().items()})
+
+
+def test_only_changed_months_are_read_and_written(spark, folder, monkeypatch):
+    sales = [("a", f"2018-{m:02}-10 10:00:00", f"o{m}") for m in range(1, 8)]
+    first = _shop(spark, 1, *sales)
+    keeper = MonthState(spark, folder)
+    keeper.refresh(first)
+    before = keeper.store.manifest()["tables"]
+    late = _shop(spark, 2, ("a", "2018-03-11 10:00:00", "late"), ("b", "2018-08-02 10:00:00", "new"))
+    both = first.__class__(**{n: df.unionByName(getattr(late, n)).distinct() for n, df in first.as_dict().items()})
+    asked = []
+    read = Versions.read
+    monkeypatch.setattr(Versions, "read", lambda self, t, partitions=None, version=None: (
+        asked.append((t, None if partitions is None else list(partitions))) if "_work" not in self.path else None)
+        or read(self, t, partitions, version))
+    keeper.refresh(both)
+    march, august = 2018 * 12 + 3, 2018 * 12 + 8
+    read_months = {t: m for t, m in asked if m is not None}
+    assert read_months == {"orders": [WAITING, march, august], "lines": [WAITING, march, august]}
+    after = keeper.store.manifest()["tables"]
+    for t in ("orders", "lines", "groups"):
+        changed = {k for k in after[t]["folders"] if before[t]["folders"].get(k) != after[t]["folders"][k]}
+        assert changed == {str(march), str(august)}
+    assert keeper.store.read("pairs", [2]).count() == 1                     # (b, p1)
+
+
+def test_new_rows_are_chosen_at_the_scan(spark, folder):
+    source = _shop(spark, 1, ("a", "2018-05-10 10:00:00", "o1"))
+    for n, df in source.as_dict().items():
+        df.write.parquet(f"{folder}/logs/{n}")
+    stored = source.__class__(**{n: spark.read.parquet(f"{folder}/logs/{n}") for n in source.as_dict()})
+    keeper = MonthState(spark, f"{folder}/state")
+    keeper.refresh(stored)
+    for df in keeper.changes(stored).values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThan(ingested_at,1)" in plan and df.count() == 0
+
+
+def test_a_refresh_that_fails_changes_nothing(spark, folder, monkeypatch):
+    keeper = MonthState(spark, folder)
+    source = _shop(spark, 1, ("a", "2018-05-10 10:00:00", "o1"))
+    keeper.refresh(source)
+    before = rows(keeper.store.read("groups").select("seller_id", "pm"))
+    later = _shop(spark, 2, ("b", "2018-05-11 10:00:00", "o2"))
+    with monkeypatch.context() as m:
+        m.setattr(state.features, "month_groups", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            keeper.refresh(later)
+    assert keeper.store.latest() == 1 and rows(keeper.store.read("groups").select("seller_id", "pm")) == before
+    assert keeper.refresh(later) == 2 and keeper.store.read("groups").select("seller_id").distinct().count() == 2
+
+
+def test_a_state_without_rows(spark, folder):
+    source = _shop(spark, 1, ("a", "2018-05-10 10:00:00", "o1"))
+    empty = source.__class__(**{n: df.limit(0) for n, df in source.as_dict().items()})
+    with pytest.raises(ValueError, match="no stamped row"):
+        MonthState(spark, folder).refresh(empty)

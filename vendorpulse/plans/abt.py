@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..operators import asof, derived, features, preagg, segments
 from ..sources.roles import Roles
+from .versions import Versions
 
 
 @dataclass(frozen=True)
@@ -141,6 +142,26 @@ def _files(spark: SparkSession, path: str, date: _dt.date) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
 
 
+def publish_abt(abt: DataFrame, path: str, dates: Iterable[str | _dt.date] | None = None, on: int | None = None) -> int:
+    """S5 in one step: the months ``dates`` (None: the whole table) change together, or not at all.
+
+    The table lies in a versioned folder (:mod:`.versions`) and is read by
+    :func:`read_published`.  ``on``: the version built on; if it isn't the
+    newest any more the write is refused.  Returns the new version.
+    """
+    store = Versions(abt.sparkSession, path)
+    on = store.latest() if on is None else on
+    replaced = None if dates is None else {"abt": D.ref_dates(dates)}
+    return store.publish([store.stage("abt", abt, "dt_ref")], replaced, on)
+
+
+def read_published(spark: SparkSession, path: str, dates: Iterable[str | _dt.date] | None = None,
+                   version: int | None = None) -> DataFrame:
+    """S2 of a published version (the newest): its files don't change any more.  Only the dates' folders are listed."""
+    df = Versions(spark, path).read("abt", None if dates is None else D.ref_dates(dates), version)
+    return df.select("dt_ref", *derived.layer2_columns())
+
+
 def read_abt(spark: SparkSession, path: str, dates: Iterable[str | _dt.date] | None = None,
              fmt: str = "parquet") -> DataFrame:
     """The feature table; a date list becomes a partition filter (pruned at listing)."""
