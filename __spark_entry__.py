@@ -25,7 +25,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from vendorpulse import oracle as O  # noqa: E402
 from vendorpulse.operators import features as FE  # noqa: E402
 from vendorpulse.operators import derived as DV  # noqa: E402
-from vendorpulse.operators import asof, preagg, scoring, segments  # noqa: E402
+from vendorpulse.operators import asof, preagg, preparation, scoring, segments, trees  # noqa: E402
 from vendorpulse.functions.arith import money  # noqa: E402
 from vendorpulse.plans import job  # noqa: E402
 from vendorpulse.plans.abt import DayPlan, FeaturePlan, build_abt, build_abt_range, publish_abt, read_abt  # noqa: E402
@@ -100,6 +100,29 @@ BY_STATE = scoring.CategoryScorer(
     intercept=0.125)
 
 
+# Fixed boosted trees over features of the table (B6); a missing feature goes right.
+_L, _S = trees.Leaf, trees.Split
+BOOSTED = trees.TreeScorer(
+    trees=(_S("qtd_pedidos_ultimos_3_meses", 2.5, _S("dias_desde_ult_venda", 61.0, _L(-0.25), _L(-0.75)),
+              _S("media_notas_review_ultimos_6_meses", 2.75, _L(0.125), _L(0.5))),
+           _S("proporcao_ativacao_meses", 0.9, _L(-0.5), _S("tend_pedidos_m1_m3", 0.25, _L(-0.125), _L(0.375))),
+           _S("media_vlr_frete_ultimo_mes", 1500.0, _L(0.25), _S("max_qtd_parcelas_pedidos_pgto_cc_ultimos_6_meses", 10.0,
+                                                                 _L(-0.375), _L(0.0625)))),
+    weights=(1.0, 0.5, 0.25), cut=0.6)
+
+# Preparation fitted on the dates TRAIN, and trees over what it makes.
+TRAIN, SCORED = DATES, ("2001-08-01",)
+ENCODED = ("seller_state", "seller_city")
+BINNED = ("media_vlr_pedido_ultimos_6_meses", "dias_desde_ult_venda", "qtd_produtos_ate_hoje")
+FILLED = ("media_vlr_pedido_ultimo_mes", "max_qtd_parcelas_pedidos_pgto_voucher_ultimo_mes")
+FOLDS, WEIGHT, BINS = 4, 8.0, 7
+PREPARED = trees.TreeScorer(
+    trees=(_S("dias_desde_ult_venda_bin", 3.5, _S("seller_state_te", 0.9, _L(-0.25), _L(0.5)), _L(-0.5)),
+           _S("media_vlr_pedido_ultimo_mes_filled", 150000.0, _S("qtd_produtos_ate_hoje_bin", 1.5, _L(-0.5), _L(0.25)),
+              _S("media_vlr_pedido_ultimo_mes_missing", 0.5, _L(0.5), _L(-0.25)))),
+    weights=(1.0, 0.5), cut=0.0)
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     """Means of means to the digits that both sides are compared to."""
     return df.select(*(F.round(F.col(f"`{c}`") + O.NUDGE, O.DIGITS).alias(c) if O.is_rounded(c) else F.col(f"`{c}`")
@@ -280,6 +303,35 @@ def q_score_category(spark, sf_dir):
     return scoring.score_with_predict(_plan(spark, sf_dir, LABEL_DATES).layer2(), BY_STATE, BY_STATE.fit_vars, "double")
 
 
+def q_score_trees(spark, sf_dir):
+    """Boosted trees as one column expression."""
+    return trees.score_with_trees(_plan(spark, sf_dir, LABEL_DATES).layer2(), BOOSTED)
+
+
+def q_encode_target(spark, sf_dir):
+    """Categories as smoothed label means, out of fold and over all rows."""
+    abt = _plan(spark, sf_dir, LABEL_DATES).layer2().select("dt_ref", "seller_id", "fl_venda", *ENCODED)
+    encoder = preparation.TargetEncoder.fit(abt, ENCODED, folds=FOLDS, weight=WEIGHT)
+    both = encoder.transform(encoder.transform(abt, training=True, suffix="_out_of_fold"))
+    return both.select("dt_ref", "seller_id", *(F.round(F.col(f"{c}{s}") + O.NUDGE, O.DIGITS).alias(f"{c}{s}")
+                                                for c in ENCODED for s in ("_out_of_fold", "_te")))
+
+
+def q_bin_features(spark, sf_dir):
+    """Numbers as quantile bins."""
+    abt = _plan(spark, sf_dir, LABEL_DATES).layer2().select("dt_ref", "seller_id", *BINNED)
+    return preparation.Binner.fit(abt, BINNED, BINS).transform(abt).select("dt_ref", "seller_id", *(f"{c}_bin" for c in BINNED))
+
+
+def q_score_prepared(spark, sf_dir):
+    """Encodings, bins and medians fitted on earlier months, trees over them for a later one."""
+    past, now = (_plan(spark, sf_dir, d).layer2().select("dt_ref", "seller_id", "fl_venda", *ENCODED, *BINNED, *FILLED)
+                 for d in (TRAIN, SCORED))
+    rows = preparation.TargetEncoder.fit(past, ENCODED, folds=FOLDS, weight=WEIGHT).transform(now)
+    rows = preparation.Binner.fit(past, BINNED, BINS).transform(rows)
+    return trees.score_with_trees(preparation.Imputer.fit(past, FILLED).transform(rows), PREPARED)
+
+
 def q_score_pipeline(spark, sf_dir):
     """B1-B5 with Spark ML: the written feature table, scored with the newest of two saved pipelines."""
     path = _new_path(spark, "abt")
@@ -321,6 +373,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_category": q_score_category,
         "score_predict": q_score_predict,
         "score_pipeline": q_score_pipeline,
+        "score_trees": q_score_trees,
+        "encode_target": q_encode_target,
+        "bin_features": q_bin_features,
+        "score_prepared": q_score_prepared,
     })
     if HAS_LLM:
         qs.update(LQ.QUERIES)
@@ -348,6 +404,58 @@ def _category_sql() -> str:
                                           " as double) as fl_venda_predict from abt")
 
 
+def _tree_sql(node) -> str:
+    """A tree as nested conditions; written here, not by the library."""
+    if isinstance(node, trees.Leaf):
+        return f"{node.value!r}::double"
+    return (f'(case when "{node.feature}"::double <= {node.threshold!r} then {_tree_sql(node.left)} '
+            f'else {_tree_sql(node.right)} end)')
+
+
+def _boosted_sql(scorer) -> str:
+    total = " + ".join(f"{w!r}::double * {_tree_sql(t)}" for w, t in zip(scorer.weights, scorer.trees))
+    return f"select dt_ref, seller_id, cast(({total}) > {scorer.cut!r} as int) as fl_venda_predict"
+
+
+_FOLD_SQL = f"('0x' || substr(md5(cast(seller_id as varchar)), 1, 8))::bigint % {FOLDS}"
+
+
+def _encoded_sql(column: str, train: str, row: str, out_of_fold: bool) -> str:
+    """The encoding of the row ``row``: over the rows of ``train`` that have its category, and aren't of its fold."""
+    other = f" and {_FOLD_SQL.replace('seller_id', 't.seller_id')} <> {_FOLD_SQL.replace('seller_id', row + '.seller_id')}" if out_of_fold else ""
+    prior = f"(select avg(fl_venda) from {train} t where true{other})"
+    sums = f"from {train} t where t.{column} is not distinct from {row}.{column}{other}"
+    return (f"((select coalesce(sum(fl_venda), 0) {sums}) + {WEIGHT} * {prior}) / ((select count(*) {sums}) + {WEIGHT})")
+
+
+def _bin_sql(column: str, train: str, row: str) -> str:
+    """How many different edges are below the value; edges are the least values with a share k/BINS at or below them."""
+    edges = ", ".join(f"quantile_disc({column}::double, {k / BINS!r})" for k in range(1, BINS))
+    return (f"case when {row}.{column} is null then -1 else cast(len(list_filter(list_distinct((select [{edges}] from {train})), "
+            f"lambda e: e < {row}.{column}::double)) as int) end")
+
+
+def _encode_sql() -> str:
+    cols = ", ".join(f"round({_encoded_sql(c, 'abt', 'a', s == '_out_of_fold')} + {O.NUDGE!r}, {O.DIGITS}) as {c}{s}"
+                     for c in ENCODED for s in ("_out_of_fold", "_te"))
+    return O.sql_over_layer2(LABEL_DATES, f"select dt_ref, seller_id, {cols} from abt a")
+
+
+def _bins_sql() -> str:
+    return O.sql_over_layer2(LABEL_DATES, "select dt_ref, seller_id, "
+                             + ", ".join(f"{_bin_sql(c, 'abt', 'a')} as {c}_bin" for c in BINNED) + " from abt a")
+
+
+def _prepared_sql() -> str:
+    past = f"(select * from abt where dt_ref < DATE '{SCORED[0]}')"
+    cols = [f"{_encoded_sql(c, past, 'a', False)} as {c}_te" for c in ENCODED]
+    cols += [f"{_bin_sql(c, past, 'a')} as {c}_bin" for c in BINNED]
+    cols += [f"coalesce(a.{c}::double, (select quantile_disc({c}::double, 0.5) from {past})) as {c}_filled, "
+             f"cast(a.{c} is null as int) as {c}_missing" for c in FILLED]
+    rows = f"select dt_ref, seller_id, {', '.join(cols)} from abt a where dt_ref = DATE '{SCORED[0]}'"
+    return O.sql_over_layer2((*TRAIN, *SCORED), f"{_boosted_sql(PREPARED)} from ({rows})")
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {name: O.sql_preagg(name) for name in ("preagg_payments", "preagg_items", "preagg_reviews",
                                                   "preagg_products")}
@@ -366,6 +474,8 @@ def oracle_sql() -> dict[str, str]:
     sql["score_linear"] = _linear_sql()
     sql["abt_from_text"] = sql["abt_layer2"]
     sql["abt_rewrite"] = O.sql_layer2(DATES[1:], DV.layer2_columns())
+    sql["score_trees"] = O.sql_over_layer2(LABEL_DATES, f"{_boosted_sql(BOOSTED)} from abt")
+    sql["encode_target"], sql["bin_features"], sql["score_prepared"] = _encode_sql(), _bins_sql(), _prepared_sql()
     sql["abt_published"] = sql["abt_incremental"] = sql["abt_backfill"]
     sql["score_category"] = _category_sql()
     for name in ("score_predict", "score_pipeline", "job_both"):
