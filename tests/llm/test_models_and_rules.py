@@ -165,15 +165,84 @@ def test_packing_proportions_and_shares(spark):
         for q, share in want.items():  # the deficit never passes about a quantum of each queue
             drift = np.cumsum(runs[q])[:whole] - share / sum(want.values()) * 512 * np.arange(1, whole + 1)
             assert np.abs(drift).max() <= 64 * (len(totals) + 2)
-    many = packing.pack(docs, JSON, RANKS, max_queues=3)
-    assert many.select("queue").distinct().count() <= 3
-    _check_packing(many, pairs(docs))
 
 
 def test_packing_refuses_shares_that_it_would_ignore(spark):
     docs = spark.createDataFrame([(i, "a b c", f"s{i}") for i in range(5)], "doc_id long, text string, source string")
-    with pytest.raises(ValueError, match="shares"):
-        packing.pack(docs, JSON, RANKS, shares={"source s0": 0.5, "source s1": 0.5}, max_queues=3)
+    for shares in ({"src1": 0.9, "source s1": 0.1}, {"source s0": -1.0, "source s1": 2.0}, {"source s0": 0.0},
+                   {"source s0": float("nan")}):
+        with pytest.raises(ValueError, match="shares"):
+            packing.pack(docs, JSON, RANKS, shares=shares)
+
+
+def _round(tokens, wanted, quantum):
+    """Deficit round-robin one quantum at a time: the queue whose next quantum is due first, the lesser of two."""
+    from fractions import Fraction
+    plan = packing.Schedule(tokens, wanted, quantum)
+    heads, out = {i: 0 for i, n in enumerate(plan.quanta) if n}, []
+    while heads:
+        i = min(heads, key=lambda i: (Fraction(int(plan.after[i]) + (2 * heads[i] + 1) * int(plan.period[i])), i))
+        out.append((i, heads[i]))
+        heads[i] += 1
+        if heads[i] == plan.quanta[i]:
+            del heads[i]
+    return plan, out
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("limits", [None, (1, 8)])
+def test_packing_places_equal_a_round_robin(seed, limits, monkeypatch):
+    """Places, summed up or listed in stretches, are those of the round served quantum by quantum."""
+    if limits:
+        monkeypatch.setattr(packing, "_DIRECT", 400)
+        monkeypatch.setattr(packing, "_BLOCK", limits[1])
+    rng = random.Random(seed)
+    tokens = {f"q{i:02}": rng.choice([1, 5, 16, rng.randint(1, 900)]) for i in range(rng.randint(1, 25))}
+    wanted = packing.targets(tokens, None, rng.choice([1.0, 0.5, 0.0])) if seed % 2 else {q: rng.choice([0.0, 1.0, rng.random()]) for q in tokens}
+    if not any(wanted.values()):
+        wanted["q00"] = 1.0
+    plan, want = _round(tokens, wanted, 16)
+    queue, j = (np.array(x, np.int64) for x in zip(*want))
+    mixed = np.random.default_rng(seed).permutation(len(queue))
+    assert (plan.places(queue[mixed], j[mixed]) == np.arange(len(queue))[mixed]).all()
+    sizes = [min(16, tokens[plan.names[q]] - 16 * n) for q, n in want]
+    assert (plan.positions(queue, j) == np.cumsum([0, *sizes])[:-1]).all()
+
+
+@pytest.mark.parametrize("queues,window", [(20, 1024), (5, 1024), (200, 4096), (1000, 8192)])
+def test_packing_windows_keep_to_their_targets(queues, window):
+    """The stated bound on each window and on all windows so far, while no queue runs dry."""
+    rng = np.random.default_rng(queues)
+    tokens = {f"q{i:04}": int(n) for i, n in enumerate(rng.integers(40, 400, queues) * 512)}
+    quantum = packing.quantum_of(window, queues)
+    plan = packing.Schedule(tokens, packing.targets(tokens, None, 1.0), quantum)
+    total = sum(tokens.values())
+    queue = np.repeat(np.arange(queues), plan.quanta)
+    j = np.arange(len(queue)) - np.repeat(np.cumsum(plan.quanta) - plan.quanta, plan.quanta)
+    whole = total // window * 3 // 4
+    served = np.zeros((whole, queues))
+    at = plan.positions(queue, j) // window
+    np.add.at(served, (at[at < whole], queue[at < whole]), quantum)
+    share = np.array([tokens[q] for q in plan.names]) / total
+    drift = np.cumsum(served, axis=0) - share * window * np.arange(1, whole + 1)[:, None]
+    bound = quantum * (1 + share * queues) / 2 + 1
+    assert (np.abs(drift) <= bound).all() and (np.abs(served - share * window) <= 2 * bound).all()
+    apart = np.abs(served / window - share).sum(axis=1) / 2
+    if window // queues >= packing.MIN_QUANTUM:  # else a window can't hold a quantum of every queue
+        assert apart.mean() < 0.25
+
+
+def test_packing_of_many_sources_and_flattened_mixture(spark):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, prose(rng, 12 if i % 1000 else 400), f"s{i % 1000}") for i in range(2500)] + [(9001, "x y", None)],
+                                 "doc_id long, text string, source string").repartition(5)
+    out = packing.pack(docs, JSON, RANKS)
+    _check_packing(out, pairs(docs))
+    assert out.select("queue").distinct().count() == 1001
+    flat = packing.pack(docs.where("doc_id % 1000 < 4"), JSON, RANKS, window=64, alpha=0.0)
+    _check_packing(flat, pairs(docs.where("doc_id % 1000 < 4")), 64)
+    first = {r.queue: r.n for r in flat.where("sequence_id < 2").groupBy("queue").agg(F.sum("length").alias("n")).collect()}
+    assert max(first.values()) <= 64 and len(first) >= 4  # the long source doesn't fill the first windows alone
 
 
 def test_packing_places_are_a_permutation():
