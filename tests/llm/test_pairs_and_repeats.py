@@ -157,6 +157,21 @@ def test_substring_flushes_between_slices(plain, monkeypatch):
     assert _op6(substring.deduplicate(plain)) == sorted((want[r] for r in own), key=str)
 
 
+def test_an_anchor_in_many_contexts_meets_few_rows(spark):
+    """Documents that share a passage in different surroundings: a task sends two rows of an anchor."""
+    rng = np.random.default_rng(8)
+    shared = " ".join(f"s{i}" for i in range(30))
+    docs = [(i, " ".join([*(f"w{x}" for x in rng.integers(1 << 30, size=25)), shared, *(f"w{x}" for x in rng.integers(1 << 30, size=25))]))
+            for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    out = substring.seeds(df.selectExpr("doc_id as k", "text"), 20, 6)
+    assert out.where("several").count() > 500
+    assert out.groupBy("a").count().agg(F.max("count")).first()[0] <= 2 * 3
+    want = brute.substring(set(docs))
+    assert _op6(substring.deduplicate(df)) == sorted((want[r] for r in docs), key=str)
+    assert sum(r[2] > 0 for r in want.values()) == 599
+
+
 # --- op10
 def test_xxh64_of_all_lengths():
     import xxhash

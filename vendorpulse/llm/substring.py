@@ -41,8 +41,8 @@ _N = 256           # a range is kept as start * _N + number of windows
 class _Firsts:
     """Collects occurrences of a task and tells the first of each class from the later ones."""
 
-    def __init__(self):
-        self.parts, self.rows = [], 0
+    def __init__(self, contexts: bool = False):
+        self.parts, self.rows, self.contexts = [], 0, contexts
 
     def add(self, a, b, k, at):
         if len(a):
@@ -56,26 +56,35 @@ class _Firsts:
             order = np.lexsort((at, k, b, a))
             a, b, k, at = (x[order] for x in (a, b, k, at))
             late = np.append(False, (a[1:] == a[:-1]) & (b[1:] == b[:-1]))
-            # a later one needs no partner: it may go anywhere
-            a = np.where(late, mix(k.view(U64) * U64(0x9E3779B97F4A7C15) + at.view(U64)), a)
+            several = np.zeros(len(a), bool)
+            if self.contexts:  # which context of its anchor each is, by the hash of the context
+                first = np.append(True, a[1:] != a[:-1])
+                own = np.cumsum(~late)
+                own -= np.repeat(own[first] - 1, np.diff(np.append(np.flatnonzero(first), len(a))))
+                several = ~late & (own > 2)
+            # a later one needs no partner, and one known to stand in several contexts neither: they may go anywhere
+            a = np.where(late | several, mix(k.view(U64) * U64(0x9E3779B97F4A7C15) + at.view(U64)), a)
             self.parts, self.rows = [], 0
             for i in range(0, len(a), 1 << 16):
                 cut = slice(i, i + (1 << 16))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(a[cut].view(np.int64)), pa.array(b[cut].view(np.int64)), pa.array(k[cut]),
-                     pa.array(at[cut]), pa.array(late[cut])], ["a", "b", "k", "at", "late"])
+                     pa.array(at[cut]), pa.array(late[cut]), pa.array(several[cut])], ["a", "b", "k", "at", "late", "several"])
 
 
-_OCCURRENCE = "a long, b long, k long, at long, late boolean"
+_OCCURRENCE = "a long, b long, k long, at long, late boolean, several boolean"
 
 
 def seeds(keyed: DataFrame, window: int, gram: int) -> DataFrame:
-    """Rows (a, b, k, at, late): anchor hash, context hash, document, range of owned windows."""
+    """Rows (a, b, k, at, late, several): anchor hash, context hash, document, range of owned windows.
+
+    ``late``: its class began earlier; ``several``: its anchor stands in other contexts as well.
+    """
     if window - gram + 1 >= _N:
         raise ValueError(f"window - gram + 1 must be below {_N}")
 
     def run(batches):
-        held = _Firsts()
+        held = _Firsts(contexts=True)
         for batch in slices(batches, "text"):
             w = split_words(batch.column("text"), SPACE_WORDS)
             x, y = w.hashes(0), w.hashes(1)
@@ -98,7 +107,7 @@ def seeds(keyed: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def _windows(opened: DataFrame, window: int) -> DataFrame:
-    """Rows (a, b, k, at, late): the windows of the ranges ``open``, with their hashes."""
+    """Rows (a, b, k, at, late, several): the windows of the ranges ``open``, with their hashes."""
     def run(batches):
         held = _Firsts()
         for batch in slices(batches, "text"):
@@ -125,10 +134,11 @@ def _repeat() -> F.Column:
 
 def repeats(keyed: DataFrame, window: int = 20, gram: int = 6) -> DataFrame:
     """Rows (k, whole, some): per document, ranges of repeated windows, and single repeated windows."""
-    by_anchor = Window.partitionBy("a")
+    by_anchor = Window.partitionBy("a")  # at most two rows of an anchor from a task
     context = F.when(~F.col("late"), F.col("b"))
+    many = F.col("several") | (F.min(context).over(by_anchor) != F.max(context).over(by_anchor))
     seen = (seeds(keyed, window, gram).repartition("a").withColumn("whole", _repeat())
-            .withColumn("open", ~F.col("whole") & (F.min(context).over(by_anchor) != F.max(context).over(by_anchor)))
+            .withColumn("open", ~F.col("whole") & many)
             .where(F.col("whole") | F.col("open")))
     ranges = stored(seen.groupBy("k").agg(F.collect_list(F.when(F.col("whole"), F.col("at"))).alias("whole"),
                                           F.collect_list(F.when(F.col("open"), F.col("at"))).alias("open")),
