@@ -393,6 +393,76 @@ def test_outliers_against_labels(spark):
     assert got[0][1] >= 0.98 * got[0][0] and got[1][1] <= 0.005 * got[1][0]
 
 
+def _lower(x, share):
+    """The least value with this share of the values at or below it."""
+    return np.sort(x)[max(0, math.ceil(share * len(x)) - 1)]
+
+
+def _determinant_estimate(x, share=0.75, floor=(0.25, 0.1, 0.1, 0.25, 0.1)):
+    """Brute force of one group: mean and scaled covariance."""
+    p, ridge = x.shape[1], np.diag(np.square(floor))
+    distance = lambda m, c: np.einsum("ni,ij,nj->n", x - m, np.linalg.inv(c), x - m)
+    middle = np.array([_lower(v, 0.5) for v in x.T])
+    spread = np.array([_lower(np.abs(v - m), 0.5) for v, m in zip(x.T, middle)])
+    starts = [(middle, np.diag((1.4826 * spread) ** 2) + ridge), (x.mean(axis=0), np.cov(x.T, bias=True) + ridge)]
+    for _ in range(12):
+        before = [np.linalg.slogdet(c)[1] for _, c in starts]
+        near = [x[d <= _lower(d, share)] for d in (distance(*s) for s in starts)]
+        starts = [(v.mean(axis=0), np.cov(v.T, bias=True) + ridge) for v in near]
+        if max(abs(a - np.linalg.slogdet(c)[1]) for a, (_, c) in zip(before, starts)) <= 0.01:
+            break
+    m, c = min(starts, key=lambda s: np.linalg.slogdet(s[1])[1])
+    at = quality_rules.chi_square_quantile(1 - share, p)
+    normal = share / (1 - quality_rules.chi_square_tail(at, p + 2))
+    return m, c * max(_lower(distance(m, c), 0.5) / quality_rules.chi_square_quantile(0.5, p), normal)
+
+
+def test_distances_equal_brute_force(spark):
+    """Groups of all sizes, each drawn toward its language and that toward all rows."""
+    rng = random.Random(4)
+    docs = []
+    for lang, source, n in [("en", "a", 150), ("en", "b", 40), ("de", "a", 9), ("de", "c", 1), (None, "a", 25), ("fr", None, 60)]:
+        docs += [(len(docs) + i, "\n".join(prose(rng, rng.randint(1, 30)) + " #" * rng.randint(0, 2) for _ in range(rng.randint(1, 6))),
+                  lang, source) for i in range(n)]
+    docs.append((9999, None, "en", "a"))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r.doc_id: r for r in quality_rules.judge(df).collect()}
+    x = {}
+    for d, text, *_ in docs[:-1]:
+        n, chars, symbols, lines, repeats, _ = brute.statistics(text)
+        x[d] = np.array([math.log1p(n), math.log(max(chars, 1) / n), math.sqrt(symbols / n), math.log1p(lines), math.sqrt(repeats / n)])
+    whole = _determinant_estimate(np.array(list(x.values())))
+
+    def drawn(members, parent):
+        own, w = _determinant_estimate(np.array([x[d] for d in members])), len(members) / (len(members) + 30)
+        return tuple(w * a + (1 - w) * b for a, b in zip(own, parent))
+
+    cut = quality_rules.chi_square_quantile(1e-4, 5)
+    for lang in {d[2] for d in docs}:
+        of_lang = drawn([d[0] for d in docs[:-1] if d[2] == lang], whole)
+        for source in {d[3] for d in docs if d[2] == lang}:
+            members = [d[0] for d in docs[:-1] if d[2:] == (lang, source)]
+            m, c = drawn(members, of_lang)
+            for d in members:
+                want = float((x[d] - m) @ np.linalg.inv(c) @ (x[d] - m))
+                assert abs(got[d].distance - want) <= 1e-6 * (1 + want) and got[d].outlier == (want > cut)
+    assert got[9999].distance is None and not got[9999].outlier
+    assert any(r.outlier for r in got.values())
+
+
+def test_no_size_switches_a_group(spark):
+    """A group of 98 to 102 rows is judged alike while others stay: its estimate moves little by little."""
+    rng = random.Random(5)
+    docs = [(i, prose(rng, rng.randint(40, 200)), "en", "a" if i < 102 else "b") for i in range(250)]
+    seen = []
+    for n in (98, 102):
+        rows = [d for d in docs if d[0] < n or d[0] >= 102]
+        out = quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+        seen.append({r.doc_id: r.distance for r in out.where("doc_id < 98").collect()})
+    for a, b in zip(seen, seen[1:]):
+        assert max(abs(a[d] - b[d]) / (1 + a[d]) for d in a) < 0.25
+
+
 def test_chi_square():
     for k, x in ((1, 3.841), (2, 5.991), (5, 11.070), (7, 14.067)):
         assert abs(quality_rules.chi_square_quantile(0.05, k) - x) < 2e-3

@@ -5,13 +5,19 @@ transformed vector is held against a minimum-covariance-determinant estimate
 of its language and source: from two starts (medians with median deviations;
 means with plain covariances) concentration steps re-estimate mean and
 covariance from the ``share`` of rows nearest by Mahalanobis distance, all rows
-taking part in each step, and the start that ends with the smaller determinant
-counts.  A row is rejected beyond the chi-square quantile of ``1 - tail``.
+taking part in each step, until no determinant changes by more than
+``settled`` (in its logarithm; ``steps`` steps at most), and the start that ends
+with the smaller determinant counts.  A row is rejected beyond the chi-square
+quantile of ``1 - tail``.
+
+A small group's estimate leans on its language's, and that on the estimate over
+all rows: mean and covariance are n / (n + ``prior_rows``) the group's own, for
+n rows, and the rest its parent's.  So no group's size switches its estimate.
 
 All steps aggregate by group before any shuffle, so a source with a third of
 the rows costs a partial sum a task.  ``floor`` is the least standard deviation
 of each coordinate: a statistic that is 0 for most texts has no spread of its
-own.  Groups of fewer than ``min_rows`` rows use the estimate over all rows.
+own.
 
 Nulls: a null text has no words and isn't kept; null languages and sources are
 groups of their own; a null ``doc_id`` is kept as an id.  Repeated rows are
@@ -30,6 +36,7 @@ from .common import stored
 BLANKS = " \t\n\x0b\f\r"
 P = 5
 _LOWER = [(i, j) for i in range(P) for j in range(i + 1)]
+_MOMENTS = [*(f"m{i}" for i in range(P)), *(f"c{i}{j}" for i, j in _LOWER)]
 
 
 def _let(value: Column, body) -> Column:
@@ -134,7 +141,7 @@ def _factored(moments: DataFrame, *keys: str) -> DataFrame:
                 total = total + F.col(f"l{i}{k}") * F.col(f"i{k}{j}")
             df = df.withColumn(f"i{i}{j}", -total / F.col(f"l{i}{i}"))
     log_det = sum((2 * F.log(F.col(f"l{i}{i}")) for i in range(P)), F.lit(0.0))
-    return df.select(*keys, *(f"m{i}" for i in range(P)), *(f"i{i}{j}" for i, j in _LOWER), log_det.alias("log_det"))
+    return df.select(*keys, *_MOMENTS, *(f"i{i}{j}" for i, j in _LOWER), log_det.alias("log_det"))
 
 
 def _moments(rows: DataFrame, floor: list[float], *keys: str) -> DataFrame:
@@ -149,12 +156,11 @@ def _quantile(c: str | Column, share: float) -> Column:
     return F.percentile_approx(c, F.lit(share), F.lit(1000))
 
 
-def estimates(vectors: DataFrame, share: float, floor: list[float], steps: int, min_rows: int) -> DataFrame:
-    """One row per group: its estimate.  ``vectors`` has g (null: all rows) and x0..; groups below ``min_rows`` are left out."""
+def estimates(vectors: DataFrame, share: float, floor: list[float], steps: int, settled: float) -> DataFrame:
+    """One row per group: n, its mean m0.. and its covariance c_jk, scaled.  ``vectors`` has g (null: all rows) and x0..."""
     middle = stored(vectors.groupBy("g").agg(F.count("*").alias("n"), *(
-        _quantile(f"x{i}", 0.5).alias(f"m{i}") for i in range(P)))
-        .where((F.col("n") >= min_rows) | F.col("g").isNull()).drop("n"), "outliers-medians")
-    near = _with(vectors, middle)
+        _quantile(f"x{i}", 0.5).alias(f"m{i}") for i in range(P))), "outliers-medians")
+    near = _with(vectors, middle.drop("n"))
     spread = near.groupBy("g").agg(*(F.first(f"m{i}").alias(f"m{i}") for i in range(P)), *(
         _quantile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), 0.5).alias(f"s{i}") for i in range(P)))
     robust = spread.select(F.lit(0).alias("start"), "g", *(f"m{i}" for i in range(P)), *(
@@ -163,21 +169,39 @@ def estimates(vectors: DataFrame, share: float, floor: list[float], steps: int,
     plain = _moments(near.drop(*(f"m{i}" for i in range(P))), floor, "g").withColumn("start", F.lit(1))
     now = stored(_factored(robust.unionByName(plain), "g", "start"), "outliers-start")
     for _ in range(steps):
+        before = now
         rows = _with(vectors, now).withColumn("d", _distance())
         cut = stored(rows.groupBy("g", "start").agg(_quantile("d", share).alias("cut")), "outliers-cut")
-        both = stored(now.join(cut.withColumnsRenamed({"g": "g2", "start": "start2"}),
-                               F.col("g").eqNullSafe(F.col("g2")) & (F.col("start") == F.col("start2"))), "outliers-step")
+        both = stored(_paired(now, cut), "outliers-step")
         nearest = _with(vectors, both).where(_distance() <= F.col("cut"))
         now = stored(_factored(_moments(nearest, floor, "g", "start"), "g", "start"), "outliers-step")
+        moved = _paired(now.select("g", "start", "log_det"), before.select("g", "start", F.col("log_det").alias("old")))
+        if (moved.agg(F.max(F.abs(F.col("log_det") - F.col("old")))).first()[0] or 0.0) <= settled:
+            break
     best = now.groupBy("g").agg(F.min_by(F.struct(*(c for c in now.columns if c != "g")),
                                          F.struct("log_det", "start")).alias("e")).select("g", "e.*")
+    best = stored(best, "outliers-best")
     # the nearest rows spread less than all: bring the median distance to that of a chi-square, at least by the
     # factor for normal rows
     at = chi_square_quantile(1 - share, P)
     normal = share / (1 - chi_square_tail(at, P + 2))
-    mid = _with(vectors, stored(best, "outliers-best")).withColumn("d", _distance()).groupBy("g").agg(
+    mid = _with(vectors, best).withColumn("d", _distance()).groupBy("g").agg(
         F.greatest(_quantile("d", 0.5) / chi_square_quantile(0.5, P), F.lit(normal)).alias("scale"))
-    return stored(_with(best, mid), "outliers-estimates")
+    scaled = _with(_with(best, mid), middle.select("g", "n"))
+    return stored(scaled.select("g", "n", *(F.col(c) * F.col("scale") if c[0] == "c" else F.col(c) for c in _MOMENTS))
+                  .toDF("g", "n", *_MOMENTS), "outliers-estimates")
+
+
+def _paired(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of the same group and start."""
+    other = b.withColumnsRenamed({"g": "g2", "start": "start2"})
+    return a.join(other, F.col("g").eqNullSafe(F.col("g2")) & (F.col("start") == F.col("start2"))).drop("g2", "start2")
+
+
+def leaning(parent, prior_rows: float) -> list[Column]:
+    """n and the moments drawn toward ``parent(column)``, the less the more rows it has."""
+    weight = F.col("n") / (F.col("n") + F.lit(float(prior_rows)))
+    return [F.col("n"), *((weight * F.col(c) + (1 - weight) * parent(c)).alias(c) for c in _MOMENTS)]
 
 
 def _with(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -187,22 +211,24 @@ def _with(rows: DataFrame, groups: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", lang: str = "lang", source: str = "source",
           share: float = 0.75, tail: float = 1e-4, floor: tuple[float, ...] = (0.25, 0.1, 0.1, 0.25, 0.1),
-          steps: int = 3, min_rows: int = 100) -> DataFrame:
-    """One row per row: doc_id, the statistics, distance (squared, scaled; null without words), outlier."""
-    group = F.to_json(F.struct(F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{source}`").cast("string").alias("s")))
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), group.alias("g"), F.col(f"`{text}`").alias("text"))
+          steps: int = 12, settled: float = 0.01, prior_rows: float = 30.0) -> DataFrame:
+    """One row per row: doc_id, the statistics, distance (squared; null without words), outlier."""
+    of_lang, of_source = F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{source}`").cast("string").alias("s")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.to_json(F.struct(of_lang, of_source, F.lit(1).alias("x"))).alias("g"),
+                       F.to_json(F.struct(of_lang, F.lit(0).alias("x"))).alias("of_lang"), F.col(f"`{text}`").alias("text"))
     rows = stored(with_statistics(rows), "outliers-statistics")
     rows = rows.select("*", *(x.alias(f"x{i}") for i, x in enumerate(vector())))
-    own = rows.where("n_words > 0").select("g", *(f"x{i}" for i in range(P)))
-    found = estimates(own.unionByName(own.withColumn("g", F.lit(None).cast("string"))), share, list(floor), steps, min_rows)
-    overall = found.where("g is null").drop("g")
-    other = overall.columns
-    overall = overall.select(*(F.col(c).alias(f"all_{c}") for c in other))
-    joined = rows.join(found.where("g is not null").withColumnRenamed("g", "group_"), F.col("g") == F.col("group_"), "left")
-    # one row: the estimate over all rows
-    joined = joined.join(F.broadcast(overall), F.lit(True), "left")
-    joined = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"all_{c}")) for c in other})
-    distance = F.when(F.col("n_words") > 0, _distance() / F.col("scale"))
+    own = rows.where("n_words > 0")
+    levels = F.explode(F.array("g", "of_lang", F.lit(None).cast("string"))).alias("g")
+    found = estimates(own.select(levels, *(f"x{i}" for i in range(P))), share, list(floor), steps, settled)
+    overall = found.where("g is null").first()
+    overall = (lambda c, r=overall: F.lit(0.0 if r is None else r[c]))
+    langs = found.select("g", *leaning(overall, prior_rows)).withColumnsRenamed(
+        {"g": "of_lang", **{c: f"lang_{c}" for c in _MOMENTS}}).drop("n")
+    groups = (own.select("g", "of_lang").distinct().join(found, "g").join(langs, "of_lang"))
+    groups = groups.select("g", *leaning(lambda c: F.col(f"lang_{c}"), prior_rows))
+    joined = rows.join(_factored(groups, "g"), "g", "left")
+    distance = F.when(F.col("n_words") > 0, _distance())
     cut = chi_square_quantile(tail, P)
     return joined.withColumn("distance", distance).select(
         "doc_id", *STATISTICS, "distance", F.coalesce(F.col("distance") > cut, F.lit(False)).alias("outlier"))
