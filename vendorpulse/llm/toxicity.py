@@ -1,27 +1,38 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-The classes share one interpolated Kneser-Ney model of words: a word given the
-word before it backs off to the word alone, and that, below the words that were
-learnt, to its letters (bytes), each given the ``ORDER - 1`` before.  At every
-order a class has its own counts, held against those that the shared model and
-the order below expect of it: its probability is the shared one times (count +
-prior) / (expected + prior).  So what is rare, or equally frequent in both
-classes, tells nothing; orders of letters up to ``SHARED`` are never told apart.
-Counts are of texts, so a word that one text repeats counts once.
-
-A toxic text is ordinary but for some words, so its likelihood of a word is the
-mixture ``(1 - rate) p_ordinary + rate p_toxic``; the evidence of a text is the
-difference of the two log-likelihoods over all its words, divided by their
-number.  A logistic curve, fitted on labelled rows that counted for neither
-model, turns evidence into a score; without a given ``rate`` the one of
-``RATES`` is taken with which the curve fits those rows best.
-
-Counts come from at most about ``per_class`` labelled rows of each class (by
+Two normalised models, of ordinary and of toxic texts, give the probability of
+each word after the word before it; a text's evidence is the difference of
+their log-likelihoods, divided by its number of words.
+
+* Shared: one interpolated Kneser-Ney model of both classes' counts, a word
+  given the word before it, which backs off to the words alone, and those, by
+  their discounts, to all words never seen.
+* Class: at each order a class multiplies the shared probability by (count +
+  prior) / (expected + prior), where the shared model and its own words expect
+  so many of its counts, and divides by the sum over all words.  So both classes
+  back off through the same counts, and where one has nothing of its own it has
+  the shared probability.
+* Letters: models of the same kind, of each byte of a word after the ``ORDER - 1``
+  before, tell the classes apart from order ``SHARED`` + 1 on.  They tilt a
+  word's expectation before its own counts do, and spread the probability of
+  all words never seen.
+
+So what is rare, or equally frequent in both classes, tells next to nothing.
+Counts are of texts (in how many different ones a word or pair stands), as
+Kneser-Ney counts contexts: a word that one text repeats counts once.
+
+A toxic text is ordinary but for some words, so the toxic model is the mixture
+``(1 - rate) ordinary + rate toxic``, which is normalised as its parts are; the
+rate is the one of ``RATES`` (1: the toxic model alone) whose logistic curve
+fits labelled rows best that counted for neither model.  The curve turns
+evidence into a score, and keeps its order.
+
+Counts come from at most about ``per_class`` labelled rows of each class, by
 hash of the id; fold 0 of 5 is never used, fold 4 only fits the curve and the
-rate), and the model keeps at most ``max_grams`` of the letters' highest order:
-both bound what the driver and the tasks hold.  Pairs of words don't pass the
-driver: they are sorted arrays in the shared folder, one file set per shard of
-the key space, which workers memory-map.  All documents are scored, whole.
+rate.  If fold 4 lacks a class the curve is a fixed one.  Letters, words and contexts of
+the sampled rows pass the driver; pairs don't: they are sorted arrays in the
+shared folder, one file set per shard of the key space, which workers
+memory-map.  All documents are scored, whole.
 
 Nulls and empty texts have no words and the score of no evidence.  A null
 ``doc_id`` is scored, and never learnt from.  Rows with several labels count as
@@ -43,24 +54,36 @@ from .common import fold, free_name, map_arrow, shared_path, stored
 from .ngram import Discounts, get, put
 from .words import ALNUM_WORDS, U64, Words, mix, slices, split_words
 
-ORDER, SHARED = 6, 2
-_CACHE_WORDS = 1_000_000
 SHARDS = 16  # of the pairs' keys, by their highest bits
-#: priors, in counts, of letters, words alone and pairs of words
-LETTERS, WORDS, PAIRS = 10.0, 1.0, 10.0
-RATES = (0.001, 0.002, 0.005, 0.01, 0.02, 0.05)
+#: priors, in counts, of letters, words and pairs: by loss and recall by language on each of folds 1 to 4, learnt from the
+#: three others
+LETTERS, WORDS, PAIRS = 3.0, 1.0, 30.0
+ORDER, SHARED = 6, 2
+RATES = (0.002, 0.005, 0.01, 0.02, 0.05, 0.2, 1.0)
+CLASSES = ("ordinary", "toxic")
 
 
-def _mask(k: int) -> np.uint64:
-    return U64((1 << 8 * k) - 1)
+def expression_counts(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words (first 0) and pairs of neighbours (first, second), and in how many ordinary and toxic texts each is."""
+    w = split_words(column, ALNUM_WORDS, lower=True)
+    h, doc = w.hashes(), w.doc()
+    at = np.flatnonzero(doc[1:] == doc[:-1])
+    first, second = np.append(np.zeros(len(h), U64), h[at]), np.append(h, h[at + 1])
+    doc = np.append(doc, doc[at])
+    keys, where, back = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
+    texts = np.unique(back * (len(column) + 1) + doc)  # a text counts a word or pair once
+    key, toxic = texts // (len(column) + 1), labels[texts % (len(column) + 1)].astype(bool)
+    sums = np.stack([np.bincount(key[~toxic], minlength=len(keys)), np.bincount(key[toxic], minlength=len(keys))], 1)
+    return first[where], second[where], sums
 
 
-def distinct_words(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One place of each word of each text, its text, and its hash."""
-    h, doc = w.hashes(), w.doc()
-    _, at = np.unique(mix(h + doc.astype(U64) * U64(0x9E3779B97F4A7C15)), return_index=True)
-    at.sort()
-    return at, doc[at], h[at]
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One key of each pair; that of a word alone (first 0) is the word's hash."""
+    return np.where(first == 0, second, mix(first * U64(0x9E3779B97F4A7C15) + second))
+
+
+def _mask(k: int) -> np.uint64:
+    return U64((1 << 8 * k) - 1)
 
 
 def letter_keys(w: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,188 +101,181 @@ def letter_keys(w: Words, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys, word
 
 
-def counts_of(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and their counts in ordinary and in toxic texts."""
-    w = split_words(column, ALNUM_WORDS, lower=True)
-    at, doc, h = distinct_words(w)
-    _, first, which = np.unique(h, return_index=True, return_inverse=True)
-    toxic = labels[doc].astype(bool)
-    weight = np.stack([np.bincount(which[~toxic], minlength=len(first)), np.bincount(which[toxic], minlength=len(first))], 1)
-    keys, word = letter_keys(w, at[first])
-    out, where = np.unique(keys, return_inverse=True)
-    sums = np.stack([np.bincount(where, weight[word, c], len(out)) for c in (0, 1)], 1).astype(np.int64)
-    return out, sums
-
-
-def expression_counts(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words (first 0) and pairs of neighbours (first, second), and in how many ordinary and toxic texts each is."""
+def letter_counts(column: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of ORDER letters, and their counts in the different words of ordinary and toxic texts, each once a text."""
     w = split_words(column, ALNUM_WORDS, lower=True)
     h, doc = w.hashes(), w.doc()
-    at = np.flatnonzero(doc[1:] == doc[:-1])
-    first, second = np.append(np.zeros(len(h), U64), h[at]), np.append(h, h[at + 1])
-    doc = np.append(doc, doc[at])
-    keys, where, back = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
-    texts = np.unique(back * (len(column) + 1) + doc)  # a text counts a word or pair once
-    key, toxic = texts // (len(column) + 1), labels[texts % (len(column) + 1)].astype(bool)
-    sums = np.stack([np.bincount(key[~toxic], minlength=len(keys)), np.bincount(key[toxic], minlength=len(keys))], 1)
-    return first[where], second[where], sums
+    words, first, which = np.unique(h, return_index=True, return_inverse=True)
+    texts = np.unique(which * (len(column) + 1) + doc)
+    word, toxic = texts // (len(column) + 1), labels[texts % (len(column) + 1)].astype(bool)
+    weight = np.stack([np.bincount(word[~toxic], minlength=len(words)), np.bincount(word[toxic], minlength=len(words))], 1)
+    keys, of = letter_keys(w, first)
+    return _summed([(keys, weight[of])])
 
 
-def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """One key of each pair; that of a word alone (first 0) is the word's hash."""
-    return np.where(first == 0, second, mix(first * U64(0x9E3779B97F4A7C15) + second))
-
-
-def tilted(lower: np.ndarray, counts: np.ndarray, expected: np.ndarray, prior: float) -> np.ndarray:
-    """Log ratio toxic / ordinary, from that of the order below, the classes' counts, and the counts that the pooled
-    model expects of each class."""
-    e = np.exp(np.clip(lower, -20, 20))
-    mean = expected.sum(1) / np.maximum(expected[:, 0] + expected[:, 1] * e, 1e-300)  # keeps the sum
-    return (lower + np.log(counts[:, 1] + prior) - np.log(expected[:, 1] * mean * e + prior)
-            - np.log(counts[:, 0] + prior) + np.log(expected[:, 0] * mean + prior))
-
-
-def _discounted(n: np.ndarray) -> np.ndarray:
-    return Discounts.fit(np.array([(n == i).sum() for i in (1, 2, 3, 4)]))(n)
+def _summed(parts):
+    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    n = np.concatenate([c for _, c in parts])
+    return keys, np.stack([np.bincount(where, n[:, c], len(keys)) for c in (0, 1)], 1).astype(np.int64)
 
 
 def _shard(keys: np.ndarray) -> np.ndarray:
     return (keys >> U64(60)).astype(np.int32)
 
 
-def _known(table: tuple, keys: np.ndarray, lower: np.ndarray, prior: float) -> np.ndarray:
-    """``lower``, but for the words or pairs that were learnt."""
-    own, counts, expected = table
-    p = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-    known = np.flatnonzero(own[p] == keys)
-    out, p = lower.copy(), p[known]
-    out[known] = tilted(lower[known], counts[p], expected[p].astype(float), prior)
-    return out
-
-
-@dataclass
-class Contexts:
-    """What a pair's pooled probability needs of its words: it backs off to the second word's."""
+def _find(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each key among the sorted ``known`` ones, and whether it is one."""
+    if not len(known):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return at, known[at] == keys
 
-    first: np.ndarray     # sorted hashes of the words before others
-    total: np.ndarray     # their pairs' counts (ordinary, toxic)
-    back: np.ndarray      # the discounts of their pairs
-    words: np.ndarray     # sorted hashes of words
-    base: np.ndarray      # their pooled probabilities
-    discounts: Discounts
 
-    def expected(self, first: np.ndarray, second: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.first, first)
-        total, n = self.total[at].astype(float), counts.sum(1)
-        p = n - self.discounts(n) + self.back[at] * self.base[np.searchsorted(self.words, second)]
-        return (total * (p / total.sum(1))[:, None]).astype(np.float32)
+def discounts_of(counts: np.ndarray) -> Discounts:
+    return Discounts.fit(np.array([(counts == i).sum() for i in (1, 2, 3, 4)]))
 
 
 @dataclass
-class Model:
-    rate: float
-    grams: dict = field(default_factory=dict)     # order -> (sorted keys, log ratio toxic / ordinary)
-    words: tuple = ()                             # sorted hashes of words, their counts, the counts expected
-    pairs: tuple = ()                             # folder and shards of the same for pairs
-    slope: float = 1.0
-    offset: float = -1e3
+class Letters:
+    """Probabilities of a byte after the bytes before it: columns shared, ordinary, toxic."""
+
+    orders: list          # of each order: contexts in order, their factors of unseen bytes, keys in order, probabilities
 
     @classmethod
-    def fit(cls, keys: np.ndarray, counts: np.ndarray, rate: float) -> Model:
-        """The letters, from the counts (ordinary, toxic) of the highest order."""
+    def fit(cls, keys: np.ndarray, counts: np.ndarray) -> Letters:
+        """From the counts (ordinary, toxic) of the highest order."""
         orders = {ORDER: (keys, counts)}
         for k in range(ORDER - 1, 0, -1):  # how many different bytes come before
             up, n = orders[k + 1]
             low, where = np.unique(up & _mask(k), return_inverse=True)
             orders[k] = low, np.stack([np.bincount(where, n[:, c] > 0, len(low)) for c in (0, 1)], 1).astype(np.int64)
-        model = cls(rate)
-        below_keys, below, ratio = None, None, None
+        out = []
         for k in range(1, ORDER + 1):
             own, n = orders[k]
-            context, where = np.unique(own >> U64(8), return_inverse=True)
-            total = np.stack([np.bincount(where, n[:, c], len(context)) for c in (0, 1)], 1)
-            discount = _discounted(n.sum(1))
-            at = None if k == 1 else np.searchsorted(below_keys, own & _mask(k - 1))
-            lower = np.full(len(own), 1 / 256) if k == 1 else below[at]
-            pooled = np.maximum(total.sum(1), 1)
-            p = (n.sum(1) - discount + np.bincount(where, discount, len(context))[where] * lower) / pooled[where]
-            ratio = np.zeros(len(own)) if k <= SHARED else tilted(ratio[at], n, total[where] * p[:, None], LETTERS)
-            below_keys, below = own, p
+            context, at = np.unique(own >> U64(8), return_inverse=True)
+            total, both = np.stack([np.bincount(at, n[:, c], len(context)) for c in (0, 1)], 1), n.sum(axis=1)
+            off, every = discounts_of(both)(both), np.maximum(total.sum(axis=1), 1)
+            rest = np.bincount(at, off, len(context)) / every
+            lower = np.full((len(own), 3), 1 / 256) if k == 1 else out[-1][3][np.searchsorted(out[-1][2], own & _mask(k - 1))]
+            shared = (both - off) / every[at] + rest[at] * lower[:, 0]
+            p = shared[:, None] * lower / lower[:, :1]
             if k > SHARED:
-                model.grams[k] = own, ratio.astype(np.float32)
-        return model
+                p[:, 1:] *= (n + LETTERS) / (total[at] * p[:, 1:] + LETTERS)
+            scale = np.stack([np.bincount(at, p[:, c], len(context)) + rest * np.maximum(1 - np.bincount(at, lower[:, c], len(context)), 0)
+                              for c in range(3)], 1)
+            out.append((context, rest[:, None] / scale, own, p / scale[at]))
+        return cls(out)
+
+    def of_keys(self, keys: np.ndarray) -> np.ndarray:
+        """Of each key's last byte."""
+        p = np.full((len(keys), 3), 1 / 256)
+        for k, (context, back, own, own_p) in enumerate(self.orders, 1):
+            at, known = _find(context, (keys & _mask(k)) >> U64(8))
+            p[known] *= back[at[known]]
+            at, known = _find(own, keys & _mask(k))
+            p[known] = own_p[at[known]]
+        return p
+
+    def of_words(self, w: Words, at: np.ndarray) -> np.ndarray:
+        """Logarithms of the probabilities of the words at ``at``."""
+        keys, word = letter_keys(w, at)
+        once, back = np.unique(keys, return_inverse=True)
+        p = np.log(self.of_keys(once))[back]
+        return np.stack([np.bincount(word, p[:, c], len(at)) for c in range(3)], 1)
 
-    def fit_words(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """From the words' counts (ordinary, toxic); returns their pooled probabilities, in the order of their hashes."""
-        order = np.argsort(words)
-        words, n = words[order], counts[order]
-        base = (n.sum(1) - _discounted(n.sum(1))) / max(n.sum(), 1)
-        self.words = words, n.astype(np.int32), (n.sum(0) * base[:, None]).astype(np.float32)
-        return base
-
-    def ratios(self, keys: np.ndarray) -> np.ndarray:
-        """Log ratio of the classes' probabilities of each key's last byte."""
-        out, open_ = np.zeros(len(keys)), np.arange(len(keys))
-        for k in range(ORDER, SHARED, -1):
-            own, ratio = self.grams[k]
-            if not len(own):
-                continue
-            key = keys[open_] & _mask(k)
-            p = np.minimum(np.searchsorted(own, key), len(own) - 1)
-            known = own[p] == key
-            out[open_[known]] = ratio[p[known]]
-            open_ = open_[~known]
-        return out
 
-    def _pairs_known(self, keys: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        if not self.pairs:
-            return lower
-        folder, shards = self.pairs
-        shard, out = _shard(keys), lower.copy()
-        for i in shards:
-            at = np.flatnonzero(shard == i)
-            out[at] = _known(tuple(get(folder, f"{i}-{name}") for name in ("keys", "counts", "expected")), keys[at], lower[at], PAIRS)
+@dataclass
+class Model:
+    """Both classes' models: column 0 ordinary, column 1 toxic."""
+
+    rate: float = 1.0
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))    # sorted hashes
+    shared: np.ndarray = field(default_factory=lambda: np.zeros(0))        # their shared probabilities
+    p: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))        # their probabilities
+    unseen: np.ndarray = field(default_factory=lambda: np.ones(2))         # that of all other words together
+    letters: Letters | None = None
+    first: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))    # sorted hashes of words before others
+    back: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))     # the factor of words that they weren't seen before
+    pairs: tuple = ()                                                      # folder and shards of the pairs' probabilities
+    slope: float = 1.0
+    offset: float = 0.0
+
+    def fit_words(self, words: np.ndarray, counts: np.ndarray, spelt: np.ndarray) -> None:
+        """From the words' counts (ordinary, toxic) and their logarithms by letters (shared, ordinary, toxic)."""
+        order = np.argsort(words)
+        self.words, n, spelt = words[order], counts[order], spelt[order]
+        both = n.sum(axis=1)
+        off, total = discounts_of(both)(both), both.sum()
+        self.shared, rest = (both - off) / total, off.sum() / total
+        first = self.shared[:, None] * np.exp(np.clip(spelt[:, 1:] - spelt[:, :1], -20, 20))
+        first /= first.sum(axis=0) / self.shared.sum()
+        tilted = first * (n + WORDS) / (n.sum(axis=0) * first + WORDS)
+        scale = tilted.sum(axis=0) + rest
+        self.p = tilted / scale
+        # all other words: what the letters leave to them
+        self.unseen = rest / scale / np.maximum(1 - np.exp(spelt[:, 1:]).sum(axis=0), 1e-3)
+
+    def weighed(self, second: np.ndarray, n: np.ndarray, total: np.ndarray, off: np.ndarray,
+                discounts: Discounts) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs with counts ``n``: their tilted probabilities, not yet divided by a context's sum, and their second words'.
+
+        ``total`` and ``off``: the counts (ordinary, toxic) and all discounts of the pairs' contexts.
+        """
+        at, _ = _find(self.words, second)
+        both, every = n.sum(axis=1), total.sum(axis=1)
+        p = (both - discounts(both)) / every + off / every * self.shared[at]
+        expected = p[:, None] * self.p[at] / self.shared[at][:, None]
+        return expected * (n + PAIRS) / (total * expected + PAIRS), self.p[at]
+
+    def alone(self, w: Words, at: np.ndarray, h: np.ndarray) -> np.ndarray:
+        """Both classes' probabilities of the words at ``at``, whose hashes are ``h``; of words never seen relative to
+        the shared letters'."""
+        place, known = _find(self.words, h)
+        p = self.p[place]
+        new = np.flatnonzero(~known)
+        if len(new):
+            spelt = self.letters.of_words(w, at[new])
+            p[new] = self.unseen * np.exp(np.clip(spelt[:, 1:] - spelt[:, :1], -20, 20))
+        return p
+
+    def after(self, first: np.ndarray, second: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """Both classes' probabilities of words after others, from those of the words alone."""
+        at, known = _find(self.first, first)
+        out = p * np.where(known[:, None], self.back[at], 1.0) if len(self.first) else p.copy()
+        if self.pairs:
+            folder, shards = self.pairs
+            keys = pair_keys(first, second)
+            shard = _shard(keys)
+            for i in shards:
+                mine = np.flatnonzero(known & (shard == i))
+                place, there = _find(get(folder, f"{i}-keys"), keys[mine])
+                out[mine[there]] = get(folder, f"{i}-p")[place[there]]
         return out
 
-    def word_ratios(self, column: pa.Array, cache: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The text of each word, and its log ratio after the word before it."""
+    def word_ratios(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The text of each word, and toxic / ordinary probability after the word before it."""
         w = split_words(column, ALNUM_WORDS, lower=True)
         h, doc = w.hashes(), w.doc()
-        if not len(h) or not self.grams:
-            return doc, np.zeros(len(h))
-        words, first, which = np.unique(h, return_index=True, return_inverse=True)
-        value = np.full(len(words), np.nan)
-        if cache:
-            p = np.minimum(np.searchsorted(cache[0], words), len(cache[0]) - 1)
-            value = np.where(cache[0][p] == words, cache[1][p], value)
-        new = np.flatnonzero(np.isnan(value))
-        if len(new):
-            keys, word = letter_keys(w, first[new])
-            u, back = np.unique(keys, return_inverse=True)
-            value[new] = np.bincount(word, self.ratios(u)[back], len(new))
-            if self.words and len(self.words[0]):
-                value[new] = _known(self.words, words[new], value[new], WORDS)
-            if cache is not None:
-                if cache and len(cache[0]) + len(new) <= _CACHE_WORDS:
-                    both = np.concatenate([cache[0], words[new]])
-                    order = np.argsort(both)
-                    cache[:] = both[order], np.concatenate([cache[1], value[new]])[order]
-                else:
-                    cache[:] = words, value
-        ratio = value[which]
+        if not len(h) or not len(self.words):
+            return doc, np.ones(len(h))
+        words, where, which = np.unique(h, return_index=True, return_inverse=True)
+        p = self.alone(w, where, words)[which]
         at = np.flatnonzero(doc[1:] == doc[:-1]) + 1
-        ratio[at] = self._pairs_known(pair_keys(h[at - 1], h[at]), ratio[at])
-        return doc, ratio
+        keys, where, back = np.unique(pair_keys(h[at - 1], h[at]), return_index=True, return_inverse=True)
+        at_once = at[where]
+        p[at] = self.after(h[at_once - 1], h[at_once], p[at_once])[back]
+        return doc, p[:, 1] / p[:, 0]
 
-    def evidence(self, column: pa.Array, cache: list | None = None, rates: tuple[float, ...] = ()) -> tuple[np.ndarray, ...]:
+    def evidence(self, column: pa.Array, rates: tuple[float, ...] = ()) -> tuple[np.ndarray, ...]:
         """Per text: number of words, evidence (at each of ``rates``, or the model's)."""
-        doc, ratio = self.word_ratios(column, cache)
+        doc, ratio = self.word_ratios(column)
         total = np.bincount(doc, minlength=len(column))
-        odds = np.expm1(np.minimum(ratio, 50.0))
-        return total, *(np.bincount(doc, np.log1p(rate * odds), len(column)) / np.maximum(total, 1)
+        return total, *(np.bincount(doc, np.log(1 - rate + rate * ratio), len(column)) / np.maximum(total, 1)
                         for rate in rates or (self.rate,))
 
     def scores(self, evidence: np.ndarray) -> np.ndarray:
+        if not len(self.words):
+            return np.zeros(len(evidence))
         return 1 / (1 + np.exp(-np.clip(self.slope * _scale(evidence) + self.offset, -500, 500)))
 
     def loss(self, evidence: np.ndarray, labels: np.ndarray) -> float:
@@ -278,7 +294,7 @@ class Model:
         """Logistic curve over the scaled evidence, with targets drawn in by one row of each class."""
         x, pos, neg = _scale(evidence), labels.sum(), (1 - labels).sum()
         if not pos or not neg:
-            self.slope, self.offset = (2.0, -2.0 * float(_scale(np.array([0.2]))[0])) if len(self.grams) else (1.0, -1e3)
+            self.slope, self.offset = 2.0, -2.0 * float(_scale(np.array([0.2]))[0])
             return
         y = np.where(labels == 1, (pos + 1) / (pos + 2), 1 / (neg + 2))
         centre, spread = x.mean(), x.std() or 1.0
@@ -295,11 +311,11 @@ class Model:
 
 
 def _scale(evidence: np.ndarray) -> np.ndarray:
-    return np.log(0.01 + np.maximum(evidence, 0))
+    return np.arcsinh(100 * evidence)
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-        per_class: int = 10_000, max_grams: int = 1_000_000, rate: float | None = None) -> Model:
+        per_class: int = 10_000, rate: float | None = None) -> Model:
     own = (labels.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{label}`").cast("int").alias("toxic"))
            .where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .where(fold("doc_id", 5) != 0))
@@ -308,24 +324,26 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         return Model(rate or RATES[0])
     share = F.when(F.col("toxic") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
     picked = own.where("toxic in (0, 1)").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
-    small = min(sizes.values()) < 40  # too few to keep a fold apart: the curve sees the counted rows
     rows = stored(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
                   .join(F.broadcast(picked), "doc_id")  # about 2 * per_class ids
                   .select("text", "toxic", (fold("doc_id", 5) == 4).alias("apart")), "toxicity-labelled")
-    learnt = rows.where("true" if small else "not apart").select("text", "toxic")
+    model = count(rows.where("not apart").select("text", "toxic"), rate or RATES[0])
+    rates = RATES if rate is None else (rate,)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def count(batches):
-        held = []
+    def apart(batches):
         for b in slices(batches, "text"):
-            held.append(counts_of(b.column("text"), b.column("toxic").to_numpy()))
-            if sum(len(k) for k, _ in held) > 2_000_000:
-                held = [_summed(held)]
-        if held:
-            keys, n = _summed(held)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1])],
-                                             ["key", "ordinary", "toxic"])
+            yield pa.RecordBatch.from_arrays([*map(pa.array, sent.value.evidence(b.column("text"), rates)[1:]),
+                                              b.column("toxic")], [*(f"e{i}" for i in range(len(rates))), "toxic"])
+    seen = map_arrow(rows.where("apart").select("text", "toxic"), apart,
+                     ", ".join([*(f"e{i} double" for i in range(len(rates))), "toxic int"])).toPandas()
+    model.calibrate_rate([seen[f"e{i}"].to_numpy(float) for i in range(len(rates))], seen["toxic"].to_numpy(float), rates)
+    return model
 
-    def count_expressions(batches):
+
+def count(learnt: DataFrame, rate: float) -> Model:
+    """Both classes' models from rows (text, toxic); the curve is not fitted."""
+    def run(batches):
         held = []
         for b in slices(batches, "text"):
             held.append(expression_counts(b.column("text"), b.column("toxic").to_numpy()))
@@ -335,84 +353,114 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
             first, second, n = _summed_expressions(held)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_shard(pair_keys(first, second))), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
-                 pa.array(n[:, 0]), pa.array(n[:, 1])], ["shard", "first", "second", "ordinary", "toxic"])
-
-    found = (map_arrow(learnt, count, "key long, ordinary long, toxic long")
-             .groupBy("key").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
-             .orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "key").limit(max_grams).toPandas())
-    keys = found["key"].to_numpy(np.int64).view(U64)
-    order = np.argsort(keys)
-    model = Model.fit(keys[order], found[["ordinary", "toxic"]].to_numpy(np.int64)[order], rate or RATES[0])
-    said = stored(map_arrow(learnt, count_expressions, "shard int, first long, second long, ordinary long, toxic long")
-                  .groupBy("shard", "first", "second").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")),
-                  "toxicity-expressions")
-    alone = said.where("first = 0").select("second", "ordinary", "toxic").toArrow()
-    base = model.fit_words(_hashes(alone, "second"), _columns(alone, "ordinary", "toxic"))
-    model.pairs = _pairs(said.where("first <> 0"), model.words[0], base)
-    rates = RATES if rate is None else (rate,)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+                 pa.array(n[:, 0]), pa.array(n[:, 1])], ["shard", "first", "second", *CLASSES])
 
-    def apart(batches):
+    said = stored(map_arrow(learnt, run, "shard int, first long, second long, ordinary long, toxic long")
+                  .groupBy("shard", "first", "second").agg(*(F.sum(c).alias(c) for c in CLASSES)), "toxicity-expressions")
+    def run_letters(batches):
+        held = []
         for b in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([*map(pa.array, sent.value.evidence(b.column("text"), rates=rates)[1:]),
-                                              b.column("toxic")], [*(f"e{i}" for i in range(len(rates))), "toxic"])
-    seen = map_arrow(rows.where("true" if small else "apart").select("text", "toxic"), apart,
-                     ", ".join([*(f"e{i} double" for i in range(len(rates))), "toxic int"])).toPandas()
-    model.calibrate_rate([seen[f"e{i}"].to_numpy(float) for i in range(len(rates))], seen["toxic"].to_numpy(float), rates)
-    return model
-
-
-def _summed_expressions(parts):
-    first, second, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    keys, at, where = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
-    return first[at], second[at], np.stack([np.bincount(where, n[:, c], len(keys)) for c in (0, 1)], 1).astype(np.int64)
-
-
-def _hashes(table: pa.Table, column: str) -> np.ndarray:
-    return table.column(column).to_numpy().view(U64)
+            held.append(letter_counts(b.column("text"), b.column("toxic").to_numpy()))
+            if sum(len(k) for k, _ in held) > 2_000_000:
+                held = [_summed(held)]
+        if held:
+            keys, n = _summed(held)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n[:, 0]), pa.array(n[:, 1])], ["key", *CLASSES])
 
+    model = Model(rate)
+    grams = (map_arrow(learnt, run_letters, "key long, ordinary long, toxic long").groupBy("key")
+             .agg(*(F.sum(c).alias(c) for c in CLASSES)).toArrow())
+    if not len(grams):
+        return model
+    order = np.argsort(_hashes(grams, "key"))
+    model.letters = letters = Letters.fit(_hashes(grams, "key")[order], _columns(grams, *CLASSES)[order])
 
-def _columns(table: pa.Table, *columns: str) -> np.ndarray:
-    return np.stack([table.column(c).to_numpy().astype(np.int64) for c in columns], 1)
+    def spell(batches):
+        for b in slices(batches, "text"):
+            w = split_words(b.column("text"), ALNUM_WORDS, lower=True)
+            h, at = np.unique(w.hashes(), return_index=True)
+            spelt = letters.of_words(w, at)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *map(pa.array, spelt.T)], ["second", "a", "b", "c"])
+
+    spelt = map_arrow(learnt, spell, "second long, a double, b double, c double").groupBy("second").agg(
+        *(F.min(c).alias(c) for c in "abc"))
+    alone = said.where("first = 0").select("second", *CLASSES).join(spelt, "second").toArrow()
+    model.fit_words(_hashes(alone, "second"), _columns(alone, *CLASSES), np.stack([alone.column(c).to_numpy() for c in "abc"], 1))
+    _fit_pairs(model, said.where("first <> 0"))
+    return model
 
 
-def _pairs(pairs: DataFrame, words: np.ndarray, base: np.ndarray) -> tuple:
-    """Writes the pairs with their expected counts; returns the folder and the shards that have any."""
-    n, folder = F.col("ordinary") + F.col("toxic"), shared_path(pairs.sparkSession, "toxicity-pairs")
-    sizes = [*(F.count_if(n == i).cast("int").alias(f"n{i}") for i in (1, 2, 3, 4)), F.count_if(n > 4).cast("int").alias("more")]
-    found = pairs.groupBy("first").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), *sizes).toArrow()
+def _fit_pairs(model: Model, pairs: DataFrame) -> None:
+    """The contexts' backoff, and the pairs' probabilities in files by shard."""
+    both = F.col("ordinary") + F.col("toxic")
+    discounts = Discounts.fit(np.array(pairs.agg(*(F.count_if(both == i) for i in (1, 2, 3, 4))).first()))
+    off = F.element_at(F.array(*(F.lit(float(x)) for x in discounts.of[1:])), F.least(both, F.lit(3)).cast("int"))
+    found = pairs.groupBy("first").agg(*(F.sum(c).alias(c) for c in CLASSES), F.sum(off).alias("off")).toArrow()
     if not len(found):
-        return ()
-    first, kinds = _hashes(found, "first"), _columns(found, "n1", "n2", "n3", "n4", "more")
-    order, discounts = np.argsort(first), Discounts.fit(kinds[:, :4].sum(0))
-    back = kinds @ discounts(np.array([1, 2, 3, 4, 5]))
-    sent = pairs.sparkSession.sparkContext.broadcast(Contexts(
-        first[order], _columns(found, "ordinary", "toxic")[order].astype(np.int32), back[order], words, base, discounts))
+        return
+    folder, spark = shared_path(pairs.sparkSession, "toxicity-pairs"), pairs.sparkSession
+    order = np.argsort(_hashes(found, "first"))
+    first, total = _hashes(found, "first")[order], _columns(found, *CLASSES)[order]
+    off = found.column("off").to_numpy()[order]
+    sent = spark.sparkContext.broadcast((model, first, total, off))
+
+    def weighed(batch):
+        model, first, total, off = sent.value
+        second, n = batch.column("second").to_numpy().view(U64), np.stack([batch.column(c).to_numpy() for c in CLASSES], 1)
+        at = np.searchsorted(first, batch.column("first").to_numpy().view(U64))
+        return at, second, *model.weighed(second, n, total[at], off[at], discounts)
+
+    def sums(batches):
+        held = None
+        for b in batches:
+            at, _, own, alone = weighed(b)
+            held = np.zeros((len(sent.value[1]), 4)) if held is None else held
+            for i, x in enumerate((*own.T, *alone.T)):
+                held[:, i] += np.bincount(at, x, len(held))
+        if held is not None:
+            used = np.flatnonzero(held.any(axis=1))
+            yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(held[used, i]) for i in range(4))], ["at", "a", "b", "c", "d"])
+
+    seen = map_arrow(pairs, sums, "at long, a double, b double, c double, d double").groupBy("at").agg(
+        *(F.sum(c).alias(c) for c in "abcd")).orderBy("at").toPandas()[[*"abcd"]].to_numpy()  # a row a context
+    rest = (off / total.sum(axis=1))[:, None]
+    scale = seen[:, :2] + rest * np.maximum(1 - seen[:, 2:], 0)
+    model.first, model.back = first, rest / scale
+    scales = spark.sparkContext.broadcast(scale)
 
     def write(batches):
-        parts = [(b.column("first").to_numpy().view(U64), b.column("second").to_numpy().view(U64),
-                  np.stack([b.column(c).to_numpy() for c in ("ordinary", "toxic")], 1)) for b in batches]
-        if not parts:
+        keys, p = [], []
+        for b in batches:
+            at, second, own, _ = weighed(b)
+            keys.append(pair_keys(b.column("first").to_numpy().view(U64), second))
+            p.append(own / scales.value[at])
+        if not keys:
             return
-        first, second, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
-        keys = pair_keys(first, second)
+        keys, p = np.concatenate(keys), np.concatenate(p)
         order = np.argsort(keys)
-        keys, n, expected = keys[order], n[order], sent.value.expected(first[order], second[order], n[order])
+        keys, p = keys[order], p[order]
         shards, at = np.unique(_shard(keys), return_index=True)
         for shard, lo, hi in zip(shards.tolist(), at, np.append(at[1:], len(keys))):
             put(folder, f"{shard}-keys", keys[lo:hi])
-            put(folder, f"{shard}-counts", n[lo:hi].astype(np.int32))
-            put(folder, f"{shard}-expected", expected[lo:hi])
+            put(folder, f"{shard}-p", p[lo:hi])
         yield pa.RecordBatch.from_arrays([pa.array(shards)], ["shard"])
 
     done = map_arrow(pairs.repartition(SHARDS, "shard"), write, "shard int").collect()
-    return folder, sorted(r.shard for r in done)
+    model.pairs = folder, sorted(r.shard for r in done)
 
 
-def _summed(parts):
-    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    n = np.concatenate([c for _, c in parts])
-    return keys, np.stack([np.bincount(where, n[:, c], len(keys)) for c in (0, 1)], 1).astype(np.int64)
+def _summed_expressions(parts):
+    first, second, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+    keys, at, where = np.unique(pair_keys(first, second), return_index=True, return_inverse=True)
+    return first[at], second[at], np.stack([np.bincount(where, n[:, c], len(keys)) for c in (0, 1)], 1).astype(np.int64)
+
+
+def _hashes(table: pa.Table, column: str) -> np.ndarray:
+    return table.column(column).to_numpy().view(U64)
+
+
+def _columns(table: pa.Table, *columns: str) -> np.ndarray:
+    return np.stack([table.column(c).to_numpy().astype(np.int64) for c in columns], 1)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -423,9 +471,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        cache: list = []
         for b in slices(batches, text):
-            words, evidence = sent.value.evidence(b.column(text), cache)
+            words, evidence = sent.value.evidence(b.column(text))
             struct = pa.StructArray.from_arrays([pa.array(sent.value.scores(evidence)), pa.array(evidence),
                                                  pa.array(words.astype(np.int64))], ["score", "evidence", "words"])
             yield pa.RecordBatch.from_arrays([*b.columns, struct], [*b.schema.names, out])
