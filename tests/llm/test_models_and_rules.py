@@ -55,10 +55,9 @@ def test_toxicity_held_out(toy):
 
 
 def _tables(model):
-    folder, shards = model.pairs
-    files = [ngram.get(folder, f"{i}-{name}") for i in shards for name in ("keys", "p")]
+    files = [ngram.get(model.folder, f"{i}-{name}") for i in model.shards for name in ("keys", "pairs", "first", "back")]
     letters = [x for order in model.letters.orders for x in order]
-    return [model.words, model.p, model.unseen, model.first, model.back, *letters, *files,
+    return [model.words, model.p, model.unseen, *letters, *files,
             np.array([model.slope, model.offset, model.rate])]
 
 
@@ -134,11 +133,12 @@ def test_toxicity_models_equal_brute_force_and_sum_to_one(spark):
     others = model.unseen * (1 - spelt[:-1, 1:].sum(axis=0))      # all words never seen
     assert np.allclose(every[:-1].sum(axis=0) + others, 1)
     assert np.allclose(every[-1], model.unseen * spelt[-1, 1:] / spelt[-1, 0])
+    first, backs = model.contexts()
     unknown = dict(zip((0, 1), every[-1] / others))               # of them, relative to the shared letters
     for i, v in enumerate([*vocabulary, "unknown"]):
         p = model.after(np.full(len(h), h[i]), h, every)
-        known = np.flatnonzero(model.first == h[i])
-        back = model.back[known[0]] if len(known) else np.ones(2)
+        known = np.flatnonzero(first == h[i])
+        back = backs[known[0]] if len(known) else np.ones(2)
         assert np.allclose(p[:-1].sum(axis=0) + back * others, 1)
         for c in (0, 1):
             assert np.allclose(p[:-1, c], [after(v, x, c) for x in vocabulary])

@@ -30,9 +30,8 @@ evidence into a score, and keeps its order.
 Counts come from at most about ``per_class`` labelled rows of each class, by
 hash of the id; fold 0 of 5 is never used, fold 4 only fits the curve and the
 rate.  If fold 4 lacks a class the curve is a fixed one.  Letters, words and contexts of
-the sampled rows pass the driver; pairs don't: they are sorted arrays in the
-shared folder, one file set per shard of the key space, which workers
-memory-map.  All documents are scored, whole.
+the sampled rows pass the driver; pairs don't.  All lie as sorted arrays in the
+shared folder, which workers memory-map; pairs by shard of their first words.  All documents are scored, whole.
 
 Nulls and empty texts have no words and the score of no evidence.  A null
 ``doc_id`` is scored, and never learnt from.  Rows with several labels count as
@@ -54,7 +53,7 @@ from .common import fold, free_name, map_arrow, shared_path, stored
 from .ngram import Discounts, get, put
 from .words import ALNUM_WORDS, U64, Words, mix, slices, split_words
 
-SHARDS = 16  # of the pairs' keys, by their highest bits
+SHARDS = 16  # of the pairs, by the highest bits of their first words' hashes
 #: priors, in counts, of letters, words and pairs: by loss and recall by language on each of folds 1 to 4, learnt from the
 #: three others
 LETTERS, WORDS, PAIRS = 3.0, 1.0, 30.0
@@ -194,12 +193,30 @@ class Model:
     p: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))        # their probabilities
     unseen: np.ndarray = field(default_factory=lambda: np.ones(2))         # that of all other words together
     letters: Letters | None = None
-    first: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))    # sorted hashes of words before others
-    back: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))     # the factor of words that they weren't seen before
-    pairs: tuple = ()                                                      # folder and shards of the pairs' probabilities
+    folder: str = ""                                                       # where its arrays lie
+    shards: tuple = ()                                                     # shards that hold pairs
     slope: float = 1.0
     offset: float = 0.0
 
+    def save(self, folder: str) -> None:
+        """Write the arrays; from now on the model is sent as the folder's name."""
+        for name in ("words", "shared", "p"):
+            put(folder, name, getattr(self, name))
+        for k, order in enumerate(self.letters.orders):
+            for i, x in enumerate(order):
+                put(folder, f"letters-{k}-{i}", x)
+        self.folder = folder
+
+    def __getstate__(self) -> dict:
+        arrays = ("words", "shared", "p", "letters") if self.folder else ()
+        return {k: v for k, v in self.__dict__.items() if k not in arrays}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        if self.folder:
+            self.words, self.shared, self.p = (get(self.folder, name) for name in ("words", "shared", "p"))
+            self.letters = Letters([tuple(get(self.folder, f"letters-{k}-{i}") for i in range(4)) for k in range(ORDER)])
+
     def fit_words(self, words: np.ndarray, counts: np.ndarray, spelt: np.ndarray) -> None:
         """From the words' counts (ordinary, toxic) and their logarithms by letters (shared, ordinary, toxic)."""
         order = np.argsort(words)
@@ -240,18 +257,22 @@ class Model:
 
     def after(self, first: np.ndarray, second: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Both classes' probabilities of words after others, from those of the words alone."""
-        at, known = _find(self.first, first)
-        out = p * np.where(known[:, None], self.back[at], 1.0) if len(self.first) else p.copy()
-        if self.pairs:
-            folder, shards = self.pairs
-            keys = pair_keys(first, second)
-            shard = _shard(keys)
-            for i in shards:
-                mine = np.flatnonzero(known & (shard == i))
-                place, there = _find(get(folder, f"{i}-keys"), keys[mine])
-                out[mine[there]] = get(folder, f"{i}-p")[place[there]]
+        out, keys, shard = p.copy(), pair_keys(first, second), _shard(first)
+        for i in self.shards:
+            mine = np.flatnonzero(shard == i)
+            at, known = _find(get(self.folder, f"{i}-first"), first[mine])
+            mine, at = mine[known], at[known]
+            out[mine] *= get(self.folder, f"{i}-back")[at]
+            at, known = _find(get(self.folder, f"{i}-keys"), keys[mine])
+            out[mine[known]] = get(self.folder, f"{i}-pairs")[at[known]]
         return out
 
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of the words that stand before others, and the factors of words that they weren't seen before."""
+        if not self.shards:
+            return np.zeros(0, U64), np.zeros((0, 2))
+        return tuple(np.concatenate([get(self.folder, f"{i}-{name}") for i in self.shards]) for name in ("first", "back"))
+
     def word_ratios(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The text of each word, and toxic / ordinary probability after the word before it."""
         w = split_words(column, ALNUM_WORDS, lower=True)
@@ -352,7 +373,7 @@ def count(learnt: DataFrame, rate: float) -> Model:
         if held:
             first, second, n = _summed_expressions(held)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_shard(pair_keys(first, second))), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
+                [pa.array(_shard(first)), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)),
                  pa.array(n[:, 0]), pa.array(n[:, 1])], ["shard", "first", "second", *CLASSES])
 
     said = stored(map_arrow(learnt, run, "shard int, first long, second long, ordinary long, toxic long")
@@ -375,78 +396,62 @@ def count(learnt: DataFrame, rate: float) -> Model:
     order = np.argsort(_hashes(grams, "key"))
     model.letters = letters = Letters.fit(_hashes(grams, "key")[order], _columns(grams, *CLASSES)[order])
 
+    own = shared_path(learnt.sparkSession, "toxicity")
+    model.save(own)
+    sent = model  # as the folder's name
+
     def spell(batches):
+        known = np.zeros(0, U64)
         for b in slices(batches, "text"):
             w = split_words(b.column("text"), ALNUM_WORDS, lower=True)
             h, at = np.unique(w.hashes(), return_index=True)
-            spelt = letters.of_words(w, at)
+            new = ~_find(known, h)[1]
+            h, at = h[new], at[new]
+            if len(known) < 2_000_000:
+                known = np.union1d(known, h)
+            spelt = sent.letters.of_words(w, at)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), *map(pa.array, spelt.T)], ["second", "a", "b", "c"])
 
     spelt = map_arrow(learnt, spell, "second long, a double, b double, c double").groupBy("second").agg(
         *(F.min(c).alias(c) for c in "abc"))
     alone = said.where("first = 0").select("second", *CLASSES).join(spelt, "second").toArrow()
     model.fit_words(_hashes(alone, "second"), _columns(alone, *CLASSES), np.stack([alone.column(c).to_numpy() for c in "abc"], 1))
+    model.save(shared_path(learnt.sparkSession, "toxicity"))
     _fit_pairs(model, said.where("first <> 0"))
     return model
 
 
 def _fit_pairs(model: Model, pairs: DataFrame) -> None:
-    """The contexts' backoff, and the pairs' probabilities in files by shard."""
+    """The contexts' backoff and the pairs' probabilities, in files by shard: a shard holds all pairs of its contexts."""
     both = F.col("ordinary") + F.col("toxic")
     discounts = Discounts.fit(np.array(pairs.agg(*(F.count_if(both == i) for i in (1, 2, 3, 4))).first()))
-    off = F.element_at(F.array(*(F.lit(float(x)) for x in discounts.of[1:])), F.least(both, F.lit(3)).cast("int"))
-    found = pairs.groupBy("first").agg(*(F.sum(c).alias(c) for c in CLASSES), F.sum(off).alias("off")).toArrow()
-    if not len(found):
-        return
-    folder, spark = shared_path(pairs.sparkSession, "toxicity-pairs"), pairs.sparkSession
-    order = np.argsort(_hashes(found, "first"))
-    first, total = _hashes(found, "first")[order], _columns(found, *CLASSES)[order]
-    off = found.column("off").to_numpy()[order]
-    sent = spark.sparkContext.broadcast((model, first, total, off))
-
-    def weighed(batch):
-        model, first, total, off = sent.value
-        second, n = batch.column("second").to_numpy().view(U64), np.stack([batch.column(c).to_numpy() for c in CLASSES], 1)
-        at = np.searchsorted(first, batch.column("first").to_numpy().view(U64))
-        return at, second, *model.weighed(second, n, total[at], off[at], discounts)
-
-    def sums(batches):
-        held = None
-        for b in batches:
-            at, _, own, alone = weighed(b)
-            held = np.zeros((len(sent.value[1]), 4)) if held is None else held
-            for i, x in enumerate((*own.T, *alone.T)):
-                held[:, i] += np.bincount(at, x, len(held))
-        if held is not None:
-            used = np.flatnonzero(held.any(axis=1))
-            yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(held[used, i]) for i in range(4))], ["at", "a", "b", "c", "d"])
-
-    seen = map_arrow(pairs, sums, "at long, a double, b double, c double, d double").groupBy("at").agg(
-        *(F.sum(c).alias(c) for c in "abcd")).orderBy("at").toPandas()[[*"abcd"]].to_numpy()  # a row a context
-    rest = (off / total.sum(axis=1))[:, None]
-    scale = seen[:, :2] + rest * np.maximum(1 - seen[:, 2:], 0)
-    model.first, model.back = first, rest / scale
-    scales = spark.sparkContext.broadcast(scale)
 
     def write(batches):
-        keys, p = [], []
-        for b in batches:
-            at, second, own, _ = weighed(b)
-            keys.append(pair_keys(b.column("first").to_numpy().view(U64), second))
-            p.append(own / scales.value[at])
-        if not keys:
+        parts = [(b.column("first").to_numpy().view(U64), b.column("second").to_numpy().view(U64),
+                  np.stack([b.column(c).to_numpy() for c in CLASSES], 1)) for b in batches]
+        if not parts:
             return
-        keys, p = np.concatenate(keys), np.concatenate(p)
-        order = np.argsort(keys)
-        keys, p = keys[order], p[order]
-        shards, at = np.unique(_shard(keys), return_index=True)
-        for shard, lo, hi in zip(shards.tolist(), at, np.append(at[1:], len(keys))):
-            put(folder, f"{shard}-keys", keys[lo:hi])
-            put(folder, f"{shard}-p", p[lo:hi])
-        yield pa.RecordBatch.from_arrays([pa.array(shards)], ["shard"])
+        first, second, n = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        names, at = np.unique(first, return_inverse=True)
+        sums = lambda x: np.stack([np.bincount(at, c, len(names)) for c in x.T], 1)
+        total, off = sums(n), np.bincount(at, discounts(n.sum(axis=1)), len(names))
+        own, alone = model.weighed(second, n, total[at], off[at], discounts)
+        rest = (off / total.sum(axis=1))[:, None]
+        scale = sums(own) + rest * np.maximum(1 - sums(alone), 0)
+        keys, p = pair_keys(first, second), own / scale[at]
+        done = np.unique(_shard(names))
+        for i in done.tolist():
+            mine = np.flatnonzero(_shard(first) == i)
+            mine = mine[np.argsort(keys[mine])]
+            put(model.folder, f"{i}-keys", keys[mine])
+            put(model.folder, f"{i}-pairs", p[mine])
+            own_names = _shard(names) == i
+            put(model.folder, f"{i}-first", names[own_names])
+            put(model.folder, f"{i}-back", (rest / scale)[own_names])
+        yield pa.RecordBatch.from_arrays([pa.array(done)], ["shard"])
 
     done = map_arrow(pairs.repartition(SHARDS, "shard"), write, "shard int").collect()
-    model.pairs = folder, sorted(r.shard for r in done)
+    model.shards = tuple(sorted(r.shard for r in done))
 
 
 def _summed_expressions(parts):
