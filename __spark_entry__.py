@@ -31,6 +31,7 @@ from vendorpulse.plans import job  # noqa: E402
 from vendorpulse.plans.abt import DayPlan, FeaturePlan, build_abt, build_abt_range, publish_abt, read_abt  # noqa: E402
 from vendorpulse.plans.abt import read_published, write_abt  # noqa: E402
 from vendorpulse.plans.state import MonthState  # noqa: E402
+from vendorpulse.sources.bucketed import read_bucketed, write_bucketed  # noqa: E402
 from vendorpulse.sources.roles import driver_roles, read_roles  # noqa: E402
 from vendorpulse.sources.schemas import ROLES  # noqa: E402
 
@@ -255,6 +256,13 @@ def q_abt_published(spark, sf_dir):
     return _rounded(read_published(spark, path, (DATES[0], DATES[2])).unionByName(kept))
 
 
+def q_abt_bucketed(spark, sf_dir):
+    """The roles stored in buckets of orders; the large joins of the build need no exchange."""
+    path = _new_path(spark, "bucketed")
+    write_bucketed(driver_roles(spark, sf_dir), path)
+    return _rounded(FeaturePlan.of(read_bucketed(spark, path), DATES).layer2())
+
+
 #: stamps of the logs of q_abt_incremental: a month, and rows of every kind for old months, arrive in the second delivery
 LATE = {"orders": "order_purchase_timestamp >= '1998-08-01' OR order_id % 17 = 0", "items": "order_id % 13 = 0 AND order_item_id = 2",
         "payments": "order_id % 11 = 0 AND payment_sequential > 1", "reviews": "order_id % 7 = 0"}
@@ -368,6 +376,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "abt_rewrite": q_abt_rewrite,
         "abt_published": q_abt_published,
         "abt_incremental": q_abt_incremental,
+        "abt_bucketed": q_abt_bucketed,
         "job_both": q_job_both,
         "score_linear": q_score_linear,
         "score_category": q_score_category,
@@ -476,7 +485,7 @@ def oracle_sql() -> dict[str, str]:
     sql["abt_rewrite"] = O.sql_layer2(DATES[1:], DV.layer2_columns())
     sql["score_trees"] = O.sql_over_layer2(LABEL_DATES, f"{_boosted_sql(BOOSTED)} from abt")
     sql["encode_target"], sql["bin_features"], sql["score_prepared"] = _encode_sql(), _bins_sql(), _prepared_sql()
-    sql["abt_published"] = sql["abt_incremental"] = sql["abt_backfill"]
+    sql["abt_published"] = sql["abt_incremental"] = sql["abt_bucketed"] = sql["abt_backfill"]
     sql["score_category"] = _category_sql()
     for name in ("score_predict", "score_pipeline", "job_both"):
         sql[name] = sql["score_linear"]
