@@ -96,8 +96,8 @@ def test_bounds_hold_the_score(bounds):
         assert (high - low < 2 * norm[:, None] * norm).mean() > 0.5  # and say something
 
 
-@pytest.mark.parametrize("name", ["op11_hard_negatives", "op12_topk"])
-def test_vector_queries_match_sql(spark, name):
+@pytest.mark.parametrize("name", ["op3_decontaminate", "op6_substring", "op11_hard_negatives", "op12_topk", "op13_runs"])
+def test_queries_match_sql(spark, name):
     r = compare(spark, name, SF001, duck(SF001))
     assert r["columns_match"] and r["values_match"] and r["spark_rows"] == r["oracle_rows"] > 0, r
 

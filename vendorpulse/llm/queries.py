@@ -227,9 +227,76 @@ _NEGATIVES_SQL = f"""
                and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
     select anchor_id, positive_id, cast(rank as int) as rank, negative_id, positive_score, negative_score from n where rank <= 10"""
 
+# --- words and windows of texts, as lists and joins
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TEXT_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+_ITEM_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# Every window of an item (the whole item if it has fewer words), joined with the documents' stretches of as many words.
+_OVERLAP_SQL = f"""
+    with d as (select doc_id, {_ITEM_WORDS} as w from documents),
+    b as (select item_id, w, least(13, len(w)) as k from (select item_id, {_ITEM_WORDS} as w from benchmark) where len(w) > 0),
+    bw as (select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') as s
+           from (select item_id, w, k, unnest(range(1, len(w) - k + 2)) as i from b)),
+    dw as (select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') as s
+           from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) as i
+                 from d, (select distinct k from bw) where len(w) >= k)),
+    hit as (select distinct doc_id, k, i, item_id from dw join bw using (k, s)),
+    n as (select doc_id, count(distinct p) as n from (select doc_id, unnest(range(i, i + k)) as p from hit) group by doc_id),
+    items as (select doc_id, count(*) as n, string_agg(item, ',' order by item) as names
+              from (select distinct doc_id, cast(item_id as varchar) as item from hit) group by doc_id)
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n.n, 0) as n_hit, coalesce(items.n, 0) as n_items,
+           sha256(coalesce(names, '')) as items_sha256, coalesce(n.n, 0) > 0 and 20 * coalesce(n.n, 0) >= len(w) as contaminated
+    from d left join n using (doc_id) left join items using (doc_id)"""
+
+# Windows by their words; all but the first of the same words remove what they cover.
+_REPEATS_SQL = f"""
+    with d as (select doc_id, {_TEXT_WORDS} as w from documents),
+    win as (select doc_id, i, array_to_string(w[i:i + 19], ' ') as s
+            from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from d where len(w) >= 20)),
+    later as (select doc_id, i from win qualify row_number() over (partition by s order by doc_id, i) > 1),
+    gone as (select distinct doc_id, unnest(range(i, i + 20)) as p from later),
+    n as (select doc_id, count(*) as n from gone group by doc_id),
+    word as (select doc_id, generate_subscripts(w, 1) as p, unnest(w) as x from d),
+    kept as (select doc_id, string_agg(x, ' ' order by p) as t from word anti join gone using (doc_id, p) group by doc_id)
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n.n, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+    from d left join n using (doc_id) left join kept using (doc_id)"""
+
+# crc32 of the id's digits, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(cast(doc_id as varchar), ''),
+           lambda c: cast(ascii(c) as bigint))), lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+# Equal words at every distance; unbroken stretches of them, but for those inside one of a smaller distance, are the runs.
+_RUNS_SQL = f"""
+    with d as (select doc_id, {_TEXT_WORDS} as w, {_CRC32} as h from documents),
+    place as (select *, h // 10 as g, cast(len(w) as bigint) as n, (h // 10) % greatest(len(w), 1) as a from d),
+    bent as (select doc_id, n, case when h % 10 = 0 and n > 0 then list_transform(range(n),
+                 lambda i: w[1 + case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end]) else w end as w from place),
+    word as (select doc_id, n, generate_subscripts(w, 1) - 1 as i, unnest(w) as x from bent),
+    alike as (select l.doc_id, r.i - l.i as q, l.i from word l join word r on l.doc_id = r.doc_id and l.x = r.x and r.i > l.i
+              where 3 * (r.i - l.i) <= l.n),
+    part as (select *, i - row_number() over (partition by doc_id, q order by i) as z from alike),
+    stretch as (select doc_id, q, min(i) as s, count(*) + q as m from part group by doc_id, q, z
+                having count(*) + q >= greatest(24, 3 * q)),
+    run as (select * from stretch c where not exists (select 1 from stretch o where o.doc_id = c.doc_id and o.q < c.q
+                and o.s <= c.s and o.s + o.m >= c.s + c.m)),
+    told as (select doc_id, count(*) as n_runs, string_agg(concat(s, ',', m, ',', q, chr(10)), '' order by s, q) as t
+             from run group by doc_id),
+    top as (select doc_id, s, m, q from run qualify row_number() over (partition by doc_id order by m / q desc, s, q) = 1),
+    gone as (select distinct doc_id, unnest(range(s + q, s + m)) as i from run),
+    kept as (select doc_id, string_agg(x, ' ' order by i) as c from word anti join gone using (doc_id, i) group by doc_id)
+    select doc_id, coalesce(n_runs, 0) as n_runs, s as start, m as length, q as period, 1000 * m // q as exponent_milli,
+           sha256(coalesce(t, '')) as runs_sha256, sha256(coalesce(c, '')) as collapsed_sha256
+    from d left join told using (doc_id) left join top using (doc_id) left join kept using (doc_id)"""
+
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": _OVERLAP_SQL,
+    "op6_substring": _REPEATS_SQL,
     "op8_urls": _site_sql(),
     "op11_hard_negatives": _NEGATIVES_SQL,
     "op12_topk": _TOPK_SQL,
+    "op13_runs": _RUNS_SQL,
 }
