@@ -256,6 +256,11 @@ def q_abt_published(spark, sf_dir):
     return _rounded(read_published(spark, path, (DATES[0], DATES[2])).unionByName(kept))
 
 
+def q_abt_reduced(spark, sf_dir):
+    """Payments and reviews of the orders in scope alone."""
+    return _rounded(_plan(spark, sf_dir, FLAGSHIP_DATE).reduced().layer2().drop("dt_ref"))
+
+
 def q_abt_bucketed(spark, sf_dir):
     """The roles stored in buckets of orders; the large joins of the build need no exchange."""
     path = _new_path(spark, "bucketed")
@@ -377,6 +382,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "abt_published": q_abt_published,
         "abt_incremental": q_abt_incremental,
         "abt_bucketed": q_abt_bucketed,
+        "abt_reduced": q_abt_reduced,
         "job_both": q_job_both,
         "score_linear": q_score_linear,
         "score_category": q_score_category,
@@ -481,7 +487,7 @@ def oracle_sql() -> dict[str, str]:
     sql["orders_asof_midmonth"] = O.sql_orders_asof(DAYS)
     sql["sale_label_midmonth"] = O.sql_label(DAYS)
     sql["score_linear"] = _linear_sql()
-    sql["abt_from_text"] = sql["abt_layer2"]
+    sql["abt_from_text"] = sql["abt_reduced"] = sql["abt_layer2"]
     sql["abt_rewrite"] = O.sql_layer2(DATES[1:], DV.layer2_columns())
     sql["score_trees"] = O.sql_over_layer2(LABEL_DATES, f"{_boosted_sql(BOOSTED)} from abt")
     sql["encode_target"], sql["bin_features"], sql["score_prepared"] = _encode_sql(), _bins_sql(), _prepared_sql()

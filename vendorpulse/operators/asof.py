@@ -53,6 +53,22 @@ def order_scope(orders: DataFrame, dates: Sequence[_dt.date], include_last_day:
     return orders_in_range(orders, lo, hi)
 
 
+def within_scope(side: DataFrame, scope: DataFrame) -> DataFrame:
+    """Rows of an aggregate per order whose order is in ``scope``.
+
+    A semi join on the aggregate's own partitioning, for which Spark puts a
+    Bloom filter of the scoped ids at the scan below the aggregate if the
+    session lets it (``session.BLOOM``): then rows of other orders end there
+    instead of in the shuffle.
+    """
+    return side.join(scope.select("order_id"), "order_id", "left_semi")
+
+
+def scope_share(orders: DataFrame, scope: DataFrame) -> float:
+    """The orders in scope as a share of all: two counts, one of them from file footers."""
+    return scope.count() / max(1, orders.count())
+
+
 def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
     """(order, seller) grain of the item table for the orders in ``scope``.
 
@@ -71,14 +87,16 @@ def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
     )
 
 
-def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Left-join the per-order payment and review pre-aggregates to the lines."""
+def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame, scope: DataFrame | None = None) -> DataFrame:
+    """Left-join the per-order payment and review pre-aggregates (of the orders in ``scope``, if given) to the lines."""
     pay = payments_per_order(payments, units=True).select(
         "order_id", F.lit(True).alias("paid"),
         *[F.col(f"installments_{t}").alias(f"inst_{t}") for t in PAYMENT_KINDS],
         *[F.col(f"value_{t}").alias(f"val_{t}") for t in PAYMENT_KINDS],
     )
     rev = reviews_per_order(reviews).select("order_id", "qt_reviews", "avg_score", "avg_days_create_answer")
+    if scope is not None:
+        pay, rev = within_scope(pay, scope), within_scope(rev, scope)
     return lines.join(pay, "order_id", "left").join(rev, "order_id", "left")
 
 
@@ -127,9 +145,10 @@ def tagged_rows(joined: DataFrame, keys: Sequence[str], with_label: bool = True)
 
 
 def seller_kind_rows(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
-                     dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True) -> DataFrame:
+                     dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True,
+                     cut: bool = False) -> DataFrame:
     scope = order_scope(orders, dates, include_last_day, with_label_months=with_label)
-    joined = joined_orders(order_seller_lines(items, scope), payments, reviews)
+    joined = joined_orders(order_seller_lines(items, scope), payments, reviews, scope if cut else None)
     return kind_rows(joined, include_last_day, with_label)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +29,7 @@ class FeaturePlan:
     roles: Roles
     dates: tuple[_dt.date, ...]
     include_last_day: bool = False
+    cut: bool = False  # payments and reviews of the orders in scope alone (see reduced)
 
     @classmethod
     def of(cls, roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> "FeaturePlan":
@@ -38,7 +39,7 @@ class FeaturePlan:
         """Date-independent month-grain partials of every (order, seller) row in scope."""
         r = self.roles
         rows = asof.seller_kind_rows(r.orders, r.items, r.payments, r.reviews, self.dates,
-                                     self.include_last_day, with_label)
+                                     self.include_last_day, with_label, self.cut)
         return features.month_groups(rows)
 
     def layer1(self) -> DataFrame:
@@ -49,6 +50,20 @@ class FeaturePlan:
         """A5 on its own (the feature table computes it inside its aggregate)."""
         return preagg.sale_label(self.roles.items, self.roles.orders, self.dates, self.include_last_day)
 
+    def scope(self) -> DataFrame:
+        """Orders that any window of the dates, or the month of a label, can touch."""
+        return asof.order_scope(self.roles.orders, self.dates, self.include_last_day, with_label_months=True)
+
+    def reduced(self, share: float = 0.25) -> "FeaturePlan":
+        """The same plan with payments and reviews of the scoped orders alone.
+
+        They carry no date, so a build of a few months otherwise shuffles what
+        it aggregates of all their history.  Worth it if the scope is small:
+        where it is measured to hold more than ``share`` of all orders the plan
+        stays as it is.  The rows are the same either way.
+        """
+        return replace(self, cut=True) if asof.scope_share(self.roles.orders, self.scope()) <= share else self
+
     def seller_products(self) -> DataFrame:
         return preagg.products_per_seller(self.roles.items, self.roles.products)
 
@@ -70,9 +85,12 @@ class DayPlan(FeaturePlan):
     def line(self, with_label: bool = True) -> segments.Timeline:
         return segments.Timeline.of(self.dates, self.include_last_day, with_label)
 
+    def scope(self) -> DataFrame:
+        return segments.scope(self.roles.orders, self.line())
+
     def _aggregate(self, with_label: bool) -> DataFrame:
         r, line = self.roles, self.line(with_label)
-        return segments.aggregate(segments.segment_groups(r.orders, r.items, r.payments, r.reviews, line), line)
+        return segments.aggregate(segments.segment_groups(r.orders, r.items, r.payments, r.reviews, line, self.cut), line)
 
     def layer1(self) -> DataFrame:
         return self._aggregate(with_label=False).drop("fl_venda")
