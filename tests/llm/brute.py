@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import numpy as np
 import xxhash
 
 SPACE = re.compile("[^\x20\x09-\x0D]+")
@@ -143,6 +144,56 @@ def kneser_ney(docs, fit_discounts):
              sum(math.log10(p(h, x)) for h, x in zip(["\0start", *w], w))) for d, w in tokens]
 
 
+# --- op5
+def graded_features(text):
+    """{word, (word, word) or number of a shape feature: value}."""
+    raw = SPACE.findall(text or "")
+    words = [lower(x) for x in raw]
+    counts = Counter(words) + Counter(zip(words, words[1:]))
+    norm = math.sqrt(sum(counts.values()))
+    out = {k: math.sqrt(n) / norm for k, n in counts.items()}
+    data = "".join(raw).encode()
+    symbols = sum(chr(b) in "!\"#$%&'()*+,-./:;<=>?@" for b in data)
+    capitals = sum(0x41 <= b <= 0x5A for b in data)
+    if words:
+        out |= dict(enumerate([math.log1p(len(words)) / 5, 1 - len(set(words)) / len(words), math.sqrt(symbols / len(data)),
+                               math.sqrt(capitals / len(data)), len(data) / len(words) / 10]))
+    return out
+
+
+def ordinal_model(rows, grades, rounds, rate, shrink):
+    """rows: (grade's number, text) in the order of training, in one part. The weights and thresholds."""
+    n = [sum(g <= k for g, _ in rows) / len(rows) for k in range(grades - 1)]
+    w, t = defaultdict(float), [math.log(x / (1 - x)) for x in n]
+    f = lambda x: 1 / (1 + math.exp(-x))
+    for i in range(rounds):
+        at = rate / (i + 1)
+        sq_w, sq_t = defaultdict(lambda: 1e-2), [1e-2] * len(t)
+        for g, text in rows:
+            x = {k: float(np.float32(v)) for k, v in graded_features(text).items()}
+            s = sum(v * w[k] for k, v in x.items())
+            up, lo = f(t[g] - s) if g < len(t) else 1.0, f(t[g - 1] - s) if g else 0.0
+            of_s = (up * (1 - up) - lo * (1 - lo)) / (up - lo)  # slope of -log(up - lo) in s
+            for k, v in x.items():
+                d = of_s * v + shrink * w[k]
+                sq_w[k] += d * d
+                w[k] -= at * d / math.sqrt(sq_w[k])
+            for k, d in ((g, -up * (1 - up) / (up - lo)), (g - 1, lo * (1 - lo) / (up - lo))):
+                if 0 <= k < len(t):
+                    sq_t[k] += d * d
+                    t[k] -= at * d / math.sqrt(sq_t[k])
+            t = [max(t[:k + 1]) for k in range(len(t))]
+    return w, t
+
+
+def ordinal_grades(text, w, t, wanted):
+    """Expected grade and P(grade >= wanted), of grades 0, 1, ..."""
+    s = sum(v * w.get(k, 0.0) for k, v in graded_features(text).items())
+    upto = [0.0, *(1 / (1 + math.exp(s - x)) for x in t), 1.0]
+    p = [b - a for a, b in zip(upto, upto[1:])]
+    return sum(k * x for k, x in enumerate(p)), sum(p[wanted:])
+
+
 # --- op10
 def fingerprint(text, shingle=3):
     w = SPACE.findall(lower(text))

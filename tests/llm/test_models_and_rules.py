@@ -449,6 +449,32 @@ def test_ordinal_held_out(toy):
     assert m[1] > m[0] + 0.5
 
 
+def test_ordinal_equals_brute_force(spark):
+    """One part, all rows: the same weights, thresholds and probabilities as a plain loop over words."""
+    rng = random.Random(11)
+    texts, grades = {}, {}
+    for i in range(90):
+        g = rng.randrange(3)
+        words = prose(rng, rng.randint(5, 30)).split()
+        for _ in range(rng.randint(0, 2) + 2 * g):
+            words.insert(rng.randint(0, len(words)), rng.choice([("BAD!", "$$"), ("fair",), ("Fine", "fine")][g]))
+        texts[i], grades[i] = " ".join(words), g
+    texts |= {90: "", 91: None, 92: "é Ü-x 😀"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    ratings = spark.createDataFrame([(i, 10 * (g + 1)) for i, g in grades.items()], "doc_id long, rating int")
+    model = ordinal.fit(docs, ratings, bits=22, rounds=3, tasks=1)
+    known = docs.where(fold("doc_id", 5) != 0).where(F.col("doc_id").isin(list(grades)))
+    order = [(grades[r.doc_id], r.text) for r in known.orderBy(F.xxhash64("doc_id", "text", F.lit(1))).collect()]
+    features = {k for _, t in order for k in brute.graded_features(t)}
+    w, t = brute.ordinal_model(order, 3, 3, 0.15, 1e-4)
+    assert np.count_nonzero(model.weights) == sum(w[k] != 0 for k in features)  # no two features share a place
+    assert model.grades == (10, 20, 30) and np.allclose(model.thresholds, t, rtol=1e-6)
+    assert np.allclose(np.sort(model.weights[model.weights != 0]), np.sort([w[k] for k in features if w[k] != 0]), rtol=1e-5)
+    for r in ordinal.score(docs, model, wanted=20).collect():
+        mean, tail = brute.ordinal_grades(texts[r.doc_id], w, t, 1)
+        assert math.isclose(r.quality.expected_grade, 10 * (mean + 1), rel_tol=1e-6) and math.isclose(r.quality.tail, tail, rel_tol=1e-6)
+
+
 def test_ordinal_messy(messy, empty, toy, spark):
     docs, labels = toy
     model = ordinal.fit(docs, labels.dropna().selectExpr("doc_id", "quality as rating"), rounds=1)
