@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 import pytest
@@ -117,6 +118,22 @@ def test_fewer_exchanges_and_joins_at_cluster_scale(spark, roles):
     assert not any(x in plan for x in ("BroadcastExchange", "CartesianProduct", "SortAggregate"))
 
 
+@pytest.mark.parametrize("kind", ["month", "day"])
+def test_joins_by_order_keep_all_shuffle_partitions(spark, roles, kind):
+    """Coalesced to the advisory size, a task of the joins by order holds over 20 times what it reads."""
+    from vendorpulse.plans.abt import DayPlan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = DayPlan.of(roles, E.DAYS) if kind == "day" else FeaturePlan.of(roles, E.DATES)
+        fixed = lambda: re.findall(r"hashpartitioning\((\w+)#\d+L?, 4\), REPARTITION_BY_NUM", _plan_text(plan.layer2()))
+        assert "order_id" in fixed()
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")  # skewed joins are AQE's to split
+        assert "order_id" not in fixed()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+
+
 @pytest.mark.parametrize("n_dates", [3, 36])
 def test_rows_of_the_date_generator_follow_the_months(spark, roles, n_dates):
     from vendorpulse.functions.dates import monthly_range

@@ -69,15 +69,18 @@ def scope_share(orders: DataFrame, scope: DataFrame) -> float:
     return scope.count() / max(1, orders.count())
 
 
-def order_seller_lines(items: DataFrame, scope: DataFrame) -> DataFrame:
+def order_seller_lines(items: DataFrame, scope: DataFrame, parts: int | None = None) -> DataFrame:
     """(order, seller) grain of the item table for the orders in ``scope``.
 
     ``n_lines`` counts (order, product, seller) lines, ``n_products`` those with
     a product id; prices and freight are summed in integer money units.  Order
     attributes ride along as grouping keys (``order_id`` is the key of the
-    order table), so both aggregates stay hash-based.
+    order table), so both aggregates stay hash-based.  ``parts``: tasks of the
+    joins by order (:meth:`..sources.roles.Roles.order_parts`); the other sides
+    are dealt as the orders are.
     """
-    lines = items.join(scope.select("order_id", *ORDER_ATTRS), "order_id")
+    held = scope.select("order_id", *ORDER_ATTRS)
+    lines = items.join(held if parts is None else held.repartition(parts, "order_id"), "order_id")
     a2 = items_per_order_product(lines, carry=ORDER_ATTRS, units=True)
     return a2.groupBy("order_id", "seller_id", *ORDER_ATTRS).agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -146,9 +149,9 @@ def tagged_rows(joined: DataFrame, keys: Sequence[str], with_label: bool = True)
 
 def seller_kind_rows(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
                      dates: Sequence[_dt.date], include_last_day: bool = False, with_label: bool = True,
-                     cut: bool = False) -> DataFrame:
+                     cut: bool = False, parts: int | None = None) -> DataFrame:
     scope = order_scope(orders, dates, include_last_day, with_label_months=with_label)
-    joined = joined_orders(order_seller_lines(items, scope), payments, reviews, scope if cut else None)
+    joined = joined_orders(order_seller_lines(items, scope, parts), payments, reviews, scope if cut else None)
     return kind_rows(joined, include_last_day, with_label)
 
 

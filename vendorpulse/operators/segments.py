@@ -99,10 +99,10 @@ def scope(orders: DataFrame, line: Timeline) -> DataFrame:
 
 
 def segment_groups(orders: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame,
-                   line: Timeline, cut: bool = False) -> DataFrame:
+                   line: Timeline, cut: bool = False, parts: int | None = None) -> DataFrame:
     """The partials of :func:`.features.partials` by (seller, segment, paid, kind, value, dates seen before delivery)."""
     held = scope(orders, line).drop("seg")
-    joined = asof.joined_orders(asof.order_seller_lines(items, held), payments, reviews, held if cut else None)
+    joined = asof.joined_orders(asof.order_seller_lines(items, held, parts), payments, reviews, held if cut else None)
     rows = asof.tagged_rows(joined, [
         f"{line.segment_sql(PDATE)} AS seg",
         f"CASE WHEN k = {KIND_MAIN} AND {DLV} IS NOT NULL THEN {line.seen_sql(DLV)} END AS ds"], line.with_label)

@@ -39,7 +39,7 @@ class FeaturePlan:
         """Date-independent month-grain partials of every (order, seller) row in scope."""
         r = self.roles
         rows = asof.seller_kind_rows(r.orders, r.items, r.payments, r.reviews, self.dates,
-                                     self.include_last_day, with_label, self.cut)
+                                     self.include_last_day, with_label, self.cut, r.order_parts())
         return features.month_groups(rows)
 
     def layer1(self) -> DataFrame:
@@ -90,7 +90,7 @@ class DayPlan(FeaturePlan):
 
     def _aggregate(self, with_label: bool) -> DataFrame:
         r, line = self.roles, self.line(with_label)
-        return segments.aggregate(segments.segment_groups(r.orders, r.items, r.payments, r.reviews, line, self.cut), line)
+        return segments.aggregate(segments.segment_groups(r.orders, r.items, r.payments, r.reviews, line, self.cut, r.order_parts()), line)
 
     def layer1(self) -> DataFrame:
         return self._aggregate(with_label=False).drop("fl_venda")

@@ -25,7 +25,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .roles import Roles
+from .roles import BucketedRoles, Roles
 
 KEY = "order_id"
 BUCKETED = ("orders", "items", "payments", "reviews")
@@ -84,4 +84,4 @@ def read_bucketed(spark: SparkSession, path: str, uneven: float = UNEVEN) -> Rol
         schema = T.StructType.fromJson(json.loads(r.schema))
         found[r.role] = (spark.table(_table(spark, r.role, schema, path, r.buckets)) if even and r.buckets
                          else spark.read.schema(schema).parquet(f"{path}/{r.role}"))
-    return Roles(**found)
+    return (BucketedRoles if even else Roles)(**found)

@@ -23,6 +23,26 @@ class Roles:
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
+    def order_parts(self) -> int | None:
+        """Into how many parts the joins by order are dealt: all the session's shuffle partitions, uncoalesced.
+
+        AQE coalesces these small exchanges by their compressed size, but the
+        stage behind them holds sorts and hash maps of every side at once, at
+        over 20 times that.  None where AQE is to split skewed joins whatever
+        it costs (``forceOptimizeSkewedJoin``): it leaves given numbers alone.
+        """
+        conf = self.orders.sparkSession.conf
+        if conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin", "false") == "true":
+            return None
+        return int(conf.get("spark.sql.shuffle.partitions"))
+
+
+class BucketedRoles(Roles):
+    """Roles whose tables come dealt by order from their files."""
+
+    def order_parts(self) -> None:
+        return None
+
 
 def _unreadable(column: str, value: Column) -> Column:
     return F.raise_error(F.concat(F.lit(f"column {column}: unreadable value "), value.cast("string")))
