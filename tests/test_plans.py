@@ -147,6 +147,36 @@ def test_rows_of_the_date_generator_follow_the_months(spark, roles, n_dates):
     assert plan.count("CASE WHEN") <= 60  # the expressions don't follow the number of dates either
 
 
+def test_dates_are_attached_behind_one_exchange_by_seller(spark, roles):
+    """Levels A and B, for month groups and for segments, run on the sellers' own partitioning."""
+    from vendorpulse.plans.abt import DayPlan
+    for plan in (FeaturePlan.of(roles, E.DATES), DayPlan.of(roles, E.DAYS)):
+        text = _plan_text(plan.layer1())
+        assert len(re.findall(r"Exchange hashpartitioning\(seller_id#\d+L?, 4\), REPARTITION_BY_NUM", text)) == 1
+        assert "Exchange hashpartitioning(dt_ref" not in text
+
+
+def test_installment_means_over_many_values(spark):
+    """Each value of a window once, however many buckets and orders have it."""
+    import datetime as dt
+    rows = [(1, pm, ("main", "cc", "voucher")[k], v) for pm in (-1, -2, -9) for k, vs in enumerate(((0,), (1, 1, 4), (2, 7))) for v in vs]
+    groups = spark.createDataFrame([(s, pm, k, v) for s, pm, k, v in rows], "seller_id long, off int, kind string, v0 long").distinct()
+    ref = dt.date(1998, 9, 1)
+    month = 1998 * 12 + 9
+    num = {"main": 0, "cc": features.KIND_CC, "voucher": features.KIND_VOUCHER}
+    k = F.when(F.col("kind") == "main", 0).when(F.col("kind") == "cc", num["cc"]).otherwise(num["voucher"])
+    main = F.col("kind") == "main"
+    day = F.lit(dt.date(1998, 8, 3))
+    parts = {n: F.when(main, F.lit(1)).cast("long").alias(n) for f in features.FAMILIES for n in features._partial_names(f)}
+    x = groups.select("seller_id", (F.lit(month) + F.col("off")).alias("pm"), F.lit(False).alias("ld"), F.lit(True).alias("paid"),
+                      k.alias("k"), F.when(~main, F.col("v0")).alias("v"), F.lit(None).cast("int").alias("dm"),
+                      *(F.when(main, day).alias(c) for c in ("min_pdate", "max_pdate", "max_est", "max_dlv")),
+                      F.when(main, F.lit(4)).cast("long").alias("day_bits"), *parts.values())
+    r = features.layer1(x, [ref]).first()
+    assert r.media_qtd_parcelas_pedidos_pgto_cc_ate_hoje == r.media_qtd_parcelas_pedidos_pgto_cc_ultimo_mes == 2.5
+    assert r.media_qtd_parcelas_pedidos_pgto_voucher_ultimos_2_meses == 4.5 and r.qtd_pedidos_ate_hoje == 3
+
+
 def test_hot_product_and_hot_seller(spark, roles):
     """A third of all item rows of one product, another third of one seller; no forced skew setting."""
     assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin", "false") == "false"

@@ -12,7 +12,8 @@ Three aggregation levels, none of them with a distinct aggregate:
 * level A: the month groups attached to each reference date
   (:func:`expand_dates`) and combined per (dt_ref, seller, kind, value) — for
   ``main`` rows the value is the recency bucket;
-* level B: the few level-A rows of a seller folded into the seven windows.
+* level B: the level-A rows of a seller brought to one row a bucket, and those
+  (at most eight) folded into the seven windows.
 
 The definitions count *distinct orders*, *distinct sale days and months*,
 and average *distinct installment counts*.  At the (order, seller) grain a
@@ -269,13 +270,23 @@ def _window_aggs(f: Family) -> list[str]:
         elif f.kind == "order_max":
             agg = f"CAST(max(CASE WHEN {w} THEN {q(x)} END) AS BIGINT)"
         elif f.kind == "distinct_avg":
-            agg = f"avg(CASE WHEN k = {DISTINCT_KINDS[f.distinct_key]} AND {w} THEN v END)"
+            agg = safe_div_sql(s(f.distinct_key + "__num"), s(f.distinct_key + "__den"))
         else:
             raise ValueError(f.kind)
         out.append(f"{agg} AS {q(window_name(f.name, n))}")
     return out
 
 
+def by_seller(groups: DataFrame) -> DataFrame:
+    """Groups dealt by seller, before dates multiply them: levels A and B and the joins by seller need no other exchange.
+
+    A seller's groups are few (months, values), however many rows they were
+    made of.  All the session's shuffle partitions, uncoalesced: what a task
+    makes of its groups is many times what it reads.
+    """
+    return groups.repartition(int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seller_id")
+
+
 def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = False,
                            with_label: bool = True) -> DataFrame:
     """A6 (+ the label flag), one row per (dt_ref, seller), from the month groups.
@@ -284,7 +295,7 @@ def seller_month_aggregate(groups: DataFrame, dates, include_last_day: bool = Fa
     — for ``main`` the value is the recency bucket, so a bucket of 1..6 is
     exactly one month.  Level B folds those few rows into the windows.
     """
-    return fold_windows(expand_dates(groups, dates, include_last_day, with_label))
+    return fold_windows(expand_dates(by_seller(groups), dates, include_last_day, with_label))
 
 
 def fold_windows(x: DataFrame, month_bits: str = "shiftleft(1L, month_off)") -> DataFrame:
@@ -310,19 +321,37 @@ def fold_windows(x: DataFrame, month_bits: str = "shiftleft(1L, month_off)") ->
     v = f"CAST(CASE WHEN k2 = {KIND_MAIN} THEN b WHEN k2 = {KIND_LABEL} THEN NULL ELSE v END AS BIGINT)"
     per_key = x.groupBy("dt_ref", "seller_id", c("k2").alias("k"), F.expr(v).alias("v")).agg(*exprs(*level_a))
 
-    level_b = [
+    # one row a bucket: the wide aggregate below runs over these, not over a row for each installment value
+    bucket = [
         "min(min_purchase_date) AS min_purchase_date",
         "max(max_purchase_date) AS max_purchase_date",
         "max(max_delivered_customer_date) AS max_delivered_customer_date",
         "max(max_est) AS max_est",
         f"count_if(k = {KIND_MAIN}) AS n_main",
-        f"CAST(coalesce(sum(CASE WHEN k = {KIND_MAIN} THEN bit_count(day_bits) END), 0) AS BIGINT) AS qt_dias_venda",
-        "coalesce(bit_count(bit_or(month_bits)), 0) AS n_months",
+        "bit_or(day_bits) AS day_bits",
+        "bit_or(month_bits) AS month_bits",
         f"max(CASE WHEN k = {KIND_LABEL} THEN 1 END) AS fl_venda",
     ]
+    for key, kind in DISTINCT_KINDS.items():
+        bucket += [f"sum(CASE WHEN k = {kind} THEN v END) AS {key}__num", f"count(CASE WHEN k = {kind} THEN v END) AS {key}__den"]
+    for f in FAMILIES:
+        fn = "max" if f.kind == "order_max" else "sum"
+        bucket += [f"{fn}({q(n)}) AS {q(n)}" for n in _partial_names(f)]
+    per_bucket = per_key.groupBy("dt_ref", "seller_id", "b").agg(*exprs(*bucket))
+
+    level_b = [
+        "min(min_purchase_date) AS min_purchase_date",
+        "max(max_purchase_date) AS max_purchase_date",
+        "max(max_delivered_customer_date) AS max_delivered_customer_date",
+        "max(max_est) AS max_est",
+        "sum(n_main) AS n_main",
+        "CAST(coalesce(sum(bit_count(day_bits)), 0) AS BIGINT) AS qt_dias_venda",
+        "coalesce(bit_count(bit_or(month_bits)), 0) AS n_months",
+        "max(fl_venda) AS fl_venda",
+    ]
     for f in FAMILIES:
         level_b.extend(_window_aggs(f))
-    agg = per_key.groupBy("dt_ref", "seller_id").agg(*exprs(*level_b))
+    agg = per_bucket.groupBy("dt_ref", "seller_id").agg(*exprs(*level_b))
 
     # least/greatest skip NULLs where the original scalar min/max propagate them;
     # both arguments are never NULL here (every seller row has a purchase date).

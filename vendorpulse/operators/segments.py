@@ -122,7 +122,7 @@ def attach(rows: DataFrame, line: Timeline) -> DataFrame:
 
 def aggregate(groups: DataFrame, line: Timeline) -> DataFrame:
     """A6 (and the label flag), one row per (dt_ref, seller)."""
-    x = attach(groups, line).where(f"(label AND k = {KIND_MAIN}) OR (NOT label AND paid)").selectExpr(
+    x = attach(features.by_seller(groups), line).where(f"(label AND k = {KIND_MAIN}) OR (NOT label AND paid)").selectExpr(
         "*", f"CASE WHEN label THEN {KIND_LABEL} ELSE k END AS k2", "ds <= r AS kept")
     return features.fold_windows(x, month_bits="months")
 
