@@ -119,6 +119,32 @@ def test_exact_bins(spark):
     assert P.Binner.load(spark, path) == fitted
 
 
+@pytest.mark.parametrize("values", [1, 30, 10_000])
+def test_exact_quantiles_hold_no_column_in_a_task(spark, values, monkeypatch):
+    """The values that percentile_disc finds, for many distinct ones and few, without its buffer of a column."""
+    rng = random.Random(values)
+    odd = [None, float("nan"), float("inf"), -float("inf"), 0.0]
+    data = [(float(rng.randrange(values)), rng.choice([*odd, float(rng.randrange(values))]), None) for _ in range(3_000)]
+    rows = spark.createDataFrame(data, "x double, odd double, none double").repartition(5)
+    shares = [k / 7 for k in range(1, 7)] + [0.5, 0.1, 1.0]
+    want = rows.agg(*(F.array(*(F.expr(f"percentile_disc({s!r}) WITHIN GROUP (ORDER BY {c})") for s in shares)).alias(c) for c in rows.columns)).first()
+    monkeypatch.setattr(F, "expr", lambda text: pytest.fail(text))
+    assert [list(map(str, q)) for q in P.exact_quantiles(rows, rows.columns, shares)] == [list(map(str, q)) for q in want]
+
+
+def test_fits_read_rows_that_were_built_once(spark, monkeypatch):
+    """The feature table is built once for fitting and transforming."""
+    built = []
+    plan = E._plan
+    monkeypatch.setattr(E, "_plan", lambda *a: built.append(a) or plan(*a))
+    for query, plans in ((E.q_bin_features, 1), (E.q_encode_target, 1), (E.q_score_prepared, 2)):
+        built.clear()
+        text = query(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+        assert len(built) == plans and text.count("lineitem.parquet") + text.count("l_orderkey") < 40, query
+        if plans == 1:
+            assert "l_orderkey" not in text
+
+
 @pytest.mark.parametrize("error", [0.01, 0.002])
 def test_sketched_bins_keep_their_rank_error(spark, error):
     rows = spark.range(0, 60_000, 1, 7).select((F.pow(F.rand(5), 6) * 1e6).alias("x"))

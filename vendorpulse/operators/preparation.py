@@ -12,11 +12,13 @@ expressions; encodings, whose size follows the categories, by a join.
 
 from __future__ import annotations
 
+import functools
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -89,6 +91,56 @@ def _category(column: str) -> Column:
     return F.when(x.isNull(), F.lit("missing")).otherwise(F.concat(F.lit("="), x))
 
 
+# ---------------------------------------------------------------- quantiles
+
+#: ranges that the distinct values of a column are cut into; a task sorts those of one
+RANGES = 128
+
+
+def exact_quantiles(rows: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> list[list[float | None]]:
+    """For each column the least value with at least each share of the present ones at or below it (``percentile_disc``).
+
+    No task holds a column: distinct values are counted (one pass over
+    ``rows``, kept while this runs), cut into ``RANGES`` ranges of about as many
+    by a sketch, and the ranges' rows summed; only the ranges in which a
+    quantile falls are then run through in order.  Where the cuts lie doesn't
+    change the result.
+    """
+    pairs = F.array(*(F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("double").alias("x")) for i, c in enumerate(columns)))
+    counts = (rows.select(F.explode(pairs).alias("p")).select("p.*").where("x IS NOT NULL")
+              .groupBy("i", "x").agg(F.count("*").alias("n"))).persist()
+    try:
+        cuts = {r.i: sorted({x for x in r.at if x == x}) for r in counts.groupBy("i").agg(  # NaN lies over every cut
+            F.percentile_approx("x", [k / RANGES for k in range(1, RANGES)], 10 * RANGES).alias("at")).collect()}
+        at = F.lit(None).cast("array<double>")
+        for i, edges in cuts.items():
+            at = F.when(F.col("i") == i, F.array(*map(F.lit, edges)).cast("array<double>")).otherwise(at)
+        x = F.col("x")
+        counts = counts.withColumn("part", F.size(F.filter(at, lambda edge: edge < x)))
+        sizes = sorted(tuple(r) for r in counts.groupBy("i", "part").agg(F.sum("n")).collect())  # <= RANGES a column
+        wanted, before = [], {}
+        totals = {i: sum(n for j, _, n in sizes if j == i) for i in cuts}
+        for i, p, n in sizes:
+            low = before.get(i, 0)
+            before[i] = low + n
+            for k, s in enumerate(shares):
+                rank = math.ceil(totals[i] * s)
+                if low < rank <= low + n:
+                    wanted.append((i, p, k, rank - low))
+        found = [[None] * len(shares) for _ in columns]
+        if wanted:
+            held = functools.reduce(lambda a, b: a | b, [(F.col("i") == i) & (F.col("part") == p) for i, p in dict.fromkeys(w[:2] for w in wanted)])
+            upto = counts.where(held).withColumn("upto", F.sum("n").over(Window.partitionBy("i", "part").orderBy("x")))
+            least = [F.min_by("x", F.when((F.col("i") == i) & (F.col("part") == p) & (F.col("upto") >= r), F.col("upto"))).alias(f"w{j}")
+                     for j, (i, p, _, r) in enumerate(wanted)]
+            row = upto.agg(*least).first()
+            for j, (i, _, k, _) in enumerate(wanted):
+                found[i][k] = row[f"w{j}"]
+        return found
+    finally:
+        counts.unpersist()
+
+
 # ---------------------------------------------------------------- bins
 
 @dataclass(frozen=True)
@@ -101,20 +153,17 @@ class Binner:
     def fit(cls, rows: DataFrame, columns: Sequence[str], bins: int = 10, error: float | None = None) -> "Binner":
         """Edges at the quantiles 1/bins .. (bins-1)/bins: stored values, each once.
 
-        ``error`` None: exact (``percentile_disc``, whose buffer holds the
-        distinct values: for columns of few).  Else the quantile sketch of
+        ``error`` None: exact (:func:`exact_quantiles`).  Else the quantile sketch of
         ``percentile_approx`` with that error in rank, as a share of the rows;
         its size follows 1 / error alone.  All columns in one aggregate.
         """
         shares = [k / bins for k in range(1, bins)]
         if error is None:
-            found = [F.array(*(F.expr(f"percentile_disc({s!r}) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))") for s in shares)).alias(f"q{i}")
-                     for i, c in enumerate(columns)]
+            found = exact_quantiles(rows, columns, shares)
         else:
-            found = [F.percentile_approx(F.col(f"`{c}`").cast("double"), shares, int(round(1 / error))).alias(f"q{i}")
-                     for i, c in enumerate(columns)]
-        row = rows.agg(*found).first()
-        return cls({c: tuple(sorted({float(x) for x in row[f"q{i}"] or [] if x is not None})) for i, c in enumerate(columns)})
+            found = rows.agg(*(F.percentile_approx(F.col(f"`{c}`").cast("double"), shares, int(round(1 / error))).alias(f"q{i}")
+                               for i, c in enumerate(columns))).first()
+        return cls({c: tuple(sorted({float(x) for x in found[i] or [] if x is not None})) for i, c in enumerate(columns)})
 
     def column(self, name: str) -> Column:
         x, edges = F.col(f"`{name}`").cast("double"), self.edges[name]
@@ -148,10 +197,12 @@ class Imputer:
 
     @classmethod
     def fit(cls, rows: DataFrame, columns: Sequence[str], error: float | None = None) -> "Imputer":
-        at = (lambda c: F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")) if error is None else (
-            lambda c: F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, int(round(1 / error))))
-        row = rows.agg(*(at(c).alias(f"m{i}") for i, c in enumerate(columns))).first()
-        return cls({c: 0.0 if row[f"m{i}"] is None else float(row[f"m{i}"]) for i, c in enumerate(columns)})
+        if error is None:
+            found = [m for m, in exact_quantiles(rows, columns, [0.5])]
+        else:
+            found = rows.agg(*(F.percentile_approx(F.col(f"`{c}`").cast("double"), 0.5, int(round(1 / error))).alias(f"m{i}")
+                               for i, c in enumerate(columns))).first()
+        return cls({c: 0.0 if found[i] is None else float(found[i]) for i, c in enumerate(columns)})
 
     def transform(self, rows: DataFrame, suffix: str = "_filled", flag: str = "_missing") -> DataFrame:
         return rows.select("*", *(F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(m)).alias(f"{c}{suffix}") for c, m in self.medians.items()),
