@@ -16,7 +16,7 @@ from vendorpulse import FeaturePlan, driver_roles
 from vendorpulse.plans import job, state
 from vendorpulse.plans.abt import build_abt, publish_abt, read_published
 from vendorpulse.plans.state import WAITING, MonthState
-from vendorpulse.plans.versions import Conflict, Versions
+from vendorpulse.plans.versions import Conflict, Deal, Versions
 from vendorpulse.session import shared_dir
 
 
@@ -86,6 +86,19 @@ def test_partitions_tables_and_vacuum(spark, folder):
         store.vacuum(0)
 
 
+def test_buckets_are_read_as_they_were_dealt(spark, folder):
+    store = Versions(spark, f"{folder}/a space and 'quote")
+    values = table(spark, *((i, i % 2) for i in range(40)), (None, 1))
+    store.publish([store.stage("t", values.repartition(3, "a"), "p", Deal("a", 3))])
+    assert store.deal("t") == Deal("a", 3) and same(store.read("t"), values)
+    assert store.read("t", [1]).where("p = 0").count() == 0 and store.read("t", [1, 7]).count() == 21
+    assert "Exchange" not in store.read("t").groupBy("a").count()._jdf.queryExecution().executedPlan().toString()
+    store.publish([store.stage("t", table(spark, *((i, 0) for i in range(90, 99))).repartition(2, "a"), "p", Deal("a", 2))], {"t": [0]})
+    assert store.deal("t") is None                                             # two layouts: as plain files
+    assert rows(store.read("t", [0])) == [(i, 0) for i in range(90, 99)] and store.read("t").groupBy("a").count().count() == 30
+    assert store.deal("t", 1) == Deal("a", 3) and same(store.read("t", version=1), values)
+
+
 def test_published_feature_table_and_job(spark, folder):
     roles = driver_roles(spark, SF001)
     job.run_job(spark, roles, f"{folder}/abt", E.DATES, score=False, versioned=True)
@@ -153,6 +166,43 @@ def test_refreshes_equal_a_full_build(spark, folder):
     assert keeper.store.read("orders", [WAITING]).where("attributes IS NOT NULL").count() == 0
 
 
+@pytest.mark.parametrize("rows_a_bucket", [30, 120])
+def test_refreshes_in_several_buckets(spark, folder, monkeypatch, rows_a_bucket):
+    """30: the rows outgrow their buckets and are dealt anew; 120: the buckets stay."""
+    monkeypatch.setattr(state, "ROWS_PER_BUCKET", rows_a_bucket, raising=False)
+    test_refreshes_equal_a_full_build(spark, folder)
+    store = Versions(spark, folder)
+    deals = [store.deal(t, v).buckets for v in store.numbers() for t in ("orders", "lines", "pairs")]
+    assert min(deals) > 1 and (len(set(deals)) > 1) == (rows_a_bucket == 30)
+    pairs = store.read("pairs").select("seller_id", "product_id")
+    assert pairs.count() == pairs.distinct().count() > 0
+
+
+def test_a_refresh_exchanges_no_stored_row_by_order(spark, folder, monkeypatch):
+    """New rows are dealt once, stored ones are merged where they lie; the groups cost one exchange by month and seller."""
+    monkeypatch.setattr(state, "ROWS_PER_BUCKET", 100, raising=False)
+    _, source = logs(spark, random.Random(2), 2)
+    keeper, plans, stage = MonthState(spark, folder), {}, Versions.stage
+
+    def watched(self, table, df, partition, *how, **named):
+        if "_work" not in self.path:
+            plans[table] = df._jdf.queryExecution().executedPlan().toString().splitlines()
+        return stage(self, table, df, partition, *how, **named)
+    keeper.refresh(upto(source, 1))
+    least = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with monkeypatch.context() as m:
+            m.setattr(Versions, "stage", watched)
+            keeper.refresh(source)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", least)
+    exchanges = {t: [x for x in lines if "Exchange" in x and "RoundRobin" not in x] for t, lines in plans.items()}  # RoundRobin: the logs of the test
+    assert [len(exchanges[t]) for t in ("lines", "groups", "pairs")] == [1, 1, 1]
+    assert "rangepartitioning(pm" in exchanges["groups"][0]
+    assert len(exchanges["orders"]) == 5                                       # a log each, and what they make of an order
+
+
 def _shop(spark, stamp, *sales):
     shop = Shop()
     for seller, when, name in sales:

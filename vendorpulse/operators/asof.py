@@ -107,7 +107,7 @@ def joined_orders(lines: DataFrame, payments: DataFrame, reviews: DataFrame, sco
 KIND_MAIN, KIND_CC, KIND_VOUCHER, KIND_LABEL = 0, 1, 2, 3
 
 
-def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: bool = True) -> DataFrame:
+def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: bool = True, pm: str | None = None) -> DataFrame:
     """Joined (order, seller) rows with their date-independent month keys.
 
     Every row yields a ``main`` row; paid rows with credit-card or voucher
@@ -117,9 +117,11 @@ def kind_rows(joined: DataFrame, include_last_day: bool = False, with_label: boo
     ends with that month), ``paid``, and the delivery month ``dm``.  Because
     reference dates are first-of-month, these keys decide window membership,
     recency bucket and the as-of delivery mask for every reference date.
+    ``pm``: a column of the rows that holds the purchase month already (rows
+    dealt by it stay so).
     """
     return tagged_rows(joined, [
-        f"{D.month_number_sql(PDATE)} AS pm",
+        f"{D.month_number_sql(PDATE)} AS pm" if pm is None else pm,
         ("false" if include_last_day else f"{PDATE} = last_day({PDATE})") + " AS ld",
         f"CASE WHEN k = {KIND_MAIN} THEN {D.month_number_sql(DLV)} END AS dm"], with_label)
 

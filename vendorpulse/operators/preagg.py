@@ -19,14 +19,16 @@ from ..functions.arith import from_units, money, safe_div, to_units
 PAYMENT_TYPES = ("credit_card", "debit_card", "boleto", "voucher")
 
 
-def payments_per_order(payments: DataFrame, units: bool = False) -> DataFrame:
+def payments_per_order(payments: DataFrame, units: bool = False, rows: str | None = None) -> DataFrame:
     """A1: one row per order with per-type installment and value totals.
 
     ``qt_payment_types`` is the only distinct aggregate; Catalyst drops it
     (and its extra shuffle) from plans that do not select it.  With
     ``units`` the values stay integer money units (see ``arith.to_units``).
+    ``rows`` names a further column, the number of an order's rows.
     """
-    cols = [
+    cols = [] if rows is None else [F.count(F.lit(1)).alias(rows)]
+    cols += [
         F.count("payment_sequential").alias("qt_payments"),
         F.count_distinct("payment_type").alias("qt_payment_types"),
     ]

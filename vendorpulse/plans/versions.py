@@ -5,7 +5,9 @@ names, for version n, each table's schema and the folder of each of its
 partitions.  A write stages its files first, then writes the manifest under a
 temporary name and renames it: until then readers see the version before, and
 after it the whole new one, of every table.  A write that ends between leaves
-files that no manifest names.  A writer names the version that it builds on; if
+files that no manifest names.  A table may be staged in buckets of a column
+(``Deal``): each of its partitions holds one file a bucket, and it is read back
+dealt by that column as a shuffle would deal it.  A writer names the version that it builds on; if
 another has published meanwhile the rename finds its name taken and the write
 is refused.  Readers are pinned to the version they opened; old versions stay
 until :meth:`Versions.vacuum`.
@@ -33,6 +35,14 @@ class Conflict(RuntimeError):
     """Another writer has published this version."""
 
 
+@dataclass(frozen=True)
+class Deal:
+    """Rows dealt by the hash of ``key`` into ``buckets``."""
+
+    key: str
+    buckets: int
+
+
 @dataclass(frozen=True)
 class Staged:
     """Written partitions of a table that no version names yet."""
@@ -41,6 +51,7 @@ class Staged:
     partition: str
     schema: T.StructType
     folders: dict[str, str]
+    deal: Deal | None = None
 
 
 class Versions:
@@ -76,13 +87,24 @@ class Versions:
             stream.close()
 
     # --- writes
-    def stage(self, table: str, df: DataFrame, partition: str) -> Staged:
-        """Write the rows.  Nothing is visible yet."""
+    def stage(self, table: str, df: DataFrame, partition: str, deal: Deal | None = None, placed: bool = False) -> Staged:
+        """Write the rows.  Nothing is visible yet.
+
+        ``deal``: in buckets; the rows of one are to come in one task.  ``placed``: the tasks' rows lie as they are to be
+        written (a task holds few partitions).  Otherwise they are dealt by partition first.
+        """
         folder = f"data/staged_as={uuid.uuid4().hex}"
         rows = df.select(*(f"`{c}`" for c in df.columns if c != partition), f"`{partition}`")
-        rows.hint("rebalance", partition).write.partitionBy(partition).parquet(f"{self.path}/{folder}")
+        if deal is None:
+            rows_out = rows if placed else rows.hint("rebalance", partition)
+            rows_out.write.partitionBy(partition).option("compression", "zstd").parquet(f"{self.path}/{folder}")
+        else:
+            name = f"staged_{uuid.uuid4().hex}"
+            (rows.write.partitionBy(partition).bucketBy(deal.buckets, deal.key).option("compression", "zstd")
+                 .format("parquet").option("path", f"{self.path}/{folder}").saveAsTable(name))
+            self.spark.sql(f"DROP TABLE {name}")  # the files stay
         found = {name.partition("=")[2]: f"{folder}/{name}" for name in self._names(folder) if name.startswith(f"{partition}=")}
-        return Staged(table, partition, rows.schema, found)
+        return Staged(table, partition, rows.schema, found, deal)
 
     def publish(self, staged: Iterable[Staged], replaced: dict[str, Iterable | None] | None = None, on: int | None = None,
                 info: dict | None = None) -> int:
@@ -98,8 +120,12 @@ class Versions:
             scope = (replaced or {}).get(s.table)
             old = after["tables"].get(s.table, {"folders": {}})["folders"] if scope is not None else {}
             gone = set(map(str, scope or ()))
-            after["tables"][s.table] = {"partition": s.partition, "schema": s.schema.json(),
-                                        "folders": {**{k: v for k, v in old.items() if k not in gone}, **s.folders}}
+            kept = {k: v for k, v in old.items() if k not in gone}
+            deal = None if s.deal is None else [s.deal.key, s.deal.buckets]
+            if kept and after["tables"][s.table].get("deal") != deal:
+                deal = None  # partitions of several layouts are read as plain files
+            after["tables"][s.table] = {"partition": s.partition, "schema": s.schema.json(), "deal": deal,
+                                        "folders": {**kept, **s.folders}}
         after["info"].update(info or {})
         hidden = self._path(f"{self.path}/_versions/.{uuid.uuid4().hex}")
         final = self._path(f"{self.path}/_versions/{on + 1:010}.json")
@@ -121,13 +147,36 @@ class Versions:
         known = self.manifest(version)["tables"].get(table)
         if known is None:
             raise FileNotFoundError(f"no table {table!r} has been published at {self.path}")
-        schema, folders = T.StructType.fromJson(json.loads(known["schema"])), known["folders"]
-        wanted = folders.values() if partitions is None else [folders[k] for k in dict.fromkeys(map(str, partitions)) if k in folders]
-        if not wanted:
+        folders = known["folders"]
+        if partitions is not None:
+            folders = {k: folders[k] for k in dict.fromkeys(map(str, partitions)) if k in folders}
+        return self._scan(T.StructType.fromJson(json.loads(known["schema"])), known["partition"], folders,
+                          Deal(*known["deal"]) if known.get("deal") else None)
+
+    def staged(self, s: Staged) -> DataFrame:
+        """The rows that were staged, read back."""
+        return self._scan(s.schema, s.partition, s.folders, s.deal)
+
+    def deal(self, table: str, version: int | None = None) -> Deal | None:
+        """How a version's table is dealt."""
+        known = self.manifest(version)["tables"].get(table) or {}
+        return Deal(*known["deal"]) if known.get("deal") else None
+
+    def _scan(self, schema: T.StructType, partition: str, folders: dict[str, str], deal: Deal | None) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], schema)
-        full = T.StructType([*schema.fields, T.StructField("staged_as", T.StringType())])
-        return (self.spark.read.schema(full).option("basePath", f"{self.path}/data")
-                .parquet(*(f"{self.path}/{p}" for p in wanted)).select(*(f"`{f.name}`" for f in schema)))
+        if deal is None:
+            full = T.StructType([*schema.fields, T.StructField("staged_as", T.StringType())])
+            return (self.spark.read.schema(full).option("basePath", f"{self.path}/data")
+                    .parquet(*(f"{self.path}/{p}" for p in folders.values())).select(*(f"`{f.name}`" for f in schema)))
+        # buckets are known by the catalog alone: a name of its own for these folders
+        name, text = f"dealt_{uuid.uuid4().hex}", lambda p: f"{self.path}/{p}".replace("\\", "\\\\").replace("'", "\\'")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{partition}`) "
+                       f"CLUSTERED BY (`{deal.key}`) INTO {deal.buckets} BUCKETS LOCATION '{text('data')}'")
+        self.spark.sql(f"ALTER TABLE {name} ADD " + " ".join(
+            f"PARTITION (`{partition}`='{k}') LOCATION '{text(p)}'" for k, p in folders.items()))
+        return self.spark.table(name).select(*(f"`{f.name}`" for f in schema))
 
     def vacuum(self, keep: int = 1) -> int:
         """Delete all but the newest ``keep`` versions, and the folders that none of those names; returns their number.
