@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -96,6 +97,90 @@ def test_bounds_hold_the_score(bounds):
         assert (high - low < 2 * norm[:, None] * norm).mean() > 0.5  # and say something
 
 
+def _laid(rng, n, start=0, clustered=False):
+    """Rows as tasks hold them, of directions at random or near four centres, with their distances to eight vectors."""
+    x = rng.normal(size=(n, 64)) + (30 * np.eye(4, 64)[np.arange(n) % 4] if clustered else 0)
+    v = np.floor(64 * x / np.linalg.norm(x, axis=1)[:, None]).astype(np.int32)
+    norm = np.sqrt((v.astype(float) ** 2).sum(axis=1))
+    refs = 64 * np.eye(8, 64)
+    return vectors.Rows(np.arange(start, start + n), np.zeros(n, np.int64), v, norm, topk.distances(v.astype(float), norm, refs))
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_groups_of_a_block_lose_no_score(clustered):
+    rng = np.random.default_rng(8)
+    rows, q = _laid(rng, 3000, 0, clustered), _laid(rng, 90, 5000, clustered)
+    q.ids[:5], q.v[:5], q.norm[:5], q.to[:5] = rows.ids[:5], rows.v[:5], rows.norm[:5], rows.to[:5]   # rows of the block
+    want = q.v.astype(np.int64) @ rows.v.T.astype(np.int64)
+    want[np.arange(5), np.arange(5)] = -(1 << 40)
+    order = np.lexsort((np.broadcast_to(rows.ids, want.shape), -want), axis=1)[:, :20]
+    q.lo, q.hi = np.take_along_axis(want, order, 1)[:, -1:], np.full((90, 1), vectors.MOST)
+    block, groups = vectors.grouped(rows)
+    assert groups.blocks.sum() == 3000 and groups.blocks.max() <= vectors.GROUP
+    assert sorted(block.ids.tolist()) == rows.ids.tolist()
+    reach = vectors.reaching(q, *topk.cluster_bounds(q, groups))
+    assert not clustered or reach.mean() < 0.7  # bounds do rule out groups
+    for kind in (block, vectors.Rows(block.ids, block.labels, block.v, block.norm * 1e13, block.to)):   # floats, wide integers
+        if kind is not block:
+            assert vectors.number_type(kind, q) is np.int64
+        query, _, ids, score = topk._match(20)(kind, groups, q)
+        assert ids.tolist() == order.ravel().tolist() and query.tolist() == np.repeat(np.arange(90), 20).tolist()
+        assert score.tolist() == np.take_along_axis(want, order, 1).ravel().tolist()
+
+
+def test_pairs_that_bounds_keep_are_cheap():
+    """Where bounds rule out nothing a pair costs its product, which is less than its place in an order of all."""
+    rng = np.random.default_rng(4)
+    rows, q = _laid(rng, 1000), _laid(rng, 1000, 2000)
+    plain = q.v.astype(float) @ rows.v.T.astype(float)
+    q.lo, q.hi = np.sort(plain, axis=1)[:, -5:-4].astype(np.int64), np.full((1000, 1), vectors.MOST)
+    block, groups = vectors.grouped(rows)
+    match = topk._match(20)
+    assert vectors.reaching(q, *topk.cluster_bounds(q, groups)).mean() > 0.9
+
+    def seconds(f):
+        took = []
+        for _ in range(5):
+            start = time.thread_time()
+            f()
+            took.append(time.thread_time() - start)
+        return min(took)
+    assert seconds(lambda: match(block, groups, q)) < seconds(lambda: np.argsort(-plain, axis=1, kind="stable"))
+
+
+def test_visits_dont_grow_with_the_table(spark):
+    """Blocks of a large table hold more rows: a query sees no more of them."""
+    df = spark.range(20_000).selectExpr("id as vec_id", "transform(sequence(1, 4), i -> sin(id * i)) as embedding")
+    known = vectors.integers(df, 64)
+    index = vectors.build(known, vectors.references(known, 4, 64, unit=False), topk.distances, 16)
+    size = index.rows.groupBy("blk").count().agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    assert index.clusters.blocks.sum() <= vectors.BLOCKS + 4 and index.clusters.n == 20_000   # were 1,250 blocks
+    assert size[0] <= vectors.BLOCKS + 4 and size[1] < 1000 and size[2] == 20_000
+
+
+def test_kinds_of_numbers():
+    def of(norm):
+        return vectors.Rows(np.arange(1), np.zeros(1), np.zeros((1, 1)), np.array([norm]), np.zeros((1, 1)))
+    kinds = [vectors.number_type(of(a), of(b)) for a, b in ((2.0 ** 11, 2.0 ** 11), (2.0 ** 12, 2.0 ** 11), (2.0 ** 26, 2.0 ** 26))]
+    assert kinds == [np.float32, np.float64, np.int64]
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64, np.int64])
+def test_highest_keeps_ties_to_lesser_ids(kind):
+    rng = np.random.default_rng(6)
+    score, ids = rng.integers(-4, 4, (40, 90)).astype(kind), rng.permutation(90)
+    score[3], score[rng.random((40, 90)) < 0.2] = vectors.below(kind), vectors.below(kind)
+    lo = np.where(np.arange(40) % 3 == 0, vectors.LEAST, rng.integers(-3, 3, 40))
+    hi = np.where(np.arange(40) % 4 == 0, vectors.MOST, rng.integers(-1, 4, 40))
+    query, row = vectors.highest(score, lo, hi, ids, 7)
+    got = [[] for _ in range(40)]
+    for a, b in zip(query, row):
+        got[a].append((-score[a, b], ids[b]))
+    for a in range(40):
+        fits = sorted((-s, i) for s, i in zip(score[a], ids) if lo[a] <= s <= hi[a])
+        assert got[a] == fits[:7]
+
+
 @pytest.mark.parametrize("name", ["op3_decontaminate", "op6_substring", "op11_hard_negatives", "op12_topk", "op13_runs"])
 def test_queries_match_sql(spark, name):
     r = compare(spark, name, SF001, duck(SF001))

@@ -7,12 +7,13 @@ bounds over all directions, through the cosine and times both norms, bound
 their inner product.  Bounds are widened by more than the rounding of angles
 and rounded outward to integers.
 
-Two searches use them (:mod:`.vectors`).  Positives: the ``positives`` highest
-other rows of the anchor's label; only rows whose bounds reach the best scores
-so far are scored.  Negatives: for each positive of score p, the rows of other
-labels with low * p <= 100 * score <= high * p; only rows whose bounds overlap
-one of the anchor's windows are scored, in integers, and once a window has its
-``negatives`` rows it narrows to their scores.  Both are exact.
+Two searches use them (:mod:`.vectors`), on clusters and on groups of near
+rows.  Positives: the ``positives`` highest other rows of the anchor's label;
+only groups whose bounds reach the best scores so far are scored.  Negatives:
+for each positive of score p, the rows of other labels with low * p <= 100 *
+score <= high * p; only groups whose bounds overlap one of the anchor's windows
+are scored, and once a window has its ``negatives`` rows it narrows to their
+scores.  Both are exact.
 
 A positive of score below zero has an empty window, one of zero the window
 [0, 0].  Anchors without positives, and positives without negatives, give no
@@ -46,21 +47,20 @@ def _scores(near, far, least_norm, most_norm):
 
 
 def row_bounds(q: V.Rows, block: V.Rows) -> tuple[np.ndarray, np.ndarray]:
-    near, far = np.zeros((len(q.ids), len(block.ids))), np.full((len(q.ids), len(block.ids)), np.pi)
-    for k in range(q.to.shape[1]):
-        a, x = q.to[:, k, None], block.to[:, k]
-        np.maximum(near, np.abs(a - x), out=near)
-        np.minimum(far, np.minimum(a + x, 2 * np.pi - a - x), out=far)
-    norms = q.norm[:, None] * block.norm
-    return _scores(near, far, norms, norms)
+    """Bounds of single rows: of groups of one."""
+    return _group_bounds(q, block.to, block.to, block.norm, block.norm)
+
+
+def _group_bounds(q: V.Rows, low, high, min_norm, max_norm) -> tuple[np.ndarray, np.ndarray]:
+    a = q.to[:, None, :]
+    near = np.maximum(np.maximum(low - a, a - high), 0).max(axis=2, initial=0)
+    far = np.minimum(high + a, 2 * np.pi - low - a).min(axis=2, initial=np.pi)
+    return _scores(near, far, q.norm[:, None] * min_norm, q.norm[:, None] * max_norm)
 
 
 def _cluster_bounds(same: bool):
     def bounds(q: V.Rows, c: V.Clusters):
-        a = q.to[:, None, :]
-        near = np.maximum(np.maximum(c.low - a, a - c.high), 0).max(axis=2, initial=0)
-        far = np.minimum(c.high + a, 2 * np.pi - c.low - a).min(axis=2, initial=np.pi)
-        low, high = _scores(near, far, q.norm[:, None] * c.min_norm, q.norm[:, None] * c.max_norm)
+        low, high = _group_bounds(q, c.low, c.high, c.min_norm, c.max_norm)
         label = q.labels[:, None]
         may = ((c.min_label <= label) & (label <= c.max_label)) if same else (
             (c.min_label != label) | (c.max_label != label))
@@ -69,28 +69,13 @@ def _cluster_bounds(same: bool):
 
 
 def _match(k: int, same: bool):
-    def match(block: V.Rows, q: V.Rows):
-        kind = V.number_type(block, q)
-        low, high = row_bounds(q, block)
-        may = (q.labels[:, None] == block.labels) == same
-        may &= q.ids[:, None] != block.ids
-        overlap = np.zeros(may.shape, bool)
-        for j in range(q.lo.shape[1]):
-            overlap |= (high >= q.lo[:, j, None]) & (low <= q.hi[:, j, None]) & (q.lo[:, j, None] <= q.hi[:, j, None])
-        query, row = np.nonzero(may & overlap)
-        score = np.empty(len(query), np.int64)
-        rows, asked = block.v.astype(kind), q.v.astype(kind)
-        for at in range(0, len(query), 1 << 14):
-            cut = slice(at, at + (1 << 14))
-            score[cut] = np.einsum("pd,pd->p", rows[row[cut]], asked[query[cut]])
-        order = np.lexsort((block.ids[row], -score, query))
-        query, row, score = query[order], row[order], score[order]
+    def match(block: V.Rows, groups: V.Clusters, q: V.Rows):
+        score = V.scores(block, groups, q, _cluster_bounds(same))
+        score[(q.labels[:, None] == block.labels) != same] = V.below(score.dtype)
         out = []
         for j in range(q.lo.shape[1]):
-            fits = np.flatnonzero((score >= q.lo[query, j]) & (score <= q.hi[query, j]))
-            mine = query[fits]
-            fits = fits[np.arange(len(mine)) - np.searchsorted(mine, mine) < k]
-            out.append((query[fits], np.full(len(fits), j), block.ids[row[fits]], score[fits]))
+            query, row = V.highest(score, q.lo[:, j], q.hi[:, j], block.ids, k)
+            out.append((query, np.full(len(query), j), block.ids[row], score[query, row].astype(np.int64)))
         return tuple(np.concatenate(x) for x in zip(*out))
     return match
 

@@ -3,12 +3,17 @@
 Every row stores its Euclidean distances to ``pivots`` vectors.  For a query q
 and a row x the triangle inequality gives a lower bound of their distance at
 each pivot, |d(q, p) - d(x, p)|; the greatest of them bounds the inner product
-from above: q.x = (|q|^2 + |x|^2 - d(q, x)^2) / 2.  Within a block candidates
-are scored exactly in the order of their bounds, until no bound reaches the
-k-th score any more (ties are scored, as the lesser id wins); clusters whose
-least distances already rule them out are not visited at all (:mod:`.vectors`).
-Bounds are widened by more than the rounding of distances, then rounded down
-to integers, so the result is exact.
+from above: q.x = (|q|^2 + |x|^2 - d(q, x)^2) / 2.  Clusters whose least
+distances rule them out are not visited at all (:mod:`.vectors`); within a
+block the same bound rules out groups of rows that can't reach the k-th score
+found so far (ties are scored, as the lesser id wins), and the other groups are
+scored exactly.  Bounds are widened by more than the rounding of distances,
+then rounded down to integers, so the result is exact.
+
+Where the bounds rule out little, as with directions at random, the exact
+search takes all pairs of a query and a row: its time grows as their number,
+a few nanoseconds each, and a task holds one block and some queries whatever
+the table's size.
 
 The pivots are fitted on a sample of ``sample`` rows; every row is indexed, and
 no row is left out by anything but its bound.  Rows that take no part and rows
@@ -25,7 +30,6 @@ from pyspark.sql import functions as F
 from . import vectors as V
 
 SLACK = 1e-6   # of the squared norms; rounding stays below a hundredth of it
-WAVE = 64      # candidates scored between two looks at the k-th score
 
 
 def distances(v: np.ndarray, norm: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -46,35 +50,10 @@ def cluster_bounds(q: V.Rows, c: V.Clusters) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _match(k: int):
-    def match(block: V.Rows, q: V.Rows):
-        kind = V.number_type(block, q)
-        rows, asked = block.v.astype(kind), q.v.astype(kind)
-        n, m = len(q.ids), len(block.ids)
-        least = np.zeros((n, m))
-        for p in range(q.to.shape[1]):
-            np.maximum(least, np.abs(q.to[:, p, None] - block.to[:, p]), out=least)
-        bound = _upper(q.norm[:, None], block.norm, least)
-        bound[q.ids[:, None] == block.ids] = -np.inf
-        order = np.argsort(-bound, axis=1, kind="stable")
-        bound = np.take_along_axis(bound, order, axis=1)
-        floor = q.lo[:, 0].copy()                           # what a score must reach
-        top = np.full((n, k), V.LEAST - 1)
-        ids = np.zeros((n, k), np.int64)
-        live = np.arange(n)
-        for at in range(0, m, WAVE):
-            live = live[bound[live, at] >= floor[live]]
-            if not len(live):
-                break
-            some = order[live, at: at + WAVE]
-            score = np.matmul(rows[some], asked[live][:, :, None])[:, :, 0].astype(np.int64)
-            score[bound[live, at: at + WAVE] < floor[live, None]] = V.LEAST - 1
-            score = np.concatenate([top[live], score], axis=1)
-            who = np.concatenate([ids[live], block.ids[some]], axis=1)
-            keep = np.lexsort((who, -score), axis=-1)[:, :k]
-            top[live], ids[live] = np.take_along_axis(score, keep, axis=1), np.take_along_axis(who, keep, axis=1)
-            floor[live] = np.maximum(floor[live], top[live, -1])
-        query, place = np.nonzero(top >= q.lo[:, :1])
-        return query, np.zeros(len(query), np.int64), ids[query, place], top[query, place]
+    def match(block: V.Rows, groups: V.Clusters, q: V.Rows):
+        score = V.scores(block, groups, q, cluster_bounds)
+        query, row = V.highest(score, q.lo[:, 0], q.hi[:, 0], block.ids, k)
+        return query, np.zeros(len(query), np.int64), block.ids[row], score[query, row].astype(np.int64)
     return match
 
 

@@ -7,6 +7,9 @@ their label to clusters; a cluster of many rows is cut into blocks by a hash of
 ``vec_id``.  A search visits the few blocks with the greatest bounds first; the
 scores found there are thresholds, and only blocks whose bounds still reach
 them are visited after that.  A task holds one block and a batch of queries.
+A block's rows lie in groups of near ones: the same bounds rule out a query's
+groups, and what is left is scored by matrix products, which for vectors of
+some dozen components cost less than any bound of a single pair.
 
 Rows that take no part: a null ``vec_id``, vector or label (where there is
 one), a null or non-finite component.  ``vec_id`` names one row: of several
@@ -27,10 +30,14 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, stored
 
-EXACT, WIDE = 2.0 ** 52, 2.0 ** 62   # products below are exact in doubles, in 64-bit integers
+# products below are exact in floats, in doubles, in 64-bit integers
+SHORT, EXACT, WIDE = 2.0 ** 23, 2.0 ** 52, 2.0 ** 62
 LEAST, MOST = -(1 << 62), 1 << 62    # an open window
 BUCKETS = 16                         # of labels
 PAIRS = 1 << 22                      # of a query and a row, for a task
+SCORED = 1 << 20                     # pairs, at a time
+BLOCKS, MOST_ROWS = 64, 1 << 16      # a table's blocks, until they would hold so many rows each
+GROUP = 256                          # rows of a block that bounds rule out together
 
 
 @dataclass
@@ -70,8 +77,10 @@ def _matrix(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def number_type(a: Rows, b: Rows) -> type:
-    """The type in which the inner products of ``a`` with ``b`` are exact."""
+    """The type in which the inner products of ``a`` with ``b``, and their parts, are exact."""
     most = float(a.norm.max(initial=0)) * float(b.norm.max(initial=0))
+    if most < SHORT:
+        return np.float32
     if most < EXACT:
         return np.float64
     if most < WIDE:
@@ -136,15 +145,14 @@ def references(rows: DataFrame, n: int, sample: int, unit: bool) -> np.ndarray:
 class Clusters:
     """What is known of each cluster: by reference the least and the greatest measure, norms, labels, blocks."""
 
-    bucket: np.ndarray
     low: np.ndarray
     high: np.ndarray
     min_norm: np.ndarray
     max_norm: np.ndarray
     min_label: np.ndarray
     max_label: np.ndarray
-    base: np.ndarray      # first block
-    blocks: np.ndarray    # number of blocks
+    base: np.ndarray      # first block (of a group: first row)
+    blocks: np.ndarray    # number of blocks (of a group: rows)
     n: int                # rows in all
 
 
@@ -157,7 +165,10 @@ class Index:
 
 def build(rows: DataFrame, refs: np.ndarray, measure: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray],
           block: int) -> Index:
-    """Deal rows to clusters by nearest reference and label bucket, and to blocks of about ``block`` rows."""
+    """Deal rows to clusters by nearest reference and label bucket, and to blocks of about ``block`` rows.
+
+    Blocks of a large table hold more, so that a query's visits don't grow with the table.
+    """
     def run(batches):
         for b in batches:
             if len(b):
@@ -175,11 +186,12 @@ def build(rows: DataFrame, refs: np.ndarray, measure: Callable[[np.ndarray, np.n
         F.count("*").alias("n"), F.min("norm"), F.max("norm"), F.min("label"), F.max("label"),
         *(f(F.get("to", F.lit(k))) for f in (F.min, F.max) for k in range(n))).orderBy("bucket", "near").collect()
     table = np.array([tuple(r) for r in got], float).reshape(len(got), 7 + 2 * n)
-    blocks = np.ceil(table[:, 2] / block).astype(np.int64)
+    total = int(table[:, 2].sum())
+    blocks = np.ceil(table[:, 2] / max(block, min(total // BLOCKS, MOST_ROWS))).astype(np.int64)
     base = np.cumsum(blocks) - blocks
     labels = np.array([(r[5], r[6]) for r in got], np.int64).reshape(-1, 2)
-    clusters = Clusters(table[:, 0].astype(int), table[:, 7:7 + n], table[:, 7 + n:], table[:, 3], table[:, 4],
-                        labels[:, 0], labels[:, 1], base, blocks, int(table[:, 2].sum()))
+    clusters = Clusters(table[:, 7:7 + n], table[:, 7 + n:], table[:, 3], table[:, 4], labels[:, 0], labels[:, 1],
+                        base, blocks, total)
     where = rows.sparkSession.createDataFrame(
         [(int(r[0]), int(r[1]), int(b), int(k)) for r, b, k in zip(got, base, blocks)],
         "bucket int, near int, base long, blocks long")
@@ -188,6 +200,73 @@ def build(rows: DataFrame, refs: np.ndarray, measure: Callable[[np.ndarray, np.n
     return Index(dealt, clusters, n)
 
 
+def grouped(block: Rows) -> tuple[Rows, Clusters]:
+    """The rows, halved by the measure that spreads them most until ``GROUP`` or fewer lie together, and their groups."""
+    parts, groups = [np.arange(len(block.ids))], []
+    while parts:
+        at = parts.pop()
+        if len(at) <= GROUP:
+            groups.append(at)
+            continue
+        to = block.to[at]
+        half = len(at) // 2
+        at = at[np.argpartition(to[:, np.ptp(to, axis=0).argmax()], half)]
+        parts += [at[half:], at[:half]]
+    own = block.take(np.concatenate(groups))
+    size = np.array([len(at) for at in groups])
+    base = np.cumsum(size) - size
+    return own, Clusters(np.minimum.reduceat(own.to, base), np.maximum.reduceat(own.to, base),
+                         np.minimum.reduceat(own.norm, base), np.maximum.reduceat(own.norm, base),
+                         np.minimum.reduceat(own.labels, base), np.maximum.reduceat(own.labels, base), base, size, len(own.ids))
+
+
+def reaching(q: Rows, low: np.ndarray, high: np.ndarray, may: np.ndarray) -> np.ndarray:
+    """By query and cluster: whether scores from ``low`` to ``high`` meet one of the query's windows."""
+    out = np.zeros(high.shape, bool)
+    for j in range(q.lo.shape[1]):
+        lo, hi = q.lo[:, j, None], q.hi[:, j, None]
+        out |= (high >= lo) & (low <= hi) & (lo <= hi)
+    return out & may
+
+
+def scores(block: Rows, groups: Clusters, q: Rows, cluster_bounds) -> np.ndarray:
+    """Inner products by query and row; below LEAST where the row's group is ruled out, and for the query's own row."""
+    kind = number_type(block, q)
+    rows, asked = block.v.astype(kind), q.v.astype(kind)
+    reach = reaching(q, *cluster_bounds(q, groups))
+    if reach.all():
+        score = asked @ rows.T
+    else:
+        score = np.full((len(asked), len(rows)), below(kind), kind)
+        for g in np.flatnonzero(reach.any(axis=0)).tolist():
+            live, own = np.flatnonzero(reach[:, g]), slice(groups.base[g], groups.base[g] + groups.blocks[g])
+            score[live, own] = asked[live] @ rows[own].T
+    _, asking, row = np.intersect1d(q.ids, block.ids, assume_unique=True, return_indices=True)
+    score[asking, row] = below(kind)
+    return score
+
+
+def below(kind: type) -> float | int:
+    """A number of this type below every score and window."""
+    return LEAST - 1 if np.issubdtype(kind, np.integer) else -np.inf
+
+
+def highest(score: np.ndarray, lo: np.ndarray, hi: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (query, row) of each query's ``k`` highest scores from ``lo`` to ``hi``, ties to lesser ids."""
+    fits = score >= lo.astype(score.dtype)[:, None]
+    if (hi < MOST).any():
+        fits &= score <= hi.astype(score.dtype)[:, None]
+    many = np.flatnonzero(np.count_nonzero(fits, axis=1) > k)
+    if len(many):
+        some = np.where(fits[many], score[many], score.dtype.type(below(score.dtype)))
+        fits[many] = some >= np.partition(some, -k, axis=1)[:, -k, None]
+    query, row = np.divmod(np.flatnonzero(fits), max(1, len(ids)))
+    order = np.lexsort((ids[row], -score[query, row], query))
+    query, row = query[order], row[order]
+    first = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[first], row[first]
+
+
 _ASK = "vec_id long, label long, v array<int>, norm double, to array<double>, lo array<long>, hi array<long>"
 _FOUND = "query_id long, which int, vec_id long, score long"
 
@@ -202,6 +281,7 @@ def _route(asks: DataFrame, index: Index, cluster_bounds, first: bool, probe: in
                 part = b.slice(i, 64)
                 q = Rows.of(part, refs)
                 low, high, may = cluster_bounds(q, c)
+                reach = reaching(q, low, high, may)
                 high = np.where(may, high, -np.inf)
                 order = np.argsort(-high, axis=1, kind="stable")
                 lists = []
@@ -212,9 +292,7 @@ def _route(asks: DataFrame, index: Index, cluster_bounds, first: bool, probe: in
                     if first:
                         lists.append(blk[:probe])
                     else:
-                        reach = ((high[k][mine, None] >= q.lo[k]) & (low[k][mine, None] <= q.hi[k])
-                                 & (q.lo[k] <= q.hi[k])).any(axis=1)
-                        lists.append(blk[probe:][np.repeat(reach, some)[probe:]])
+                        lists.append(blk[probe:][np.repeat(reach[k][mine], some)[probe:]])
                 upto = np.append(0, np.cumsum([len(x) for x in lists])).astype(np.int32)
                 flat = pa.array(np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.ListArray.from_arrays(upto, flat)],
@@ -223,7 +301,7 @@ def _route(asks: DataFrame, index: Index, cluster_bounds, first: bool, probe: in
 
 
 def _visit(index: Index, visits: DataFrame, match, per_task: int, queries: int) -> DataFrame:
-    """Rows (query_id, which, vec_id, score) that ``match(block, queries)`` finds, a block and a batch of queries at a time."""
+    """Rows (query_id, which, vec_id, score) that ``match`` finds, a block and a batch of queries at a time."""
     copies = max(1, -(-queries // per_task))  # of each block, so that a task's queries are bounded too
     part = F.pmod(F.xxhash64("vec_id"), F.lit(copies))
     none = F.lit(None).cast("array<long>")
@@ -238,7 +316,7 @@ def _visit(index: Index, visits: DataFrame, match, per_task: int, queries: int)
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), index.clusters.n * queries // PAIRS)
 
     def run(batches):
-        parts, block, current = [], None, None
+        parts, block, groups, current = [], None, None, None
         for b in batches:
             if not len(b):
                 continue
@@ -254,10 +332,12 @@ def _visit(index: Index, visits: DataFrame, match, per_task: int, queries: int)
                 if own != current:
                     continue  # nothing lies there
                 if block is None:
-                    block = Rows(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("ids", "labels", "v", "norm", "to")))
-                for at in range(i, j, 128):
-                    q = Rows.of(b.slice(at, min(128, j - at)), refs)
-                    query, which, ids, scores = match(block, q)
+                    block, groups = grouped(Rows(*(np.concatenate([getattr(p, f) for p in parts])
+                                                   for f in ("ids", "labels", "v", "norm", "to"))))
+                    parts, some = [], max(1, SCORED // len(block.ids))
+                for at in range(i, j, some):
+                    q = Rows.of(b.slice(at, min(some, j - at)), refs)
+                    query, which, ids, scores = match(block, groups, q)
                     if len(query):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(q.ids[query]), pa.array(which.astype(np.int32)), pa.array(ids),
@@ -277,9 +357,9 @@ def search(index: Index, asks: DataFrame, k: int, match, cluster_bounds, probe:
     """Rows (query_id, which, rank, vec_id, score): per query and window the ``k`` highest scores within it.
 
     ``asks``: rows of the index with their windows ``lo`` and ``hi`` (arrays of
-    one length).  ``match(block, queries)`` gives at least each window's ``k``
-    best of the block; ``cluster_bounds`` the least and the greatest score that
-    a cluster may hold, and whether it may hold partners at all.
+    one length).  ``match(block, groups, queries)`` gives at least each window's
+    ``k`` best of the block; ``cluster_bounds`` the least and the greatest score
+    that a cluster, or a group, may hold, and whether it may hold partners at all.
     """
     asks = stored(asks, "vectors-asks")
     n = asks.count()
