@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import brute
 import numpy as np
 import pytest
@@ -216,6 +218,21 @@ def test_links_of_a_dense_ball(spark, distance, dense):
     assert got == want
 
 
+@pytest.mark.parametrize("run", [simhash.near_duplicates, simhash.one_of_each])
+def test_simhash_broadcasts_no_side_of_guessed_size(spark, messy, plain, monkeypatch, run):
+    """The guesses are too low (variants count as their fingerprints, before the explode); aggregates are measured first."""
+    plans, keep = [], simhash.stored
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    monkeypatch.setattr(simhash, "stored", lambda df, *a: keep(seen(df), *a))
+    for docs in (messy, plain):
+        seen(run(docs))
+    for plan in plans:
+        assert "Generate" not in plan or "BroadcastExchange" not in plan
+        for part in re.split(r"BroadcastExchange.*\n", plan)[1:]:
+            first = next(x for x in re.findall(r"[-+:] (\w+)", part) if not re.match("Project|Filter|Sort$|.*Aggregate", x))
+            assert first == "Exchange", plan
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 30)] + [(59, 129)] + [(500, 501)]
     got = dict((r.node, r.root) for r in simhash.components(spark.createDataFrame(edges, "a long, b long")).collect())

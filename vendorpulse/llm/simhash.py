@@ -12,6 +12,8 @@ fingerprints isn't paired up: its members look their possible neighbours up by
 equality instead (every pattern of differing bits that this variant admits),
 which grows with the members, not with their square.  Both ways are exact.
 Components come from alternating star steps, each written to the shared folder.
+No side whose size Spark guesses is broadcast: such joins are by sort and merge;
+aggregates behind an exchange are, if they are measured to be small.
 
 Nulls: a null text has no words and fingerprint zero, as any text without
 words; a null ``doc_id`` is kept, and stands below every other id.  Repeated
@@ -28,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, map_arrow, stored, texts
+from .common import free_name, map_arrow, merged, stored, texts
 from .words import SPACE_WORDS, U64, slices, split_words, xxh64
 
 SEED = 42
@@ -105,7 +107,7 @@ def links(nodes: DataFrame, max_distance: int = 2, dense: int = 256) -> DataFram
     masks, low = _bit_masks(max_distance)
     index = variants(nodes, max_distance)
     size = index.groupBy("bit", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(index.join(size, ["bit", "key"]), "simhash-variants")  # only variants that someone shares
+    met = stored(merged(index, size, ["bit", "key"]), "simhash-variants")  # only variants that someone shares
 
     few, many = met.where(F.col("n") <= dense), met.where(F.col("n") > dense)
     xor = F.col("a").bitwiseXOR(F.col("b"))
@@ -113,8 +115,7 @@ def links(nodes: DataFrame, max_distance: int = 2, dense: int = 256) -> DataFram
     # of the variants that a pair shares in a segment: its differing bit, or the segment's lowest if none differs
     own = (inside == F.element_at(_longs([1 << b for b in range(64)]), F.col("bit") + 1)) | (
         (inside == 0) & (F.col("bit") == F.element_at(F.array(*map(F.lit, low)), F.col("bit") + 1)))
-    pairs = (few.select("bit", "key", F.col("fp").alias("a"))
-             .join(few.select("bit", "key", F.col("fp").alias("b")), ["bit", "key"])
+    pairs = (merged(few.select("bit", "key", F.col("fp").alias("a")), few.select("bit", "key", F.col("fp").alias("b")), ["bit", "key"])
              .where((F.col("a") < F.col("b")) & (F.bit_count(xor) <= max_distance) & own)
              .select("a", "b"))
     if many.limit(1).count():
@@ -137,7 +138,7 @@ def _dense_links(many: DataFrame, nodes: DataFrame, max_distance: int, masks: li
            .select(F.col("fp").alias("a"), F.col("fp").bitwiseXOR(F.col("flip")).alias("b"))
            .where("a < b"))
     # the partner shares the variant, so it is among the dense as well: asking from the lesser side is enough
-    return ask.join(nodes.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b")
+    return merged(ask, nodes.select(F.col("fp").alias("b")), "b", "left_semi").select("a", "b")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -153,11 +154,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         nb = both(cur)
         least = nb.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = nb.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        # left joins, though every node has its least: the edges, whose size is a guess, can't be the side to broadcast
+        large = nb.where("v > u").join(least, "u", "left").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = large.where(~F.col("u").eqNullSafe(F.col("v"))).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
-        cur = stored(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        joined = large.join(least, "u", "left").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        cur = stored(joined.where(~F.col("u").eqNullSafe(F.col("v")))
                      .unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "simhash-stars")
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
@@ -175,17 +177,17 @@ def _groups(docs: DataFrame, text: str, doc_id: str, shingle: int, max_distance:
     nodes = stored(fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id"))
                                          .alias("least")), "simhash-nodes")
     roots = components(links(nodes, max_distance, dense))
-    labels = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+    labels = merged(nodes, roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     first = labels.groupBy("root").agg(F.min(F.struct("least", "fp")).alias("component"))
-    return fps, stored(labels.join(first, "root"), "simhash-components")
+    return fps, stored(labels.join(first, "root", "left"), "simhash-components")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
                     max_distance: int = 2, dense: int = 256) -> DataFrame:
     """One row per row: doc_id, fp, component_id (least doc_id that links reach)."""
     fps, groups = _groups(docs, text, doc_id, shingle, max_distance, dense)
-    return fps.join(groups.select("fp", F.col("component.least.doc_id").alias("component_id")), "fp")
+    return merged(fps, groups.select("fp", F.col("component.least.doc_id").alias("component_id")), "fp")
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = 3,
@@ -196,7 +198,7 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     first = groups.where(F.col("component.fp") == F.col("fp")).select(
         F.col("fp").alias(of_first), F.col("least.doc_id").alias(id_of_first))
     if not fps.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").limit(1).count():
-        return docs.join(first, docs[f"`{doc_id}`"] == F.col(id_of_first), "left_semi")
+        return merged(docs, first, docs[f"`{doc_id}`"] == F.col(id_of_first), "left_semi")
     # ids that don't tell rows apart: find the rows by fingerprint, and keep one of those that still agree
     schema = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
 
@@ -205,8 +207,8 @@ def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(text_fingerprints(b.column(text), shingle))],
                                              [*b.schema.names, own])
     rows = docs.mapInArrow(run, schema)
-    rows = rows.join(first, (F.col(own) == F.col(of_first))
-                     & rows[f"`{doc_id}`"].eqNullSafe(F.col(id_of_first)), "left_semi")
+    rows = merged(rows, first, (F.col(own) == F.col(of_first))
+                  & rows[f"`{doc_id}`"].eqNullSafe(F.col(id_of_first)), "left_semi")
     return rows.groupBy(own).agg(F.min(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row")).select("row.*")
 
 
