@@ -690,6 +690,31 @@ def test_language_model_messy_and_empty(messy, empty):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.score == 0 for r in got)
 
 
+def test_language_model_opens_each_file_once_and_looks_up_in_rounds(plain, monkeypatch):
+    """The lookups' cost must not grow by shards times batches: three files a shard, mapped once; small batches together."""
+    import builtins
+
+    import pyarrow as pa
+    model = ngram.fit(plain, shard_bytes=2000)
+    texts = pa.array([t for _, t in pairs(plain)])
+    opened, real = [], builtins.open
+    monkeypatch.setattr(ngram, "_maps", {})
+    with monkeypatch.context() as m:
+        m.setattr(builtins, "open", lambda f, *a, **k: opened.append(str(f)) or real(f, *a, **k))
+        scores = [model.score(texts)["score"] for _ in range(2)]
+    opened = [f for f in opened if model.folder.rpartition("/")[2] in f]
+    assert model.bits > 3 and len(opened) == len(set(opened)) <= 3 << model.bits
+    assert (scores[0] == scores[1]).all()
+
+    batches = pa.table({"text": texts}).to_batches(max_chunksize=1)
+    for size, most in ((1 << 20, 1), (3000, len(batches) // 2), (1, len(batches))):
+        monkeypatch.setattr(ngram, "ROUND_BYTES", size)
+        got = list(ngram.rounds(iter(batches), "text"))
+        assert len(got) <= most and pa.Table.from_batches(got).column("text").to_pylist() == texts.to_pylist()
+        assert all(len(b) == 1 or b.column("text").nbytes <= size for b in got)
+    assert list(ngram.rounds(iter(()), "text")) == []
+
+
 def test_key_blocks_round_trip():
     rng = np.random.default_rng(2)
     keys = np.unique(rng.integers(0, 1 << 63, 1000).astype(np.uint64) << np.uint64(1))

@@ -8,9 +8,11 @@ hold more than a share of 1 / (4 shards) of all tokens (at most 4 times the
 shards of them, by arithmetic) are spread by the whole pair, and their totals
 are summed afterwards.
 
-Model: sorted arrays of word hashes and pair keys, one file set per shard, in
-the cluster's shared folder.  Workers memory-map them; nothing of the model but
-sizes, discounts and the hot contexts' totals passes through the driver.
+Model: sorted arrays of word hashes and pair keys, three files a shard, in the
+cluster's shared folder.  Workers memory-map them, and keep the maps; nothing of
+the model but sizes, discounts and the hot contexts' totals passes through the
+driver.  A lookup visits every shard that its keys are in, so texts are looked
+up in rounds of some megabytes, whatever the batches.
 
 Words end at space, tab, LF, VT, FF or CR, with A-Z lower-cased; every text
 ends in one end token.  The model is p(w|h) = (c(hw) - D) / c(h) + g(h) p(w),
@@ -24,8 +26,12 @@ rows; with no training rows every word is unknown.
 
 from __future__ import annotations
 
+import json
+import mmap
 import os
+import sys
 import tempfile
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from urllib.parse import urlparse
 
@@ -39,12 +45,14 @@ from .words import SPACE_WORDS, U64, mix, slices, split_words
 
 END = mix(np.array([1], U64))[0]
 FLUSH = 4_000_000  # keys that a task holds at once
+ROUND_BYTES = 4 << 20  # of text that is looked up at once
+MAPS = 32_768 if sys.version_info >= (3, 13) else 4096  # files mapped at once; before 3.13 each holds a file descriptor
 _LOW = U64(0xFFFFFFFF)
 
 
 # --- files in the shared folder -------------------------------------------------
 
-_maps: dict[str, np.ndarray] = {}
+_maps: dict[str, np.ndarray | list[np.ndarray]] = {}
 
 
 def _local(path: str) -> str | None:
@@ -80,9 +88,43 @@ def get(folder: str, name: str) -> np.ndarray:
 
             own = os.path.join(tempfile.mkdtemp(), f"{name}.npy")
             fs.copy_files(key, own)
-        if len(_maps) > 4096:
+        if len(_maps) >= MAPS:
             _maps.clear()
-        _maps[key] = np.load(own, mmap_mode="r")
+        _maps[key] = _mapped(own)
+    return _maps[key]
+
+
+def _mapped(path: str) -> np.ndarray:
+    """A file of :func:`put` as a plain array over its map."""
+    with open(path, "rb") as f:
+        read = np.lib.format.read_array_header_1_0 if np.lib.format.read_magic(f) == (1, 0) else np.lib.format.read_array_header_2_0
+        shape, fortran, kind = read(f)
+        if not np.prod(shape):
+            return np.zeros(shape, kind)
+        own = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+        flat = np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **own), kind, int(np.prod(shape)), f.tell())
+        return flat.reshape(shape, order="F" if fortran else "C")
+
+
+def put_all(folder: str, name: str, *arrays: np.ndarray) -> None:
+    """Write several arrays as one file: their kinds, then each from a multiple of 64 bytes on."""
+    kinds = json.dumps([(a.dtype.str, a.shape) for a in arrays]).encode()
+    parts = [np.array([len(kinds)], "<i8").tobytes() + kinds, *(np.ascontiguousarray(a).tobytes() for a in arrays)]
+    put(folder, name, np.frombuffer(b"".join(p + bytes(-len(p) % 64) for p in parts), np.uint8))
+
+
+def get_all(folder: str, name: str) -> list[np.ndarray]:
+    """The arrays of :func:`put_all`, over one map."""
+    key = f"{folder}/{name}.npy"
+    if not isinstance(_maps.get(key), list):
+        raw, arrays = get(folder, name), []
+        size = 8 + int(raw[:8].view("<i8")[0])
+        at = size + -size % 64
+        for kind, shape in json.loads(raw[8:size].tobytes()):
+            n = int(np.prod(shape)) * np.dtype(kind).itemsize
+            arrays.append(raw[at: at + n].view(kind).reshape(shape))
+            at += n + -n % 64
+        _maps[key] = arrays
     return _maps[key]
 
 
@@ -190,21 +232,20 @@ class Model:
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         """Place of each (sorted) hash among the vocabulary's, -1 if it isn't one."""
-        out = np.full(len(hashes), -1, np.int64)
+        return self.known(hashes, "words")[0]
+
+    def known(self, hashes: np.ndarray, *names: str) -> list[np.ndarray]:
+        """The :meth:`ids` of (sorted) hashes, and what the files of the names hold of them (0 for -1)."""
+        out = [np.full(len(hashes), -1, np.int64), *(np.zeros(len(hashes), np.int64) for _ in names)]
         for s, at in _by_shard(_top(hashes, self.bits)):
             if self.base[s + 1] > self.base[s]:
-                known = get(self.folder, f"words-{s}")
-                p = np.minimum(np.searchsorted(known, hashes[at]), len(known) - 1)
-                out[at] = np.where(known[p] == hashes[at], p + self.base[s], -1)
-        return out
-
-    def of_words(self, name: str, ids: np.ndarray) -> np.ndarray:
-        """An array's values for (sorted) word ids, 0 for -1."""
-        out = np.zeros(len(ids), np.int64)
-        shard = np.where(ids >= 0, np.searchsorted(self.base, ids, side="right") - 1, -1)
-        for s, at in _by_shard(shard):
-            if s >= 0:
-                out[at] = get(self.folder, f"{name}-{s}")[ids[at] - self.base[s]]
+                held = get_all(self.folder, f"words-{s}")[0]
+                p = np.minimum(np.searchsorted(held, hashes[at]), len(held) - 1)
+                hit = np.flatnonzero(held[p] == hashes[at])
+                at, p = at[hit], p[hit]
+                out[0][at] = p + self.base[s]
+                for x, name in zip(out[1:], names):
+                    x[at] = get_all(self.folder, f"{name}-{s}")[-1][p]
         return out
 
     def shard_of(self, keys: np.ndarray) -> np.ndarray:
@@ -215,12 +256,11 @@ class Model:
         out = np.zeros(len(keys), np.int64)
         for s, at in _by_shard(self.shard_of(keys)):
             if s in self.paired:
-                known = get(self.folder, f"pairs-{s}")
+                known, counts, places = get_all(self.folder, f"pairs-{s}")[:3]
                 p = np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)
-                n = np.where(known[p] == keys[at], get(self.folder, f"pair_counts-{s}")[p], 0).astype(np.int64)
+                n = np.where(known[p] == keys[at], counts[p], 0).astype(np.int64)
                 big = np.flatnonzero(n == 255)
                 if len(big):
-                    places = get(self.folder, f"pair_large-{s}")
                     n[big] = places[1][np.searchsorted(places[0], p[big])]
                 out[at] = n
         return out
@@ -232,18 +272,17 @@ class Model:
         out[hot] = self.hot_totals[np.searchsorted(self.hot, contexts[hot])] if hot.any() else 0
         for s, at in _by_shard(np.where(hot, -1, _top(mix(contexts), self.bits))):
             if s in self.paired:
-                known = get(self.folder, f"contexts-{s}")
+                known, totals = get_all(self.folder, f"pairs-{s}")[3:]
                 if len(known):  # else hot ones alone
                     p = np.minimum(np.searchsorted(known, contexts[at]), len(known) - 1)
-                    out[at] = np.where((known[p] == contexts[at])[:, None], get(self.folder, f"totals-{s}")[p], 0)
+                    out[at] = np.where((known[p] == contexts[at])[:, None], totals[p], 0)
         return out
 
     def score(self, column: pa.Array) -> dict[str, np.ndarray]:
         """Per text: n_tokens, n_known, base_score, score."""
         hashes, first = token_hashes(column)
         words, which = np.unique(hashes, return_inverse=True)
-        ids = self.ids(words)
-        counts, before = self.of_words("counts", ids), self.of_words("before", ids)
+        ids, counts, before = self.known(words, "words", "before")
         v = self.vocabulary
         base = np.log10((counts + 0.1) / (self.tokens + 0.1 * (v + 1)))
         total = max(self.word_total, 1)
@@ -282,10 +321,24 @@ def token_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
+def rounds(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``ROUND_BYTES`` of text: large ones cut, small ones put together."""
+    held, size = [], 0
+    for b in slices(batches, text, ROUND_BYTES):
+        n = b.column(text).nbytes
+        if held and size + n > ROUND_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(b)
+        size += n
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _counted(rows: DataFrame, keys_of, shard_of) -> DataFrame:
     def run(batches):
         held = _Counter(shard_of)
-        for b in slices(batches, "text"):
+        for b in rounds(batches, "text"):
             if held.add(keys_of(b.column("text"))):
                 yield from held.flush()
         yield from held.flush()
@@ -303,8 +356,7 @@ def fit(train: DataFrame, text: str = "text", shard_bytes: int = 8 << 20) -> Mod
     def words(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         keys, counts = _merged(table.column("block").to_pylist())
-        put(folder, f"words-{shard}", keys)
-        put(folder, f"counts-{shard}", counts)
+        put_all(folder, f"words-{shard}", keys, counts)
         top = np.argsort(counts)[-64:]
         return pa.table({"shard": pa.array([shard] * len(top), pa.int32()), "place": pa.array(top),
                          "n": pa.array(counts[top]), "distinct": pa.array([len(keys)] * len(top), pa.int64()),
@@ -331,18 +383,15 @@ def fit(train: DataFrame, text: str = "text", shard_bytes: int = 8 << 20) -> Mod
     def pairs(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         keys, counts = _merged(table.column("block").to_pylist())
-        put(folder, f"pairs-{shard}", keys)
-        put(folder, f"pair_counts-{shard}", np.minimum(counts, 255).astype(np.uint8))
         large = np.flatnonzero(counts >= 255)
-        put(folder, f"pair_large-{shard}", np.stack([large, counts[large]]))
         context = keys >> U64(32)
         first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
         totals = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in
                            (counts, counts == 1, counts == 2, counts >= 3)], axis=1)
         names = context[first]
         cold = ~np.isin(names, model.hot)
-        put(folder, f"contexts-{shard}", names[cold])
-        put(folder, f"totals-{shard}", totals[cold])
+        put_all(folder, f"pairs-{shard}", keys, np.minimum(counts, 255).astype(np.uint8),
+                np.stack([large, counts[large]]), names[cold], totals[cold])
         after, distinct = reduced(keys & _LOW)
         owner = np.searchsorted(model.base, after.astype(np.int64), side="right") - 1
         out = [("before", s, pack(after[at], distinct[at]), None) for s, at in _by_shard(owner)]
@@ -360,7 +409,7 @@ def fit(train: DataFrame, text: str = "text", shard_bytes: int = 8 << 20) -> Mod
         ids, n = _merged(table.column("block").to_pylist())
         dense = np.zeros(model.base[shard + 1] - model.base[shard], np.int64)
         dense[ids.astype(np.int64) - model.base[shard]] = n
-        put(folder, f"before-{shard}", dense.astype(np.uint32) if dense.max() < 1 << 32 else dense)
+        put_all(folder, f"before-{shard}", dense.astype(np.uint32) if dense.max() < 1 << 32 else dense)
         return pa.table({"sums": pa.array([[*(int((dense == k).sum()) for k in (1, 2, 3, 4)), int((dense >= 3).sum()),
                                            int(dense.sum())]], pa.list_(pa.int64()))})
 
@@ -385,7 +434,7 @@ def score(docs: DataFrame, model: Model, held_out: Column, text: str = "text", d
                        F.col(f"`{text}`").alias("text"))
 
     def run(batches):
-        for b in slices(batches, "text"):
+        for b in rounds(batches, "text"):
             out = model.score(b.column("text"))
             n = len(b)
             yield pa.RecordBatch.from_arrays(
