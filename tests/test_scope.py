@@ -89,3 +89,29 @@ def test_orders_of_the_labels_month_no_payments_and_no_orders(spark):
     assert [(r.seller_id, r.fl_venda) for r in got.collect()] == [("s1", 1)]
     none = FeaturePlan.of(Shop().roles(spark), ["2018-06-01"])
     assert none.reduced().layer2().count() == 0
+
+
+@pytest.fixture
+def large(spark):
+    """As on large tables: no side small enough to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_published_writes_ask_for_filters_themselves(spark, large, monkeypatch, tmp_path):
+    """The session asks for none: the write's plan has them for payments and reviews, and only it."""
+    from vendorpulse.plans.abt import build_abt, publish_abt, read_published
+    from vendorpulse.plans.versions import Versions
+    plans, stage = [], Versions.stage
+
+    def seen(self, table, df, *a, **k):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return stage(self, table, df, *a, **k)
+    monkeypatch.setattr(Versions, "stage", seen)
+    roles = driver_roles(spark, SF01)
+    publish_abt(build_abt(roles, DATE, reduced=True), str(tmp_path / "abt"), DATE)
+    assert plans[0].count("might_contain") >= 2
+    assert "might_contain" not in build_abt(roles, DATE, reduced=True)._jdf.queryExecution().optimizedPlan().toString()
+    got, want = read_published(spark, str(tmp_path / "abt")), build_abt(roles, DATE)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..operators import asof, derived, features, preagg, segments
+from ..session import bloom_filters
 from ..sources.roles import Roles
 from .versions import Versions
 
@@ -114,9 +115,10 @@ def register_views(plan: FeaturePlan, prefix: str = "vw_abt") -> None:
     plan.layer2().createOrReplaceTempView(f"{prefix}_p2")
 
 
-def build_abt(roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False) -> DataFrame:
-    """``dt_ref`` + the 201 feature columns, one row per (dt_ref, seller)."""
-    return plan_for(roles, dates, include_last_day).layer2()
+def build_abt(roles: Roles, dates: Iterable[str | _dt.date], include_last_day: bool = False, reduced: bool = False) -> DataFrame:
+    """``dt_ref`` + the 201 feature columns, one row per (dt_ref, seller); ``reduced``: by :meth:`FeaturePlan.reduced`."""
+    plan = plan_for(roles, dates, include_last_day)
+    return (plan.reduced() if reduced else plan).layer2()
 
 
 def build_abt_range(roles: Roles, first: str | _dt.date, last: str | _dt.date,
@@ -165,12 +167,16 @@ def publish_abt(abt: DataFrame, path: str, dates: Iterable[str | _dt.date] | Non
 
     The table lies in a versioned folder (:mod:`.versions`) and is read by
     :func:`read_published`.  ``on``: the version built on; if it isn't the
-    newest any more the write is refused.  Returns the new version.
+    newest any more the write is refused.  Returns the new version.  The write
+    asks for Bloom filters: of a reduced plan, payments and reviews of orders
+    out of scope end at their scans.
     """
     store = Versions(abt.sparkSession, path)
     on = store.latest() if on is None else on
     replaced = None if dates is None else {"abt": D.ref_dates(dates)}
-    return store.publish([store.stage("abt", abt, "dt_ref")], replaced, on)
+    with bloom_filters(abt.sparkSession):
+        staged = store.stage("abt", abt, "dt_ref")
+    return store.publish([staged], replaced, on)
 
 
 def read_published(spark: SparkSession, path: str, dates: Iterable[str | _dt.date] | None = None,
