@@ -114,4 +114,4 @@ def test_published_writes_ask_for_filters_themselves(spark, large, monkeypatch,
     assert plans[0].count("might_contain") >= 2
     assert "might_contain" not in build_abt(roles, DATE, reduced=True)._jdf.queryExecution().optimizedPlan().toString()
     got, want = read_published(spark, str(tmp_path / "abt")), build_abt(roles, DATE)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert sorted(got.collect(), key=str) == sorted(want.select(*got.columns).collect(), key=str)
